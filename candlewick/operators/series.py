@@ -5,11 +5,14 @@ Two plans compute the same rows:
 * ``strategy="window"`` -- the reference's windows partitioned by ``symbol``.
   One shuffle, but a symbol's whole history is one window partition, i.e.
   one task. Fine for many symbols with short histories.
-* ``strategy="sliced"`` (default) -- see :mod:`candlewick.operators.sliced`:
+* ``strategy="sliced"`` -- see :mod:`candlewick.operators.sliced`:
   the candles are shuffled once by (symbol, day) and the cross-day parts
   (row offsets, LAG, the 29-row look-back, the EMA running sums) come from a
   small per-(symbol, day) table, so a symbol with years of history is spread
   over as many tasks as it has days.
+* ``strategy="auto"`` (default) -- ``window`` when Catalyst's size estimate of
+  the input is under :data:`candlewick.plans.sizing.SINGLE_TASK_BYTES`,
+  ``sliced`` otherwise.
 
 Semantics (SURVEY T1-T3): rows are ordered by ``open_time_ts`` for LAG,
 ROW_NUMBER and the ROWS frames; the EMA sums use the default RANGE frame
@@ -28,12 +31,19 @@ from candlewick.functions.time import trade_date
 EMA_RATES = {"ema_7": 0.2, "ema_30": 0.07}
 SMA_ROWS = {"sma_7": 7, "sma_30": 30}
 
-STRATEGIES = ("sliced", "window")
+STRATEGIES = ("auto", "sliced", "window")
 
 
-def _check(strategy: str) -> None:
+def _resolve(strategy: str, klines: DataFrame) -> str:
+    """``auto``: plain windows when Catalyst's estimate of the whole input is small
+    enough for one task (so no symbol can outgrow a task), the sliced plan otherwise."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {STRATEGIES}")
+    if strategy != "auto":
+        return strategy
+    from candlewick.plans.sizing import fits_one_task
+
+    return "window" if fits_one_task(klines) else "sliced"
 
 
 def returns_columns(close: str, prev_close: str, first_close: str) -> list:
@@ -49,10 +59,9 @@ def ema_weight(rate: float, row_num: str = "row_num"):
     return F.exp(F.lit(-rate) * (F.col(row_num) - 1))
 
 
-def market_returns(klines: DataFrame, strategy: str = "sliced") -> DataFrame:
+def market_returns(klines: DataFrame, strategy: str = "auto") -> DataFrame:
     """M4: change vs the previous candle and vs the symbol's first candle, in %."""
-    _check(strategy)
-    if strategy == "sliced":
+    if _resolve(strategy, klines) == "sliced":
         from candlewick.operators.sliced import market_returns_sliced
 
         return market_returns_sliced(klines)
@@ -65,10 +74,9 @@ def market_returns(klines: DataFrame, strategy: str = "sliced") -> DataFrame:
              *returns_columns("close_price", "previous_close_price", "first_close_price"))
 
 
-def market_trend(klines: DataFrame, strategy: str = "sliced") -> DataFrame:
+def market_trend(klines: DataFrame, strategy: str = "auto") -> DataFrame:
     """M5: 7/30-candle simple averages and the reference's two EMA-style averages."""
-    _check(strategy)
-    if strategy == "sliced":
+    if _resolve(strategy, klines) == "sliced":
         from candlewick.operators.sliced import market_trend_sliced
 
         return market_trend_sliced(klines)

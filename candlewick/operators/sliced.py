@@ -71,9 +71,14 @@ def number_rows(klines: DataFrame, days: DataFrame | None = None) -> DataFrame:
     base = _base(klines)
     days = day_table(base) if days is None else days
     in_day = Window.partitionBy(*SLICE).orderBy("open_time_ts")
+    # Rank first, join the day table after: every consumer of this frame then
+    # shares one identical (symbol, date) exchange of the four base columns,
+    # which Spark reuses instead of shuffling the candles once per consumer.
+    # The join keeps that partitioning (the day table side is broadcast when
+    # small or shuffled to match when not).
     return (
-        base.join(days, SLICE)
-        .withColumn("r", F.row_number().over(in_day))
+        base.withColumn("r", F.row_number().over(in_day))
+        .join(days, SLICE)
         .withColumn("row_num", F.col("start") + F.col("r"))
     )
 

@@ -156,6 +156,11 @@ def q_returns(spark, sf_dir):
     return series.market_returns(klines(spark, sf_dir))
 
 
+@register("market_returns_sliced", RETURNS_SQL, RETURNS_DOUBLES)
+def q_returns_sliced(spark, sf_dir):
+    return series.market_returns(klines(spark, sf_dir), strategy="sliced")
+
+
 @register("market_returns_window", RETURNS_SQL, RETURNS_DOUBLES)
 def q_returns_window(spark, sf_dir):
     return series.market_returns(klines(spark, sf_dir), strategy="window")
@@ -183,6 +188,93 @@ def q_trend(spark, sf_dir):
     return series.market_trend(klines(spark, sf_dir))
 
 
+@register("market_trend_sliced", TREND_SQL, TREND_DOUBLES)
+def q_trend_sliced(spark, sf_dir):
+    return series.market_trend(klines(spark, sf_dir), strategy="sliced")
+
+
 @register("market_trend_window", TREND_SQL, TREND_DOUBLES)
 def q_trend_window(spark, sf_dir):
     return series.market_trend(klines(spark, sf_dir), strategy="window")
+
+# ---------------------------------------------------------------- staging, S23, Q1/Q2
+
+# Pairs configured for the test data (the adapter's symbols); they cover every row.
+TEST_SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+
+STAGE_SQL = f"""{K}
+SELECT open_time_ts, close_time_ts, open_price, high_price, low_price, close_price, volume,
+       quote_asset_volume, number_of_trades, taker_buy_base_asset_volume,
+       taker_buy_quote_asset_volume, symbol
+FROM k"""
+
+
+@register("stage_klines", STAGE_SQL, CANDLE_DOUBLES)
+def q_stage(spark, sf_dir):
+    from candlewick.operators.staging import stage_klines
+
+    return stage_klines(klines(spark, sf_dir))
+
+
+@register("consolidated_klines", STAGE_SQL, CANDLE_DOUBLES)
+def q_consolidated(spark, sf_dir):
+    from candlewick.operators.staging import consolidated_klines, stage_klines
+
+    raw = klines(spark, sf_dir)
+    return consolidated_klines(*[stage_klines(raw, s) for s in TEST_SYMBOLS])
+
+
+@register("fill_timestamps", f"""
+SELECT open_time, make_timestamp(open_time * 1000) AS open_time_ts,
+       close_time, make_timestamp(close_time * 1000) AS close_time_ts, symbol
+FROM ({CANDLES_SQL}) AS c""")
+def q_fill(spark, sf_dir):
+    from candlewick.functions.time import fill_timestamps
+    from candlewick.sources.events import candles_from_events
+
+    landed = candles_from_events(read_events(spark, sf_dir))
+    return fill_timestamps(landed).select("open_time", "open_time_ts", "close_time",
+                                          "close_time_ts", "symbol")
+
+
+def _models(spark, sf_dir):
+    from candlewick.operators.staging import stage_klines
+
+    k = stage_klines(klines(spark, sf_dir))
+    return {
+        "stg_klines": k,
+        "market_summary": daily.market_summary(k),
+        "market_volatility": daily.market_volatility(k),
+        "market_trend": series.market_trend(k),
+        "market_liquidity": daily.market_liquidity(k),
+        "market_returns": series.market_returns(k),
+    }
+
+
+def _not_null_sql() -> str:
+    from candlewick.operators.quality import EXPECTATIONS, STAGE_COLUMNS, STAGE_PREFIX
+
+    sources = {"stg_klines": STAGE_SQL, "market_summary": SUMMARY_SQL,
+               "market_volatility": VOLATILITY_SQL, "market_trend": TREND_SQL,
+               "market_liquidity": f"""{K}
+SELECT CAST(open_time_ts AS DATE) AS date, symbol,
+       sum(quote_asset_volume) / NULLIF(sum(number_of_trades), 0) AS liquidity_ratio
+FROM k GROUP BY 1, 2""", "market_returns": RETURNS_SQL}
+    parts = []
+    for model, cols in EXPECTATIONS.items():
+        for c in cols:
+            parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS failures "
+                         f"FROM ({sources[model]}) AS m")
+    for c in STAGE_COLUMNS:
+        parts.append(f"SELECT '{STAGE_PREFIX}' || symbol AS model, '{c}' AS column_name, "
+                     f"count(*) FILTER (WHERE {c} IS NULL) AS failures "
+                     f"FROM ({STAGE_SQL}) AS m GROUP BY symbol")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("not_null_checks", _not_null_sql())
+def q_checks(spark, sf_dir):
+    from candlewick.operators.quality import run_checks
+
+    return run_checks(_models(spark, sf_dir))

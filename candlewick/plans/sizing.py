@@ -1,0 +1,20 @@
+"""Size checks used to choose between plans, from Catalyst statistics (no job)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Inputs below this estimated size may be processed with one task per symbol:
+# even if a single symbol held every row, its window partition stays small.
+SINGLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a DataFrame's optimized plan (file sizes for
+    scans, propagated through operators). An estimate, not a measurement."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def fits_one_task(df: DataFrame, limit: int = SINGLE_TASK_BYTES) -> bool:
+    return estimated_bytes(df) <= limit
