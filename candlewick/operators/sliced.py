@@ -59,16 +59,18 @@ def day_table(base: DataFrame) -> DataFrame:
     )
 
 
-def _base(klines: DataFrame) -> DataFrame:
+def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
     return klines.select(trade_date("open_time_ts").alias("date"), "symbol", "open_time_ts",
-                         "close_price")
+                         "close_price", *[c for c in carry if c not in ("symbol", "open_time_ts",
+                                                                       "close_price")])
 
 
-def number_rows(klines: DataFrame, days: DataFrame | None = None) -> DataFrame:
+def number_rows(klines: DataFrame, days: DataFrame | None = None,
+                carry: tuple = ()) -> DataFrame:
     """Candles with ``row_num`` = ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY
     open_time_ts), computed per (symbol, day) slice; also keeps ``r`` (row in
-    the day), ``cnt`` and the day-table columns."""
-    base = _base(klines)
+    the day), ``cnt``, the day-table columns and the ``carry`` columns."""
+    base = _base(klines, carry)
     days = day_table(base) if days is None else days
     in_day = Window.partitionBy(*SLICE).orderBy("open_time_ts")
     # Rank first, join the day table after: every consumer of this frame then

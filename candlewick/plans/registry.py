@@ -278,3 +278,108 @@ def q_checks(spark, sf_dir):
     from candlewick.operators.quality import run_checks
 
     return run_checks(_models(spark, sf_dir))
+
+# ---------------------------------------------------------------- pages and landing
+
+PAGE_LIMIT = 1000  # the reference's default request size
+# Present time for the cursor: the test data covers January 2024; extraction runs on Jan 31.
+NOW_MS = 1706659200000
+# Resume points are asked for the test pairs plus one configured pair with no landed file.
+RESUME_SYMBOLS = TEST_SYMBOLS + ["BTCBRL"]
+
+NUMBERED_SQL = f"""
+SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS rn
+FROM ({CANDLES_SQL}) AS c"""
+PAGED_SQL = f"""
+SELECT *, CAST(floor((rn - 1) / {PAGE_LIMIT}) AS INTEGER) AS page,
+       CAST(rn - 1 - floor((rn - 1) / {PAGE_LIMIT}) * {PAGE_LIMIT} AS INTEGER) AS pos
+FROM ({NUMBERED_SQL}) AS n"""
+PAGE_INFO_SQL = f"""
+SELECT symbol, page, count(*) AS n_rows, min(open_time) AS page_start
+FROM ({PAGED_SQL}) AS p GROUP BY symbol, page"""
+LANDING_PATH_SQL = ("'binance_klines/' || symbol || '/' || strftime(make_timestamp(page_start * 1000), "
+                    "'%Y/M%m') || '/' || symbol || '_binance_klines_' || "
+                    "strftime(make_timestamp(page_start * 1000), '%Y-%m-%d-%H%M') || '.parquet'")
+FULL_PAGES_SQL = f"""
+SELECT symbol, page, page_start, {LANDING_PATH_SQL} AS source_file
+FROM ({PAGE_INFO_SQL}) AS i WHERE n_rows >= {PAGE_LIMIT}"""
+
+
+def _pages(spark, sf_dir):
+    from candlewick.sources.events import candles_from_events
+    from candlewick.sources.pages import pages_from_candles
+
+    return pages_from_candles(candles_from_events(read_events(spark, sf_dir)), PAGE_LIMIT)
+
+
+def _full_pages(spark, sf_dir):
+    from candlewick.sources.pages import keep_full_pages, with_landing_path
+
+    return with_landing_path(keep_full_pages(_pages(spark, sf_dir), PAGE_LIMIT))
+
+
+@register("parse_kline_pages", f"""
+SELECT symbol, page, pos, open_time, open_price, high_price, low_price, close_price, volume,
+       close_time, quote_asset_volume, number_of_trades, taker_buy_base_asset_volume,
+       taker_buy_quote_asset_volume
+FROM ({PAGED_SQL}) AS p""", CANDLE_DOUBLES)
+def q_parse_pages(spark, sf_dir):
+    from candlewick.sources.pages import parse_kline_pages
+
+    return parse_kline_pages(_pages(spark, sf_dir))
+
+
+@register("keep_full_pages", f"""
+SELECT symbol, page, n_rows FROM ({PAGE_INFO_SQL}) AS i WHERE n_rows >= {PAGE_LIMIT}""")
+def q_full_pages(spark, sf_dir):
+    from candlewick.sources.pages import keep_full_pages, page_size
+
+    return keep_full_pages(_pages(spark, sf_dir), PAGE_LIMIT) \
+        .select("symbol", "page", page_size("body").alias("n_rows"))
+
+
+@register("page_start", FULL_PAGES_SQL)
+def q_page_start(spark, sf_dir):
+    return _full_pages(spark, sf_dir).select("symbol", "page", "page_start", "source_file")
+
+
+@register("symbol_from_path", f"""
+SELECT source_file, regexp_extract(source_file, 'binance_klines/([A-Z0-9]+)/', 1) AS symbol
+FROM ({FULL_PAGES_SQL}) AS f""")
+def q_symbol_from_path(spark, sf_dir):
+    from candlewick.functions.paths import symbol_from_path
+
+    return _full_pages(spark, sf_dir).select(
+        "source_file", symbol_from_path("source_file").alias("symbol"))
+
+
+@register("latest_file", f"""
+SELECT symbol, arg_max(source_file, page_start) AS latest_file, max(page_start) AS latest_start
+FROM ({FULL_PAGES_SQL}) AS f GROUP BY symbol""")
+def q_latest_file(spark, sf_dir):
+    from candlewick.sources.landing import latest_file
+
+    return latest_file(_full_pages(spark, sf_dir).select("symbol", "source_file"))
+
+
+@register("resume_point", f"""
+SELECT s.symbol, coalesce(l.latest_start, 1577836800000) AS start_time
+FROM (VALUES {", ".join(f"('{s}')" for s in RESUME_SYMBOLS)}) AS s(symbol)
+LEFT JOIN (SELECT symbol, max(page_start) AS latest_start FROM ({FULL_PAGES_SQL}) AS f
+           GROUP BY symbol) AS l ON s.symbol = l.symbol""")
+def q_resume_point(spark, sf_dir):
+    from candlewick.schema import DEFAULT_START_MS
+    from candlewick.sources.landing import resume_point
+
+    symbols = spark.createDataFrame([(s,) for s in RESUME_SYMBOLS], "symbol string")
+    files = _full_pages(spark, sf_dir).select("symbol", "source_file")
+    return resume_point(files, symbols, DEFAULT_START_MS)
+
+
+@register("next_cursor", f"""
+SELECT symbol, page, max(close_time) + 1 AS next_start FROM ({PAGED_SQL}) AS p
+GROUP BY symbol, page HAVING max(close_time) + 1 < {NOW_MS}""")
+def q_next_cursor(spark, sf_dir):
+    from candlewick.sources.pages import next_cursor, parse_kline_pages
+
+    return next_cursor(parse_kline_pages(_pages(spark, sf_dir)), NOW_MS)
