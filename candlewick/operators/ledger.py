@@ -53,6 +53,13 @@ def new_files_only(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(loaded_files(ledger), "source_file", "left_anti")
 
 
+def loaded_flags(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """S19 for many files at once: ``files`` plus a boolean ``is_loaded``."""
+    hit = loaded_files(ledger).withColumn("is_loaded", F.lit(True))
+    return files.join(hit, "source_file", "left") \
+        .withColumn("is_loaded", F.coalesce("is_loaded", F.lit(False)))
+
+
 def is_loaded(ledger: DataFrame, source_file: str) -> bool:
     """Whether one file is loaded (an action; stops at the first match)."""
     return not active_files(ledger).where(F.col("source_file") == source_file).isEmpty()
