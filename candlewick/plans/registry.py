@@ -492,3 +492,52 @@ def q_unmark(spark, sf_dir):
     late = scan_landing(spark, run.landing).where(F.col("page_start") >= CUT_MS)
     unmark(spark, late, run.ledger)
     return run.visible(spark).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+
+# ---------------------------------------------------------------- streaming load (R1), pipeline
+
+
+@register("stream_load", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r",
+          CANDLE_DOUBLES)
+def q_stream_load(spark, sf_dir):
+    """Append-only feed: early pages, then the later ones, then a run with nothing
+    new; the streamed raw table holds every landed candle once."""
+    from candlewick.sources.landing import write_landing
+    from candlewick.sources.pages import parse_kline_pages
+    from candlewick.sources.raw import read_raw
+    from candlewick.streaming.incremental import run_stream_once
+
+    run = _Landing(spark, "stream")
+    ckpt = f"{run.raw}-checkpoint"
+    pages = _full_pages(spark, sf_dir)
+    write_landing(parse_kline_pages(pages.where(F.col("page_start") < CUT_MS)), run.landing)
+    run_stream_once(spark, run.landing, run.raw, ckpt)
+    write_landing(parse_kline_pages(pages.where(F.col("page_start") >= CUT_MS)), run.landing)
+    run_stream_once(spark, run.landing, run.raw, ckpt)
+    run_stream_once(spark, run.landing, run.raw, ckpt)
+    return read_raw(spark, run.raw).drop("load_id")
+
+
+K_PIPE = f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r)"
+
+
+def _pipeline(spark, sf_dir):
+    from candlewick.plans.pipeline import run_pipeline
+
+    run = _Landing(spark, "pipeline")
+    run.land(spark, sf_dir)
+    return run_pipeline(spark, run.landing, run.raw.rsplit("/", 1)[0] + "/warehouse")
+
+
+@register("pipeline_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+def q_pipeline_trend(spark, sf_dir):
+    result = _pipeline(spark, sf_dir)
+    return spark.read.parquet(result.tables["market_trend"]).select(
+        "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
+
+
+@register("pipeline_market_summary", SUMMARY_SQL.replace(K, K_PIPE), SUMMARY_DOUBLES)
+def q_pipeline_summary(spark, sf_dir):
+    result = _pipeline(spark, sf_dir)
+    return spark.read.parquet(result.tables["market_summary"]).select(
+        "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
+        "number_of_trades")
