@@ -36,6 +36,7 @@ def write_landing(parsed: DataFrame, root: str, start_col: str = "page_start") -
     """Land parsed full pages; each page is rewritten whole, others untouched."""
     cols = [f.name for f in LANDED_SCHEMA]
     (parsed.select(*cols, "symbol", page_key(start_col).alias("page"))
+     .hint("rebalance", "symbol", "page")  # one file per page, not one per task and page
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "page").parquet(root))
 

@@ -35,8 +35,13 @@ def to_raw(landed: DataFrame, load_id: str) -> DataFrame:
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
-    """Append rows, day partitioned (under their load)."""
-    rows.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(path)
+    """Append rows, day partitioned (under their load).
+
+    The rebalance hint shuffles the batch by its partition columns so each
+    (symbol, day) gets a few well-sized files instead of one small file per
+    input task; AQE splits a hot (symbol, day) and merges small ones."""
+    rows.hint("rebalance", *RAW_PARTITIONS).write.mode("append") \
+        .partitionBy(*RAW_PARTITIONS).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
