@@ -4,6 +4,8 @@ One Parquet table for all symbols, partitioned ``load_id / symbol / date``.
 Rows keep their page's ``source_file``; a reader sees a row only when its
 (load_id, source_file) is active in the ledger, so a load that crashed before
 its ledger commit leaves an invisible orphan instead of duplicates (T6).
+A load commits all its files in one ledger append, which :func:`read_raw`
+uses to turn visibility into partition pruning on ``load_id``.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import fill_timestamps, trade_date
-from candlewick.operators.ledger import active_files, path_exists, read_ledger
-from candlewick.schema import RAW_PARTITIONS, RAW_SCHEMA
+from candlewick.operators.ledger import path_exists, read_ledger
+from candlewick.schema import LOADED, RAW_PARTITIONS, RAW_SCHEMA, REMOVED
 
 
 def ensure_raw_table(spark: SparkSession, path: str) -> None:
@@ -44,15 +46,39 @@ def append_raw(rows: DataFrame, path: str) -> None:
         .partitionBy(*RAW_PARTITIONS).parquet(path)
 
 
+# Tombstones are broadcast when there are at most this many (about 100 bytes each).
+BROADCAST_TOMBSTONES = 1_000_000
+
+
+def committed_loads(ledger: DataFrame) -> list[str]:
+    """Load ids with a ledger commit -- one per load run, so a short list."""
+    return sorted(r[0] for r in ledger.where(F.col("event") == LOADED)
+                  .select("load_id").distinct().collect())
+
+
 def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
              symbols: list[str] | None = None) -> DataFrame:
     """The visible raw rows. ``symbols`` prunes ``symbol=`` directories; a
     filter on ``date`` by the caller prunes days. Without a ledger (a table fed
-    by the streaming load, R1) every committed row is visible."""
+    by the streaming load, R1) every committed row is visible.
+
+    A load's ledger rows are appended in one commit, so a row is visible when
+    its ``load_id`` is committed and its (load_id, source_file) has no
+    tombstone. Committed ids become a partition filter (crashed loads' folders
+    are never listed, let alone read); tombstones are anti-joined, broadcast
+    only when their counted number is under ``BROADCAST_TOMBSTONES``.
+    """
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
     if symbols is not None:
         raw = raw.where(F.col("symbol").isin(symbols))
     if ledger_path is None:
         return raw
-    return raw.join(active_files(read_ledger(spark, ledger_path)),
-                    ["load_id", "source_file"], "left_semi")
+    ledger = read_ledger(spark, ledger_path)
+    raw = raw.where(F.col("load_id").isin(committed_loads(ledger)))
+    removed = ledger.where(F.col("event") == REMOVED).select("load_id", "source_file") \
+        .distinct()
+    n_removed = removed.count()
+    if n_removed == 0:
+        return raw
+    side = F.broadcast(removed) if n_removed <= BROADCAST_TOMBSTONES else removed
+    return raw.join(side, ["load_id", "source_file"], "left_anti")
