@@ -343,6 +343,15 @@ def q_page_start(spark, sf_dir):
     return _full_pages(spark, sf_dir).select("symbol", "page", "page_start", "source_file")
 
 
+@register("landing_path", f"""
+SELECT symbol, page, {LANDING_PATH_SQL} AS source_file FROM ({PAGE_INFO_SQL}) AS i""")
+def q_landing_path(spark, sf_dir):
+    """S7 for every page, short ones included (their name is what would be deleted)."""
+    from candlewick.sources.pages import with_landing_path
+
+    return with_landing_path(_pages(spark, sf_dir)).select("symbol", "page", "source_file")
+
+
 @register("symbol_from_path", f"""
 SELECT source_file, regexp_extract(source_file, 'binance_klines/([A-Z0-9]+)/', 1) AS symbol
 FROM ({FULL_PAGES_SQL}) AS f""")
