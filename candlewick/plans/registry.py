@@ -432,6 +432,19 @@ class _Landing:
             pages = pages.where(F.col("page_start") < before_ms)
         write_landing(parse_kline_pages(pages), self.landing)
 
+    def land_resumed(self, spark, sf_dir):
+        """A later daily run: each symbol resumes at its latest landed page (S12/S13),
+        which is fetched and landed again (T10), and lands every page after it."""
+        from candlewick.schema import DEFAULT_START_MS
+        from candlewick.sources.landing import resume_point, scan_landing, write_landing
+        from candlewick.sources.pages import parse_kline_pages
+
+        pages = _full_pages(spark, sf_dir)
+        files = scan_landing(spark, self.landing).select("symbol", "source_file")
+        starts = resume_point(files, pages.select("symbol").distinct(), DEFAULT_START_MS)
+        fresh = pages.join(starts, "symbol").where(F.col("page_start") >= F.col("start_time"))
+        write_landing(parse_kline_pages(fresh.drop("start_time")), self.landing)
+
     def load(self, spark, **kw):
         from candlewick.plans.load import load_incremental
 
@@ -446,12 +459,13 @@ class _Landing:
 @register("load_incremental", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r",
           CANDLE_DOUBLES)
 def q_load_incremental(spark, sf_dir):
-    """Day 1 loads the early pages, day 2 the rest, day 3 finds nothing new:
-    every landed candle is visible exactly once."""
+    """Day 1 loads the early pages; day 2 resumes (re-landing each symbol's last
+    page) and loads the rest; day 3 finds nothing new: every landed candle is
+    visible exactly once."""
     run = _Landing(spark, "load")
     run.land(spark, sf_dir, before_ms=CUT_MS)
     run.load(spark)
-    run.land(spark, sf_dir)
+    run.land_resumed(spark, sf_dir)
     run.load(spark)
     run.load(spark)
     return run.visible(spark)
@@ -467,7 +481,7 @@ def q_new_files(spark, sf_dir):
     run = _Landing(spark, "newfiles")
     run.land(spark, sf_dir, before_ms=CUT_MS)
     run.load(spark)
-    run.land(spark, sf_dir)
+    run.land_resumed(spark, sf_dir)
     return new_files_only(scan_landing(spark, run.landing), read_ledger(spark, run.ledger)) \
         .select("symbol", "page_start", "source_file").distinct()
 
@@ -481,7 +495,7 @@ def q_is_loaded(spark, sf_dir):
     run = _Landing(spark, "isloaded")
     run.land(spark, sf_dir, before_ms=CUT_MS)
     run.load(spark)
-    run.land(spark, sf_dir)
+    run.land_resumed(spark, sf_dir)
     files = scan_landing(spark, run.landing).select("source_file").distinct()
     return loaded_flags(files, read_ledger(spark, run.ledger))
 
