@@ -47,7 +47,9 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
     tables = {name: f"{warehouse}/{name}" for name in ["stg_klines", *MODELS]}
 
     staged = stage_klines(read_raw(spark, raw_path, ledger_path, symbols))
-    write_model(staged.withColumn("date", trade_date("open_time_ts")), tables["stg_klines"])
+    # Raw files each hold one (symbol, day), so staging needs no rebalance.
+    write_model(staged.withColumn("date", trade_date("open_time_ts")), tables["stg_klines"],
+                rebalance=False)
     stg = spark.read.parquet(tables["stg_klines"]).drop("date")
     checks = assert_checks(run_checks({"stg_klines": stg}))
 

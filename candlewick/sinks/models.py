@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame
 
 
 def write_model(df: DataFrame, path: str, partition: str = "date",
-                incremental: bool = False) -> None:
+                incremental: bool = False, rebalance: bool = True) -> None:
     """Materialize a model as a day-partitioned Parquet table.
 
     Default is a full rebuild (the reference's table materialization).
     ``incremental=True`` replaces only the days present in ``df`` (dynamic
     partition overwrite), for re-running recent days.
+
+    ``rebalance`` shuffles the rows by the partition column first, so each day
+    gets a few right-sized files (AQE splits a big day) instead of one small
+    file per task and day. Worth it when ``df`` arrives partitioned by other
+    keys (the series models come out hashed by (symbol, day)); pass False when
+    the input splits already follow the days (staging read from the
+    day-partitioned raw table), where it would be a needless full shuffle.
     """
-    # Rebalance by the partition column: a few right-sized files per day (AQE
-    # splits a skewed day), instead of one small file per task per day.
-    writer = df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
+    out = df.hint("rebalance", partition) if rebalance else df
+    writer = out.write.mode("overwrite").partitionBy(partition)
     if incremental:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:
