@@ -1,31 +1,35 @@
-"""Day-sliced plan for the per-symbol series models (M4, M5).
+"""Sliced plan for the per-symbol series models (M4, M5).
 
 The reference's windows are partitioned by ``symbol`` only, so one symbol's
 entire history would be one Spark task. Here the candles are shuffled once by
-(symbol, day) and everything that crosses a day boundary is carried by a
-per-(symbol, day) table that is tiny next to the candles (one row per
-symbol-day, i.e. 1/1440 of 1-minute candles):
-
-* global row number = rows before the day (running sum of day counts) +
-  row number inside the day;
-* LAG across midnight = previous day's last close (``lag`` on the day table);
-* the symbol's first close = first day's first close;
-* the 29-row look-back of the 30-row average: each day receives, as a halo,
-  the last rows of the preceding days that its first rows need. A day may hold
-  fewer than 29 candles, so a halo can come from up to 29 earlier days; the
-  source days are found on the day table, and only each day's last 29 rows are
-  ever candidates, so the halo is bounded by 29 rows per day;
-* EMA (RANGE frame by date): per-day weighted sums, a running sum over the day
-  table, joined back per (symbol, day).
-
-Only the candles cross the network once; the halo rows and the day table are
-small and are joined co-partitioned on (symbol, date). The day table is not
-broadcast by hint: the planner and AQE broadcast it only when its measured
-size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffle it
-otherwise (it grows with symbols x days).
-
-Rows in one slice are bounded by the candle grain (1,440 one-minute candles
-per symbol-day), not by the data size.
+slice -- (symbol, day), or (symbol, day, sub-interval) for a day holding more
+than ``max_slice_rows`` candles -- and everything that crosses a slice
+boundary is carried by a per-slice table that is tiny next to the candles
+(one row per symbol-day, i.e. 1/1440 of 1-minute candles):
+
+* global row number = rows before the slice (running sum of slice counts) +
+  row number inside the slice;
+* LAG across a boundary = previous slice's last close (``lag`` on the table);
+* the symbol's first close = first slice's first close;
+* the 29-row look-back of the 30-row average: each slice receives, as a halo,
+  the last rows of the preceding slices that its first rows need. A slice may
+  hold fewer than 29 candles, so a halo can come from up to 29 earlier slices;
+  the source slices are found on the slice table, and only each slice's last
+  29 rows are ever candidates, so the halo is bounded by 29 rows per slice;
+* EMA (RANGE frame by date): per-slice weighted sums, summed per day, a
+  running sum over days, joined back per slice.
+
+Only the candles cross the network once; the halo rows and the slice table
+are small and are joined co-partitioned on the slice key. Nothing is broadcast
+by hint except the list of hot days, whose size is bounded by construction
+(at most rows / ``max_slice_rows`` entries); the planner and AQE broadcast the
+slice table only when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise.
+
+Hot days: a day with more than ``max_slice_rows`` candles (sub-minute candles,
+or a very dense day) is cut into ``ceil(count / max_slice_rows)`` equal time
+intervals, so no slice grows with the data. Candles sharing one timestamp
+stay in one slice (their order is undefined in the reference too).
 """
 
 from __future__ import annotations
@@ -36,98 +40,116 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import trade_date
 from candlewick.operators.series import EMA_RATES, SMA_ROWS, ema_weight, returns_columns
 
-SLICE = ["symbol", "date"]
+SLICE = ["symbol", "date", "sub"]
+ORDER = ["date", "sub"]  # slice order within a symbol
+MAX_SLICE_ROWS = 2_000_000
+MICROS_PER_DAY = 86_400_000_000
 
 
-def day_table(base: DataFrame) -> DataFrame:
-    """Per (symbol, date): count, first/last close, rows before the day,
-    previous day's last close and the symbol's first close."""
-    days = base.groupBy(*SLICE).agg(
+def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
+    return klines.select(trade_date("open_time_ts").alias("date"), "symbol", "open_time_ts",
+                         "close_price", *[c for c in carry if c not in ("symbol", "open_time_ts",
+                                                                       "close_price")])
+
+
+def slice_keys(klines: DataFrame, carry: tuple = (),
+               max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+    """Candles with their slice key (symbol, date, sub); ``sub`` is 0 except on hot days."""
+    base = _base(klines, carry)
+    hot = (base.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("cnt"))
+           .where(F.col("cnt") > max_slice_rows)
+           .select("symbol", "date", F.ceil(F.col("cnt") / max_slice_rows).alias("nsub")))
+    into_day = F.unix_micros("open_time_ts") - F.unix_micros(F.col("date").cast("timestamp"))
+    sub = F.floor(into_day * F.col("nsub") / MICROS_PER_DAY).cast("int")
+    return (base.join(F.broadcast(hot), ["symbol", "date"], "left")
+            .withColumn("sub", F.coalesce(sub, F.lit(0))).drop("nsub"))
+
+
+def slice_table(keyed: DataFrame) -> DataFrame:
+    """Per slice: count, first/last close, rows before the slice, previous
+    slice's last close and the symbol's first close."""
+    slices = keyed.groupBy(*SLICE).agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.min_by("close_price", "open_time_ts").alias("day_first_close"),
-        F.max_by("close_price", "open_time_ts").alias("day_last_close"),
+        F.min_by("close_price", "open_time_ts").alias("slice_first_close"),
+        F.max_by("close_price", "open_time_ts").alias("slice_last_close"),
     )
-    w = Window.partitionBy("symbol").orderBy("date")
-    return days.select(
+    w = Window.partitionBy("symbol").orderBy(*ORDER)
+    return slices.select(
         *SLICE, "cnt",
         F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("start"),
-        F.lag("day_last_close").over(w).alias("prev_day_last_close"),
-        F.first("day_first_close").over(
+        F.lag("slice_last_close").over(w).alias("prev_last_close"),
+        F.first("slice_first_close").over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         .alias("first_close_price"),
     )
 
 
-def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
-    return klines.select(trade_date("open_time_ts").alias("date"), "symbol", "open_time_ts",
-                         "close_price", *[c for c in carry if c not in ("symbol", "open_time_ts",
-                                                                       "close_price")])
-
-
-def number_rows(klines: DataFrame, days: DataFrame | None = None,
-                carry: tuple = ()) -> DataFrame:
-    """Candles with ``row_num`` = ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY
-    open_time_ts), computed per (symbol, day) slice; also keeps ``r`` (row in
-    the day), ``cnt``, the day-table columns and the ``carry`` columns."""
-    base = _base(klines, carry)
-    days = day_table(base) if days is None else days
-    in_day = Window.partitionBy(*SLICE).orderBy("open_time_ts")
-    # Rank first, join the day table after: every consumer of this frame then
-    # shares one identical (symbol, date) exchange of the four base columns,
-    # which Spark reuses instead of shuffling the candles once per consumer.
-    # The join keeps that partitioning (the day table side is broadcast when
-    # small or shuffled to match when not).
-    return (
-        base.withColumn("r", F.row_number().over(in_day))
-        .join(days, SLICE)
+def number_rows(klines: DataFrame, carry: tuple = (),
+                max_slice_rows: int = MAX_SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(candles with ``row_num``, slice table). ``row_num`` = ROW_NUMBER() OVER
+    (PARTITION BY symbol ORDER BY open_time_ts), computed per slice; the frame
+    also keeps ``r`` (row in the slice), ``cnt``, the slice-table columns and
+    the ``carry`` columns."""
+    keyed = slice_keys(klines, carry, max_slice_rows)
+    slices = slice_table(keyed)
+    in_slice = Window.partitionBy(*SLICE).orderBy("open_time_ts")
+    # Rank first, join the slice table after: every consumer of this frame then
+    # shares one identical slice-keyed exchange of the candle columns, which
+    # Spark reuses instead of shuffling the candles once per consumer. The join
+    # keeps that partitioning (the slice table is broadcast when small or
+    # shuffled to match when not).
+    numbered = (
+        keyed.withColumn("r", F.row_number().over(in_slice))
+        .join(slices, SLICE)
         .withColumn("row_num", F.col("start") + F.col("r"))
     )
+    return numbered, slices
 
 
-def market_returns_sliced(klines: DataFrame) -> DataFrame:
-    """M4 on the day-sliced plan: LAG inside the day, previous day's last close
-    for a day's first candle; no halo needed."""
-    numbered = number_rows(klines)
-    in_day = Window.partitionBy(*SLICE).orderBy("open_time_ts")
-    prev = F.when(F.col("r") == 1, F.col("prev_day_last_close")) \
-        .otherwise(F.lag("close_price").over(in_day))
+def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+    """M4: LAG inside the slice, previous slice's last close for a slice's first
+    candle; no halo needed."""
+    numbered, _ = number_rows(klines, max_slice_rows=max_slice_rows)
+    in_slice = Window.partitionBy(*SLICE).orderBy("open_time_ts")
+    prev = F.when(F.col("r") == 1, F.col("prev_last_close")) \
+        .otherwise(F.lag("close_price").over(in_slice))
     return numbered.select("date", "symbol", "close_price", "first_close_price",
                            prev.alias("previous_close_price")) \
         .select("date", "symbol",
                 *returns_columns("close_price", "previous_close_price", "first_close_price"))
 
 
-def halo_sources(days: DataFrame, look_back: int) -> DataFrame:
-    """(symbol, src_date) -> (tgt_date, tgt_start): source days whose rows fall in
-    the ``look_back`` rows before the target day's first row."""
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-look_back, -1)
-    earlier = F.collect_list(F.struct("date", "start", "cnt")).over(w)
+def halo_sources(slices: DataFrame, look_back: int) -> DataFrame:
+    """(symbol, source slice) -> (target slice, tgt_start): earlier slices whose rows
+    fall in the ``look_back`` rows before the target slice's first row."""
+    w = Window.partitionBy("symbol").orderBy(*ORDER).rowsBetween(-look_back, -1)
+    earlier = F.collect_list(F.struct("date", "sub", "start", "cnt")).over(w)
     first_needed = F.col("start") - (look_back - 1)  # 1-based position of the oldest row needed
     return (
-        days.select("symbol", F.col("date").alias("tgt_date"), F.col("start").alias("tgt_start"),
-                    F.filter(earlier, lambda d: d["start"] + d["cnt"] >= first_needed)
-                    .alias("src"))
-        .select("symbol", "tgt_date", "tgt_start", F.explode("src").alias("s"))
-        .select("symbol", F.col("s.date").alias("date"), "tgt_date", "tgt_start")
+        slices.select("symbol", F.col("date").alias("tgt_date"), F.col("sub").alias("tgt_sub"),
+                      F.col("start").alias("tgt_start"),
+                      F.filter(earlier, lambda s: s["start"] + s["cnt"] >= first_needed)
+                      .alias("src"))
+        .select("symbol", "tgt_date", "tgt_sub", "tgt_start", F.explode("src").alias("s"))
+        .select("symbol", F.col("s.date").alias("date"), F.col("s.sub").alias("sub"),
+                "tgt_date", "tgt_sub", "tgt_start")
     )
 
 
-def market_trend_sliced(klines: DataFrame) -> DataFrame:
-    """M5 on the day-sliced plan (same rows as the symbol-wide windows)."""
+def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+    """M5 on the sliced plan (same rows as the symbol-wide windows)."""
     look_back = max(SMA_ROWS.values()) - 1
-    base = _base(klines)
-    days = day_table(base)
-    numbered = number_rows(klines, days)
+    numbered, slices = number_rows(klines, max_slice_rows=max_slice_rows)
 
-    keep = ["symbol", "date", "open_time_ts", "close_price", "row_num"]
+    keep = [*SLICE, "close_price", "row_num"]
     own = numbered.select(*keep, F.lit(False).alias("halo"))
     tail = numbered.where(F.col("r") > F.col("cnt") - look_back).select(*keep)
     halo = (
-        tail.join(halo_sources(days, look_back), SLICE)
+        tail.join(halo_sources(slices, look_back), SLICE)
         .where(F.col("row_num") >= F.col("tgt_start") - (look_back - 1))
-        .select("symbol", F.col("tgt_date").alias("date"), "open_time_ts", "close_price",
-                "row_num", F.lit(True).alias("halo"))
+        .select("symbol", F.col("tgt_date").alias("date"), F.col("tgt_sub").alias("sub"),
+                "close_price", "row_num", F.lit(True).alias("halo"))
         .repartition(*SLICE)
     )
     rows = Window.partitionBy(*SLICE).orderBy("row_num")
@@ -143,10 +165,15 @@ def market_trend_sliced(klines: DataFrame) -> DataFrame:
             F.sum(ema_weight(rate)).alias(f"{name}_den"),
         )
     ])
+    parts = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
+    per_day = sums.groupBy("symbol", "date").agg(*[F.sum(c).alias(c) for c in parts])
     upto = Window.partitionBy("symbol").orderBy("date") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ema = sums.select(*SLICE, *[
+    ema_day = per_day.select("symbol", "date", *[
         (F.sum(f"{name}_num").over(upto) / F.sum(f"{name}_den").over(upto)).alias(name)
         for name in EMA_RATES
     ])
+    # Spread the day's EMA over its slices so the final join is slice-keyed
+    # (co-partitioned with the candles); both sides here are slice-table sized.
+    ema = slices.select(*SLICE).join(ema_day, ["symbol", "date"])
     return sma.join(ema, SLICE).select("date", "symbol", *SMA_ROWS, *EMA_RATES)

@@ -109,14 +109,14 @@ def candle_json(unused: str = "0") -> Column:
 def pages_from_candles(candles: DataFrame, limit: int) -> DataFrame:
     """Test-data adapter: cut each symbol's candles, in time order, into pages of
     ``limit`` rows (the last one usually short) as the exchange would serve
-    them. Row numbers come from the day-sliced numbering, so no symbol's
-    history lands in one task; each page group holds at most ``limit`` rows."""
+    them. Row numbers come from the sliced numbering, so no symbol's history
+    lands in one task; each page group holds at most ``limit`` rows."""
     from candlewick.functions.time import fill_timestamps
     from candlewick.operators.sliced import number_rows
 
     cols = [f.name for f in LANDED_SCHEMA]
     timed = fill_timestamps(candles)
-    numbered = number_rows(timed, carry=tuple(cols))
+    numbered, _ = number_rows(timed, carry=tuple(cols))
     items = numbered.select(
         "symbol",
         F.floor((F.col("row_num") - 1) / limit).cast("int").alias("page"),

@@ -56,6 +56,21 @@ def test_random_histories(spark, seed):
     _same(series.market_returns(k, "sliced"), series.market_returns(k, "window"))
 
 
+@pytest.mark.parametrize("max_slice_rows", [1, 3, 7])
+def test_hot_days_are_cut_into_sub_slices(spark, max_slice_rows):
+    """Days above ``max_slice_rows`` candles are split in time; same rows as windows."""
+    from candlewick.operators import sliced
+
+    k = klines_df(spark, _random_history(11, ["AAA", "BBB"], 15, 40))
+    keyed = sliced.slice_keys(k, max_slice_rows=max_slice_rows)
+    assert keyed.where("sub > 0").count() > 0
+    biggest = keyed.groupBy(*sliced.SLICE).count().agg({"count": "max"}).first()[0]
+    plain = keyed.groupBy("symbol", "date").count().agg({"count": "max"}).first()[0]
+    assert biggest < plain
+    _same(sliced.market_trend_sliced(k, max_slice_rows), series.market_trend(k, "window"))
+    _same(sliced.market_returns_sliced(k, max_slice_rows), series.market_returns(k, "window"))
+
+
 def test_test_data(spark):
     k = klines(spark, "/root/testdata/sf0.001")
     _same(series.market_trend(k, "sliced"), series.market_trend(k, "window"))
