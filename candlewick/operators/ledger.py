@@ -16,9 +16,23 @@ from candlewick.schema import LEDGER_SCHEMA, LOADED, REMOVED
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a file or folder exists: one FileSystem call where the session has a
+    JVM handle; otherwise (Spark Connect) a data-source probe, which lists files."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 - no JVM handle
+        pass
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

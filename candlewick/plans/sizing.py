@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame
 SINGLE_TASK_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
+def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a DataFrame's optimized plan (file sizes for
-    scans, propagated through operators). An estimate, not a measurement."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    scans, propagated through operators). An estimate, not a measurement;
+    None where the session does not expose it (e.g. Spark Connect)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle: unknown size
+        return None
 
 
-def fits_one_task(df: DataFrame, limit: int = SINGLE_TASK_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
+def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
+    """True only when the estimate is known and under the limit; an unknown size
+    is treated as large (the plan that works at any size is chosen)."""
+    size = estimated_bytes(df)
+    return size is not None and size <= (SINGLE_TASK_BYTES if limit is None else limit)

@@ -49,17 +49,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temp directory; a cluster session without the setting is an error, since a
     machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext handle
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if configured:
-        if not sc.getCheckpointDir():
+        if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the object store)")
     path = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
