@@ -2,10 +2,9 @@
 
 The reference's windows are partitioned by ``symbol`` only, so one symbol's
 entire history would be one Spark task. Here the candles are shuffled once by
-slice -- (symbol, day), or (symbol, day, sub-interval) for a day holding more
-than ``max_slice_rows`` candles -- and everything that crosses a slice
-boundary is carried by a per-slice table that is tiny next to the candles
-(one row per symbol-day, i.e. 1/1440 of 1-minute candles):
+slice -- (symbol, day), finer on hot days (below) -- and everything that
+crosses a slice boundary is carried by a per-slice table that is tiny next to
+the candles (one row per symbol-day, i.e. 1/1440 of 1-minute candles):
 
 * global row number = rows before the slice (running sum of slice counts) +
   row number inside the slice;
@@ -17,19 +16,33 @@ boundary is carried by a per-slice table that is tiny next to the candles
   the source slices are found on the slice table, and only each slice's last
   29 rows are ever candidates, so the halo is bounded by 29 rows per slice;
 * EMA (RANGE frame by date): per-slice weighted sums, summed per day, a
-  running sum over days, joined back per slice.
+  running sum over days, spread back over the day's slices.
 
-Only the candles cross the network once; the halo rows and the slice table
-are small and are joined co-partitioned on the slice key. Nothing is broadcast
-by hint except the list of hot days, whose size is bounded by construction
-(at most rows / ``max_slice_rows`` entries); the planner and AQE broadcast the
-slice table only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise.
+Only the candles cross the network once (checked by ``tools/plan_summary.py``
+from the exchanges' row counts); the halo rows and the slice table are small
+and are joined co-partitioned on the slice key. Three things keep it that way:
+
+* the key is non-null by construction (``sym_key``/``day_key`` below), so
+  joins on it stay plain equi-joins, no ``IS NOT NULL`` filter is inferred
+  into one consumer and not another, and no candle with a null symbol or time
+  is dropped (the reference's windows keep them);
+* the slice shuffle is an explicit ``repartition(n, key)``, so the candles and
+  the halo rows arrive identically partitioned and their union feeds the
+  windows without another shuffle;
+* the key is fixed before planning (hot lists are collected, not joined at
+  runtime), so every consumer's plan is identical and the exchange is reused.
 
 Hot days: a day with more than ``max_slice_rows`` candles (sub-minute candles,
 or a very dense day) is cut into ``ceil(count / max_slice_rows)`` equal time
-intervals, so no slice grows with the data. Candles sharing one timestamp
-stay in one slice (their order is undefined in the reference too).
+intervals; a single timestamp holding more than ``max_slice_rows`` candles is
+further spread over tie buckets by a hash of the row's values. So no slice
+grows with the data, except a pile of exact copies (equal symbol, time and
+close), which one bucket keeps together; the ledgered load and the
+page-replacing landing keep copies out of the raw table. Nothing is broadcast
+by hint except these hot lists, which hold at most rows / ``max_slice_rows``
+entries and are counted before they are collected; the planner and AQE
+broadcast the slice table only when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise.
 """
 
 from __future__ import annotations
@@ -40,44 +53,143 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import trade_date
 from candlewick.operators.series import EMA_RATES, SMA_ROWS, ema_weight, returns_columns
 
-SLICE = ["symbol", "date", "sub"]
-ORDER = ["date", "sub"]  # slice order within a symbol
 MAX_SLICE_ROWS = 2_000_000
+MAX_HOT = 1_000_000
 MICROS_PER_DAY = 86_400_000_000
+NULL_DAY = -(2 ** 31)  # day_key of a null date: sorts first, as NULLS FIRST does
+DAY_KEY = ["sym_key", "day_key"]
+
+
+def _sym_key(symbol) -> F.Column:
+    # Non-null and one-to-one: null -> "\0", "X" -> "\1X".
+    return F.coalesce(F.concat(F.lit("\u0001"), symbol), F.lit("\u0000"))
+
+
+def _day_key(date) -> F.Column:
+    return F.coalesce(F.unix_date(date), F.lit(NULL_DAY))
+
+
+def _symbol_of(sym_key) -> F.Column:
+    return F.when(sym_key != F.lit("\u0000"), F.substring(sym_key, 2, 1 << 30))
+
+
+def _date_of(day_key) -> F.Column:
+    return F.when(day_key != F.lit(NULL_DAY), F.date_from_unix_date(day_key))
 
 
 def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
-    return klines.select(trade_date("open_time_ts").alias("date"), "symbol", "open_time_ts",
-                         "close_price", *[c for c in carry if c not in ("symbol", "open_time_ts",
-                                                                       "close_price")])
+    extra = [c for c in carry if c not in ("symbol", "open_time_ts", "close_price")]
+    return klines.select(_sym_key(F.col("symbol")).alias("sym_key"),
+                         _day_key(trade_date("open_time_ts")).alias("day_key"),
+                         "open_time_ts", "close_price", *extra)
+
 
+def _collect_bounded(df: DataFrame, bound: int, what: str) -> list:
+    """Collect a list proven small: at most ``bound`` rows, checked before collecting."""
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise RuntimeError(f"{what}: more than {bound} entries, raise max_slice_rows")
+    return rows
 
-def slice_keys(klines: DataFrame, carry: tuple = (),
-               max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
-    """Candles with their slice key (symbol, date, sub); ``sub`` is 0 except on hot days."""
+
+def slice_keys(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS,
+               max_hot: int = MAX_HOT) -> tuple[DataFrame, list[str]]:
+    """(candles with their slice key columns, the key). The key is
+    (sym_key, day_key), plus ``sub`` when some day is hot, plus ``part``,
+    ``tie`` when some timestamp is hot; every key column is non-null.
+
+    ``sub``: a hot day is cut into equal time intervals. ``part``/``tie``:
+    inside such an interval, a timestamp that alone holds more than
+    ``max_slice_rows`` candles gets slices of its own -- ``part`` numbers the
+    segments before, at and after each such timestamp, and its rows are spread
+    over ``tie`` buckets by a hash of their values. Any order among equal
+    timestamps is a valid order, so the slices stay contiguous in it.
+
+    The hot days (and, only if there are any, the hot timestamps) are found by
+    a counting job before the plan is built; both lists are checked against
+    ``max_hot``, collected and broadcast. Without a hot day the plan has no
+    join here at all.
+    """
+    spark = klines.sparkSession
     base = _base(klines, carry)
-    hot = (base.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("cnt"))
-           .where(F.col("cnt") > max_slice_rows)
-           .select("symbol", "date", F.ceil(F.col("cnt") / max_slice_rows).alias("nsub")))
-    into_day = F.unix_micros("open_time_ts") - F.unix_micros(F.col("date").cast("timestamp"))
+    hot_days = _collect_bounded(
+        base.groupBy(*DAY_KEY).agg(F.count(F.lit(1)).alias("cnt"))
+        .where(F.col("cnt") > max_slice_rows)
+        .select(*DAY_KEY, F.ceil(F.col("cnt") / max_slice_rows).cast("int").alias("nsub")),
+        max_hot, "hot days")
+    if not hot_days:
+        return base, list(DAY_KEY)
+
+    days = spark.createDataFrame(hot_days, "sym_key string, day_key int, nsub int")
+    into_day = F.unix_micros("open_time_ts") - F.col("day_key").cast("long") * MICROS_PER_DAY
     sub = F.floor(into_day * F.col("nsub") / MICROS_PER_DAY).cast("int")
-    return (base.join(F.broadcast(hot), ["symbol", "date"], "left")
-            .withColumn("sub", F.coalesce(sub, F.lit(0))).drop("nsub"))
+    dated = (base.join(F.broadcast(days), DAY_KEY, "left")
+             .withColumn("sub", F.coalesce(sub, F.lit(0))))
+    # Hot timestamps can only lie in hot days: count only those days' rows.
+    hot_ts = _collect_bounded(
+        dated.where(F.col("nsub").isNotNull())
+        .groupBy(*DAY_KEY, "sub", "open_time_ts").agg(F.count(F.lit(1)).alias("cnt"))
+        .where(F.col("cnt") > max_slice_rows)
+        .select(*DAY_KEY, "sub", "open_time_ts",
+                F.ceil(F.col("cnt") / max_slice_rows).cast("int").alias("ntie")),
+        max_hot, "hot timestamps")
+    dated = dated.drop("nsub")
+    if not hot_ts:
+        return dated, [*DAY_KEY, "sub"]
 
+    stamps = spark.createDataFrame(
+        hot_ts, "sym_key string, day_key int, sub int, open_time_ts timestamp, ntie int")
+    lists = stamps.groupBy(*DAY_KEY, "sub").agg(F.collect_list("open_time_ts").alias("hot"))
+    before = F.size(F.filter(F.col("hot"), lambda h: h < F.col("open_time_ts")))
+    part = F.when(F.col("hot").isNull(), F.lit(0)) \
+        .otherwise(2 * before + F.when(F.col("ntie").isNotNull(), 1).otherwise(0))
+    # Deterministic salt (a task retry or a second read must give the same key):
+    # a hash of the columns carried. Rows equal in all of them are interchangeable
+    # here and may share a bucket; exact copies therefore stay together.
+    salt = F.xxhash64(*[F.col(c) for c in base.columns])
+    tie = F.when(F.col("ntie").isNotNull(), F.pmod(salt, F.col("ntie"))).otherwise(F.lit(0))
+    keyed = (dated
+             .join(F.broadcast(lists), [*DAY_KEY, "sub"], "left")
+             .join(F.broadcast(stamps), [*DAY_KEY, "sub", "open_time_ts"], "left")
+             .withColumn("part", F.coalesce(part.cast("int"), F.lit(0)))
+             .withColumn("tie", F.coalesce(tie.cast("int"), F.lit(0)))
+             .drop("hot", "ntie"))
+    return keyed, [*DAY_KEY, "sub", "part", "tie"]
 
-def slice_table(keyed: DataFrame) -> DataFrame:
-    """Per slice: count, first/last close, rows before the slice, previous
-    slice's last close and the symbol's first close."""
-    slices = keyed.groupBy(*SLICE).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min_by("close_price", "open_time_ts").alias("slice_first_close"),
-        F.max_by("close_price", "open_time_ts").alias("slice_last_close"),
-    )
-    w = Window.partitionBy("symbol").orderBy(*ORDER)
-    return slices.select(
-        *SLICE, "cnt",
+
+def slice_partitions(df: DataFrame) -> int:
+    """Partition count of the slice shuffle: the session's shuffle partitions.
+
+    Fixed on purpose (an explicit ``repartition(n, key)``, which AQE does not
+    coalesce): the ranked candles and the halo rows must arrive with the same
+    partitioning so their union feeds the windows without another shuffle.
+    Size it for the data on a cluster (e.g. 20000 at 100 TB)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slice_offsets(keyed: DataFrame, key: list[str]) -> DataFrame:
+    """Per slice: ``cnt`` and ``start`` (rows of the symbol before the slice).
+    Counted before the slice shuffle (map-side combined), so only slice-table
+    rows move for it."""
+    counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("sym_key").orderBy(*key[1:])
+    return counts.select(
+        *key, "cnt",
         F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("start"),
+                   F.lit(0)).alias("start"))
+
+
+def slice_closes(ranked: DataFrame, key: list[str]) -> DataFrame:
+    """Per slice: previous slice's last close and the symbol's first close, taken
+    by rank ``r`` from the ranked rows, so ties in time resolve exactly as the
+    ranking did (the aggregate reuses the ranked rows' partitioning)."""
+    closes = ranked.groupBy(*key).agg(
+        F.min_by("close_price", "r").alias("slice_first_close"),
+        F.max_by("close_price", "r").alias("slice_last_close"),
+    )
+    w = Window.partitionBy("sym_key").orderBy(*key[1:])
+    return closes.select(
+        *key,
         F.lag("slice_last_close").over(w).alias("prev_last_close"),
         F.first("slice_first_close").over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -85,95 +197,118 @@ def slice_table(keyed: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(klines: DataFrame, carry: tuple = (),
-                max_slice_rows: int = MAX_SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(candles with ``row_num``, slice table). ``row_num`` = ROW_NUMBER() OVER
-    (PARTITION BY symbol ORDER BY open_time_ts), computed per slice; the frame
-    also keeps ``r`` (row in the slice), ``cnt``, the slice-table columns and
-    the ``carry`` columns."""
-    keyed = slice_keys(klines, carry, max_slice_rows)
-    slices = slice_table(keyed)
-    in_slice = Window.partitionBy(*SLICE).orderBy("open_time_ts")
-    # Rank first, join the slice table after: every consumer of this frame then
-    # shares one identical slice-keyed exchange of the candle columns, which
-    # Spark reuses instead of shuffling the candles once per consumer. The join
-    # keeps that partitioning (the slice table is broadcast when small or
-    # shuffled to match when not).
-    numbered = (
-        keyed.withColumn("r", F.row_number().over(in_slice))
-        .join(slices, SLICE)
+def rank_in_slices(klines: DataFrame, carry: tuple = (),
+                   max_slice_rows: int = MAX_SLICE_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(candles with ``r`` = row in the slice, keyed input, slice key). The one
+    shuffle of the candles happens here, as an explicit ``repartition(n, key)``."""
+    keyed, key = slice_keys(klines, carry, max_slice_rows)
+    ranked = keyed.repartition(slice_partitions(klines), *key) \
+        .withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("open_time_ts")))
+    return ranked, keyed, key
+
+
+def keep_partitioning(ranked: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
+    """Join a slice-table-sized frame onto the ranked candles, keeping the
+    candles' slice partitioning: a sort-merge join whose candle side is already
+    partitioned and sorted on the key, so only ``table`` moves. (Left to
+    itself, AQE may broadcast whichever side finishes first under the
+    threshold -- the candles, on small inputs -- and the result would lose the
+    partitioning that the later windows and the halo union rely on.)"""
+    return ranked.hint("shuffle_merge").join(table, key)
+
+
+def _restore(df: DataFrame) -> DataFrame:
+    return df.withColumns({"symbol": _symbol_of(F.col("sym_key")),
+                           "date": _date_of(F.col("day_key"))})
+
+
+def number_rows(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS
+                ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(candles with ``row_num``, slice offsets, slice key). ``row_num`` =
+    ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY open_time_ts), computed per
+    slice; the frame also keeps ``symbol``, ``date``, ``r`` (row in the slice),
+    ``cnt``, ``start`` and the ``carry`` columns. Later windows order by
+    ``r``/``row_num``, never by time again, so rows tied in time keep one order."""
+    ranked, keyed, key = rank_in_slices(klines, carry, max_slice_rows)
+    offsets = slice_offsets(keyed, key)
+    numbered = keep_partitioning(ranked, offsets, key) \
         .withColumn("row_num", F.col("start") + F.col("r"))
-    )
-    return numbered, slices
+    return _restore(numbered), offsets, key
 
 
 def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
     """M4: LAG inside the slice, previous slice's last close for a slice's first
-    candle; no halo needed."""
-    numbered, _ = number_rows(klines, max_slice_rows=max_slice_rows)
-    in_slice = Window.partitionBy(*SLICE).orderBy("open_time_ts")
+    candle; no halo and no row offsets needed."""
+    ranked, _, key = rank_in_slices(klines, max_slice_rows=max_slice_rows)
+    by_rank = Window.partitionBy(*key).orderBy("r")
     prev = F.when(F.col("r") == 1, F.col("prev_last_close")) \
-        .otherwise(F.lag("close_price").over(in_slice))
-    return numbered.select("date", "symbol", "close_price", "first_close_price",
-                           prev.alias("previous_close_price")) \
+        .otherwise(F.lag("close_price").over(by_rank))
+    rows = _restore(keep_partitioning(ranked, slice_closes(ranked, key), key))
+    return rows.select("date", "symbol", "close_price", "first_close_price",
+                       prev.alias("previous_close_price")) \
         .select("date", "symbol",
                 *returns_columns("close_price", "previous_close_price", "first_close_price"))
 
 
-def halo_sources(slices: DataFrame, look_back: int) -> DataFrame:
-    """(symbol, source slice) -> (target slice, tgt_start): earlier slices whose rows
-    fall in the ``look_back`` rows before the target slice's first row."""
-    w = Window.partitionBy("symbol").orderBy(*ORDER).rowsBetween(-look_back, -1)
-    earlier = F.collect_list(F.struct("date", "sub", "start", "cnt")).over(w)
+def halo_sources(slices: DataFrame, key: list[str], look_back: int) -> DataFrame:
+    """(source slice key) -> (``tgt_*`` target slice key, tgt_start): earlier slices
+    whose rows fall in the ``look_back`` rows before the target slice's first row."""
+    order = key[1:]
+    w = Window.partitionBy("sym_key").orderBy(*order).rowsBetween(-look_back, -1)
+    earlier = F.collect_list(F.struct(*order, "start", "cnt")).over(w)
     first_needed = F.col("start") - (look_back - 1)  # 1-based position of the oldest row needed
     return (
-        slices.select("symbol", F.col("date").alias("tgt_date"), F.col("sub").alias("tgt_sub"),
+        slices.select("sym_key", *[F.col(c).alias(f"tgt_{c}") for c in order],
                       F.col("start").alias("tgt_start"),
                       F.filter(earlier, lambda s: s["start"] + s["cnt"] >= first_needed)
                       .alias("src"))
-        .select("symbol", "tgt_date", "tgt_sub", "tgt_start", F.explode("src").alias("s"))
-        .select("symbol", F.col("s.date").alias("date"), F.col("s.sub").alias("sub"),
-                "tgt_date", "tgt_sub", "tgt_start")
+        .select("sym_key", *[f"tgt_{c}" for c in order], "tgt_start",
+                F.explode("src").alias("s"))
+        .select("sym_key", *[F.col(f"s.{c}").alias(c) for c in order],
+                *[f"tgt_{c}" for c in order], "tgt_start")
     )
 
 
 def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
     """M5 on the sliced plan (same rows as the symbol-wide windows)."""
     look_back = max(SMA_ROWS.values()) - 1
-    numbered, slices = number_rows(klines, max_slice_rows=max_slice_rows)
+    numbered, slices, key = number_rows(klines, max_slice_rows=max_slice_rows)
+    order = key[1:]
 
-    keep = [*SLICE, "close_price", "row_num"]
+    keep = [*key, "close_price", "row_num"]
     own = numbered.select(*keep, F.lit(False).alias("halo"))
     tail = numbered.where(F.col("r") > F.col("cnt") - look_back).select(*keep)
     halo = (
-        tail.join(halo_sources(slices, look_back), SLICE)
+        tail.join(halo_sources(slices, key, look_back), key)
         .where(F.col("row_num") >= F.col("tgt_start") - (look_back - 1))
-        .select("symbol", F.col("tgt_date").alias("date"), F.col("tgt_sub").alias("sub"),
+        .select("sym_key", *[F.col(f"tgt_{c}").alias(c) for c in order],
                 "close_price", "row_num", F.lit(True).alias("halo"))
-        .repartition(*SLICE)
+        .repartition(slice_partitions(klines), *key)
     )
-    rows = Window.partitionBy(*SLICE).orderBy("row_num")
+    rows = Window.partitionBy(*key).orderBy("row_num")
     sma = own.unionByName(halo).select(
-        *SLICE, "row_num", "halo",
+        *key, "row_num", "halo",
         *[F.avg("close_price").over(rows.rowsBetween(-(n - 1), 0)).alias(name)
           for name, n in SMA_ROWS.items()],
     ).where(~F.col("halo"))
 
-    sums = numbered.groupBy(*SLICE).agg(*[
+    sums = numbered.groupBy(*key).agg(*[
         agg for name, rate in EMA_RATES.items() for agg in (
             F.sum(F.col("close_price") * ema_weight(rate)).alias(f"{name}_num"),
             F.sum(ema_weight(rate)).alias(f"{name}_den"),
         )
     ])
     parts = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
-    per_day = sums.groupBy("symbol", "date").agg(*[F.sum(c).alias(c) for c in parts])
-    upto = Window.partitionBy("symbol").orderBy("date") \
+    per_day = sums.groupBy(*DAY_KEY).agg(*[F.sum(c).alias(c) for c in parts])
+    upto = Window.partitionBy("sym_key").orderBy("day_key") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ema_day = per_day.select("symbol", "date", *[
+    ema_day = per_day.select(*DAY_KEY, *[
         (F.sum(f"{name}_num").over(upto) / F.sum(f"{name}_den").over(upto)).alias(name)
         for name in EMA_RATES
     ])
     # Spread the day's EMA over its slices so the final join is slice-keyed
     # (co-partitioned with the candles); both sides here are slice-table sized.
-    ema = slices.select(*SLICE).join(ema_day, ["symbol", "date"])
-    return sma.join(ema, SLICE).select("date", "symbol", *SMA_ROWS, *EMA_RATES)
+    ema = slices.select(*key).join(ema_day, DAY_KEY)
+    return sma.join(ema, key).select(_date_of(F.col("day_key")).alias("date"),
+                                     _symbol_of(F.col("sym_key")).alias("symbol"),
+                                     *SMA_ROWS, *EMA_RATES)

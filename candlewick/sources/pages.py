@@ -116,7 +116,7 @@ def pages_from_candles(candles: DataFrame, limit: int) -> DataFrame:
 
     cols = [f.name for f in LANDED_SCHEMA]
     timed = fill_timestamps(candles)
-    numbered, _ = number_rows(timed, carry=tuple(cols))
+    numbered, _, _ = number_rows(timed, carry=tuple(cols))
     items = numbered.select(
         "symbol",
         F.floor((F.col("row_num") - 1) / limit).cast("int").alias("page"),

@@ -62,15 +62,51 @@ def test_hot_days_are_cut_into_sub_slices(spark, max_slice_rows):
     from candlewick.operators import sliced
 
     k = klines_df(spark, _random_history(11, ["AAA", "BBB"], 15, 40))
-    keyed = sliced.slice_keys(k, max_slice_rows=max_slice_rows)
-    assert keyed.where("sub > 0").count() > 0
-    biggest = keyed.groupBy(*sliced.SLICE).count().agg({"count": "max"}).first()[0]
-    plain = keyed.groupBy("symbol", "date").count().agg({"count": "max"}).first()[0]
+    keyed, key = sliced.slice_keys(k, max_slice_rows=max_slice_rows)
+    assert "sub" in key and keyed.where("sub > 0").count() > 0
+    biggest = keyed.groupBy(*key).count().agg({"count": "max"}).first()[0]
+    plain = keyed.groupBy(*sliced.DAY_KEY).count().agg({"count": "max"}).first()[0]
     assert biggest < plain
     _same(sliced.market_trend_sliced(k, max_slice_rows), series.market_trend(k, "window"))
     _same(sliced.market_returns_sliced(k, max_slice_rows), series.market_returns(k, "window"))
 
 
+def test_hot_timestamp_is_spread_over_tie_buckets(spark):
+    """50 candles share one timestamp (equal close, so their order cannot change
+    any output); with max_slice_rows=7 they are split, and results equal windows."""
+    from candlewick.operators import sliced
+
+    rng = random.Random(5)
+    rows = [("AAA", f"2024-01-01 00:{m:02d}", 1.0, 2.0, 0.5, round(rng.uniform(1, 9), 2),
+             1.0, 1.0, 1) for m in range(0, 40, 2)]
+    rows += [("AAA", "2024-01-01 00:17", 1.0, 2.0, 0.5, 5.0, float(i), 1.0, 1)
+             for i in range(50)]
+    rows += [("AAA", f"2024-01-02 00:{m:02d}", 1.0, 2.0, 0.5, round(rng.uniform(1, 9), 2),
+              1.0, 1.0, 1) for m in range(12)]
+    k = klines_df(spark, rows)
+    keyed, key = sliced.slice_keys(k, carry=("volume",), max_slice_rows=7)
+    assert key == ["sym_key", "day_key", "sub", "part", "tie"]
+    sizes = [r["count"] for r in keyed.groupBy(*key).count().collect()]
+    assert max(sizes) < 50 and len(sizes) > 3
+    _same(sliced.market_trend_sliced(k, 7), series.market_trend(k, "window"))
+    _same(sliced.market_returns_sliced(k, 7), series.market_returns(k, "window"))
+
+
+def test_null_time_and_symbol_rows_are_kept(spark):
+    """Candles with a null time or symbol keep their output rows in both plans."""
+    from pyspark.sql import functions as F
+
+    k = klines_df(spark, _random_history(4, ["AAA", "BBB"], 10, 20))
+    extra = k.limit(3).withColumn("open_time_ts", F.lit(None).cast("timestamp")) \
+        .unionByName(k.limit(2).withColumn("symbol", F.lit(None).cast("string")))
+    k = k.unionByName(extra)
+    total = k.count()
+    for fn in (series.market_trend, series.market_returns):
+        sliced_rows = fn(k, "sliced")
+        assert sliced_rows.count() == total
+        _same(sliced_rows, fn(k, "window"))
+
+
 def test_test_data(spark):
     k = klines(spark, "/root/testdata/sf0.001")
     _same(series.market_trend(k, "sliced"), series.market_trend(k, "window"))
