@@ -13,7 +13,7 @@ under a new id. One writer at a time is assumed.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 from candlewick.functions.paths import symbol_from_path
@@ -24,32 +24,45 @@ from candlewick.sources.raw import append_raw, ensure_raw_table, to_raw
 
 @dataclass
 class LoadResult:
-    load_id: str | None
+    load_id: str | None  # the last commit's id (None when nothing was new)
     files: int
+    load_ids: list[str] = field(default_factory=list)
 
 
 class CrashForTest(RuntimeError):
     """Raised by ``load_incremental(..., fail_before_commit=True)``."""
 
 
+MAX_FILES_PER_LOAD = 200_000
+
+
 def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str,
-                     fail_before_commit: bool = False) -> LoadResult:
+                     fail_before_commit: bool = False,
+                     max_files_per_load: int = MAX_FILES_PER_LOAD) -> LoadResult:
+    """Load every landed page not yet in the ledger. The new pages are committed
+    in batches of at most ``max_files_per_load`` files, each its own load id and
+    ledger append, so a backfill is a series of bounded jobs: a failure redoes
+    one batch, and the batches already committed stay."""
     ensure_raw_table(spark, raw_path)
     ensure_ledger(spark, ledger_path)
     new = new_files_only(scan_landing(spark, landing_root), read_ledger(spark, ledger_path))
     # Only file names come to the driver (as Spark's own file index does), never rows;
     # the ledger rows are built from exactly this list, so a page landed while the
     # load runs is neither read nor marked.
-    listed = new.select("path", "source_file").collect()
-    if not listed:
-        return LoadResult(None, 0)
-    load_id = uuid.uuid4().hex
-    landed = read_landed(spark, [r["path"] for r in listed], landing_root)
-    landed = landed.withColumn("symbol", symbol_from_path("source_file"))
-    append_raw(to_raw(landed, load_id), raw_path)
-    if fail_before_commit:
-        raise CrashForTest("stopped between the raw append and the ledger commit")
-    sources = sorted({r["source_file"] for r in listed})
-    mark_loaded(spark.createDataFrame([(s,) for s in sources], "source_file string"),
-                ledger_path, load_id)
-    return LoadResult(load_id, len(sources))
+    listed = sorted((r["source_file"], r["path"]) for r in
+                    new.select("path", "source_file").collect())
+    pages = sorted({source for source, _ in listed})
+    ids = []
+    for first in range(0, len(pages), max_files_per_load):
+        batch = set(pages[first:first + max_files_per_load])
+        paths = [path for source, path in listed if source in batch]
+        load_id = uuid.uuid4().hex
+        landed = read_landed(spark, paths, landing_root)
+        landed = landed.withColumn("symbol", symbol_from_path("source_file"))
+        append_raw(to_raw(landed, load_id), raw_path)
+        if fail_before_commit:
+            raise CrashForTest("stopped between the raw append and the ledger commit")
+        mark_loaded(spark.createDataFrame([(x,) for x in sorted(batch)], "source_file string"),
+                    ledger_path, load_id)
+        ids.append(load_id)
+    return LoadResult(ids[-1] if ids else None, len(pages), ids)

@@ -47,6 +47,16 @@ def test_reload_loads_nothing_then_only_the_new_file(spark, pages, tmp):
     assert not is_loaded(read_ledger(spark, ledger), "binance_klines/NOPE/x.parquet")
 
 
+def test_backfill_commits_in_bounded_batches(spark, pages, tmp):
+    landing, raw, ledger = _paths(tmp)
+    _land(pages, landing)
+    total = pages.count()
+    result = load_incremental(spark, landing, raw, ledger, max_files_per_load=3)
+    assert result.files == total and len(result.load_ids) == -(-total // 3)
+    assert read_raw(spark, raw, ledger).count() == total * R.PAGE_LIMIT
+    assert load_incremental(spark, landing, raw, ledger, max_files_per_load=3).files == 0
+
+
 def test_crash_between_append_and_commit(spark, pages, tmp):
     landing, raw, ledger = _paths(tmp)
     early = pages.orderBy("symbol", "page").limit(2)

@@ -1,4 +1,4 @@
-"""The day-sliced plan equals the reference's symbol-wide windows (M4, M5)."""
+"""The sliced plan equals the reference's symbol-wide windows (M4, M5)."""
 
 import datetime as dt
 import random
