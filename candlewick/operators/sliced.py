@@ -157,14 +157,27 @@ def slice_keys(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_S
     return keyed, [*DAY_KEY, "sub", "part", "tie"]
 
 
+SLICE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SLICE_PARTITIONS = 1_000_000
+
+
 def slice_partitions(df: DataFrame) -> int:
-    """Partition count of the slice shuffle: the session's shuffle partitions.
+    """Partition count of the slice shuffle.
 
     Fixed on purpose (an explicit ``repartition(n, key)``, which AQE does not
     coalesce): the ranked candles and the halo rows must arrive with the same
     partitioning so their union feeds the windows without another shuffle.
-    Size it for the data on a cluster (e.g. 20000 at 100 TB)."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Because AQE cannot resize it, it is sized here: Catalyst's estimate of the
+    input over ``SLICE_PARTITION_BYTES``, never below the session's
+    ``spark.sql.shuffle.partitions`` (which alone decides when no estimate is
+    available)."""
+    from candlewick.plans.sizing import estimated_bytes
+
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return configured
+    return int(max(configured, min(MAX_SLICE_PARTITIONS, -(-size // SLICE_PARTITION_BYTES))))
 
 
 def slice_offsets(keyed: DataFrame, key: list[str]) -> DataFrame:

@@ -15,9 +15,17 @@ def estimated_bytes(df: DataFrame) -> int | None:
     None where the session does not expose it (e.g. Spark Connect)."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
+        size = int(str(stats.sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM handle: unknown size
         return None
+    # Catalyst reports spark.sql.defaultSizeInBytes (Long.MaxValue unless set)
+    # for inputs it cannot size, e.g. local rows: that means "unknown".
+    try:
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", "")
+                      .rstrip("bBlL"))
+    except ValueError:
+        unknown = 2 ** 63 - 1
+    return None if size >= unknown else size
 
 
 def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:

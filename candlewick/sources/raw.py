@@ -50,10 +50,13 @@ def append_raw(rows: DataFrame, path: str) -> None:
 BROADCAST_TOMBSTONES = 1_000_000
 
 
-def committed_loads(ledger: DataFrame) -> list[str]:
-    """Load ids with a ledger commit -- one per load run, so a short list."""
-    return sorted(r[0] for r in ledger.where(F.col("event") == LOADED)
-                  .select("load_id").distinct().collect())
+# Committed load ids become a literal partition filter up to this many.
+MAX_LOAD_IDS = 100_000
+
+
+def committed_loads(ledger: DataFrame) -> DataFrame:
+    """Load ids with a ledger commit (one per load batch)."""
+    return ledger.where(F.col("event") == LOADED).select("load_id").distinct()
 
 
 def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
@@ -64,9 +67,10 @@ def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
 
     A load's ledger rows are appended in one commit, so a row is visible when
     its ``load_id`` is committed and its (load_id, source_file) has no
-    tombstone. Committed ids become a partition filter (crashed loads' folders
-    are never listed, let alone read); tombstones are anti-joined, broadcast
-    only when their counted number is under ``BROADCAST_TOMBSTONES``.
+    tombstone. Committed ids (up to ``MAX_LOAD_IDS``, checked before they are
+    collected) become a partition filter: crashed loads' folders are never
+    listed, let alone read. Tombstones are anti-joined, broadcast only when
+    their counted number is under ``BROADCAST_TOMBSTONES``.
     """
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
     if symbols is not None:
@@ -74,7 +78,12 @@ def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
     if ledger_path is None:
         return raw
     ledger = read_ledger(spark, ledger_path)
-    raw = raw.where(F.col("load_id").isin(committed_loads(ledger)))
+    loads = committed_loads(ledger)
+    ids = [r[0] for r in loads.limit(MAX_LOAD_IDS + 1).collect()]
+    if len(ids) <= MAX_LOAD_IDS:
+        raw = raw.where(F.col("load_id").isin(sorted(ids)))  # partition pruning
+    else:  # a very long ledger: let the planner join (and prune dynamically)
+        raw = raw.join(loads, "load_id", "left_semi")
     removed = ledger.where(F.col("event") == REMOVED).select("load_id", "source_file") \
         .distinct()
     n_removed = removed.count()
