@@ -20,10 +20,10 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
     # Catalyst reports spark.sql.defaultSizeInBytes (Long.MaxValue unless set)
     # for inputs it cannot size, e.g. local rows: that means "unknown".
+    setting = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
     try:
-        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", "")
-                      .rstrip("bBlL"))
-    except ValueError:
+        unknown = int(str(setting).rstrip("bBlL"))
+    except ValueError:  # unset, or written with a unit
         unknown = 2 ** 63 - 1
     return None if size >= unknown else size
 
