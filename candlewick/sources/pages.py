@@ -31,7 +31,8 @@ def page_rows(body: Column | str) -> Column:
 
 
 def page_size(body: Column | str = "body") -> Column:
-    return F.size(page_rows(body))
+    """Candles in the page, as a bigint count (like ``count(*)``)."""
+    return F.size(page_rows(body)).cast("bigint")
 
 
 def keep_full_pages(pages: DataFrame, limit: int, body: str = "body") -> DataFrame:
