@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                                 "tools"))
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import TABLES, rows_of  # noqa: E402
+from oracle_check import TABLES, rows_of, type_problems  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(entry.queries())
@@ -39,6 +39,7 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got, cols = [tuple(r) for r in df.collect()], df.columns
     res = con.execute(entry.oracle_sql()[name])
+    assert not type_problems(df, res)
     ocols = [d[0] for d in res.description]
     exp = res.fetchall()
     assert sorted(cols) == sorted(ocols)
