@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from candlewick.functions.paths import symbol_from_path
 from candlewick.operators.ledger import ensure_ledger, mark_loaded, new_files_only, read_ledger
 from candlewick.sources.landing import read_landed, scan_landing
+from candlewick.session import scratch_dir
 from candlewick.sources.raw import append_raw, ensure_raw_table, to_raw
 
 
@@ -40,29 +41,46 @@ def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledg
                      fail_before_commit: bool = False,
                      max_files_per_load: int = MAX_FILES_PER_LOAD) -> LoadResult:
     """Load every landed page not yet in the ledger. The new pages are committed
-    in batches of at most ``max_files_per_load`` files, each its own load id and
+    in batches of at most ``max_files_per_load`` pages, each its own load id and
     ledger append, so a backfill is a series of bounded jobs: a failure redoes
-    one batch, and the batches already committed stay."""
+    one batch, and the batches already committed stay.
+
+    The listing of new files is written once to a scratch table (a stable
+    snapshot that survives lost executors) and streamed back to the driver in
+    page order, one batch at a time: the driver never holds more than one
+    batch of file names, and never any rows."""
     ensure_raw_table(spark, raw_path)
     ensure_ledger(spark, ledger_path)
     new = new_files_only(scan_landing(spark, landing_root), read_ledger(spark, ledger_path))
-    # Only file names come to the driver (as Spark's own file index does), never rows;
-    # the ledger rows are built from exactly this list, so a page landed while the
-    # load runs is neither read nor marked.
-    listed = sorted((r["source_file"], r["path"]) for r in
-                    new.select("path", "source_file").collect())
-    pages = sorted({source for source, _ in listed})
-    ids = []
-    for first in range(0, len(pages), max_files_per_load):
-        batch = set(pages[first:first + max_files_per_load])
-        paths = [path for source, path in listed if source in batch]
+    listing = f"{scratch_dir(spark, 'load-listing')}/files"
+    new.select("source_file", "path").write.parquet(listing)
+    snapshot = spark.read.parquet(listing).orderBy("source_file", "path")
+
+    ids, pages = [], 0
+
+    def commit(sources: list[str], paths: list[str]) -> None:
         load_id = uuid.uuid4().hex
         landed = read_landed(spark, paths, landing_root)
         landed = landed.withColumn("symbol", symbol_from_path("source_file"))
         append_raw(to_raw(landed, load_id), raw_path)
         if fail_before_commit:
             raise CrashForTest("stopped between the raw append and the ledger commit")
-        mark_loaded(spark.createDataFrame([(x,) for x in sorted(batch)], "source_file string"),
+        # The ledger rows name exactly the pages read: a page landed while the
+        # load runs is neither read nor marked.
+        mark_loaded(spark.createDataFrame([(x,) for x in sources], "source_file string"),
                     ledger_path, load_id)
         ids.append(load_id)
-    return LoadResult(ids[-1] if ids else None, len(pages), ids)
+
+    sources, paths = [], []
+    for row in snapshot.toLocalIterator():
+        if row["source_file"] != (sources[-1] if sources else None):
+            if len(sources) == max_files_per_load:
+                commit(sources, paths)
+                pages += len(sources)
+                sources, paths = [], []
+            sources.append(row["source_file"])
+        paths.append(row["path"])
+    if sources:
+        commit(sources, paths)
+        pages += len(sources)
+    return LoadResult(ids[-1] if ids else None, pages, ids)

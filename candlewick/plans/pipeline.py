@@ -35,7 +35,7 @@ MODELS = ["market_summary", "market_volatility", "market_liquidity", "market_ret
 class PipelineResult:
     load: LoadResult
     tables: dict = field(default_factory=dict)
-    checks: list = field(default_factory=list)
+    checks: int = 0
 
 
 def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
