@@ -13,7 +13,8 @@ def _col(c: Column | str) -> Column:
 
 
 def landing_path(symbol: Column | str, start_ms: Column | str) -> Column:
-    """``binance_klines/{sym}/{yyyy}/M{mm}/{sym}_binance_klines_{yyyy-MM-dd-HHmm}.parquet``.
+    """``{root}/{sym}/{yyyy}/M{mm}/{sym}_{root}_{yyyy-MM-dd-HHmm}.parquet`` with
+    ``root`` = :data:`candlewick.schema.LANDING_ROOT`.
 
     The page start is read as UTC and truncated to the minute.
     """
@@ -21,7 +22,7 @@ def landing_path(symbol: Column | str, start_ms: Column | str) -> Column:
     return F.concat(
         F.lit(LANDING_ROOT + "/"), sym, F.lit("/"),
         F.date_format(ts, "yyyy/'M'MM"), F.lit("/"),
-        sym, F.lit("_binance_klines_"), F.date_format(ts, "yyyy-MM-dd-HHmm"),
+        sym, F.lit(f"_{LANDING_ROOT}_"), F.date_format(ts, "yyyy-MM-dd-HHmm"),
         F.lit(".parquet"),
     )
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.operators import daily, series
+from candlewick.schema import LANDING_ROOT
 from candlewick.sources.events import CANDLES_SQL, RAW_CANDLES_SQL, raw_candles, read_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -297,8 +298,9 @@ FROM ({NUMBERED_SQL}) AS n"""
 PAGE_INFO_SQL = f"""
 SELECT symbol, page, count(*) AS n_rows, min(open_time) AS page_start
 FROM ({PAGED_SQL}) AS p GROUP BY symbol, page"""
-LANDING_PATH_SQL = ("'binance_klines/' || symbol || '/' || strftime(make_timestamp(page_start * 1000), "
-                    "'%Y/M%m') || '/' || symbol || '_binance_klines_' || "
+LANDING_PATH_SQL = (f"'{LANDING_ROOT}/' || symbol || '/' || "
+                    "strftime(make_timestamp(page_start * 1000), '%Y/M%m') || '/' || symbol || "
+                    f"'_{LANDING_ROOT}_' || "
                     "strftime(make_timestamp(page_start * 1000), '%Y-%m-%d-%H%M') || '.parquet'")
 FULL_PAGES_SQL = f"""
 SELECT symbol, page, page_start, {LANDING_PATH_SQL} AS source_file
@@ -353,7 +355,7 @@ def q_landing_path(spark, sf_dir):
 
 
 @register("symbol_from_path", f"""
-SELECT source_file, regexp_extract(source_file, 'binance_klines/([A-Z0-9]+)/', 1) AS symbol
+SELECT source_file, regexp_extract(source_file, '{LANDING_ROOT}/([A-Z0-9]+)/', 1) AS symbol
 FROM ({FULL_PAGES_SQL}) AS f""")
 def q_symbol_from_path(spark, sf_dir):
     from candlewick.functions.paths import symbol_from_path
