@@ -421,7 +421,7 @@ class _Landing:
     def __init__(self, spark, name):
         from candlewick.session import scratch_dir
 
-        base = scratch_dir(spark, name)
+        self.base = base = scratch_dir(spark, name)
         self.landing, self.raw, self.ledger = (f"{base}/landing", f"{base}/raw",
                                                f"{base}/ledger")
 
@@ -550,7 +550,7 @@ def _pipeline(spark, sf_dir):
 
     run = _Landing(spark, "pipeline")
     run.land(spark, sf_dir)
-    return run_pipeline(spark, run.landing, run.raw.rsplit("/", 1)[0] + "/warehouse")
+    return run_pipeline(spark, run.landing, f"{run.base}/warehouse")
 
 
 @register("pipeline_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
