@@ -110,3 +110,13 @@ def market_volatility(klines: DataFrame, strategy: str = "aggregate") -> DataFra
 def market_liquidity(klines: DataFrame) -> DataFrame:
     """M3: sum of quote volume / sum of trades (null when no trades)."""
     return liquidity_from_daily(daily_aggregates(klines))
+
+
+def as_daily_klines(summary: DataFrame) -> DataFrame:
+    """M1 output as one candle per (symbol, day), so that M4/M5 applied to it give
+    the day-based meaning their descriptions state (daily returns, 7/30-day
+    averages) while M4/M5 on minute candles keep the reference's per-candle
+    behaviour (SURVEY T3). The candle opens at the day's 00:00 UTC."""
+    return summary.select(
+        F.col("date").cast("timestamp").alias("open_time_ts"), "symbol",
+        "open_price", "high_price", "low_price", "close_price", "volume", "number_of_trades")

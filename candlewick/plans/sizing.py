@@ -9,17 +9,27 @@ from pyspark.sql import DataFrame
 SINGLE_TASK_BYTES = 256 * 1024 * 1024
 
 
+# Leaves whose size Catalyst knows: file scans, local rows, ranges.
+SIZED_LEAVES = {"LogicalRelation", "HiveTableRelation", "LocalRelation", "Range",
+                "DataSourceV2Relation", "DataSourceV2ScanRelation", "InMemoryRelation"}
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a DataFrame's optimized plan (file sizes for
-    scans, propagated through operators). An estimate, not a measurement;
-    None where the session does not expose it (e.g. Spark Connect)."""
+    scans, propagated through operators). An estimate, not a measurement.
+
+    None -- unknown -- when any leaf of the plan has no real size (rows from a
+    Python list or an RDD: Catalyst then starts from
+    ``spark.sql.defaultSizeInBytes`` and scales that meaningless number
+    through the plan), or when the session exposes no plan (Spark Connect)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        size = int(str(stats.sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        if any(leaves.apply(i).nodeName() not in SIZED_LEAVES for i in range(leaves.size())):
+            return None
+        size = int(str(plan.stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM handle: unknown size
         return None
-    # Catalyst reports spark.sql.defaultSizeInBytes (Long.MaxValue unless set)
-    # for inputs it cannot size, e.g. local rows: that means "unknown".
     setting = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
     try:
         unknown = int(str(setting).rstrip("bBlL"))

@@ -78,3 +78,13 @@ def test_checks_report_the_null_outputs(k1):
     with pytest.raises(QualityError, match="liquidity_ratio: 2 null"):
         assert_checks(run_checks(models))
     assert_checks(run_checks({"market_summary": models["market_summary"]}))
+
+
+def test_day_based_series_from_the_summary(k1):
+    """M4/M5 over M1's output work per day (one row per symbol-day)."""
+    days = daily.as_daily_klines(daily.market_summary(k1))
+    got = rounded(series.market_returns(days, "window").collect())
+    assert got == rounded([(D1, "AAA", None, 0.0), (D2, "AAA", -50.0, -50.0),
+                           (D1, "BBB", None, 0.0)])
+    trend = rounded(series.market_trend(days, "sliced").collect())
+    assert [t[2] for t in trend if t[1] == "AAA"] == [14.0, 10.5]  # sma_7 over days
