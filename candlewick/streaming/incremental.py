@@ -47,6 +47,9 @@ def stream_to_raw(spark: SparkSession, landing_root: str, raw_path: str, checkpo
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming load; with ``available_now`` it stops once caught up."""
     rows = to_raw(landed_stream(spark, landing_root, max_files_per_trigger), STREAM_LOAD_ID)
+    # Shuffle each micro-batch by its partition columns: about one file per
+    # (symbol, day) per batch instead of one per task and day.
+    rows = rows.repartition(*RAW_PARTITIONS)
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy(*RAW_PARTITIONS))
     writer = writer.trigger(availableNow=True) if available_now \
