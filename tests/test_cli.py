@@ -20,3 +20,13 @@ def test_run_check_load(spark, tmp, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["files"] == 0
     summary = spark.read.parquet(f"{wh}/market_summary")
     assert summary.count() == summary.select("date", "symbol").distinct().count() > 0
+
+
+def test_stream_twice_loads_once(spark, tmp, capsys):
+    landing, wh = f"{tmp}/landing", f"{tmp}/wh"
+    pages = R._full_pages(spark, "/root/testdata/sf0.001")
+    write_landing(parse_kline_pages(pages), landing)
+    assert main(["stream", "--landing", landing, "--warehouse", wh]) == 0
+    assert main(["stream", "--landing", landing, "--warehouse", wh]) == 0
+    table = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["table"]
+    assert spark.read.parquet(table).count() == pages.count() * R.PAGE_LIMIT
