@@ -1,6 +1,7 @@
 """Command line: the daily job and its parts, for a scheduler or spark-submit.
 
     python -m candlewick run    --landing DIR --warehouse DIR [--symbols A,B] [--strategy auto]
+                                [--incremental]
     python -m candlewick load   --landing DIR --warehouse DIR
     python -m candlewick stream --landing DIR --warehouse DIR
     python -m candlewick check  --warehouse DIR
@@ -33,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--warehouse", required=True, help="raw, ledger and model tables")
     parser.add_argument("--symbols", help="comma-separated pairs (default: all landed)")
     parser.add_argument("--strategy", default="auto", choices=["auto", "sliced", "window"])
+    parser.add_argument("--incremental", action="store_true",
+                        help="run: rewrite staging and M1-M3 only for the days loaded now")
     parser.add_argument("--master", help="e.g. local[*]; omit under spark-submit")
     args = parser.parse_args(argv)
     if args.command != "check" and not args.landing:
@@ -44,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from candlewick.plans.pipeline import run_pipeline
 
-        result = run_pipeline(spark, args.landing, wh, symbols, args.strategy)
+        result = run_pipeline(spark, args.landing, wh, symbols, args.strategy,
+                              incremental=args.incremental)
         out = {"load_id": result.load.load_id, "files": result.load.files,
                "tables": result.tables, "checks": result.checks}
     elif args.command == "load":
