@@ -180,16 +180,20 @@ def slice_partitions(df: DataFrame) -> int:
     return int(max(configured, min(MAX_SLICE_PARTITIONS, -(-size // SLICE_PARTITION_BYTES))))
 
 
-def slice_offsets(keyed: DataFrame, key: list[str]) -> DataFrame:
+def slice_offsets(keyed: DataFrame, key: list[str], base: DataFrame | None = None
+                  ) -> DataFrame:
     """Per slice: ``cnt`` and ``start`` (rows of the symbol before the slice).
     Counted before the slice shuffle (map-side combined), so only slice-table
-    rows move for it."""
+    rows move for it. ``base`` (``sym_key``, ``base_rows``) adds rows that
+    precede the input (an incremental refresh)."""
     counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("cnt"))
     w = Window.partitionBy("sym_key").orderBy(*key[1:])
-    return counts.select(
-        *key, "cnt",
-        F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("start"))
+    before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0))
+    if base is not None:
+        counts = counts.join(base.select("sym_key", "base_rows"), "sym_key", "left")
+        before = before + F.coalesce(F.col("base_rows"), F.lit(0))
+    return counts.select(*key, "cnt", before.alias("start"))
 
 
 def slice_closes(ranked: DataFrame, key: list[str]) -> DataFrame:
@@ -235,28 +239,42 @@ def _restore(df: DataFrame) -> DataFrame:
                            "date": _date_of(F.col("day_key"))})
 
 
-def number_rows(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS
-                ) -> tuple[DataFrame, DataFrame, list[str]]:
+def number_rows(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS,
+                base: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(candles with ``row_num``, slice offsets, slice key). ``row_num`` =
     ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY open_time_ts), computed per
     slice; the frame also keeps ``symbol``, ``date``, ``r`` (row in the slice),
     ``cnt``, ``start`` and the ``carry`` columns. Later windows order by
     ``r``/``row_num``, never by time again, so rows tied in time keep one order."""
     ranked, keyed, key = rank_in_slices(klines, carry, max_slice_rows)
-    offsets = slice_offsets(keyed, key)
+    offsets = slice_offsets(keyed, key, base)
     numbered = keep_partitioning(ranked, offsets, key) \
         .withColumn("row_num", F.col("start") + F.col("r"))
     return _restore(numbered), offsets, key
 
 
-def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+                          base: DataFrame | None = None,
+                          from_date: str | None = None) -> DataFrame:
     """M4: LAG inside the slice, previous slice's last close for a slice's first
-    candle; no halo and no row offsets needed."""
+    candle; no halo and no row offsets needed.
+
+    Incremental refresh: ``klines`` holds the rows from ``from_date`` on plus at
+    least the last row before it (context, not emitted); ``base`` gives each
+    symbol's ``first_close_price`` from its stored state."""
     ranked, _, key = rank_in_slices(klines, max_slice_rows=max_slice_rows)
     by_rank = Window.partitionBy(*key).orderBy("r")
     prev = F.when(F.col("r") == 1, F.col("prev_last_close")) \
         .otherwise(F.lag("close_price").over(by_rank))
-    rows = _restore(keep_partitioning(ranked, slice_closes(ranked, key), key))
+    closes = slice_closes(ranked, key)
+    if base is not None:
+        stored = base.select("sym_key", F.col("first_close_price").alias("_stored_first"))
+        closes = closes.join(stored, "sym_key", "left").withColumn(
+            "first_close_price", F.coalesce("_stored_first", "first_close_price")) \
+            .drop("_stored_first")
+    rows = _restore(keep_partitioning(ranked, closes, key))
+    if from_date is not None:
+        rows = rows.where(F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date")))
     return rows.select("date", "symbol", "close_price", "first_close_price",
                        prev.alias("previous_close_price")) \
         .select("date", "symbol",
@@ -282,10 +300,33 @@ def halo_sources(slices: DataFrame, key: list[str], look_back: int) -> DataFrame
     )
 
 
-def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS) -> DataFrame:
-    """M5 on the sliced plan (same rows as the symbol-wide windows)."""
+def ema_day_sums(numbered: DataFrame, key: list[str]) -> DataFrame:
+    """Per (sym_key, day_key): the EMA numerator/denominator sums of the day's
+    candles, with weights from their global row numbers."""
+    sums = numbered.groupBy(*key).agg(*[
+        agg for name, rate in EMA_RATES.items() for agg in (
+            F.sum(F.col("close_price") * ema_weight(rate)).alias(f"{name}_num"),
+            F.sum(ema_weight(rate)).alias(f"{name}_den"),
+        )
+    ])
+    return sums.groupBy(*DAY_KEY).agg(*[F.sum(c).alias(c) for c in EMA_PARTS])
+
+
+EMA_PARTS = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
+
+
+def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+                        base: DataFrame | None = None,
+                        from_date: str | None = None) -> DataFrame:
+    """M5 on the sliced plan (same rows as the symbol-wide windows).
+
+    Incremental refresh: ``klines`` holds the rows from ``from_date`` on plus
+    the last 29 rows before it (context: they fill the first windows but are
+    neither emitted nor summed); ``base`` (``sym_key``, ``base_rows`` = rows
+    before the context, and the EMA sums of all days before ``from_date``)
+    carries the rest of each symbol's history."""
     look_back = max(SMA_ROWS.values()) - 1
-    numbered, slices, key = number_rows(klines, max_slice_rows=max_slice_rows)
+    numbered, slices, key = number_rows(klines, max_slice_rows=max_slice_rows, base=base)
     order = key[1:]
 
     keep = [*key, "close_price", "row_num"]
@@ -305,19 +346,19 @@ def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS)
           for name, n in SMA_ROWS.items()],
     ).where(~F.col("halo"))
 
-    sums = numbered.groupBy(*key).agg(*[
-        agg for name, rate in EMA_RATES.items() for agg in (
-            F.sum(F.col("close_price") * ema_weight(rate)).alias(f"{name}_num"),
-            F.sum(ema_weight(rate)).alias(f"{name}_den"),
-        )
-    ])
-    parts = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
-    per_day = sums.groupBy(*DAY_KEY).agg(*[F.sum(c).alias(c) for c in parts])
+    first_day = None if from_date is None else F.unix_date(F.lit(from_date).cast("date"))
+    summed = numbered if first_day is None else numbered.where(F.col("day_key") >= first_day)
+    per_day = ema_day_sums(summed, key)
     upto = Window.partitionBy("sym_key").orderBy("day_key") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = {c: F.sum(c).over(upto) for c in EMA_PARTS}
+    if base is not None:
+        per_day = per_day.join(base.select("sym_key", *[F.col(c).alias(f"_prior_{c}")
+                                                       for c in EMA_PARTS]), "sym_key", "left")
+        running = {c: running[c] + F.coalesce(F.col(f"_prior_{c}"), F.lit(0.0))
+                   for c in EMA_PARTS}
     ema_day = per_day.select(*DAY_KEY, *[
-        (F.sum(f"{name}_num").over(upto) / F.sum(f"{name}_den").over(upto)).alias(name)
-        for name in EMA_RATES
+        (running[f"{name}_num"] / running[f"{name}_den"]).alias(name) for name in EMA_RATES
     ])
     # Spread the day's EMA over its slices so the final join is slice-keyed
     # (co-partitioned with the candles); both sides here are slice-table sized.
@@ -325,3 +366,55 @@ def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS)
     return sma.join(ema, key).select(_date_of(F.col("day_key")).alias("date"),
                                      _symbol_of(F.col("sym_key")).alias("symbol"),
                                      *SMA_ROWS, *EMA_RATES)
+
+
+def series_state(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+                 base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
+    """Per (symbol, date): candle count, the day's first close (in row order) and
+    the EMA sums with global row numbers -- what an incremental refresh needs of
+    the days before it. Same inputs as :func:`market_trend_sliced`."""
+    numbered, _, key = number_rows(klines, max_slice_rows=max_slice_rows, base=base)
+    if from_date is not None:
+        numbered = numbered.where(F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date")))
+    counts = numbered.groupBy(*DAY_KEY).agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.min_by("close_price", "row_num").alias("day_first_close"))
+    state = counts.join(ema_day_sums(numbered, key), DAY_KEY)
+    return state.select(_symbol_of(F.col("sym_key")).alias("symbol"),
+                        _date_of(F.col("day_key")).alias("date"),
+                        "cnt", "day_first_close", *EMA_PARTS)
+
+
+def refresh_inputs(state: DataFrame, staged: DataFrame, from_date: str,
+                   look_back: int = max(SMA_ROWS.values()) - 1,
+                   max_days: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
+    """(candles to recompute, base) for a refresh of M4/M5 from ``from_date``.
+
+    The candles are the staged rows from ``from_date`` on plus, per symbol, the
+    last ``look_back`` rows before it (read from the few days that hold them,
+    found on the state table, so only those partitions are read). ``base``
+    carries per symbol the rows before the context, the EMA sums of the days
+    before ``from_date`` and the first close."""
+    d0 = F.lit(from_date).cast("date")
+    prior = state.where(F.col("date") < d0)
+    later = Window.partitionBy("symbol").orderBy(F.col("date").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    needed = prior.select("symbol", "date", (F.sum("cnt").over(later) - F.col("cnt"))
+                          .alias("rows_after")).where(F.col("rows_after") < look_back)
+    dates = sorted(r[0] for r in _collect_bounded(needed.select("date").distinct(),
+                                                   max_days, "context days"))
+    latest = Window.partitionBy("symbol").orderBy(F.col("open_time_ts").desc())
+    context = (staged.where(F.col("date").isin(dates))
+               .join(needed.select("symbol", "date"), ["symbol", "date"], "left_semi")
+               .withColumn("_k", F.row_number().over(latest))
+               .where(F.col("_k") <= look_back).drop("_k"))
+    n_context = context.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_context"))
+    base = (prior.groupBy("symbol").agg(
+                F.sum("cnt").alias("prior_rows"),
+                F.min_by("day_first_close", "date").alias("first_close_price"),
+                *[F.sum(c).alias(c) for c in EMA_PARTS])
+            .join(n_context, "symbol", "left")
+            .select(_sym_key(F.col("symbol")).alias("sym_key"),
+                    (F.col("prior_rows") - F.coalesce("n_context", F.lit(0))).alias("base_rows"),
+                    "first_close_price", *EMA_PARTS))
+    return context.unionByName(staged.where(F.col("date") >= d0)).drop("date"), base

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from candlewick.functions.time import trade_date
-from candlewick.operators import daily, series
+from candlewick.operators import daily, series, sliced
 from candlewick.operators.quality import assert_checks, run_checks
 from candlewick.operators.staging import stage_klines
 from candlewick.plans.load import LoadResult, load_incremental
@@ -66,12 +66,15 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
     (the scheduler interleaves their tasks), as the reference's model runner
     ran four models at a time.
 
-    ``incremental=True`` (once the tables exist) rewrites staging and the daily
-    models M1-M3 only for the dates that this run's loads touched -- they are
-    per-day, so other days cannot change -- with partition-pruned reads and a
-    dynamic partition overwrite; M4/M5 depend on each symbol's whole history
-    and are rebuilt. Dates whose rows were withdrawn with ``unmark`` are not
-    tracked: after un-marking, run once without ``incremental``."""
+    ``incremental=True`` (once the tables exist) rewrites the tables only for
+    the dates that this run's loads touched, with partition-pruned reads and a
+    dynamic partition overwrite. Staging and M1-M3 are per day, so no other
+    day can change. M4/M5 are recomputed from the earliest touched day on:
+    the rest of each symbol's history enters through the ``series_state``
+    table (per symbol-day counts, first close, EMA sums) and its last 29
+    candles, so a daily run reads the new days, not the whole history. Dates
+    whose rows were withdrawn with ``unmark`` are not tracked: after
+    un-marking, run once without ``incremental``."""
     from pyspark.sql import functions as F
 
     from candlewick.operators.ledger import path_exists
@@ -80,7 +83,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
     checkpoint_dir(spark)
     raw_path, ledger_path = f"{warehouse}/raw", f"{warehouse}/ledger"
     loaded = load_incremental(spark, landing_root, raw_path, ledger_path)
-    tables = {name: f"{warehouse}/{name}" for name in ["stg_klines", *MODELS]}
+    tables = {name: f"{warehouse}/{name}" for name in ["stg_klines", *MODELS, "series_state"]}
     refresh = incremental and all(path_exists(spark, p) for p in tables.values())
     days = refreshed_days(spark, raw_path, loaded.load_ids) if refresh else None
     if refresh and not days:  # nothing new: the tables are current
@@ -102,9 +105,26 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
         "market_summary": (daily.summary_from_daily(day), refresh),
         "market_volatility": (daily.volatility_from_daily(day), refresh),
         "market_liquidity": (daily.liquidity_from_daily(day), refresh),
-        "market_returns": (series.market_returns(stg, strategy), False),
-        "market_trend": (series.market_trend(stg, strategy), False),
     }
+    if refresh:
+        # M4/M5 from the earliest touched day on, the rest of the history
+        # through the stored per-day state (counts, EMA sums, first close).
+        start = min(days).isoformat()
+        klines, base = sliced.refresh_inputs(spark.read.parquet(tables["series_state"]),
+                                             stg_all, start)
+        outputs.update({
+            "market_returns": (sliced.market_returns_sliced(klines, base=base,
+                                                            from_date=start), True),
+            "market_trend": (sliced.market_trend_sliced(klines, base=base,
+                                                        from_date=start), True),
+            "series_state": (sliced.series_state(klines, base=base, from_date=start), True),
+        })
+    else:
+        outputs.update({
+            "market_returns": (series.market_returns(stg, strategy), False),
+            "market_trend": (series.market_trend(stg, strategy), False),
+            "series_state": (sliced.series_state(stg), False),
+        })
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         jobs = [pool.submit(write_model, df, tables[name], "date", partial)
                 for name, (df, partial) in outputs.items()]
