@@ -566,3 +566,33 @@ def q_pipeline_summary(spark, sf_dir):
     return spark.read.parquet(result.tables["market_summary"]).select(
         "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
         "number_of_trades")
+
+
+def _pipeline_incremental(spark, sf_dir):
+    """Two daily runs with incremental refresh: each symbol's first page, then
+    the rest (a page ends mid-day, so that day arrives in two loads)."""
+    from candlewick.plans.pipeline import run_pipeline
+    from candlewick.sources.landing import write_landing
+    from candlewick.sources.pages import parse_kline_pages
+
+    run = _Landing(spark, "incremental")
+    pages = _full_pages(spark, sf_dir)
+    write_landing(parse_kline_pages(pages.where(F.col("page") < 1)), run.landing)
+    run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
+    write_landing(parse_kline_pages(pages.where(F.col("page") >= 1)), run.landing)
+    return run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
+
+
+@register("pipeline_incremental_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+def q_pipeline_incremental_trend(spark, sf_dir):
+    result = _pipeline_incremental(spark, sf_dir)
+    return spark.read.parquet(result.tables["market_trend"]).select(
+        "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
+
+
+@register("pipeline_incremental_market_returns", RETURNS_SQL.replace(K, K_PIPE),
+          RETURNS_DOUBLES)
+def q_pipeline_incremental_returns(spark, sf_dir):
+    result = _pipeline_incremental(spark, sf_dir)
+    return spark.read.parquet(result.tables["market_returns"]).select(
+        "date", "symbol", "daily_return", "cumulative_return")
