@@ -6,10 +6,10 @@ Two plans compute the same rows:
   One shuffle, but a symbol's whole history is one window partition, i.e.
   one task. Fine for many symbols with short histories.
 * ``strategy="sliced"`` -- see :mod:`candlewick.operators.sliced`:
-  the candles are shuffled once by (symbol, day) and the cross-day parts
-  (row offsets, LAG, the 29-row look-back, the EMA running sums) come from a
-  small per-(symbol, day) table, so a symbol with years of history is spread
-  over as many tasks as it has days.
+  the candles are shuffled once by (symbol, day) -- finer on hot days -- and
+  the cross-slice parts (row offsets, LAG, the 29-row look-back, the EMA
+  running sums) come from a small per-slice table, so a symbol with years of
+  history is spread over as many tasks as it has days.
 * ``strategy="auto"`` (default) -- ``window`` when Catalyst's size estimate of
   the input is under :data:`candlewick.plans.sizing.SINGLE_TASK_BYTES`,
   ``sliced`` otherwise.

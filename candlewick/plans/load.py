@@ -1,9 +1,11 @@
 """Incremental load of landed pages into the raw table, with the ledger as
 the commit point (SURVEY §4b).
 
-1. list landed pages, drop those the ledger marks loaded (anti join);
-2. read only the new pages' files (loaded files are never opened), derive
-   timestamps, symbol and day, append under a fresh ``load_id``;
+1. list landed pages, drop those the ledger marks loaded (anti join), and
+   snapshot the list of new files to a scratch table;
+2. per batch of at most ``max_files_per_load`` pages: read only those pages'
+   files (loaded files are never opened), derive timestamps, symbol and day,
+   append under a fresh ``load_id``;
 3. append the ledger rows for exactly the pages read -- this is the commit.
 
 A crash before 3 leaves rows no reader sees; the retry loads the pages again
