@@ -60,3 +60,25 @@ def test_incremental_pipeline_equals_full_rebuild(spark, tmp, sf):
         a = spark.read.parquet(f"{tmp}/inc/{name}")
         b = spark.read.parquet(f"{tmp}/full/{name}").select(*a.columns)
         assert rounded(a.collect(), 9) == rounded(b.collect(), 9), name
+
+
+def test_incremental_with_a_new_symbol(spark, tmp):
+    """A symbol first seen in a later run has no state and no context rows."""
+    from helpers import rounded
+    from pyspark.sql import functions as F
+
+    from candlewick.plans.pipeline import MODELS, run_pipeline
+
+    pages = R._full_pages(spark, "/root/testdata/sf0.001")
+    newcomer = pages.select("symbol").distinct().orderBy("symbol").first()[0]
+    early = (F.col("symbol") != newcomer) & (F.col("page") < 1)
+    write_landing(parse_kline_pages(pages.where(early)), f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/inc", incremental=True)
+    write_landing(parse_kline_pages(pages.where(~early)), f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/inc", incremental=True)
+    write_landing(parse_kline_pages(pages), f"{tmp}/all")
+    run_pipeline(spark, f"{tmp}/all", f"{tmp}/full")
+    for name in MODELS:
+        a = spark.read.parquet(f"{tmp}/inc/{name}")
+        b = spark.read.parquet(f"{tmp}/full/{name}").select(*a.columns)
+        assert rounded(a.collect(), 9) == rounded(b.collect(), 9), name
