@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from candlewick.functions.paths import (landing_path, matches_landing, path_start_ms,
                                         symbol_from_path)
