@@ -106,3 +106,16 @@ def test_volatility_zero_open_raises_null_open_is_null(spark):
     null = klines_df(spark, [("AAA", "2024-01-01 00:00", None, 2.0, 0.0, 1.0, 1.0, 1.0, 1),
                              ("AAA", "2024-01-01 00:01", 3.0, 2.0, 0.0, 1.0, 1.0, 1.0, 1)])
     assert daily.market_volatility(null).collect()[0].volatility is None
+
+
+def test_page_builder_plans_agree(spark, monkeypatch):
+    """Pages cut with the sliced numbering equal those cut with plain windows."""
+    import candlewick.plans.sizing as sizing
+    from candlewick.sources.events import candles_from_events, read_events
+    from candlewick.sources.pages import pages_from_candles
+
+    candles = candles_from_events(read_events(spark, "/root/testdata/sf0.001"))
+    small = sorted(map(tuple, pages_from_candles(candles, 50).collect()))
+    monkeypatch.setattr(sizing, "fits_one_task", lambda df, limit=None: False)
+    sliced_pages = sorted(map(tuple, pages_from_candles(candles, 50).collect()))
+    assert small == sliced_pages and len(small) > 5
