@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import packing, token_counts, token_files
+from candlewick.llm import packing, quality, token_counts, token_files
 from candlewick.llm.common import table, tokenizer_path
 
 
@@ -18,6 +18,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of all documents, judged under the base and the current policy."""
+    rows = quality.ledger(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       quality.fails(quality.BASE).alias("base_failed"),
+                       (~quality.fails(quality.CURRENT)).alias("kept"), "n_lines", "n_capitals", "fail_bits")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files in doc_id order, then read back."""
     folder, manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -32,8 +40,32 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quality": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text,
+        list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
+t AS (SELECT r, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM g),
+m AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM t),
+p AS (SELECT r, count(DISTINCT i + k) AS n FROM m, (VALUES (0), (1), (2)) v(k) WHERE m.n > 1 GROUP BY r),
+f AS (SELECT w.doc_id, len(ws) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        coalesce(p.n, 0) AS n_repeat_words,
+        CAST(length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals
+      FROM w LEFT JOIN p USING (r)),
+b AS (SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
+        + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
+        + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 14 * n_words)::INT
+        + 64 * (100 * n_capitals > 30 * word_chars)::INT AS BIGINT) AS fail_bits FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals,
+       (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b""",
+}
