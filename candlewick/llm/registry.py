@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import packing, quality, token_counts, token_files
+from candlewick.llm import decontamination, packing, quality, token_counts, token_files
 from candlewick.llm.common import table, tokenizer_path
 
 
@@ -33,6 +33,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents through a new digest cache."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -42,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
+    "op5_decontamination": op5_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
@@ -68,4 +76,26 @@ b AS (SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_wo
         + 64 * (100 * n_capitals > 30 * word_chars)::INT AS BIGINT) AS fail_bits FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals,
        (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b""",
+    "op5_decontamination": r"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+       FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+       FROM benchmark WHERE item_id IS NOT NULL),
+iwin AS (SELECT item_id, least(len(ws), 13) AS l, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS i, ws
+         FROM iw WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, l, array_to_string(ws[i:i + l - 1], ' ') AS g FROM iwin),
+dpos AS (SELECT r, l, unnest(range(1, len(ws) - l + 2)) AS i, ws FROM dw, (SELECT DISTINCT l FROM win)
+         WHERE len(ws) >= l),
+hit AS (SELECT r, i, l, item_id FROM (SELECT r, l, i, array_to_string(ws[i:i + l - 1], ' ') AS g FROM dpos)
+        JOIN win USING (l, g)),
+cover AS (SELECT r, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT r, i, l FROM hit)),
+pos AS (SELECT r, count(DISTINCT p) AS n FROM cover GROUP BY r),
+its AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+       sha256(coalesce(its.s, '')) AS items_sha256,
+       coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)""",
 }
