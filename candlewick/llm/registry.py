@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontamination, packing, quality, token_counts, token_files
+from candlewick.llm import decontamination, line_dedup, packing, quality, token_counts, token_files
 from candlewick.llm.common import table, tokenizer_path
 
 
@@ -40,6 +40,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that an earlier document holds."""
+    rows = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents through a new digest cache."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -50,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op5_decontamination": op5_decontamination,
+    "op6_line_dedup": op6_line_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
@@ -98,4 +105,17 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit,
        sha256(coalesce(its.s, '')) AS items_sha256,
        coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(ws) AS contaminated
 FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)""",
+    "op6_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM d),
+k AS (SELECT r, doc_id, i, ls[i] AS line, translate(regexp_replace(ls[i],
+        '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(coalesce(doc_id, 9223372036854775807)) AS first FROM k WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT coalesce(doc_id, 9223372036854775807)) > 1),
+m AS (SELECT k.*, f.first IS NOT NULL AND f.first <> coalesce(doc_id, 9223372036854775807) AS gone
+      FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r""",
 }
