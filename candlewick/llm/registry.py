@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontamination, line_dedup, packing, quality, token_counts, token_files
+from candlewick.llm import decontamination, jaccard_join, line_dedup, packing, quality, token_counts, token_files
 from candlewick.llm.common import table, tokenizer_path
 
 
@@ -46,6 +46,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 5-word shingles at 0.8."""
+    return jaccard_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents through a new digest cache."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op5_decontamination": op5_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
 }
 
