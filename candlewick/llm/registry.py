@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontamination, jaccard_join, line_dedup, packing, quality, token_counts, token_files
+from candlewick.llm import (
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from candlewick.llm.common import table, tokenizer_path
 
 
@@ -33,6 +44,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by profiles learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.learn(docs.where(~language_id.held_out()))
+    return (language_id.identify(docs, profiles)
+            .select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,6 +65,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by a model fitted on labelled documents that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.fold("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return (toxicity.toxicity(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "spans"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 5-word shingles at 0.8."""
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
@@ -56,14 +85,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages, with weights from pages whose document is known."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extract(pages, html_extraction.learn(pages, table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
+    "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
