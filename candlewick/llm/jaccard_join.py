@@ -315,3 +315,13 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
             .select(real.alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.when(F.col("component") == LAST_ID, none).otherwise(F.coalesce("component", real))
                     .alias("component_id")))
+
+
+def distinct_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """The documents whose doc_id is their component's smallest, with the input's columns."""
+    found = linked(docs, k, percent, id_col, text_col)
+    extra = (found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("extra")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"))
+    return rows.join(extra, F.col("id") == F.col("extra"), "left_anti").select("row.*")
