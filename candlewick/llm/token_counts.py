@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import bpe
-from candlewick.llm.common import file_system, scratch, text_or_empty
+from candlewick.llm.common import file_system, scratch, stored, text_or_empty
 
 CACHE = "tokenizer string, digest binary, n_tokens long"
 
@@ -103,6 +103,6 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     (misses.mapInArrow(_count(tokenizer), "digest binary, n_tokens long")
      .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").partitionBy("tokenizer").parquet(cache))
-    counts = read_cache(spark, cache, version)
+    counts = stored(read_cache(spark, cache, version), "token-counts")  # apart from the join, whose hot digests Spark splits
     return (keyed.drop("text").join(counts, "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
