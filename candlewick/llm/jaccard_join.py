@@ -5,11 +5,12 @@ of at least ``percent`` / 100. Ordered by one global order of shingles, linked
 documents share a shingle among the first n - ceil(t n) + 1 of each (the prefix).
 
 1. *Order.* Document frequencies of all shingles of all documents are counted by
-   32-bit hash. Frequent shingles come last, by frequency, so passages that many
-   documents share stay out of prefixes. The list of the most frequent ones has a
-   fixed size; it decides about speed only, never about results.
-2. *Prefixes.* Shingles that no other document holds leave the prefixes (a fixed
-   size bit table of repeated hashes says so; a false yes costs time only).
+   32-bit hash. Shingles of one document come first, frequent ones last, so passages
+   that documents share stay out of prefixes. Which shingles are repeated is kept in
+   a bit table, and the most frequent ones in a list, both of a fixed size; they
+   decide about speed only, never about results (any global order is right).
+2. *Prefixes.* Shingles that no other document holds use up places of a prefix but
+   are not joined.
 3. *Groups.* Documents with the same shingle set are one class. Classes with the
    same prefix and size are one group; only groups are joined on prefix shingles.
 4. *Verification* compares the shingles of the texts themselves. First each group
@@ -165,16 +166,18 @@ def shingle_order(texts: DataFrame, k: int) -> Order:
     return Order(rows.collect())  # at most BUCKETS rows, 28 MB in all
 
 
-def prefix(s: np.ndarray, frequency: np.ndarray, percent: int) -> np.ndarray:
-    """First n - ceil(t n) + 1 shingles of a set in the global order."""
+def prefix(s: np.ndarray, repeated: np.ndarray, frequency: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that some other document may hold among the first n - ceil(t n) + 1 of a set in the
+    global order (unrepeated ones, then infrequent ones by hash, then frequent ones by frequency and
+    hash), with their places in that order."""
     n = len(s)
-    p = n - -(-percent * n // 100) + 1
-    rare = s[frequency == 0]
-    if len(rare) >= p:
-        return rare[:p]
-    hot = frequency > 0
-    order = np.lexsort((s[hot], frequency[hot]))
-    return np.concatenate([rare, s[hot][order][:p - len(rare)]])
+    alone = n - int(repeated.sum())
+    left = n - -(-percent * n // 100) + 1 - alone
+    if left <= 0:
+        return s[:0], np.zeros(0, dtype=np.int32)
+    s, frequency = s[repeated], frequency[repeated]
+    first = s[np.lexsort((s, frequency))][:left]
+    return first, np.arange(alone, alone + len(first), dtype=np.int32)
 
 
 def _features(order, k: int, percent: int):
@@ -191,15 +194,12 @@ def _features(order, k: int, percent: int):
             out = {name: [] for name in schema.names}
             for doc_id, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 s = shingles(text, k)
-                tokens = places = np.zeros(0, dtype=np.int64)
-                if len(s):
-                    first = prefix(s, table.frequency((s >> np.uint64(32)).astype(np.uint32)), percent)
-                    places = np.flatnonzero(table.repeated((first >> np.uint64(32)).astype(np.uint32)))
-                    tokens = first[places].view(np.int64)
+                high = (s >> np.uint64(32)).astype(np.uint32)
+                tokens, places = prefix(s, table.repeated(high), table.frequency(high), percent)
                 head = len(s).to_bytes(8, "little")
                 for name, value in zip(schema.names, (
                         doc_id, key, len(s), xxhash.xxh3_128_digest(head + s.tobytes()),
-                        xxhash.xxh3_128_digest(head + tokens.tobytes()), tokens, places.astype(np.int32))):
+                        xxhash.xxh3_128_digest(head + tokens.tobytes()), tokens.view(np.int64), places)):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema)
 
@@ -248,57 +248,57 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
                                        "id long, text_key long, n long, class binary, group binary, "
                                        "tokens array<long>, places array<int>"), "shingle-features")
 
-    # one row per class, named by its smallest document; one row per group of classes
+    # one row per class, named by its smallest document; one row per group of classes, by its smallest class
     classes = stored(
         features.where("n > 0").groupBy("class", "group")
-        .agg(F.min(F.struct("id", "text_key")).alias("least"), F.first(F.size("tokens") > 0).alias("joins"))
-        .select("class", "group", F.col("least.id").alias("node"), F.col("least.text_key").alias("text_key"), "joins"),
-        "classes")
-    joining = classes.where("joins").drop("joins")  # the others share no shingle of their prefix with any document
-    groups = joining.groupBy("group").agg(F.min("node").alias("center"), F.count("*").alias("classes"))
-    blocks = stored(
-        features.where("size(tokens) > 0").groupBy("group")
-        .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"))
-        .select("group", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
-        .select("group", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"),
-                F.floor(F.log("n") / F.log(F.lit(100 / percent))).alias("scale"))
-        .join(groups, "group"), "prefix-blocks")
-
+        .agg(F.min(F.struct("id", "text_key")).alias("least"), F.first("n").alias("n"),
+             F.first("tokens").alias("tokens"), F.first("places").alias("places"))
+        .select("class", "group", F.col("least.id").alias("node"), F.col("least.text_key").alias("text_key"),
+                F.col("n").cast("int").alias("n"), "tokens", "places"), "classes")
+    joining = classes.where("size(tokens) > 0")  # the others share no shingle of their prefix with any document
+    groups = joining.groupBy("group").agg(F.min("node").alias("center"), F.count("*").alias("classes"),
+                                          F.first("n").alias("n"), F.first("tokens").alias("tokens"),
+                                          F.first("places").alias("places"))
+    members = stored(joining.select("group", "node", "text_key")
+                     .join(groups.select("group", "center", "classes"), "group").drop("group"), "group-members")
+    blocks = (groups.select("center", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
+              .select("center", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
     shared = blocks.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     blocks = stored(blocks.join(shared, "token", "left_semi"), "shared-blocks")
 
     # texts of every class that may be compared: in a shared block, or not alone in its group
-    wanted = (joining.join(blocks.select("group").union(groups.where("classes > 1").select("group")).distinct(),
-                           "group", "left_semi").select("node", F.col("text_key").alias("wanted_key")))
+    wanted = (members.join(blocks.select("center").distinct().withColumn("shared", F.lit(True)), "center", "left")
+              .where("shared or classes > 1").select("node", F.col("text_key").alias("wanted_key")))
     texts = stored(
         keyed.join(wanted, (F.col("id") == F.col("node")) & (F.col("text_key") == F.col("wanted_key")))
         .select("node", "text").dropDuplicates(["node"]), "class-texts")
 
     # first: a group with one group of its scale per shingle, a class with one class of its group
-    heads = blocks.groupBy("token", "scale").agg(F.min("center").alias("head"), F.count("*").alias("k")).where("k > 1")
-    stars = (blocks.join(heads.drop("k"), ["token", "scale"]).where("center <> head")
+    scaled = blocks.withColumn("scale", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
+    heads = scaled.groupBy("token", "scale").agg(F.min("center").alias("head"), F.count("*").alias("k")).where("k > 1")
+    stars = (scaled.join(heads.drop("k"), ["token", "scale"]).where("center <> head")
              .select(F.col("center").alias("u"), F.col("head").alias("v"))
-             .union(joining.join(groups.where("classes > 1"), "group").where("node <> center").select("node", "center"))
-             .distinct())
+             .union(members.where("node <> center").select("node", "center")).distinct())
     near = stored(_links(stars, texts, k, percent), "star-links")
     known = stored(components(near), "star-components")
 
     # then: all pairs of a block that are still in different components
-    members = (blocks.select("group", "n", "token", "place").join(joining.select("group", "node"), "group")
-               .join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = (members.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    placed = (members.select("center", "node").join(known, "node", "left")
+              .select("center", "node", F.coalesce("component", "node").alias("component")))
+    spread_out = blocks.join(placed, "center")
+    mixed = (spread_out.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a < b").select("token"))
-    members = stored(members.join(mixed, "token", "left_semi").select("token", "component", "node", "n", "place"),
-                     "mixed-blocks")
+    mixed_blocks = stored(spread_out.join(mixed, "token", "left_semi")
+                          .select("token", "component", "node", "n", "place"), "mixed-blocks")
     # bounds over a component's members in a block: their sizes must allow a link with another component's
-    spread = members.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    spread = mixed_blocks.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     left = spread.toDF("token", "a", "least_a", "most_a")
     right = spread.toDF("token", "b", "least_b", "most_b")
     meet = (left.join(right, "token")
             .where(f"a < b and 100 * most_a >= {percent} * least_b and 100 * most_b >= {percent} * least_a")
             .select("token", "a", "b"))
-    x = members.toDF("token", "a", "u", "n_u", "place_u")
-    y = members.toDF("token", "b", "v", "n_v", "place_v")
+    x = mixed_blocks.toDF("token", "a", "u", "n_u", "place_u")
+    y = mixed_blocks.toDF("token", "b", "v", "n_v", "place_v")
     # overlap needed: percent / (100 + percent) of both sizes; left from a first common shingle at these places
     rest = (meet.join(x, ["token", "a"]).join(y, ["token", "b"])
             .where(f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
