@@ -102,33 +102,73 @@ class Model:
         self.__dict__.update(state, known={}, _ratios=([], []))
 
 
-def choose_features(texts: list[list[str]], toxic: list[int], chance: float = 1e-5, cover: int = 8,
-                    most: int = 2000) -> list[str]:
+class Vocabulary:
+    """Numbers for words and features, so that documents are small arrays."""
+
+    def __init__(self):
+        self.words: dict[str, int] = {}
+        self.features: dict[str, int] = {}
+        self.of: list[np.ndarray] = []  # features of each word
+
+    def numbers(self, text: str) -> np.ndarray:
+        out = []
+        for w in words(text):
+            if w not in self.words:
+                self.words[w] = len(self.words)
+                self.of.append(np.array([self.features.setdefault(f, len(self.features)) for f in features(w)],
+                                        dtype=np.int32))
+            out.append(self.words[w])
+        return np.array(out, dtype=np.int32)
+
+    def features_in(self, doc: np.ndarray) -> np.ndarray:
+        """Distinct features of a document."""
+        return np.unique(np.concatenate([self.of[w] for w in np.unique(doc)] or [np.zeros(0, np.int32)]))
+
+
+def choose_features(vocabulary: Vocabulary, docs: list[np.ndarray], toxic: list[int], by_chance: float = 1e-3,
+                    cover: int = 8, most: int = 2000) -> list[int]:
     """Features that explain the toxic documents: the one in most not yet explained documents comes
     first, and a document is explained once it holds ``cover`` chosen ones. A feature must be in so
-    many unexplained toxic documents that clean words would get there with probability ``chance`` at
-    most, and be all but absent from clean documents; of features with the same documents, one stays."""
-    sets = [{f for w in set(t) for f in features(w)} for t in texts]
-    clean = Counter(f for s, y in zip(sets, toxic) if not y for f in s)
-    bad = [s for s, y in zip(sets, toxic) if y]
-    if not bad or len(bad) == len(sets):
+    many unexplained toxic documents that ``by_chance`` clean features at most are expected to get
+    there, each time between other words, and be all but absent from clean documents; of features
+    with the same documents, one stays."""
+    bad = [d for d, y in zip(docs, toxic) if y]
+    if not bad or len(bad) == len(docs):
         return []
-    share = len(bad) / len(sets)
-    least = math.ceil(math.log(chance) / math.log(share))
-    count = Counter(f for s in bad for f in s)
-    pure = {f for f, n in count.items() if n >= least and clean[f] * share <= 0.03 * n * (1 - share)}
-    holders: dict[str, list[int]] = {f: [] for f in pure}
-    for i, s in enumerate(bad):
-        for f in s & pure:
-            holders[f].append(i)
-    alike: dict[tuple, str] = {}
-    for f in sorted(pure, key=lambda f: (len(f.rstrip("*")), f)):
+    n = len(vocabulary.features)
+    share = len(bad) / len(docs)
+    count, clean = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    for d, y in zip(docs, toxic):
+        (count if y else clean)[vocabulary.features_in(d)] += 1
+    least = math.ceil(math.log(by_chance / max(1, int((count > 1).sum()))) / math.log(share))
+    pure = set(np.flatnonzero((count >= least) & (clean * share <= 0.002 * count * (1 - share))).tolist())
+    # copies of a document repeat its words in the same places: only different neighbours count
+    places: dict[int, set] = {f: set() for f in pure}
+    pure_of = [[f for f in fs.tolist() if f in pure] for fs in vocabulary.of]
+    for d in bad:
+        w = [-1, *d.tolist(), -1]
+        for i in range(1, len(w) - 1):
+            for f in pure_of[w[i]]:
+                places[f].add((w[i - 1], w[i + 1]))
+    pure = {f for f in pure if len(places[f]) >= least}
+    holders: dict[int, list[int]] = {f: [] for f in pure}
+    for i, d in enumerate(bad):
+        for f in vocabulary.features_in(d).tolist():
+            if f in pure:
+                holders[f].append(i)
+    names = {i: f for f, i in vocabulary.features.items() if i in pure}
+    rank = lambda f: (len(names[f].rstrip("*")), names[f])
+    alike: dict[tuple, int] = {}
+    for f in sorted(pure, key=rank):
         alike[tuple(holders[f])] = f  # the longest one
     gain = {f: len(holders[f]) for f in alike.values()}
-    of = [[f for f in s if f in gain] for s in bad]
+    of: list[list[int]] = [[] for _ in bad]
+    for f in gain:
+        for i in holders[f]:
+            of[i].append(f)
     covered, chosen = [0] * len(bad), []
     while gain and len(chosen) < most:
-        f = max(gain, key=lambda f: (gain[f], len(f.rstrip("*")), f))
+        f = max(gain, key=lambda f: (gain[f], *rank(f)))
         if gain.pop(f) < least:
             break
         chosen.append(f)
@@ -141,21 +181,20 @@ def choose_features(texts: list[list[str]], toxic: list[int], chance: float = 1e
     return chosen
 
 
-def fit(texts: list[str], toxic: list[int], rounds: int = 120, rate: float = 0.5, decay: float = 1e-4,
+def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0, decay: float = 1e-5,
         segment: int = 48) -> Model:
     """Fit on labelled documents. Words of toxic documents with a chosen feature are the labelled
     toxic words; all other words are clean. Words are fitted in segments of ``segment`` words."""
-    docs = [words(t) for t in texts]
-    chosen = choose_features(docs, toxic)
-    index = {f: i for i, f in enumerate(chosen)}
-    ids: dict[str, tuple] = {}
+    vocabulary = Vocabulary()
+    docs = [vocabulary.numbers(t) for t in texts]
+    numbers = choose_features(vocabulary, docs, toxic)
+    names = {i: f for f, i in vocabulary.features.items()}
+    chosen = [names[f] for f in numbers]
+    index = {f: i for i, f in enumerate(numbers)}
+    ids = [tuple(index[f] for f in fs.tolist() if f in index) for fs in vocabulary.of]
     rows, labels = [], []
     for doc, y in zip(docs, toxic):
-        found = []
-        for w in doc:
-            if w not in ids:
-                ids[w] = tuple(index[f] for f in features(w) if f in index)
-            found.append(ids[w])
+        found = [ids[w] for w in doc.tolist()]
         if y and not any(found):
             continue  # nothing in it can be labelled
         for a in range(0, len(doc), segment):

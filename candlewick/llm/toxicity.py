@@ -47,7 +47,7 @@ def sample_of(rows: DataFrame, by: str, id_col: str, most: int) -> DataFrame:
     return rows.where(keep)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, id_col: str = "doc_id", text_col: str = "text",
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> crf.Model:
     """Model from the labelled rows among ``docs``; ``labels`` has id_col and label_col (0 or 1)."""
     marked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
