@@ -1,6 +1,6 @@
 """Command line: the daily job and its parts, for a scheduler or spark-submit.
 
-    python -m candlewick run    --landing DIR --warehouse DIR [--symbols A,B] [--strategy auto]
+    python -m candlewick run    --landing DIR --warehouse DIR [--symbols A,B] [--strategy sliced]
                                 [--incremental]
     python -m candlewick load   --landing DIR --warehouse DIR
     python -m candlewick stream --landing DIR --warehouse DIR
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--landing", help="landed pages folder")
     parser.add_argument("--warehouse", required=True, help="raw, ledger and model tables")
     parser.add_argument("--symbols", help="comma-separated pairs (default: all landed)")
-    parser.add_argument("--strategy", default="auto", choices=["auto", "sliced", "window"])
+    parser.add_argument("--strategy", default="sliced", choices=["sliced", "window"])
     parser.add_argument("--incremental", action="store_true",
                         help="run: rewrite staging and M1-M3 only for the days loaded now")
     parser.add_argument("--master", help="e.g. local[*]; omit under spark-submit")

@@ -37,7 +37,7 @@ def not_null(df: DataFrame, columns: list[str], model: str, by: str | None = Non
     if by is None:
         agg, ids, name = df.agg(*counts), [], F.lit(model)
     else:
-        agg, ids, name = df.groupBy(by).agg(*counts), [by], F.concat(F.lit(model), F.col(by))
+        agg, ids, name = df.groupBy(by).agg(*counts), [by], F.concat(F.lit(model), F.coalesce(F.col(by), F.lit("null")))
     long = agg.unpivot(ids, columns, "column_name", "failures")
     return long.select(name.alias("model"), "column_name", "failures")
 

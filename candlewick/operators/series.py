@@ -1,21 +1,12 @@
 """Per-candle series models M4 (returns) and M5 (trend).
 
-Two plans compute the same rows:
-
-* ``strategy="window"`` -- the reference's windows partitioned by ``symbol``.
-  One shuffle, but a symbol's whole history is one window partition, i.e.
-  one task. Fine for many symbols with short histories.
-* ``strategy="sliced"`` -- see :mod:`candlewick.operators.sliced`:
-  the candles are shuffled once by (symbol, day) -- finer on hot days -- and
-  the cross-slice parts (row offsets, LAG, the 29-row look-back, the EMA
-  running sums) come from a small per-slice table, so a symbol with years of
-  history is spread over as many tasks as it has days.
-* ``strategy="auto"`` (default) -- ``window`` when Catalyst's size estimate of
-  the input is under :data:`candlewick.plans.sizing.SINGLE_TASK_BYTES`,
-  ``sliced`` otherwise.
-
-Semantics (SURVEY T1-T3): rows are ordered by ``open_time_ts`` for LAG,
-ROW_NUMBER and the ROWS frames; the EMA sums use the default RANGE frame
+One plan at every size: see :mod:`candlewick.operators.sliced`. It spreads a
+symbol's history over many tasks and carries what crosses their boundaries in
+a small table. ``strategy="window"`` is the reference's form, windows partitioned
+by ``symbol`` (a symbol's whole history in one task); it is kept to compare with.
+
+Semantics (SURVEY T1-T3): rows are ordered by ``open_time_ts``, ties by
+``close_price``, for LAG, ROW_NUMBER and the ROWS frames; the EMA sums use the default RANGE frame
 ordered by ``date``, so all candles of a day are peers and share one EMA.
 """
 
@@ -31,19 +22,13 @@ from candlewick.functions.time import trade_date
 EMA_RATES = {"ema_7": 0.2, "ema_30": 0.07}
 SMA_ROWS = {"sma_7": 7, "sma_30": 30}
 
-STRATEGIES = ("auto", "sliced", "window")
+STRATEGIES = ("sliced", "window")
 
 
-def _resolve(strategy: str, klines: DataFrame) -> str:
-    """``auto``: plain windows when Catalyst's estimate of the whole input is small
-    enough for one task (so no symbol can outgrow a task), the sliced plan otherwise."""
+def _is_sliced(strategy: str) -> bool:
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {STRATEGIES}")
-    if strategy != "auto":
-        return strategy
-    from candlewick.plans.sizing import fits_one_task
-
-    return "window" if fits_one_task(klines) else "sliced"
+    return strategy == "sliced"
 
 
 def returns_columns(close: str, prev_close: str, first_close: str) -> list:
@@ -59,13 +44,13 @@ def ema_weight(rate: float, row_num: str = "row_num"):
     return F.exp(F.lit(-rate) * (F.col(row_num) - 1))
 
 
-def market_returns(klines: DataFrame, strategy: str = "auto") -> DataFrame:
+def market_returns(klines: DataFrame, strategy: str = "sliced") -> DataFrame:
     """M4: change vs the previous candle and vs the symbol's first candle, in %."""
-    if _resolve(strategy, klines) == "sliced":
+    if _is_sliced(strategy):
         from candlewick.operators.sliced import market_returns_sliced
 
         return market_returns_sliced(klines)
-    w = Window.partitionBy("symbol").orderBy("open_time_ts")
+    w = Window.partitionBy("symbol").orderBy("open_time_ts", "close_price")
     return klines.select(
         trade_date("open_time_ts").alias("date"), "symbol", "close_price",
         F.first("close_price").over(w).alias("first_close_price"),
@@ -74,13 +59,13 @@ def market_returns(klines: DataFrame, strategy: str = "auto") -> DataFrame:
              *returns_columns("close_price", "previous_close_price", "first_close_price"))
 
 
-def market_trend(klines: DataFrame, strategy: str = "auto") -> DataFrame:
+def market_trend(klines: DataFrame, strategy: str = "sliced") -> DataFrame:
     """M5: 7/30-candle simple averages and the reference's two EMA-style averages."""
-    if _resolve(strategy, klines) == "sliced":
+    if _is_sliced(strategy):
         from candlewick.operators.sliced import market_trend_sliced
 
         return market_trend_sliced(klines)
-    by_time = Window.partitionBy("symbol").orderBy("open_time_ts")
+    by_time = Window.partitionBy("symbol").orderBy("open_time_ts", "close_price")
     by_date = Window.partitionBy("symbol").orderBy("date")  # default RANGE frame: day peers
     numbered = klines.select(
         trade_date("open_time_ts").alias("date"), "symbol", "close_price",

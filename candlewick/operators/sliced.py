@@ -1,10 +1,15 @@
-"""Sliced plan for the per-symbol series models (M4, M5).
+"""The plan of the per-symbol series models (M4, M5).
 
 The reference's windows are partitioned by ``symbol`` only, so one symbol's
-entire history would be one Spark task. Here the candles are shuffled once by
-slice -- (symbol, day), finer on hot days (below) -- and everything that
-crosses a slice boundary is carried by a per-slice table that is tiny next to
-the candles (one row per symbol-day, i.e. 1/1440 of 1-minute candles):
+entire history would be one Spark task. Here the candles are cut into slices:
+contiguous runs of one total order (symbol, open time, close price, row), made
+by a range shuffle. A range shuffle samples its keys, so the runs are of about
+equal size whatever the data looks like: a hot symbol, a hot day, thousands of
+candles at one instant or without a time, and exact copies are all split (the
+row number of the scan breaks the last ties). A slice is the part of a run that
+lies in one symbol-day. Everything that crosses a slice boundary is carried by
+a per-slice table that is tiny next to the candles (one row per symbol-day and
+range boundary):
 
 * global row number = rows before the slice (running sum of slice counts) +
   row number inside the slice;
@@ -18,31 +23,19 @@ the candles (one row per symbol-day, i.e. 1/1440 of 1-minute candles):
 * EMA (RANGE frame by date): per-slice weighted sums, summed per day, a
   running sum over days, spread back over the day's slices.
 
-Only the candles cross the network once (checked by ``tools/plan_summary.py``
-from the exchanges' row counts); the halo rows and the slice table are small
-and are joined co-partitioned on the slice key. Three things keep it that way:
-
-* the key is non-null by construction (``sym_key``/``day_key`` below), so
-  joins on it stay plain equi-joins, no ``IS NOT NULL`` filter is inferred
-  into one consumer and not another, and no candle with a null symbol or time
-  is dropped (the reference's windows keep them);
-* the slice shuffle is an explicit ``repartition(n, key)``, so the candles and
-  the halo rows arrive identically partitioned and their union feeds the
-  windows without another shuffle;
-* the key is fixed before planning (hot lists are collected, not joined at
-  runtime), so every consumer's plan is identical and the exchange is reused.
-
-Hot days: a day with more than ``max_slice_rows`` candles (sub-minute candles,
-or a very dense day) is cut into ``ceil(count / max_slice_rows)`` equal time
-intervals; a single timestamp holding more than ``max_slice_rows`` candles is
-further spread over tie buckets by a hash of the row's values. So no slice
-grows with the data, except a pile of exact copies (equal symbol, time and
-close), which one bucket keeps together; the ledgered load and the
-page-replacing landing keep copies out of the raw table. Nothing is broadcast
-by hint except these hot lists, which hold at most rows / ``max_slice_rows``
-entries and are counted before they are collected; the planner and AQE
-broadcast the slice table only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise.
+The candles cross the network twice (by range, then by slice); halo rows and
+the slice table are small and joined co-partitioned on the slice key. Slice
+numbers come from the range shuffle's partitions, so every consumer must read
+the same shuffle. Three things see to that: all of them start from the ranked
+candles with the same columns (Spark then reuses the exchange, also under AQE),
+both shuffles have a fixed number of partitions (AQE does not coalesce them),
+and the slice key is non-null (no ``IS NOT NULL`` filter is inferred into one
+consumer and not another; candles with a null symbol or time are kept, as the
+reference's windows keep them). Nothing runs when a plan is built, nothing is
+collected, and nothing is broadcast by hint.
+
+Rows that tie in time are ordered by close price. Rows equal in both are
+interchangeable: no output depends on their order.
 """
 
 from __future__ import annotations
@@ -53,9 +46,6 @@ from pyspark.sql import functions as F
 from candlewick.functions.time import trade_date
 from candlewick.operators.series import EMA_RATES, SMA_ROWS, ema_weight, returns_columns
 
-MAX_SLICE_ROWS = 2_000_000
-MAX_HOT = 1_000_000
-MICROS_PER_DAY = 86_400_000_000
 NULL_DAY = -(2 ** 31)  # day_key of a null date: sorts first, as NULLS FIRST does
 DAY_KEY = ["sym_key", "day_key"]
 
@@ -84,129 +74,50 @@ def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
                          "open_time_ts", "close_price", *extra)
 
 
-def _collect_bounded(df: DataFrame, bound: int, what: str) -> list:
-    """Collect a list proven small: at most ``bound`` rows, checked before collecting."""
-    rows = df.limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise RuntimeError(f"{what}: more than {bound} entries, raise max_slice_rows")
-    return rows
-
-
-def slice_keys(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS,
-               max_hot: int = MAX_HOT) -> tuple[DataFrame, list[str]]:
-    """(candles with their slice key columns, the key). The key is
-    (sym_key, day_key), plus ``sub`` when some day is hot, plus ``part``,
-    ``tie`` when some timestamp is hot; every key column is non-null.
-
-    ``sub``: a hot day is cut into equal time intervals. ``part``/``tie``:
-    inside such an interval, a timestamp that alone holds more than
-    ``max_slice_rows`` candles gets slices of its own -- ``part`` numbers the
-    segments before, at and after each such timestamp, and its rows are spread
-    over ``tie`` buckets by a hash of their values. Any order among equal
-    timestamps is a valid order, so the slices stay contiguous in it.
-
-    The hot days (and, only if there are any, the hot timestamps) are found by
-    a counting job before the plan is built; both lists are checked against
-    ``max_hot``, collected and broadcast. Without a hot day the plan has no
-    join here at all.
-    """
-    spark = klines.sparkSession
-    base = _base(klines, carry)
-    hot_days = _collect_bounded(
-        base.groupBy(*DAY_KEY).agg(F.count(F.lit(1)).alias("cnt"))
-        .where(F.col("cnt") > max_slice_rows)
-        .select(*DAY_KEY, F.ceil(F.col("cnt") / max_slice_rows).cast("int").alias("nsub")),
-        max_hot, "hot days")
-    if not hot_days:
-        return base, list(DAY_KEY)
-
-    days = spark.createDataFrame(hot_days, "sym_key string, day_key int, nsub int")
-    into_day = F.unix_micros("open_time_ts") - F.col("day_key").cast("long") * MICROS_PER_DAY
-    sub = F.floor(into_day * F.col("nsub") / MICROS_PER_DAY).cast("int")
-    dated = (base.join(F.broadcast(days), DAY_KEY, "left")
-             .withColumn("sub", F.coalesce(sub, F.lit(0))))
-    # Hot timestamps can only lie in hot days: count only those days' rows.
-    hot_ts = _collect_bounded(
-        dated.where(F.col("nsub").isNotNull())
-        .groupBy(*DAY_KEY, "sub", "open_time_ts").agg(F.count(F.lit(1)).alias("cnt"))
-        .where(F.col("cnt") > max_slice_rows)
-        .select(*DAY_KEY, "sub", "open_time_ts",
-                F.ceil(F.col("cnt") / max_slice_rows).cast("int").alias("ntie")),
-        max_hot, "hot timestamps")
-    dated = dated.drop("nsub")
-    if not hot_ts:
-        return dated, [*DAY_KEY, "sub"]
-
-    stamps = spark.createDataFrame(
-        hot_ts, "sym_key string, day_key int, sub int, open_time_ts timestamp, ntie int")
-    lists = stamps.groupBy(*DAY_KEY, "sub").agg(F.collect_list("open_time_ts").alias("hot"))
-    before = F.size(F.filter(F.col("hot"), lambda h: h < F.col("open_time_ts")))
-    part = F.when(F.col("hot").isNull(), F.lit(0)) \
-        .otherwise(2 * before + F.when(F.col("ntie").isNotNull(), 1).otherwise(0))
-    # Deterministic salt (a task retry or a second read must give the same key):
-    # a hash of the columns carried. Rows equal in all of them are interchangeable
-    # here and may share a bucket; exact copies therefore stay together.
-    salt = F.xxhash64(*[F.col(c) for c in base.columns])
-    tie = F.when(F.col("ntie").isNotNull(), F.pmod(salt, F.col("ntie"))).otherwise(F.lit(0))
-    keyed = (dated
-             .join(F.broadcast(lists), [*DAY_KEY, "sub"], "left")
-             .join(F.broadcast(stamps), [*DAY_KEY, "sub", "open_time_ts"], "left")
-             .withColumn("part", F.coalesce(part.cast("int"), F.lit(0)))
-             .withColumn("tie", F.coalesce(tie.cast("int"), F.lit(0)))
-             .drop("hot", "ntie"))
-    return keyed, [*DAY_KEY, "sub", "part", "tie"]
-
-
-SLICE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SLICE_PARTITIONS = 1_000_000
+KEY = [*DAY_KEY, "slice"]
+ORDER = ["open_time_ts", "close_price"]  # nulls first in both
 
 
 def slice_partitions(df: DataFrame) -> int:
-    """Partition count of the slice shuffle.
-
-    Fixed on purpose (an explicit ``repartition(n, key)``, which AQE does not
-    coalesce): the ranked candles and the halo rows must arrive with the same
-    partitioning so their union feeds the windows without another shuffle.
-    Because AQE cannot resize it, it is sized here: Catalyst's estimate of the
-    input over ``SLICE_PARTITION_BYTES``, never below the session's
-    ``spark.sql.shuffle.partitions`` (which alone decides when no estimate is
-    available)."""
-    from candlewick.plans.sizing import estimated_bytes
-
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
-    if size is None:
-        return configured
-    return int(max(configured, min(MAX_SLICE_PARTITIONS, -(-size // SLICE_PARTITION_BYTES))))
-
-
-def slice_offsets(keyed: DataFrame, key: list[str], base: DataFrame | None = None
-                  ) -> DataFrame:
+    """Partitions of both shuffles: the session's ``spark.sql.shuffle.partitions``."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slice_keys(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> DataFrame:
+    """Candles with their slice: the number of their range of the total order
+    (symbol, time, close price, row), about rows / ``slices`` rows each."""
+    n = slices or slice_partitions(klines)
+    return (_base(klines, carry).withColumn("_row", F.monotonically_increasing_id())
+            .repartitionByRange(n, "sym_key", *ORDER, "_row").drop("_row")
+            .withColumn("slice", F.spark_partition_id()))
+
+
+def slice_offsets(ranked: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Per slice: ``cnt`` and ``start`` (rows of the symbol before the slice).
-    Counted before the slice shuffle (map-side combined), so only slice-table
-    rows move for it. ``base`` (``sym_key``, ``base_rows``) adds rows that
-    precede the input (an incremental refresh)."""
-    counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("sym_key").orderBy(*key[1:])
+    ``base`` (``sym_key``, ``base_rows``) adds rows that precede the input (an
+    incremental refresh). ``cnt`` is the highest rank, so this reads the same
+    ranked rows as every other consumer."""
+    counts = ranked.groupBy(*KEY).agg(F.max("r").cast("long").alias("cnt"))
+    w = Window.partitionBy("sym_key").orderBy(*KEY[1:])
     before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                         F.lit(0))
     if base is not None:
         counts = counts.join(base.select("sym_key", "base_rows"), "sym_key", "left")
         before = before + F.coalesce(F.col("base_rows"), F.lit(0))
-    return counts.select(*key, "cnt", before.alias("start"))
+    return counts.select(*KEY, "cnt", before.alias("start"))
 
 
-def slice_closes(ranked: DataFrame, key: list[str]) -> DataFrame:
+def slice_closes(ranked: DataFrame) -> DataFrame:
     """Per slice: previous slice's last close and the symbol's first close, taken
     by rank ``r`` from the ranked rows, so ties in time resolve exactly as the
     ranking did (the aggregate reuses the ranked rows' partitioning)."""
-    closes = ranked.groupBy(*key).agg(
+    closes = ranked.groupBy(*KEY).agg(
         F.min_by("close_price", "r").alias("slice_first_close"),
         F.max_by("close_price", "r").alias("slice_last_close"),
     )
-    w = Window.partitionBy("sym_key").orderBy(*key[1:])
+    w = Window.partitionBy("sym_key").orderBy(*KEY[1:])
     return closes.select(
-        *key,
+        *KEY,
         F.lag("slice_last_close").over(w).alias("prev_last_close"),
         F.first("slice_first_close").over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -214,24 +125,20 @@ def slice_closes(ranked: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def rank_in_slices(klines: DataFrame, carry: tuple = (),
-                   max_slice_rows: int = MAX_SLICE_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(candles with ``r`` = row in the slice, keyed input, slice key). The one
-    shuffle of the candles happens here, as an explicit ``repartition(n, key)``."""
-    keyed, key = slice_keys(klines, carry, max_slice_rows)
-    ranked = keyed.repartition(slice_partitions(klines), *key) \
-        .withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("open_time_ts")))
-    return ranked, keyed, key
+def rank_in_slices(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> DataFrame:
+    """Candles with ``r`` = row in the slice, partitioned by slice."""
+    return (slice_keys(klines, carry, slices).repartition(slice_partitions(klines), *KEY)
+            .withColumn("r", F.row_number().over(Window.partitionBy(*KEY).orderBy(*ORDER))))
 
 
-def keep_partitioning(ranked: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
+def keep_partitioning(ranked: DataFrame, table: DataFrame) -> DataFrame:
     """Join a slice-table-sized frame onto the ranked candles, keeping the
     candles' slice partitioning: a sort-merge join whose candle side is already
     partitioned and sorted on the key, so only ``table`` moves. (Left to
     itself, AQE may broadcast whichever side finishes first under the
     threshold -- the candles, on small inputs -- and the result would lose the
     partitioning that the later windows and the halo union rely on.)"""
-    return ranked.hint("shuffle_merge").join(table, key)
+    return ranked.hint("shuffle_merge").join(table, KEY)
 
 
 def _restore(df: DataFrame) -> DataFrame:
@@ -239,21 +146,25 @@ def _restore(df: DataFrame) -> DataFrame:
                            "date": _date_of(F.col("day_key"))})
 
 
-def number_rows(klines: DataFrame, carry: tuple = (), max_slice_rows: int = MAX_SLICE_ROWS,
-                base: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(candles with ``row_num``, slice offsets, slice key). ``row_num`` =
-    ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY open_time_ts), computed per
+def number_rows(klines: DataFrame, carry: tuple = (), slices: int | None = None,
+                base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(candles with ``row_num``, slice offsets). ``row_num`` = ROW_NUMBER() OVER
+    (PARTITION BY symbol ORDER BY open_time_ts, close_price), computed per
     slice; the frame also keeps ``symbol``, ``date``, ``r`` (row in the slice),
     ``cnt``, ``start`` and the ``carry`` columns. Later windows order by
-    ``r``/``row_num``, never by time again, so rows tied in time keep one order."""
-    ranked, keyed, key = rank_in_slices(klines, carry, max_slice_rows)
-    offsets = slice_offsets(keyed, key, base)
-    numbered = keep_partitioning(ranked, offsets, key) \
-        .withColumn("row_num", F.col("start") + F.col("r"))
-    return _restore(numbered), offsets, key
+    ``r``/``row_num``, never by time again."""
+    ranked = rank_in_slices(klines, carry, slices)
+    offsets = slice_offsets(ranked, base)
+    numbered = keep_partitioning(ranked, offsets).withColumn("row_num", F.col("start") + F.col("r"))
+    return _restore(numbered), offsets
+
+
+def _since(from_date: str | None):
+    """Condition for rows of ``from_date`` and later (all rows if there is none)."""
+    return F.lit(True) if from_date is None else F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date"))
 
 
-def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+def market_returns_sliced(klines: DataFrame, slices: int | None = None,
                           base: DataFrame | None = None,
                           from_date: str | None = None) -> DataFrame:
     """M4: LAG inside the slice, previous slice's last close for a slice's first
@@ -261,30 +172,29 @@ def market_returns_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROW
 
     Incremental refresh: ``klines`` holds the rows from ``from_date`` on plus at
     least the last row before it (context, not emitted); ``base`` gives each
-    symbol's ``first_close_price`` from its stored state."""
-    ranked, _, key = rank_in_slices(klines, max_slice_rows=max_slice_rows)
-    by_rank = Window.partitionBy(*key).orderBy("r")
+    symbol's ``first_close_price`` from its stored state, null included."""
+    ranked = rank_in_slices(klines, slices=slices)
+    by_rank = Window.partitionBy(*KEY).orderBy("r")
     prev = F.when(F.col("r") == 1, F.col("prev_last_close")) \
         .otherwise(F.lag("close_price").over(by_rank))
-    closes = slice_closes(ranked, key)
+    closes = slice_closes(ranked)
     if base is not None:
-        stored = base.select("sym_key", F.col("first_close_price").alias("_stored_first"))
+        stored = base.select("sym_key", F.col("first_close_price").alias("_stored_first"),
+                             F.lit(True).alias("_has_prior"))
         closes = closes.join(stored, "sym_key", "left").withColumn(
-            "first_close_price", F.coalesce("_stored_first", "first_close_price")) \
-            .drop("_stored_first")
-    rows = _restore(keep_partitioning(ranked, closes, key))
-    if from_date is not None:
-        rows = rows.where(F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date")))
-    return rows.select("date", "symbol", "close_price", "first_close_price",
-                       prev.alias("previous_close_price")) \
+            "first_close_price", F.when(F.col("_has_prior"), F.col("_stored_first"))
+            .otherwise(F.col("first_close_price"))).drop("_stored_first", "_has_prior")
+    rows = _restore(keep_partitioning(ranked, closes))
+    return rows.where(_since(from_date)).select(
+        "date", "symbol", "close_price", "first_close_price", prev.alias("previous_close_price")) \
         .select("date", "symbol",
                 *returns_columns("close_price", "previous_close_price", "first_close_price"))
 
 
-def halo_sources(slices: DataFrame, key: list[str], look_back: int) -> DataFrame:
+def halo_sources(slices: DataFrame, look_back: int) -> DataFrame:
     """(source slice key) -> (``tgt_*`` target slice key, tgt_start): earlier slices
     whose rows fall in the ``look_back`` rows before the target slice's first row."""
-    order = key[1:]
+    order = KEY[1:]
     w = Window.partitionBy("sym_key").orderBy(*order).rowsBetween(-look_back, -1)
     earlier = F.collect_list(F.struct(*order, "start", "cnt")).over(w)
     first_needed = F.col("start") - (look_back - 1)  # 1-based position of the oldest row needed
@@ -300,10 +210,10 @@ def halo_sources(slices: DataFrame, key: list[str], look_back: int) -> DataFrame
     )
 
 
-def ema_day_sums(numbered: DataFrame, key: list[str]) -> DataFrame:
+def ema_day_sums(numbered: DataFrame) -> DataFrame:
     """Per (sym_key, day_key): the EMA numerator/denominator sums of the day's
     candles, with weights from their global row numbers."""
-    sums = numbered.groupBy(*key).agg(*[
+    sums = numbered.groupBy(*KEY).agg(*[
         agg for name, rate in EMA_RATES.items() for agg in (
             F.sum(F.col("close_price") * ema_weight(rate)).alias(f"{name}_num"),
             F.sum(ema_weight(rate)).alias(f"{name}_den"),
@@ -315,7 +225,7 @@ def ema_day_sums(numbered: DataFrame, key: list[str]) -> DataFrame:
 EMA_PARTS = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
 
 
-def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+def market_trend_sliced(klines: DataFrame, slices: int | None = None,
                         base: DataFrame | None = None,
                         from_date: str | None = None) -> DataFrame:
     """M5 on the sliced plan (same rows as the symbol-wide windows).
@@ -326,95 +236,97 @@ def market_trend_sliced(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
     before the context, and the EMA sums of all days before ``from_date``)
     carries the rest of each symbol's history."""
     look_back = max(SMA_ROWS.values()) - 1
-    numbered, slices, key = number_rows(klines, max_slice_rows=max_slice_rows, base=base)
-    order = key[1:]
+    numbered, offsets = number_rows(klines, slices=slices, base=base)
+    order = KEY[1:]
 
-    keep = [*key, "close_price", "row_num"]
+    keep = [*KEY, "close_price", "row_num"]
     own = numbered.select(*keep, F.lit(False).alias("halo"))
     tail = numbered.where(F.col("r") > F.col("cnt") - look_back).select(*keep)
     halo = (
-        tail.join(halo_sources(slices, key, look_back), key)
+        tail.join(halo_sources(offsets, look_back), KEY)
         .where(F.col("row_num") >= F.col("tgt_start") - (look_back - 1))
         .select("sym_key", *[F.col(f"tgt_{c}").alias(c) for c in order],
                 "close_price", "row_num", F.lit(True).alias("halo"))
-        .repartition(slice_partitions(klines), *key)
+        .repartition(slice_partitions(klines), *KEY)
     )
-    rows = Window.partitionBy(*key).orderBy("row_num")
+    rows = Window.partitionBy(*KEY).orderBy("row_num")
     sma = own.unionByName(halo).select(
-        *key, "row_num", "halo",
+        *KEY, "row_num", "halo",
         *[F.avg("close_price").over(rows.rowsBetween(-(n - 1), 0)).alias(name)
           for name, n in SMA_ROWS.items()],
     ).where(~F.col("halo"))
 
-    first_day = None if from_date is None else F.unix_date(F.lit(from_date).cast("date"))
-    summed = numbered if first_day is None else numbered.where(F.col("day_key") >= first_day)
-    per_day = ema_day_sums(summed, key)
+    per_day = ema_day_sums(numbered.where(_since(from_date)))
     upto = Window.partitionBy("sym_key").orderBy("day_key") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = {c: F.sum(c).over(upto) for c in EMA_PARTS}
     if base is not None:
         per_day = per_day.join(base.select("sym_key", *[F.col(c).alias(f"_prior_{c}")
                                                        for c in EMA_PARTS]), "sym_key", "left")
-        running = {c: running[c] + F.coalesce(F.col(f"_prior_{c}"), F.lit(0.0))
-                   for c in EMA_PARTS}
+        # a sum over null closes alone is null: it adds nothing to the sums so far, nor they to it
+        running = {c: F.when(running[c].isNull() | F.col(f"_prior_{c}").isNull(),
+                             F.coalesce(running[c], F.col(f"_prior_{c}")))
+                   .otherwise(running[c] + F.col(f"_prior_{c}")) for c in EMA_PARTS}
     ema_day = per_day.select(*DAY_KEY, *[
         (running[f"{name}_num"] / running[f"{name}_den"]).alias(name) for name in EMA_RATES
     ])
     # Spread the day's EMA over its slices so the final join is slice-keyed
     # (co-partitioned with the candles); both sides here are slice-table sized.
-    ema = slices.select(*key).join(ema_day, DAY_KEY)
-    return sma.join(ema, key).select(_date_of(F.col("day_key")).alias("date"),
+    ema = offsets.select(*KEY).join(ema_day, DAY_KEY)
+    return sma.join(ema, KEY).select(_date_of(F.col("day_key")).alias("date"),
                                      _symbol_of(F.col("sym_key")).alias("symbol"),
                                      *SMA_ROWS, *EMA_RATES)
 
 
-def series_state(klines: DataFrame, max_slice_rows: int = MAX_SLICE_ROWS,
+def series_state(klines: DataFrame, slices: int | None = None,
                  base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
     """Per (symbol, date): candle count, the day's first close (in row order) and
     the EMA sums with global row numbers -- what an incremental refresh needs of
     the days before it. Same inputs as :func:`market_trend_sliced`."""
-    numbered, _, key = number_rows(klines, max_slice_rows=max_slice_rows, base=base)
-    if from_date is not None:
-        numbered = numbered.where(F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date")))
+    numbered, _ = number_rows(klines, slices=slices, base=base)
+    numbered = numbered.where(_since(from_date))
     counts = numbered.groupBy(*DAY_KEY).agg(
         F.count(F.lit(1)).alias("cnt"),
         F.min_by("close_price", "row_num").alias("day_first_close"))
-    state = counts.join(ema_day_sums(numbered, key), DAY_KEY)
+    state = counts.join(ema_day_sums(numbered), DAY_KEY)
     return state.select(_symbol_of(F.col("sym_key")).alias("symbol"),
                         _date_of(F.col("day_key")).alias("date"),
                         "cnt", "day_first_close", *EMA_PARTS)
 
 
 def refresh_inputs(state: DataFrame, staged: DataFrame, from_date: str,
-                   look_back: int = max(SMA_ROWS.values()) - 1,
-                   max_days: int = MAX_HOT) -> tuple[DataFrame, DataFrame]:
+                   look_back: int = max(SMA_ROWS.values()) - 1) -> tuple[DataFrame, DataFrame]:
     """(candles to recompute, base) for a refresh of M4/M5 from ``from_date``.
 
     The candles are the staged rows from ``from_date`` on plus, per symbol, the
-    last ``look_back`` rows before it (read from the few days that hold them,
-    found on the state table, so only those partitions are read). ``base``
-    carries per symbol the rows before the context, the EMA sums of the days
-    before ``from_date`` and the first close."""
+    last ``look_back`` rows before it (found by their days on the state table;
+    of each hour of those days at most ``look_back`` rows go to the final
+    ranking). ``base`` carries per symbol the rows before the context, the EMA
+    sums of the days before ``from_date`` and the first close."""
     d0 = F.lit(from_date).cast("date")
-    prior = state.where(F.col("date") < d0)
+    early = F.col("date").isNull() | (F.col("date") < d0)  # rows without a time come first
+    prior = state.where(early)
     later = Window.partitionBy("symbol").orderBy(F.col("date").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    needed = prior.select("symbol", "date", (F.sum("cnt").over(later) - F.col("cnt"))
-                          .alias("rows_after")).where(F.col("rows_after") < look_back)
-    dates = sorted(r[0] for r in _collect_bounded(needed.select("date").distinct(),
-                                                   max_days, "context days"))
-    latest = Window.partitionBy("symbol").orderBy(F.col("open_time_ts").desc())
-    context = (staged.where(F.col("date").isin(dates))
-               .join(needed.select("symbol", "date"), ["symbol", "date"], "left_semi")
-               .withColumn("_k", F.row_number().over(latest))
-               .where(F.col("_k") <= look_back).drop("_k"))
-    n_context = context.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_context"))
-    base = (prior.groupBy("symbol").agg(
+    needed = prior.select(F.col("symbol").alias("_s"), F.col("date").alias("_d"),
+                          (F.sum("cnt").over(later) - F.col("cnt")).alias("rows_after")) \
+        .where(F.col("rows_after") < look_back)
+    latest = [F.col(c).desc() for c in ORDER]
+
+    def last(rows: DataFrame, *by) -> DataFrame:
+        return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*latest))) \
+            .where(F.col("_k") <= look_back).drop("_k")
+
+    same = F.col("symbol").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
+    context = last(last(staged.where(early).join(needed, same, "left_semi"),
+                        "symbol", "date", F.hour("open_time_ts")), "symbol")
+    n_context = context.groupBy(_sym_key(F.col("symbol")).alias("sym_key")).agg(F.count(F.lit(1)).alias("n_context"))
+    base = (prior.groupBy(_sym_key(F.col("symbol")).alias("sym_key")).agg(
                 F.sum("cnt").alias("prior_rows"),
-                F.min_by("day_first_close", "date").alias("first_close_price"),
+                F.min_by("day_first_close", _day_key(F.col("date"))).alias("first_close_price"),
                 *[F.sum(c).alias(c) for c in EMA_PARTS])
-            .join(n_context, "symbol", "left")
-            .select(_sym_key(F.col("symbol")).alias("sym_key"),
+            .join(n_context, "sym_key", "left")
+            .select("sym_key",
                     (F.col("prior_rows") - F.coalesce("n_context", F.lit(0))).alias("base_rows"),
                     "first_close_price", *EMA_PARTS))
     return context.unionByName(staged.where(F.col("date") >= d0)).drop("date"), base

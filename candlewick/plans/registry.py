@@ -148,7 +148,7 @@ SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        (close_price / NULLIF(first_value(close_price) OVER w, 0) - 1) * 100
          AS cumulative_return
 FROM k
-WINDOW w AS (PARTITION BY symbol ORDER BY open_time_ts)"""
+WINDOW w AS (PARTITION BY symbol ORDER BY open_time_ts NULLS FIRST, close_price NULLS FIRST)"""
 RETURNS_DOUBLES = ["daily_return", "cumulative_return"]
 
 
@@ -169,12 +169,13 @@ def q_returns_window(spark, sf_dir):
 
 TREND_SQL = f"""{K},
 n AS (SELECT CAST(open_time_ts AS DATE) AS date, symbol, open_time_ts, close_price,
-             row_number() OVER (PARTITION BY symbol ORDER BY open_time_ts) AS rn
+             row_number() OVER (PARTITION BY symbol
+               ORDER BY open_time_ts NULLS FIRST, close_price NULLS FIRST) AS rn
       FROM k)
 SELECT date, symbol,
-  avg(close_price) OVER (PARTITION BY symbol ORDER BY open_time_ts
+  avg(close_price) OVER (PARTITION BY symbol ORDER BY open_time_ts NULLS FIRST, close_price NULLS FIRST
                          ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS sma_7,
-  avg(close_price) OVER (PARTITION BY symbol ORDER BY open_time_ts
+  avg(close_price) OVER (PARTITION BY symbol ORDER BY open_time_ts NULLS FIRST, close_price NULLS FIRST
                          ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS sma_30,
   sum(close_price * exp(-0.2 * (rn - 1))) OVER d / sum(exp(-0.2 * (rn - 1))) OVER d AS ema_7,
   sum(close_price * exp(-0.07 * (rn - 1))) OVER d / sum(exp(-0.07 * (rn - 1))) OVER d
@@ -200,9 +201,6 @@ def q_trend_window(spark, sf_dir):
 
 # ---------------------------------------------------------------- staging, S23, Q1/Q2
 
-# Pairs configured for the test data (the adapter's symbols); they cover every row.
-TEST_SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
-
 STAGE_SQL = f"""{K}
 SELECT open_time_ts, close_time_ts, open_price, high_price, low_price, close_price, volume,
        quote_asset_volume, number_of_trades, taker_buy_base_asset_volume,
@@ -221,8 +219,8 @@ def q_stage(spark, sf_dir):
 def q_consolidated(spark, sf_dir):
     from candlewick.operators.staging import consolidated_klines, stage_klines
 
-    raw = klines(spark, sf_dir)
-    return consolidated_klines(*[stage_klines(raw, s) for s in TEST_SYMBOLS])
+    # one raw table with a symbol column: the stage of all pairs is one scan
+    return consolidated_klines(stage_klines(klines(spark, sf_dir)))
 
 
 @register("fill_timestamps", f"""
@@ -285,8 +283,8 @@ def q_checks(spark, sf_dir):
 PAGE_LIMIT = 100  # request size for the test data (the reference default, 1000, leaves one full page per symbol at sf0.01)
 # Present time for the cursor: the test data covers January 2024; extraction runs on Jan 31.
 NOW_MS = 1706659200000
-# Resume points are asked for the test pairs plus one configured pair with no landed file.
-RESUME_SYMBOLS = TEST_SYMBOLS + ["BTCBRL"]
+# Resume points are asked for the pairs of the data plus one configured pair with no landed file.
+UNLANDED_SYMBOL = "BTCBRL"
 
 NUMBERED_SQL = f"""
 SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS rn
@@ -375,14 +373,15 @@ def q_latest_file(spark, sf_dir):
 
 @register("resume_point", f"""
 SELECT s.symbol, coalesce(l.latest_start, 1577836800000) AS start_time
-FROM (VALUES {", ".join(f"('{s}')" for s in RESUME_SYMBOLS)}) AS s(symbol)
+FROM (SELECT DISTINCT symbol FROM ({PAGED_SQL}) AS p UNION SELECT '{UNLANDED_SYMBOL}') AS s
 LEFT JOIN (SELECT symbol, max(page_start) AS latest_start FROM ({FULL_PAGES_SQL}) AS f
            GROUP BY symbol) AS l ON s.symbol = l.symbol""")
 def q_resume_point(spark, sf_dir):
     from candlewick.schema import DEFAULT_START_MS
     from candlewick.sources.landing import resume_point
 
-    symbols = spark.createDataFrame([(s,) for s in RESUME_SYMBOLS], "symbol string")
+    symbols = (_pages(spark, sf_dir).select("symbol")
+               .union(spark.createDataFrame([(UNLANDED_SYMBOL,)], "symbol string")).distinct())
     files = _full_pages(spark, sf_dir).select("symbol", "source_file")
     return resume_point(files, symbols, DEFAULT_START_MS)
 

@@ -111,22 +111,12 @@ def pages_from_candles(candles: DataFrame, limit: int) -> DataFrame:
     """Test-data adapter: cut each symbol's candles, in time order, into pages of
     ``limit`` rows (the last one usually short) as the exchange would serve
     them. Row numbers come from the sliced numbering, so no symbol's history
-    lands in one task (a plain per-symbol ``row_number`` when the input is
-    provably small, as ``strategy="auto"`` does for the models); each page
-    group holds at most ``limit`` rows."""
-    from pyspark.sql import Window
-
+    lands in one task; each page group holds at most ``limit`` rows."""
     from candlewick.functions.time import fill_timestamps
     from candlewick.operators.sliced import number_rows
-    from candlewick.plans.sizing import fits_one_task
 
     cols = [f.name for f in LANDED_SCHEMA]
-    timed = fill_timestamps(candles)
-    if fits_one_task(timed):
-        numbered = timed.withColumn("row_num", F.row_number().over(
-            Window.partitionBy("symbol").orderBy("open_time_ts")))
-    else:
-        numbered, _, _ = number_rows(timed, carry=tuple(cols))
+    numbered, _ = number_rows(fill_timestamps(candles), carry=tuple(cols))
     items = numbered.select(
         "symbol",
         F.floor((F.col("row_num") - 1) / limit).cast("int").alias("page"),

@@ -1,5 +1,5 @@
 """Property: on any history, the sliced plan (with hot-day splitting forced by a
-tiny ``max_slice_rows``) gives exactly the rows of the reference's windows."""
+tiny ``slices``) gives exactly the rows of the reference's windows."""
 
 import datetime as dt
 
@@ -18,7 +18,7 @@ HISTORY = st.dictionaries(
 
 @settings(max_examples=6, deadline=None)
 @given(HISTORY, st.integers(min_value=1, max_value=9))
-def test_sliced_equals_windows(spark, history, max_slice_rows):
+def test_sliced_equals_windows(spark, history, slices):
     rows = []
     for (sym, minute), close in history.items():
         t = dt.datetime(2024, 1, 1, tzinfo=UTC) + dt.timedelta(minutes=minute)
@@ -26,6 +26,6 @@ def test_sliced_equals_windows(spark, history, max_slice_rows):
     k = klines_df(spark, rows)
     for plan, window in ((sliced.market_trend_sliced, series.market_trend),
                          (sliced.market_returns_sliced, series.market_returns)):
-        a = rounded(plan(k, max_slice_rows).collect(), 9)
+        a = rounded(plan(k, slices).collect(), 9)
         b = rounded(window(k, "window").collect(), 9)
         assert a == b

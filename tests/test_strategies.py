@@ -56,40 +56,43 @@ def test_random_histories(spark, seed):
     _same(series.market_returns(k, "sliced"), series.market_returns(k, "window"))
 
 
-@pytest.mark.parametrize("max_slice_rows", [1, 3, 7])
-def test_hot_days_are_cut_into_sub_slices(spark, max_slice_rows):
-    """Days above ``max_slice_rows`` candles are split in time; same rows as windows."""
+def _candle(symbol, time, close, volume=1.0):
+    return (symbol, time, 1.0, 2.0, 0.5, close, volume, 1.0, 1)
+
+
+@pytest.mark.parametrize("slices", [2, 5, 23])
+def test_hot_days_are_cut(spark, slices):
+    """Any number of slices gives the rows of the windows; days are split when there are more."""
     from candlewick.operators import sliced
 
     k = klines_df(spark, _random_history(11, ["AAA", "BBB"], 15, 40))
-    keyed, key = sliced.slice_keys(k, max_slice_rows=max_slice_rows)
-    assert "sub" in key and keyed.where("sub > 0").count() > 0
-    biggest = keyed.groupBy(*key).count().agg({"count": "max"}).first()[0]
-    plain = keyed.groupBy(*sliced.DAY_KEY).count().agg({"count": "max"}).first()[0]
-    assert biggest < plain
-    _same(sliced.market_trend_sliced(k, max_slice_rows), series.market_trend(k, "window"))
-    _same(sliced.market_returns_sliced(k, max_slice_rows), series.market_returns(k, "window"))
-
-
-def test_hot_timestamp_is_spread_over_tie_buckets(spark):
-    """50 candles share one timestamp (equal close, so their order cannot change
-    any output); with max_slice_rows=7 they are split, and results equal windows."""
+    _same(sliced.market_trend_sliced(k, slices), series.market_trend(k, "window"))
+    _same(sliced.market_returns_sliced(k, slices), series.market_returns(k, "window"))
+
+
+def test_hot_times_null_times_and_copies_are_split(spark):
+    """A third of the rows each: one timestamp, no timestamp, exact copies. No slice keeps them together,
+    building the plan starts no job, and the rows equal the windows (ties in time go by close)."""
+    from pyspark.sql import functions as F
+
     from candlewick.operators import sliced
 
     rng = random.Random(5)
-    rows = [("AAA", f"2024-01-01 00:{m:02d}", 1.0, 2.0, 0.5, round(rng.uniform(1, 9), 2),
-             1.0, 1.0, 1) for m in range(0, 40, 2)]
-    rows += [("AAA", "2024-01-01 00:17", 1.0, 2.0, 0.5, 5.0, float(i), 1.0, 1)
-             for i in range(50)]
-    rows += [("AAA", f"2024-01-02 00:{m:02d}", 1.0, 2.0, 0.5, round(rng.uniform(1, 9), 2),
-              1.0, 1.0, 1) for m in range(12)]
+    rows = [_candle("AAA", f"2024-01-01 00:{m:02d}", round(rng.uniform(1, 9), 2)) for m in range(0, 40, 2)]
+    rows += [_candle("AAA", "2024-01-01 00:17", round(rng.uniform(1, 9), 2), float(i)) for i in range(200)]
+    rows += [_candle("AAA", "2024-01-01 00:23", 5.0) for _ in range(200)]
+    rows += [_candle("AAA", f"2024-01-02 00:{m:02d}", round(rng.uniform(1, 9), 2)) for m in range(12)]
     k = klines_df(spark, rows)
-    keyed, key = sliced.slice_keys(k, carry=("volume",), max_slice_rows=7)
-    assert key == ["sym_key", "day_key", "sub", "part", "tie"]
-    sizes = [r["count"] for r in keyed.groupBy(*key).count().collect()]
-    assert max(sizes) < 50 and len(sizes) > 3
-    _same(sliced.market_trend_sliced(k, 7), series.market_trend(k, "window"))
-    _same(sliced.market_returns_sliced(k, 7), series.market_returns(k, "window"))
+    lost = klines_df(spark, [_candle("AAA", "2024-01-03 00:00", round(rng.uniform(1, 9), 2)) for _ in range(200)])
+    k = k.unionByName(lost.withColumn("open_time_ts", F.lit(None).cast("timestamp"))).repartition(3)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    plans = [sliced.market_trend_sliced(k, 16), sliced.market_returns_sliced(k, 16), sliced.slice_keys(k, slices=16)]
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    sizes = [r["count"] for r in plans[2].groupBy(*sliced.KEY).count().collect()]
+    assert max(sizes) < 3 * len(rows) / 16 + 30 and sum(sizes) == k.count()
+    _same(plans[0], series.market_trend(k, "window"))
+    _same(plans[1], series.market_returns(k, "window"))
 
 
 def test_null_time_and_symbol_rows_are_kept(spark):
@@ -113,16 +116,6 @@ def test_test_data(spark):
     _same(series.market_returns(k, "sliced"), series.market_returns(k, "window"))
 
 
-def test_auto_picks_windows_for_small_inputs(spark):
-    from candlewick.operators.series import _resolve
-    from candlewick.plans import sizing
-
-    k = klines(spark, "/root/testdata/sf0.001")
-    assert _resolve("auto", k) == "window"
-    assert sizing.estimated_bytes(k) > 0
-    old = sizing.SINGLE_TASK_BYTES
-    try:
-        sizing.SINGLE_TASK_BYTES = 1
-        assert sizing.fits_one_task(k, limit=1) is False
-    finally:
-        sizing.SINGLE_TASK_BYTES = old
+def test_unknown_strategy(spark):
+    with pytest.raises(ValueError, match="unknown strategy"):
+        series.market_trend(klines(spark, "/root/testdata/sf0.001"), "auto")
