@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--symbols", help="comma-separated pairs (default: all landed)")
     parser.add_argument("--strategy", default="sliced", choices=["sliced", "window"])
     parser.add_argument("--incremental", action="store_true",
-                        help="run: rewrite staging and M1-M3 only for the days loaded now")
+                        help="run: rewrite the tables only for days that changed (the returns and trend tables from the first one on)")
     parser.add_argument("--master", help="e.g. local[*]; omit under spark-submit")
     args = parser.parse_args(argv)
     if args.command != "check" and not args.landing:

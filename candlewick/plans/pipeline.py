@@ -17,15 +17,19 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candlewick.functions.paths import symbol_from_path
 from candlewick.functions.time import trade_date
 from candlewick.operators import daily, series, sliced
+from candlewick.operators.ledger import path_exists, read_ledger
 from candlewick.operators.quality import assert_checks, run_checks
 from candlewick.operators.staging import stage_klines
 from candlewick.plans.load import LoadResult, load_incremental
+from candlewick.schema import RAW_SCHEMA
 from candlewick.session import checkpoint_dir, ensure_utc
-from candlewick.sinks.models import write_model
+from candlewick.sinks.models import clear_days, write_model
 from candlewick.sources.raw import read_raw
 
 MODELS = ["market_summary", "market_volatility", "market_liquidity", "market_returns",
@@ -39,27 +43,37 @@ class PipelineResult:
     checks: int = 0
 
 
-MAX_REFRESH_DAYS = 100_000
+CONSUMED_COLUMNS = ["source_file", "load_id", "event"]
 
 
-def refreshed_days(spark: SparkSession, raw_path: str, load_ids: list[str]) -> list:
-    """Dates holding rows of the given loads (their raw partitions only)."""
-    from pyspark.sql import functions as F
+def pending_events(spark: SparkSession, ledger_path: str, consumed_path: str | None = None,
+                   symbols: list[str] | None = None) -> DataFrame:
+    """Ledger events (loads and tombstones) that the model tables do not reflect yet; all, without
+    a table of consumed ones."""
+    events = read_ledger(spark, ledger_path).select(*CONSUMED_COLUMNS).distinct()
+    if symbols is not None:
+        events = events.where(symbol_from_path("source_file").isin(symbols))
+    if consumed_path is None:
+        return events
+    done = spark.read.schema(events.schema).parquet(consumed_path)
+    return events.join(done, CONSUMED_COLUMNS, "left_anti")
 
-    from candlewick.schema import RAW_SCHEMA
 
-    if not load_ids:
-        return []
-    rows = (spark.read.schema(RAW_SCHEMA).parquet(raw_path)
-            .where(F.col("load_id").isin(load_ids)).select("date").distinct()
-            .limit(MAX_REFRESH_DAYS + 1).collect())
-    if len(rows) > MAX_REFRESH_DAYS:
-        raise RuntimeError("too many days for an incremental refresh; run a full rebuild")
-    return sorted(r[0] for r in rows)
+def touched_days(spark: SparkSession, raw_path: str, events: DataFrame) -> list:
+    """Days (null among them) that hold raw rows of the given events, visible or not. One value per
+    calendar day of the new data."""
+    rows = spark.read.schema(RAW_SCHEMA).parquet(raw_path).select("load_id", "source_file", "date")
+    keys = events.select("load_id", "source_file").distinct()
+    return [r[0] for r in rows.join(keys, ["load_id", "source_file"], "left_semi").select("date").distinct().collect()]
+
+
+def on_days(df: DataFrame, days: list) -> DataFrame:
+    known = F.col("date").isin([d for d in days if d is not None])
+    return df.where(known | F.col("date").isNull() if None in days else known)
 
 
 def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
-                 symbols: list[str] | None = None, strategy: str = "auto",
+                 symbols: list[str] | None = None, strategy: str = "sliced",
                  parallelism: int = 4, incremental: bool = False) -> PipelineResult:
     """Load, stage, build and check. The five models are independent Spark jobs
     over the staged table and are submitted from ``parallelism`` driver threads
@@ -67,36 +81,46 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
     ran four models at a time.
 
     ``incremental=True`` (once the tables exist) rewrites the tables only for
-    the dates that this run's loads touched, with partition-pruned reads and a
-    dynamic partition overwrite. Staging and M1-M3 are per day, so no other
-    day can change. M4/M5 are recomputed from the earliest touched day on:
-    the rest of each symbol's history enters through the ``series_state``
-    table (per symbol-day counts, first close, EMA sums) and its last 29
-    candles, so a daily run reads the new days, not the whole history. Dates
-    whose rows were withdrawn with ``unmark`` are not tracked: after
-    un-marking, run once without ``incremental``."""
-    from pyspark.sql import functions as F
-
-    from candlewick.operators.ledger import path_exists
-
+    the days with loads or withdrawn files that the tables do not reflect yet,
+    with partition-pruned reads and a dynamic partition overwrite. Which ledger
+    events they reflect is recorded in ``consumed`` after all tables and checks
+    succeeded, so a run that stopped between the load commit and the last table
+    is made up for by the next one, and so is a load or an un-marking outside
+    the pipeline. With ``symbols``, the other symbols' rows of those days are
+    carried over unchanged.
+
+    Staging and M1-M3 are per day, so no other day can change. M4/M5 are
+    recomputed from the earliest touched day on: the rest of each symbol's
+    history enters through the ``series_state`` table (per symbol-day counts,
+    first close, EMA sums) and its last 29 candles. Candles without a time come
+    before all others, so a touched null day recomputes M4/M5 whole. Checks run
+    on the days that were rewritten."""
     ensure_utc(spark)
     checkpoint_dir(spark)
-    raw_path, ledger_path = f"{warehouse}/raw", f"{warehouse}/ledger"
+    raw_path, ledger_path, consumed_path = (f"{warehouse}/{n}" for n in ("raw", "ledger", "consumed"))
     loaded = load_incremental(spark, landing_root, raw_path, ledger_path)
     tables = {name: f"{warehouse}/{name}" for name in ["stg_klines", *MODELS, "series_state"]}
-    refresh = incremental and all(path_exists(spark, p) for p in tables.values())
-    days = refreshed_days(spark, raw_path, loaded.load_ids) if refresh else None
+    refresh = incremental and all(path_exists(spark, p) for p in [*tables.values(), consumed_path])
+    # a fixed list: what is loaded or withdrawn from here on is left to the next run
+    pending = pending_events(spark, ledger_path, consumed_path if refresh else None, symbols).checkpoint()
+    days = touched_days(spark, raw_path, pending) if refresh else None
     if refresh and not days:  # nothing new: the tables are current
+        pending.write.mode("append").parquet(consumed_path)
         return PipelineResult(loaded, tables, 0)
 
     staged = stage_klines(read_raw(spark, raw_path, ledger_path, symbols)) \
         .withColumn("date", trade_date("open_time_ts"))
     if refresh:
-        staged = staged.where(F.col("date").isin(days))
+        staged = on_days(staged, days)
+        if symbols is not None:
+            kept = on_days(spark.read.parquet(tables["stg_klines"]), days)
+            staged = staged.unionByName(kept.where(~F.coalesce(F.col("symbol").isin(symbols), F.lit(False))))
+        staged = staged.checkpoint()  # the table it may read from is overwritten next
+        clear_days(spark, tables["stg_klines"], days)
     # Raw files each hold one (symbol, day), so staging needs no rebalance.
     write_model(staged, tables["stg_klines"], rebalance=False, incremental=refresh)
-    stg_all = spark.read.parquet(tables["stg_klines"])
-    stg_new = stg_all.where(F.col("date").isin(days)) if refresh else stg_all
+    stg_all = spark.read.schema(staged.schema).parquet(tables["stg_klines"])
+    stg_new = on_days(stg_all, days) if refresh else stg_all
     checks = assert_checks(run_checks({"stg_klines": stg_new.drop("date")}))
 
     stg = stg_all.drop("date")
@@ -106,10 +130,10 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
         "market_volatility": (daily.volatility_from_daily(day), refresh),
         "market_liquidity": (daily.liquidity_from_daily(day), refresh),
     }
-    if refresh:
+    start = min(days).isoformat() if refresh and None not in days else None
+    if start is not None:
         # M4/M5 from the earliest touched day on, the rest of the history
         # through the stored per-day state (counts, EMA sums, first close).
-        start = min(days).isoformat()
         klines, base = sliced.refresh_inputs(spark.read.parquet(tables["series_state"]),
                                              stg_all, start)
         outputs.update({
@@ -125,11 +149,21 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse: str,
             "market_trend": (series.market_trend(stg, strategy), False),
             "series_state": (sliced.series_state(stg), False),
         })
+    if refresh:  # a day that lost all its candles has no rows to overwrite it with
+        for name, (_, partial) in outputs.items():
+            if partial:  # series_state is read before the first of these days only
+                clear_days(spark, tables[name], days)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         jobs = [pool.submit(write_model, df, tables[name], "date", partial)
                 for name, (df, partial) in outputs.items()]
         for done in jobs:
             done.result()  # re-raise the first failure
-    written = {name: spark.read.parquet(tables[name]) for name in MODELS}
+    written = {name: spark.read.schema(df.schema).parquet(tables[name]) for name, (df, _) in outputs.items()
+               if name in MODELS}
+    if refresh:
+        since = F.lit(True) if start is None else F.col("date") >= F.lit(start).cast("date")
+        written = {name: df.where(since) if name in ("market_returns", "market_trend") else on_days(df, days)
+                   for name, df in written.items()}
     checks += assert_checks(run_checks(written))
+    pending.write.mode("append" if refresh else "overwrite").parquet(consumed_path)
     return PipelineResult(loaded, tables, checks)

@@ -595,3 +595,61 @@ def q_pipeline_incremental_returns(spark, sf_dir):
     result = _pipeline_incremental(spark, sf_dir)
     return spark.read.parquet(result.tables["market_returns"]).select(
         "date", "symbol", "daily_return", "cumulative_return")
+
+
+@register("pipeline_resumed_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+def q_pipeline_resumed(spark, sf_dir):
+    """A run that stopped after the load commit: the pages are loaded, but no model has seen them.
+    The next incremental run finds nothing to load and still brings the tables up to date."""
+    from candlewick.plans.load import load_incremental
+    from candlewick.plans.pipeline import run_pipeline
+
+    run = _Landing(spark, "resumed")
+    wh = f"{run.base}/warehouse"
+    run.land(spark, sf_dir, before_ms=CUT_MS)
+    run_pipeline(spark, run.landing, wh, incremental=True)
+    run.land_resumed(spark, sf_dir)
+    load_incremental(spark, run.landing, f"{wh}/raw", f"{wh}/ledger")
+    result = run_pipeline(spark, run.landing, wh, incremental=True)
+    return spark.read.parquet(result.tables["market_trend"]).select(
+        "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
+
+
+@register("pipeline_symbols_incremental", SUMMARY_SQL.replace(
+    K, f"""WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r
+  WHERE page_start < {CUT_MS} OR symbol <= 'ERROR')"""), SUMMARY_DOUBLES)
+def q_pipeline_symbols(spark, sf_dir):
+    """After a run over the early pages, an incremental run for some symbols only: theirs are
+    current, and the others' rows stay as they were."""
+    from candlewick.plans.pipeline import run_pipeline
+
+    run = _Landing(spark, "symbols")
+    run.land(spark, sf_dir, before_ms=CUT_MS)
+    run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
+    run.land_resumed(spark, sf_dir)
+    chosen = [r[0] for r in klines(spark, sf_dir).where("symbol <= 'ERROR'").select("symbol").distinct().collect()]
+    result = run_pipeline(spark, run.landing, f"{run.base}/warehouse", symbols=chosen, incremental=True)
+    return spark.read.parquet(result.tables["market_summary"]).select(
+        "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
+        "number_of_trades")
+
+
+@register("pipeline_unmark_market_summary", SUMMARY_SQL.replace(
+    K, f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r WHERE page_start < {CUT_MS})"), SUMMARY_DOUBLES)
+def q_pipeline_unmark(spark, sf_dir):
+    """All pages are loaded and modelled, then the later ones are withdrawn (and no longer landed):
+    the next incremental run takes their rows, and whole days, out of the models."""
+    from candlewick.operators.ledger import unmark
+    from candlewick.plans.pipeline import run_pipeline
+    from candlewick.sources.landing import scan_landing
+
+    run, early = _Landing(spark, "unmarked"), _Landing(spark, "early")
+    run.land(spark, sf_dir)
+    early.land(spark, sf_dir, before_ms=CUT_MS)
+    wh = f"{run.base}/warehouse"
+    run_pipeline(spark, run.landing, wh, incremental=True)
+    unmark(spark, scan_landing(spark, run.landing).where(F.col("page_start") >= CUT_MS), f"{wh}/ledger")
+    result = run_pipeline(spark, early.landing, wh, incremental=True)
+    return spark.read.parquet(result.tables["market_summary"]).select(
+        "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
+        "number_of_trades")

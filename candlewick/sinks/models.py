@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_model(df: DataFrame, path: str, partition: str = "date",
@@ -27,3 +27,14 @@ def write_model(df: DataFrame, path: str, partition: str = "date",
     else:
         writer = writer.option("partitionOverwriteMode", "static")
     writer.parquet(path)
+
+
+def clear_days(spark: SparkSession, path: str, days: list) -> None:
+    """Remove the partitions of the given days, so that a day whose rows are all gone does not keep
+    its old ones (a dynamic overwrite touches only days that the new rows have)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for day in days:
+        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/date={name}")
+        folder.getFileSystem(conf).delete(folder, True)
