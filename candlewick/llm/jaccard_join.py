@@ -261,10 +261,12 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
                                           F.first("places").alias("places"))
     members = stored(joining.select("group", "node", "text_key")
                      .join(groups.select("group", "center", "classes"), "group").drop("group"), "group-members")
-    blocks = (groups.select("center", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
-              .select("center", "n", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")))
-    shared = blocks.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    blocks = stored(blocks.join(shared, "token", "left_semi"), "shared-blocks")
+    # before: the shingle before this one in the prefix, or itself for the first
+    blocks = (groups.select("center", "n", "classes", F.explode(F.expr(
+        "transform(tokens, (t, i) -> struct(t as token, tokens[greatest(i - 1, 0)] as before, places[i] as place))"))
+        .alias("t")).select("center", "n", "classes", "t.*"))
+    shared = blocks.groupBy("token").agg(F.sum("classes").alias("k")).where("k > 1").select("token")
+    blocks = stored(blocks.join(shared, "token", "left_semi").drop("classes"), "shared-blocks")
 
     # texts of every class that may be compared: in a shared block, or not alone in its group
     wanted = (members.join(blocks.select("center").distinct().withColumn("shared", F.lit(True)), "center", "left")
@@ -289,18 +291,23 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
     mixed = (spread_out.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a < b").select("token"))
     mixed_blocks = stored(spread_out.join(mixed, "token", "left_semi")
-                          .select("token", "component", "node", "n", "place"), "mixed-blocks")
-    # bounds over a component's members in a block: their sizes must allow a link with another component's
-    spread = mixed_blocks.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left = spread.toDF("token", "a", "least_a", "most_a")
-    right = spread.toDF("token", "b", "least_b", "most_b")
+                          .select("token", "before", "component", "node", "n", "place"), "mixed-blocks")
+    # A pair is wanted at its first common shingle only: members with the same shingle before this one
+    # have met there. So parts of a block (component, shingle before) meet parts that differ in both,
+    # if the bounds over their members allow a link; then the members of such parts are expanded.
+    parts = mixed_blocks.groupBy("token", "before", "component").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("rest"))
+    left = parts.toDF("token", "before_u", "a", "least_a", "most_a", "rest_a")
+    right = parts.toDF("token", "before_v", "b", "least_b", "most_b", "rest_b")
     meet = (left.join(right, "token")
-            .where(f"a < b and 100 * most_a >= {percent} * least_b and 100 * most_b >= {percent} * least_a")
-            .select("token", "a", "b"))
-    x = mixed_blocks.toDF("token", "a", "u", "n_u", "place_u")
-    y = mixed_blocks.toDF("token", "b", "v", "n_v", "place_v")
+            .where(f"a < b and (before_u <> before_v or before_u = token)"
+                   f" and 100 * most_a >= {percent} * least_b and 100 * most_b >= {percent} * least_a"
+                   f" and {100 + percent} * least(rest_a, rest_b) >= {percent} * (least_a + least_b)")
+            .select("token", "before_u", "a", "before_v", "b"))
+    x = mixed_blocks.toDF("token", "before_u", "a", "u", "n_u", "place_u")
+    y = mixed_blocks.toDF("token", "before_v", "b", "v", "n_v", "place_v")
     # overlap needed: percent / (100 + percent) of both sizes; left from a first common shingle at these places
-    rest = (meet.join(x, ["token", "a"]).join(y, ["token", "b"])
+    rest = (meet.join(x, ["token", "before_u", "a"]).join(y, ["token", "before_v", "b"])
             .where(f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
                    f" and {100 + percent} * least(n_u - place_u, n_v - place_v) >= {percent} * (n_u + n_v)")
             .select("u", "v").distinct())

@@ -228,6 +228,21 @@ def test_similarity_join(make_docs, odd_rows, monkeypatch, hot):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, c in linked(rows) if i == c}
 
 
+def test_classes_of_one_group_are_compared_with_each_other(make_docs):
+    """Documents of one size and prefix of which only the later two are similar: no chance may hide it."""
+    rng = random.Random(21)
+    for seed in range(2):
+        base = [f"b{seed}x{i}" for i in range(60)]
+        rows = []
+        for i in range(12):
+            w = list(base)
+            a = rng.randrange(4) * 12
+            w[a:a + 12] = [f"c{seed}y{i % 3}z{j}" for j in range(12)]
+            rows.append((i, " ".join(w)))
+        got = jaccard_join.linked(make_docs(rows)).collect()
+        assert sorted(map(tuple, got)) == sorted(linked(rows))
+
+
 def test_similarity_join_of_nothing(make_docs):
     assert jaccard_join.linked(make_docs([])).count() == 0
     assert jaccard_join.linked(make_docs([(1, None), (2, "")])).count() == 2
