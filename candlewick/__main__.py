@@ -55,12 +55,12 @@ def main(argv: list[str] | None = None) -> int:
         from candlewick.plans.load import load_incremental
 
         result = load_incremental(spark, args.landing, f"{wh}/raw", f"{wh}/ledger")
-        out = {"load_ids": result.load_ids, "files": result.files}
+        out = {"load_ids": result.load_ids, "files": result.files, "failed": result.failed}
     elif args.command == "stream":
         from candlewick.streaming.incremental import run_stream_once
 
-        run_stream_once(spark, args.landing, f"{wh}/raw_stream", f"{wh}/raw_stream_checkpoint")
-        out = {"table": f"{wh}/raw_stream"}
+        run_stream_once(spark, args.landing, f"{wh}/raw", f"{wh}/ledger", f"{wh}/raw_stream_checkpoint")
+        out = {"table": f"{wh}/raw"}
     else:
         from candlewick.operators.quality import assert_checks, run_checks
         from candlewick.plans.pipeline import MODELS

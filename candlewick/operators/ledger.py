@@ -80,8 +80,8 @@ def is_loaded(ledger: DataFrame, source_file: str) -> bool:
 
 
 def _append(events: DataFrame, path: str) -> None:
-    # One small file per commit; the ledger grows by one file per load.
-    events.select(*LEDGER_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    # The rebalance makes small commits one file each and lets AQE split a large one.
+    events.select(*LEDGER_SCHEMA.fieldNames()).hint("rebalance").write.mode("append").parquet(path)
 
 
 def mark_loaded(files: DataFrame, path: str, load_id: str) -> None:
@@ -92,6 +92,16 @@ def mark_loaded(files: DataFrame, path: str, load_id: str) -> None:
         F.lit(load_id).alias("load_id"), F.lit(LOADED).alias("event")), path)
 
 
+def replace_loaded(spark: SparkSession, files: DataFrame, path: str, load_id: str) -> None:
+    """Record ``files`` as loaded by ``load_id`` and withdraw them from every other load, in one
+    append: readers go from the old rows to the new ones at once. Doing it again changes nothing."""
+    files = files.select("source_file").distinct()
+    old = active_files(read_ledger(spark, path)).where(F.col("load_id") != load_id) \
+        .join(files, "source_file", "left_semi").withColumn("event", F.lit(REMOVED))
+    new = files.withColumn("load_id", F.lit(load_id)).withColumn("event", F.lit(LOADED))
+    _append(new.unionByName(old).withColumn("loaded_at", F.current_timestamp()), path)
+
+
 def unmark(spark: SparkSession, files: DataFrame, path: str) -> None:
     """Withdraw ``files`` from every load that holds them (tombstones). Their
     raw rows become invisible and the next incremental load picks them up again."""

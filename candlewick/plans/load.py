@@ -18,10 +18,11 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+
 from candlewick.functions.paths import symbol_from_path
 from candlewick.operators.ledger import ensure_ledger, mark_loaded, new_files_only, read_ledger
 from candlewick.sources.landing import read_landed, scan_landing
-from candlewick.session import scratch_dir
+from candlewick.session import remove_folder, scratch_dir
 from candlewick.sources.raw import append_raw, ensure_raw_table, to_raw
 
 
@@ -30,6 +31,7 @@ class LoadResult:
     load_id: str | None  # the last commit's id (None when nothing was new)
     files: int
     load_ids: list[str] = field(default_factory=list)
+    failed: list[str] = field(default_factory=list)  # pages whose files could not be read
 
 
 class CrashForTest(RuntimeError):
@@ -37,6 +39,9 @@ class CrashForTest(RuntimeError):
 
 
 MAX_FILES_PER_LOAD = 200_000
+# Spark's error conditions for a file that cannot be read or is not Parquet.
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE", "not a Parquet file", "Could not read footer",
+              "PARQUET_COLUMN_DATA_TYPE_MISMATCH", "PARQUET_TYPE")
 
 
 def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str,
@@ -50,7 +55,12 @@ def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledg
     The listing of new files is written once to a scratch table (a stable
     snapshot that survives lost executors) and streamed back to the driver in
     page order, one batch at a time: the driver never holds more than one
-    batch of file names, and never any rows."""
+    batch of file names, and never any rows.
+
+    A page whose file cannot be read does not stop the others: its batch is cut
+    in halves until the page is alone, the rest is committed, and the page is
+    reported in ``failed``. It is not marked, so a later run loads it once it
+    is repaired."""
     ensure_raw_table(spark, raw_path)
     ensure_ledger(spark, ledger_path)
     new = new_files_only(scan_landing(spark, landing_root), read_ledger(spark, ledger_path))
@@ -58,31 +68,40 @@ def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledg
     new.select("source_file", "path").write.parquet(listing)
     snapshot = spark.read.parquet(listing).orderBy("source_file", "path")
 
-    ids, pages = [], 0
+    ids, failed = [], []
 
-    def commit(sources: list[str], paths: list[str]) -> None:
+    def commit(files: dict[str, list[str]]) -> int:
+        """Load the files of these pages; returns the number of pages committed."""
         load_id = uuid.uuid4().hex
-        landed = read_landed(spark, paths, landing_root)
-        landed = landed.withColumn("symbol", symbol_from_path("source_file"))
-        append_raw(to_raw(landed, load_id), raw_path)
+        try:
+            landed = read_landed(spark, [p for paths in files.values() for p in paths])
+            landed = landed.withColumn("symbol", symbol_from_path("source_file"))
+            append_raw(to_raw(landed, load_id), raw_path)
+        except Exception as e:  # the condition decides: Spark raises it through the writer's own error
+            if not any(u in str(e) for u in UNREADABLE):
+                raise
+            if len(files) == 1:
+                failed.extend(files)
+                return 0
+            names = list(files)
+            half = len(names) // 2
+            return sum(commit({n: files[n] for n in part}) for part in (names[:half], names[half:]))
         if fail_before_commit:
             raise CrashForTest("stopped between the raw append and the ledger commit")
         # The ledger rows name exactly the pages read: a page landed while the
         # load runs is neither read nor marked.
-        mark_loaded(spark.createDataFrame([(x,) for x in sources], "source_file string"),
+        mark_loaded(spark.createDataFrame([(x,) for x in files], "source_file string"),
                     ledger_path, load_id)
         ids.append(load_id)
+        return len(files)
 
-    sources, paths = [], []
+    pages, files = 0, {}
     for row in snapshot.toLocalIterator():
-        if row["source_file"] != (sources[-1] if sources else None):
-            if len(sources) == max_files_per_load:
-                commit(sources, paths)
-                pages += len(sources)
-                sources, paths = [], []
-            sources.append(row["source_file"])
-        paths.append(row["path"])
-    if sources:
-        commit(sources, paths)
-        pages += len(sources)
-    return LoadResult(ids[-1] if ids else None, pages, ids)
+        if row["source_file"] not in files and len(files) == max_files_per_load:
+            pages += commit(files)
+            files = {}
+        files.setdefault(row["source_file"], []).append(row["path"])
+    if files:
+        pages += commit(files)
+    remove_folder(spark, listing)
+    return LoadResult(ids[-1] if ids else None, pages, ids, failed)

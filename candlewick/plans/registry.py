@@ -523,22 +523,64 @@ def q_unmark(spark, sf_dir):
 @register("stream_load", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r",
           CANDLE_DOUBLES)
 def q_stream_load(spark, sf_dir):
-    """Append-only feed: early pages, then the later ones, then a run with nothing
-    new; the streamed raw table holds every landed candle once."""
-    from candlewick.sources.landing import write_landing
-    from candlewick.sources.pages import parse_kline_pages
-    from candlewick.sources.raw import read_raw
+    """Early pages, then a run that lands each symbol's last page again and the pages after it, then
+    a run with nothing new, beside a folder of other files: every landed candle is visible once."""
     from candlewick.streaming.incremental import run_stream_once
 
     run = _Landing(spark, "stream")
-    ckpt = f"{run.raw}-checkpoint"
+    args = (spark, run.landing, run.raw, run.ledger, f"{run.base}/checkpoint")
+    run.land(spark, sf_dir, before_ms=CUT_MS)
+    run_stream_once(*args)
+    klines(spark, sf_dir).select("symbol").distinct().write.parquet(f"{run.landing}/other-files")
+    run.land_resumed(spark, sf_dir)
+    run_stream_once(*args)
+    run_stream_once(*args)
+    return run.visible(spark)
+
+
+@register("scan_reference_layout", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r", CANDLE_DOUBLES)
+def q_reference_layout(spark, sf_dir):
+    """Pages landed one file each at the reference's paths (S7), listed and loaded."""
+    from candlewick.sources.landing import write_reference_layout
+    from candlewick.sources.pages import parse_kline_pages
+
+    run = _Landing(spark, "reference")
+    write_reference_layout(parse_kline_pages(_full_pages(spark, sf_dir)), run.landing, ["symbol", "page"]).count()
+    run.load(spark)
+    return run.visible(spark)
+
+
+@register("load_with_bad_file", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r", CANDLE_DOUBLES)
+def q_bad_file(spark, sf_dir):
+    """Each symbol's first page is landed as a broken file: the load takes the other pages and reports
+    these; landed again whole, they are loaded by the next run."""
+    from candlewick.sources.landing import page_key, write_landing
+    from candlewick.sources.pages import parse_kline_pages
+
+    run = _Landing(spark, "badfile")
+    run.land(spark, sf_dir)
     pages = _full_pages(spark, sf_dir)
-    write_landing(parse_kline_pages(pages.where(F.col("page_start") < CUT_MS)), run.landing)
-    run_stream_once(spark, run.landing, run.raw, ckpt)
-    write_landing(parse_kline_pages(pages.where(F.col("page_start") >= CUT_MS)), run.landing)
-    run_stream_once(spark, run.landing, run.raw, ckpt)
-    run_stream_once(spark, run.landing, run.raw, ckpt)
-    return read_raw(spark, run.raw).drop("load_id")
+    broken = pages.where("page = 0").select("symbol", page_key("page_start").alias("page"))
+    for r in broken.collect():  # one a symbol
+        spark.range(1).selectExpr("'not a candle page' AS value").write.mode("overwrite").text(
+            f"{run.landing}/symbol={r['symbol']}/page={r['page']}")
+        _rename_parts(spark, f"{run.landing}/symbol={r['symbol']}/page={r['page']}")
+    failed = run.load(spark).failed
+    if len(failed) != broken.count():
+        raise AssertionError(f"unexpected unreadable pages: {failed}")
+    write_landing(parse_kline_pages(pages.where("page = 0")), run.landing)
+    run.load(spark)
+    return run.visible(spark)
+
+
+def _rename_parts(spark, folder: str) -> None:
+    """Give a folder's text files the names of landed files."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path_of(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(path_of(folder)):
+        name = status.getPath().getName()
+        if name.endswith(".txt"):
+            system.rename(status.getPath(), path_of(f"{folder}/{name[:-4]}.parquet"))
 
 
 K_PIPE = f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r)"

@@ -81,3 +81,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder once nothing reads it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -13,19 +13,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlewick.functions.paths import landing_path, matches_landing, path_start_ms
+from candlewick.functions.paths import landing_path, matches_landing, path_start_ms, symbol_from_path
 from candlewick.schema import LANDED_SCHEMA
 
 PAGE_KEY_FORMAT = "yyyy-MM-dd-HHmm"
 PART_PATTERN = r"/symbol=([^/]+)/page=(\d{4}-\d{2}-\d{2}-\d{4})/[^/]+\.parquet$"
 
-LANDING_READ_SCHEMA = T.StructType(
-    list(LANDED_SCHEMA.fields)
-    + [T.StructField("symbol", T.StringType()), T.StructField("page", T.StringType())]
-)
-
 
 def page_key(start_ms) -> F.Column:
     return F.date_format(F.timestamp_millis(F.col(start_ms) if isinstance(start_ms, str)
@@ -43,31 +37,75 @@ def write_landing(parsed: DataFrame, root: str, start_col: str = "page_start") -
 
 
 def _source_of(path_col: F.Column) -> tuple[F.Column, F.Column, F.Column]:
-    sym = F.regexp_extract(path_col, PART_PATTERN, 1)
+    """(symbol, page start, logical file name) of a landed file in either layout; null symbol if neither."""
+    own = F.nullif(F.regexp_extract(path_col, PART_PATTERN, 1), F.lit(""))
+    sym = F.coalesce(own, symbol_from_path(path_col, strict=False))
     stamp = F.regexp_extract(path_col, PART_PATTERN, 2)
-    start = F.unix_millis(F.to_timestamp(stamp, PAGE_KEY_FORMAT))
+    start = F.when(own.isNotNull(), F.unix_millis(F.to_timestamp(stamp, PAGE_KEY_FORMAT))) \
+        .otherwise(path_start_ms(path_col))
     return sym, start, landing_path(sym, start)
 
 
 def scan_landing(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed part file with ``symbol``, ``page_start`` and the
-    page's logical ``source_file``; anything not shaped like a landed page is
-    skipped. Lists paths only -- no file content is read."""
+    page's logical ``source_file``. Files in the reference's own layout
+    (S7, ``{root}/SYM/yyyy/Mmm/...``) are listed next to ours; anything not shaped
+    like a landed page is skipped. Lists paths only -- no file content is read."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(root).select("path"))
-    part = listing.where(F.col("path").rlike(PART_PATTERN))
+    part = listing.where(F.col("path").rlike(PART_PATTERN) | matches_landing("path"))
     sym, start, source = _source_of(F.col("path"))
     return (part.select("path", sym.alias("symbol"), start.alias("page_start"),
                         source.alias("source_file"))
             .where(matches_landing("source_file")))
 
 
-def read_landed(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
-    """Read the given landed part files with their page's ``source_file``."""
-    df = (spark.read.schema(LANDING_READ_SCHEMA).option("basePath", root).parquet(*paths)
+def read_landed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Read the given landed files, of either layout, with their page's ``source_file``."""
+    df = (spark.read.schema(LANDED_SCHEMA).option("recursiveFileLookup", "true").parquet(*paths)
           .select("*", F.col("_metadata.file_path").alias("_file")))
     _, _, source = _source_of(F.col("_file"))
-    return df.withColumn("source_file", source).drop("_file", "page")
+    return df.withColumn("source_file", source).drop("_file")
+
+
+def write_reference_layout(parsed: DataFrame, root: str, page_cols: list[str],
+                           start_col: str = "page_start") -> DataFrame:
+    """Land each page as the one file that S7 names, below ``root`` (a local or mounted folder, or a
+    URI that Arrow opens). One group is one page, so a task holds at most a page. Returns the files
+    written (``source_file``, ``rows``); like any DataFrame it runs when it is used."""
+    cols = [f.name for f in LANDED_SCHEMA]
+
+    def write(pdf):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        name = pdf["source_file"].iloc[0]
+        system.create_dir(f"{base}/{name}".rsplit("/", 1)[0], recursive=True)
+        table = pa.Table.from_pandas(pdf.sort_values("open_time")[cols], preserve_index=False)
+        pq.write_table(table, f"{base}/{name}", filesystem=system)
+        return pd.DataFrame({"source_file": [name], "rows": [len(pdf)]})
+
+    named = parsed.withColumn("source_file", landing_path("symbol", start_col))
+    return named.groupBy(*page_cols).applyInPandas(write, "source_file string, rows long")
+
+
+def remove_short_pages(spark: SparkSession, pages: DataFrame, root: str, limit: int) -> int:
+    """A page that comes back with fewer than ``limit`` candles is not kept, and neither is what
+    an earlier run landed for it. ``pages`` are unparsed pages (symbol, body); the short ones, at most
+    one a symbol and run, come to the driver. Returns how many folders were removed."""
+    from candlewick.sources.pages import page_size, page_start
+
+    short = pages.where((page_size("body") < limit) & (page_size("body") > 0)).select(
+        "symbol", page_key(page_start("body")).alias("page"))
+    conf, path_of = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    removed = 0
+    for r in short.toLocalIterator():
+        folder = path_of(f"{root}/symbol={r['symbol']}/page={r['page']}")
+        removed += bool(folder.getFileSystem(conf).delete(folder, True))
+    return removed
 
 
 def latest_file(files: DataFrame) -> DataFrame:

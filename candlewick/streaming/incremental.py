@@ -1,16 +1,17 @@
 """Landed pages -> raw table as a Structured Streaming job.
 
-The alternative to the ledgered batch load for append-only landing feeds:
-the file source remembers which files it has processed in the checkpoint,
-and the Parquet file sink commits each micro-batch through its own metadata
-log, so every landed file reaches the raw table exactly once, across restarts
-and lost executors. ``trigger(availableNow=True)`` processes what is there and
-stops, which fits a daily schedule.
+The file source remembers in its checkpoint which files it has processed. Each
+micro-batch is committed through the same ledger as the daily load, under a load
+id made of the batch's number: its rows are written as that load's partitions
+(a repeated micro-batch overwrites them), then one ledger append makes them
+visible and withdraws the rows that an earlier load or batch held for the same
+pages. So a page that is landed again (the resume rule does that to each
+symbol's last page every run) replaces itself instead of doubling, and the
+stream and the ledgered load may feed one table. One writer at a time is assumed.
 
-Do not point both this job and the ledgered load at one raw table, and do not
-re-land (overwrite) pages under a streamed folder: a rewritten file is a new
-file to the stream. Batch readers of the streamed table see committed files
-only (the sink's metadata log); use ``read_raw(..., ledger_path=None)``.
+``trigger(availableNow=True)`` processes what is there and stops, which fits a
+daily schedule. Only folders shaped like landed pages are watched; other files
+under the landing root do not disturb the stream.
 """
 
 from __future__ import annotations
@@ -19,48 +20,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.functions.paths import landing_path, symbol_from_path
-from candlewick.schema import RAW_PARTITIONS
-from candlewick.sources.landing import LANDING_READ_SCHEMA, PART_PATTERN
-from candlewick.sources.raw import to_raw
-
-STREAM_LOAD_ID = "stream"
+from candlewick.functions.paths import matches_landing, symbol_from_path
+from candlewick.operators.ledger import ensure_ledger, replace_loaded
+from candlewick.schema import LANDED_SCHEMA, RAW_PARTITIONS
+from candlewick.sources.landing import _source_of
+from candlewick.sources.raw import ensure_raw_table, to_raw
 
 
 def landed_stream(spark: SparkSession, landing_root: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming rows of newly landed page files with their ``source_file``."""
-    reader = spark.readStream.schema(LANDING_READ_SCHEMA)
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.parquet(landing_root)
-    path = F.col("_metadata.file_path")
-    sym = F.regexp_extract(path, PART_PATTERN, 1)
-    start = F.unix_millis(F.to_timestamp(F.regexp_extract(path, PART_PATTERN, 2),
-                                         "yyyy-MM-dd-HHmm"))
-    rows = src.withColumn("source_file", landing_path(sym, start)).drop("page")
+    src = reader.parquet(f"{landing_root}/symbol=*/page=*")
+    _, _, source = _source_of(F.col("_metadata.file_path"))
+    rows = src.withColumn("source_file", source).where(matches_landing("source_file"))
     return rows.withColumn("symbol", symbol_from_path("source_file"))
 
 
-def stream_to_raw(spark: SparkSession, landing_root: str, raw_path: str, checkpoint: str,
+def stream_to_raw(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str, checkpoint: str,
                   available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming load; with ``available_now`` it stops once caught up."""
-    rows = to_raw(landed_stream(spark, landing_root, max_files_per_trigger), STREAM_LOAD_ID)
-    # Shuffle each micro-batch by its partition columns: about one file per
-    # (symbol, day) per batch instead of one per task and day.
-    rows = rows.repartition(*RAW_PARTITIONS)
-    writer = (rows.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).partitionBy(*RAW_PARTITIONS))
+    ensure_raw_table(spark, raw_path)
+    ensure_ledger(spark, ledger_path)
+
+    def commit(batch: DataFrame, number: int) -> None:
+        load_id = f"stream-{number:012d}"
+        (to_raw(batch, load_id).hint("rebalance", *RAW_PARTITIONS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTITIONS).parquet(raw_path))
+        replace_loaded(batch.sparkSession, batch, ledger_path, load_id)
+
+    writer = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream
+              .option("checkpointLocation", checkpoint).foreachBatch(commit))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")
-    return writer.start(raw_path)
+    return writer.start()
 
 
-def run_stream_once(spark: SparkSession, landing_root: str, raw_path: str,
+def run_stream_once(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str,
                     checkpoint: str) -> None:
     """Process every file landed so far, then return."""
-    q = stream_to_raw(spark, landing_root, raw_path, checkpoint, available_now=True)
+    q = stream_to_raw(spark, landing_root, raw_path, ledger_path, checkpoint, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

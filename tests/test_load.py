@@ -107,15 +107,41 @@ def test_junk_files_are_not_listed(spark, pages, tmp):
 
 
 def test_streaming_three_runs(spark, pages, tmp):
-    landing, raw, _ = _paths(tmp)
-    ckpt = f"{tmp}/ckpt"
+    landing, raw, ledger = _paths(tmp)
+    args = (spark, landing, raw, ledger, f"{tmp}/ckpt")
     first = pages.orderBy("symbol", "page").limit(3).select("symbol", "page")
     _land(pages.join(first, ["symbol", "page"], "left_semi"), landing)
-    run_stream_once(spark, landing, raw, ckpt)
-    assert read_raw(spark, raw).count() == 3 * R.PAGE_LIMIT
-    run_stream_once(spark, landing, raw, ckpt)
-    assert read_raw(spark, raw).count() == 3 * R.PAGE_LIMIT
+    run_stream_once(*args)
+    assert read_raw(spark, raw, ledger).count() == 3 * R.PAGE_LIMIT
+    run_stream_once(*args)
+    assert read_raw(spark, raw, ledger).count() == 3 * R.PAGE_LIMIT
     _land(pages.join(first, ["symbol", "page"], "left_anti").orderBy("symbol", "page")
           .limit(1), landing)
-    run_stream_once(spark, landing, raw, ckpt)
-    assert read_raw(spark, raw).count() == 4 * R.PAGE_LIMIT
+    run_stream_once(*args)
+    assert read_raw(spark, raw, ledger).count() == 4 * R.PAGE_LIMIT
+
+
+def test_streamed_page_landed_again_replaces_itself(spark, pages, tmp):
+    landing, raw, ledger = _paths(tmp)
+    args = (spark, landing, raw, ledger, f"{tmp}/ckpt")
+    two = pages.orderBy("symbol", "page").limit(2)
+    _land(two, landing)
+    run_stream_once(*args)
+    spark.range(1).write.parquet(f"{landing}/stray")
+    _land(two.limit(1), landing)
+    run_stream_once(*args)
+    visible = read_raw(spark, raw, ledger)
+    assert visible.count() == 2 * R.PAGE_LIMIT
+    assert visible.groupBy("symbol", "open_time").count().where("count > 1").count() == 0
+    assert load_incremental(spark, landing, raw, ledger).files == 0  # the daily load sees them as loaded
+
+
+def test_short_page_is_taken_back(spark, pages, tmp):
+    from candlewick.sources.landing import remove_short_pages
+
+    landing, _, _ = _paths(tmp)
+    one = pages.orderBy("symbol", "page").limit(1)
+    _land(one, landing)
+    assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT) == 0
+    assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT + 1) == 1
+    assert scan_landing(spark, landing).count() == 0
