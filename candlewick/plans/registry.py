@@ -223,23 +223,42 @@ def q_consolidated(spark, sf_dir):
     return consolidated_klines(stage_klines(klines(spark, sf_dir)))
 
 
+# Rows in four kinds by minute: both timestamps given (a second late, so that keeping them shows),
+# only the first, only the second, none.
+HALF_FILLED = {"open_time": (0, 1), "close_time": (0, 2)}
+
+
+def _given_sql(ms: str) -> str:
+    return f"CASE WHEN (open_time // 60000) % 4 = 0 THEN make_timestamp({ms} * 1000 + 1000000) ELSE make_timestamp({ms} * 1000) END"
+
+
 @register("fill_timestamps", f"""
-SELECT open_time, make_timestamp(open_time * 1000) AS open_time_ts,
-       close_time, make_timestamp(close_time * 1000) AS close_time_ts, symbol
+SELECT open_time, {_given_sql("open_time")} AS open_time_ts,
+       close_time, {_given_sql("close_time")} AS close_time_ts, symbol
 FROM ({CANDLES_SQL}) AS c""")
 def q_fill(spark, sf_dir):
     from candlewick.functions.time import fill_timestamps
     from candlewick.sources.events import candles_from_events
 
     landed = candles_from_events(read_events(spark, sf_dir))
+    kind = F.expr("(open_time div 60000) % 4")
+    for ms, kinds in HALF_FILLED.items():
+        landed = landed.withColumn(f"{ms}_ts", F.when(kind.isin(*kinds), F.timestamp_millis(F.col(ms) + 1000)))
     return fill_timestamps(landed).select("open_time", "open_time_ts", "close_time",
                                           "close_time_ts", "symbol")
 
 
+# Every tenth minute has no close price, every fifteenth no close time and no quote volume, so tests fail.
+PLANTED = {"close_price": 10, "close_time_ts": 15, "quote_asset_volume": 15}
+K_PLANTED = K[:-1] + "), planted AS (SELECT * REPLACE ({}) FROM k)".format(", ".join(
+    f"CASE WHEN minute(open_time_ts) % {n} = 0 THEN NULL ELSE {c} END AS {c}" for c, n in PLANTED.items()))
+
+
 def _models(spark, sf_dir):
     from candlewick.operators.staging import stage_klines
 
     k = stage_klines(klines(spark, sf_dir))
+    k = k.withColumns({c: F.when(F.minute("open_time_ts") % n != 0, F.col(c)) for c, n in PLANTED.items()})
     return {
         "stg_klines": k,
         "market_summary": daily.market_summary(k),
@@ -259,6 +278,8 @@ def _not_null_sql() -> str:
 SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        sum(quote_asset_volume) / NULLIF(sum(number_of_trades), 0) AS liquidity_ratio
 FROM k GROUP BY 1, 2""", "market_returns": RETURNS_SQL}
+    sources = {n: q.replace(K, K_PLANTED).replace("FROM k", "FROM planted").replace("FROM planted)", "FROM k)")
+               for n, q in sources.items()}
     parts = []
     for model, cols in EXPECTATIONS.items():
         for c in cols:
@@ -268,7 +289,7 @@ FROM k GROUP BY 1, 2""", "market_returns": RETURNS_SQL}
     for c in STAGE_COLUMNS:
         parts.append(f"SELECT '{STAGE_PREFIX}' || symbol AS model, '{c}' AS column_name, "
                      f"count(*) FILTER (WHERE {c} IS NULL) AS failures "
-                     f"FROM ({STAGE_SQL}) AS m GROUP BY symbol")
+                     f"FROM ({sources['stg_klines']}) AS m GROUP BY symbol")
     return "\nUNION ALL\n".join(parts)
 
 
