@@ -26,9 +26,9 @@ range boundary):
 The candles cross the network twice (by range, then by slice); halo rows and
 the slice table are small and joined co-partitioned on the slice key. Slice
 numbers come from the range shuffle's partitions, so every consumer must read
-the same shuffle. Three things see to that: all of them start from the ranked
-candles with the same columns (Spark then reuses the exchange, also under AQE),
-both shuffles have a fixed number of partitions (AQE does not coalesce them),
+the same range shuffle. Three things see to that: a slice number depends on all
+columns, so every consumer has the same range shuffle in its plan and Spark reuses
+it, also under AQE (``tests/test_strategies.py`` counts them), both shuffles have a fixed number of partitions (AQE does not coalesce them),
 and the slice key is non-null (no ``IS NOT NULL`` filter is inferred into one
 consumer and not another; candles with a null symbol or time are kept, as the
 reference's windows keep them). Nothing runs when a plan is built, nothing is
@@ -87,9 +87,13 @@ def slice_keys(klines: DataFrame, carry: tuple = (), slices: int | None = None)
     """Candles with their slice: the number of their range of the total order
     (symbol, time, close price, row), about rows / ``slices`` rows each."""
     n = slices or slice_partitions(klines)
-    return (_base(klines, carry).withColumn("_row", F.monotonically_increasing_id())
+    base = _base(klines, carry)
+    # zero, but made of every column: whoever reads slice numbers reads the one range shuffle of all
+    # columns, not a narrower one of its own, whose sampled bounds could differ
+    every = F.xxhash64(*base.columns).bitwiseAND(F.lit(0)).cast("int")
+    return (base.withColumn("_row", F.monotonically_increasing_id())
             .repartitionByRange(n, "sym_key", *ORDER, "_row").drop("_row")
-            .withColumn("slice", F.spark_partition_id()))
+            .withColumn("slice", F.spark_partition_id() + every))
 
 
 def slice_offsets(ranked: DataFrame, base: DataFrame | None = None) -> DataFrame:

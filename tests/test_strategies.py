@@ -116,6 +116,23 @@ def test_test_data(spark):
     _same(series.market_returns(k, "sliced"), series.market_returns(k, "window"))
 
 
+def test_slices_come_from_one_range_shuffle(spark):
+    """Slice numbers of a plan's branches agree: the range shuffle runs once, the others reuse it."""
+    from candlewick.operators import sliced
+    from candlewick.sources.pages import pages_from_candles
+    from candlewick.sources.events import candles_from_events, read_events
+
+    k = klines(spark, "/root/testdata/sf0.01")
+    candles = candles_from_events(read_events(spark, "/root/testdata/sf0.01"))
+    for df in (sliced.market_trend_sliced(k), sliced.market_returns_sliced(k), sliced.series_state(k),
+               pages_from_candles(candles, 100)):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        lines = [line for line in plan.split("\n") if "Exchange rangepartitioning" in line]
+        assert len([line for line in lines if "ReusedExchange" not in line]) <= 1, plan
+
+
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError, match="unknown strategy"):
         series.market_trend(klines(spark, "/root/testdata/sf0.001"), "auto")
