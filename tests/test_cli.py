@@ -31,7 +31,9 @@ def test_stream_twice_loads_once(spark, tmp, capsys):
     assert main(["stream", "--landing", landing, "--warehouse", wh]) == 0
     assert main(["stream", "--landing", landing, "--warehouse", wh]) == 0
     table = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["table"]
-    assert spark.read.parquet(table).count() == pages.count() * R.PAGE_LIMIT
+    from candlewick.sources.raw import read_raw
+
+    assert read_raw(spark, table, f"{wh}/ledger").count() == pages.count() * R.PAGE_LIMIT
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
