@@ -41,8 +41,8 @@ PLAIN_TAG, INLINE_TAG = -1.0, -0.05
 
 @dataclass
 class Token:
-    """A text (``tag`` empty) or a tag. ``inside``: the open element that holds it, ``aside``: within
-    an element that is never content, ``block``: it ends a block, ``content``: range of its article."""
+    """A text (``tag`` empty) or a tag. ``inside``: the open element that holds a text, ``aside``: within
+    an element that is never content, ``block``: the tag ends a block."""
 
     tag: str
     text: str = ""
