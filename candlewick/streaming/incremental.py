@@ -2,7 +2,8 @@
 
 The file source remembers in its checkpoint which files it has processed. Each
 micro-batch is committed through the same ledger as the daily load, under a load
-id made of the batch's number: its rows are written as that load's partitions
+id made of the checkpoint's id and the batch's number (two checkpoints never
+share one): its rows are written as that load's partitions
 (a repeated micro-batch overwrites them), then one ledger append makes them
 visible and withdraws the rows that an earlier load or batch held for the same
 pages. So a page that is landed again (the resume rule does that to each
@@ -16,6 +17,8 @@ under the landing root do not disturb the stream.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,6 +42,11 @@ def landed_stream(spark: SparkSession, landing_root: str,
     return rows.withColumn("symbol", symbol_from_path("source_file"))
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: the same for all runs of it, another for every new one."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+
+
 def stream_to_raw(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str, checkpoint: str,
                   available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -47,7 +55,7 @@ def stream_to_raw(spark: SparkSession, landing_root: str, raw_path: str, ledger_
     ensure_ledger(spark, ledger_path)
 
     def commit(batch: DataFrame, number: int) -> None:
-        load_id = f"stream-{number:012d}"
+        load_id = f"stream-{_checkpoint_id(spark, checkpoint)}-{number:012d}"
         (to_raw(batch, load_id).hint("rebalance", *RAW_PARTITIONS).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTITIONS).parquet(raw_path))
         replace_loaded(batch.sparkSession, batch, ledger_path, load_id)

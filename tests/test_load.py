@@ -136,6 +136,22 @@ def test_streamed_page_landed_again_replaces_itself(spark, pages, tmp):
     assert load_incremental(spark, landing, raw, ledger).files == 0  # the daily load sees them as loaded
 
 
+def test_stream_with_a_new_checkpoint_keeps_landed_again_pages(spark, pages, tmp):
+    landing, raw, ledger = _paths(tmp)
+    two = pages.orderBy("symbol", "page").limit(2)
+    _land(two, landing)
+    run_stream_once(spark, landing, raw, ledger, f"{tmp}/ckpt")
+    _land(two.limit(1), landing)
+    run_stream_once(spark, landing, raw, ledger, f"{tmp}/ckpt")
+    for _ in range(2):  # the second run finds nothing new
+        run_stream_once(spark, landing, raw, ledger, f"{tmp}/other")
+        visible = read_raw(spark, raw, ledger)
+        assert visible.count() == 2 * R.PAGE_LIMIT
+        assert visible.groupBy("symbol", "open_time").count().where("count > 1").count() == 0
+    loads = {r["load_id"] for r in read_ledger(spark, ledger).select("load_id").distinct().collect()}
+    assert len(loads) == 3
+
+
 def test_short_page_is_taken_back(spark, pages, tmp):
     from candlewick.sources.landing import remove_short_pages
 
