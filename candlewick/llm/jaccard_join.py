@@ -26,7 +26,9 @@ one task, and the driver holds only the two fixed-size tables.
 Defined results: null or empty text, or text without words, has an empty set and
 links with nothing; shorter texts are one shingle; a null ``doc_id`` counts as
 the largest id (null again in the result if nothing smaller is linked); rows with
-the same doc_id are one document; an empty table gives no rows.
+the same doc_id (or none) and the same text are one document, rows with different
+texts are different documents that link by their texts only, so one doc_id may
+have several component ids; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -188,7 +190,7 @@ def _features(order, k: int, percent: int):
         import xxhash
 
         table = order.value
-        schema = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("class", pa.binary()),
+        schema = pa.schema([("id", pa.int64()), ("text_key", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
                             ("group", pa.binary()), ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
         for batch in batches:
             out = {name: [] for name in schema.names}
@@ -230,36 +232,41 @@ def _verify(k: int, percent: int):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Verified links (u, v) among candidate pairs (u, v) of class ids."""
+    """Verified links (u, v) among candidate pairs (u, v) of class numbers."""
     first = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     second = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     return (pairs.join(first, "u").join(second, "v").select("u", "v", "text_u", "text_v")
             .mapInArrow(_verify(k, percent), "u long, v long"))
 
 
-def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+def _key(id_col: str, text_col: str) -> list:
+    """What tells documents apart: id and a 128-bit hash of the text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
+            F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("text_key")]
+
+
+def _found(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """id, text_key, n and ``least`` (smallest id and text_key of the component, null without shingles) of every row."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-                        F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    keyed = docs.select(*_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     order = spark.sparkContext.broadcast(shingle_order(keyed.select("text"), k))  # fixed size
     features = stored(keyed.mapInArrow(_features(order, k, percent),
-                                       "id long, text_key long, n long, class binary, group binary, "
+                                       "id long, text_key binary, n long, class binary, group binary, "
                                        "tokens array<long>, places array<int>"), "shingle-features")
 
-    # one row per class, named by its smallest document; one row per group of classes, by its smallest class
+    # one row per class, with a number and its smallest document; one row per group of classes, by its smallest class
+    # (numbers in the order of the smallest documents: the centres below are the documents with the least ids)
     classes = stored(
         features.where("n > 0").groupBy("class", "group")
         .agg(F.min(F.struct("id", "text_key")).alias("least"), F.first("n").alias("n"),
-             F.first("tokens").alias("tokens"), F.first("places").alias("places"))
-        .select("class", "group", F.col("least.id").alias("node"), F.col("least.text_key").alias("text_key"),
+             F.first("tokens").alias("tokens"), F.first("places").alias("places")).orderBy("least")
+        .select("class", "group", F.monotonically_increasing_id().alias("node"), "least",
                 F.col("n").cast("int").alias("n"), "tokens", "places"), "classes")
     joining = classes.where("size(tokens) > 0")  # the others share no shingle of their prefix with any document
     groups = joining.groupBy("group").agg(F.min("node").alias("center"), F.count("*").alias("classes"),
                                           F.first("n").alias("n"), F.first("tokens").alias("tokens"),
                                           F.first("places").alias("places"))
-    members = stored(joining.select("group", "node", "text_key")
+    members = stored(joining.select("group", "node", "least")
                      .join(groups.select("group", "center", "classes"), "group").drop("group"), "group-members")
     # before: the shingle before this one in the prefix, or itself for the first
     blocks = (groups.select("center", "n", "classes", F.explode(F.expr(
@@ -270,10 +277,8 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
 
     # texts of every class that may be compared: in a shared block, or not alone in its group
     wanted = (members.join(blocks.select("center").distinct().withColumn("shared", F.lit(True)), "center", "left")
-              .where("shared or classes > 1").select("node", F.col("text_key").alias("wanted_key")))
-    texts = stored(
-        keyed.join(wanted, (F.col("id") == F.col("node")) & (F.col("text_key") == F.col("wanted_key")))
-        .select("node", "text").dropDuplicates(["node"]), "class-texts")
+              .where("shared or classes > 1").select("node", "least.id", "least.text_key"))
+    texts = stored(keyed.join(wanted, ["id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "class-texts")
 
     # first: a group with one group of its scale per shingle, a class with one class of its group
     scaled = blocks.withColumn("scale", F.floor(F.log("n") / F.log(F.lit(100 / percent))))
@@ -314,21 +319,34 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
     far = stored(_links(rest, texts, k, percent), "block-links")
     final = components(known.select(F.col("node").alias("u"), F.col("component").alias("v")).union(far))
 
-    named = classes.select("class", "node").join(final, "node", "left").select(
-        "class", F.coalesce("component", "node").alias("component"))
-    none = F.lit(None).cast("long")
-    real = F.when(F.col("id") == LAST_ID, none).otherwise(F.col("id"))
-    return (features.select("id", "n", "class").join(named, "class", "left")
-            .select(real.alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("component") == LAST_ID, none).otherwise(F.coalesce("component", real))
-                    .alias("component_id")))
+    named = classes.select("class", "node", "least").join(final, "node", "left").select(
+        "class", "least", F.coalesce("component", "node").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
+    named = named.join(smallest, "component").select("class", F.col("smallest").alias("least"))
+    return features.select("id", "text_key", "n", "class").join(named, "class", "left").drop("class")
+
+
+def linked(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+    real = lambda i: F.when(i != LAST_ID, i)
+    return _found(docs, k, percent, id_col, text_col).select(
+        real(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        real(F.coalesce("least.id", "id")).alias("component_id"))
 
 
 def distinct_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """The documents whose doc_id is their component's smallest, with the input's columns."""
-    found = linked(docs, k, percent, id_col, text_col)
-    extra = (found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("extra")).distinct())
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"))
-    return rows.join(extra, F.col("id") == F.col("extra"), "left_anti").select("row.*")
+    """One document of each component, with the input's columns: the one with the smallest doc_id (of several
+    texts under that id, or of several null ids, the one with the smallest hash of its text). Of rows with the
+    same id and text one stays; all rows without words stay."""
+    key = ["id", "text_key"]
+    marked = stored(_found(docs, k, percent, id_col, text_col).where("n > 0").groupBy(*key)
+                    .agg(F.first("least").alias("least"), F.count("*").alias("copies"))
+                    .select(*key, (F.struct(*key) == F.col("least")).alias("stays"), "copies")
+                    .where("not stays or copies > 1"), "marked-documents")
+    # their own small table, so that the rows need no second shuffle if no row is repeated
+    repeated = stored(marked.where("stays").select(*key), "repeated-documents")
+    rows = docs.select(F.struct("*").alias("row"), *_key(id_col, text_col))
+    once = (stored(rows.join(repeated, key, "left_semi"), "repeated-rows")
+            .groupBy(*key).agg(F.first("row").alias("row")))
+    return rows.join(marked, key, "left_anti").select("row").union(once.select("row")).select("row.*")

@@ -243,6 +243,28 @@ def test_classes_of_one_group_are_compared_with_each_other(make_docs):
         assert sorted(map(tuple, got)) == sorted(linked(rows))
 
 
+def test_similarity_join_tells_texts_of_one_id_apart(make_docs):
+    """Rows without an id, or with a repeated one, are documents by their texts."""
+    rng = random.Random(31)
+    a, b, c, d, e = (" ".join(rng.choice("abcdefghij") + str(rng.randrange(999)) for _ in range(60)) for _ in range(5))
+    near = lambda text: text + " end"
+    rows = [(3, a), (5, a), (5, b), (None, near(a)), (None, c), (None, d), (None, near(d)), (7, near(c)), (5, e),
+            (8, near(e)), (None, d), (9, b.upper()), (9, b.upper()), (11, ""), (None, None), (None, "")]
+    got = jaccard_join.linked(make_docs(rows)).collect()
+    n = lambda text: len(shingle_set(text.encode(), 5))
+    want = [(3, n(a), 3), (5, n(a), 3), (5, n(b), 5), (None, n(near(a)), 3), (None, n(c), 7), (None, n(d), None),
+            (None, n(near(d)), None), (7, n(near(c)), 7), (5, n(e), 5), (8, n(near(e)), 5), (None, n(d), None),
+            (9, n(b), 5), (9, n(b), 5), (11, 0, 11), (None, 0, None), (None, 0, None)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.distinct_documents(make_docs(rows)).collect()), key=str)
+    of_d = [row for row in kept if row[0] is None and row[1] in (d, near(d))]
+    assert len(of_d) == 1
+    assert kept == sorted([(3, a), (5, b), (7, near(c)), (5, e), (11, ""), (None, None), (None, ""), *of_d], key=str)
+    copies = [(1, a), (1, a), (None, b), (None, b)]  # the smallest document itself is repeated
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.distinct_documents(make_docs(copies)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (None, b)], key=str)
+
+
 def test_similarity_join_of_nothing(make_docs):
     assert jaccard_join.linked(make_docs([])).count() == 0
     assert jaccard_join.linked(make_docs([(1, None), (2, "")])).count() == 2
