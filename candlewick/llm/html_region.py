@@ -53,12 +53,15 @@ class Token:
 
 
 def tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
-    """Tokens of a page, and the token ranges of its article and main elements."""
+    """Tokens of a page, and the token ranges of its article and main elements. An element with a name of
+    ASIDE_NAMES (each part of a class or id, not one of them) or of ASIDE is never content, unless it holds a main
+    or a large article, or is a form or marked by its name and holds most of the page's words."""
     out: list[Token] = []
     stack: list[tuple[str, str, int]] = []  # (name, feature, place) of open elements
     asides: list[tuple[int, int]] = []
     articles: list[tuple[int, int]] = []
-    marked: set[int] = set()
+    marked: dict[int, bool] = {}  # places of elements that are never content: whether it is by name or form
+    content: list[str] = []       # names of ``articles``
 
     def close(depth: int, at: int, seen: bool = True) -> None:
         while len(stack) > depth:
@@ -67,6 +70,7 @@ def tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
                 asides.append((start, at))
             if name in CONTENT:
                 articles.append((start, at))
+                content.append(name)
 
     for m in _TOKEN.finditer(page):
         if m[5] is not None:
@@ -86,12 +90,20 @@ def tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
                 close(depth, at)
             out.append(Token("/" + name, block=name in BLOCK))
             continue
-        names = set()
+        names, parts = set(), set()
         for a in _ATTRIBUTE.finditer(m[4]):
             value = (a[2] or a[3] or a[4] or "").lower()
-            names.update({"role=" + value} if a[1].lower() == "role" else _NAME_PART.findall(value))
+            if a[1].lower() == "role":
+                names.add("role=" + value)
+            else:
+                for whole_name in value.split():
+                    found = _NAME_PART.findall(whole_name)
+                    parts.update(found)
+                    if ASIDE_NAMES.issuperset(found):  # the whole name, or each of its parts: cookie-banner
+                        names.update(found)
         odd = sorted(names & ASIDE_NAMES) + sorted(r for r in names if r[5:] in ASIDE_ROLES and r[:5] == "role=")
-        feature = name + ("." + odd[0] if odd else "")
+        like = sorted(parts & ASIDE_NAMES)  # part of a longer name: only the learned weights judge it
+        feature = name + ("." + odd[0] if odd else "~" + like[0] if like else "")
         if name in BLOCK and stack and stack[-1][0] == "p":
             close(len(stack) - 1, at)
         if name == "li":
@@ -102,17 +114,24 @@ def tokens(page: str) -> tuple[list[Token], list[tuple[int, int]]]:
             continue
         in_article = any(s[0] in CONTENT for s in stack)
         if name in ASIDE or (odd and name not in ("html", "body", "article", "main")) or (name == "header" and not in_article):
-            marked.add(at)
+            marked[at] = name not in ASIDE or name == "form"
         stack.append((name, feature, at))
     for _, _, start in stack:  # never closed: the element itself may not swallow what follows
-        marked.discard(start)
+        marked.pop(start, None)
     close(0, len(out))
-    for a, b in asides:
-        for t in out[a:b + 1]:
-            t.aside = True
+    count = [0]
     for t in out:
         if not t.tag:
             t.words = len(t.text.split())
+        count.append(count[-1] + t.words)
+    held = [count[y] - count[x] for x, y in articles]
+    most = max((h for h, name in zip(held, content) if name == "article"), default=0)
+    whole = [at for at, h, name in zip(articles, held, content) if name == "main" or 2 * h >= most]
+    for a, b in asides:
+        if any(a < x and y <= b for x, y in whole) or (marked[a] and 2 * (count[b] - count[a]) > count[-1]):
+            continue  # it wraps the content
+        for t in out[a:b + 1]:
+            t.aside = True
     return out, articles
 
 

@@ -132,6 +132,25 @@ def test_main_text_of_odd_pages(page, text):
     assert html_region.main_text(page, html_region.Weights()) == text
 
 
+LEAD, MORE = "Many words of a long first text " * 6, "and others of the second one " * 4
+
+
+@pytest.mark.parametrize("wrapper", ['div class="content no-sidebar"', 'div id="page" class="has-sidebar"', "form",
+                                     'div class="sidebar"', 'section class="social-studies"', 'p class="share-price"'])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrapped_pages_keep_their_text(wrapper, inner):
+    page = (f'<body><nav><a>Home</a></nav><{wrapper}><{inner}><p>{LEAD}</p></{inner}></{wrapper.split()[0]}>'
+            '<div class="sidebar">Other things</div></body>')
+    assert html_region.main_text(page, html_region.Weights()) == LEAD.strip()
+
+
+def test_asides_with_articles_of_their_own_stay_out():
+    page = (f'<body><article><p>{LEAD}</p></article><div class="comments"><article><p>Nice one</p></article></div>'
+            '<div class="entry-header"><h1>T</h1></div><form>Your mail</form></body>')
+    asides = [t.text for t in html_region.tokens(page)[0] if t.aside and t.words]
+    assert asides == ["Nice one", "Your mail"]
+
+
 def test_region_is_the_maximum_run():
     rng = random.Random(2)
     for _ in range(200):
