@@ -177,13 +177,15 @@ def blocks(page: list[Token]) -> list[str]:
 
 
 def main_text(page: str, weights: Weights) -> str:
-    """The region's blocks, one a line. A region that lies in an article or main element is widened to
-    the whole element, so weak blocks at its ends stay."""
+    """The region's blocks, one a line. A region that lies at least half in an article or main element
+    is widened by the whole element (the smallest that holds the whole region, if any does), so weak blocks
+    at its ends stay."""
     found, articles = tokens(page)
     a, b = region(found, weights)
-    around = [(y - x, x, y) for x, y in articles if x < b and y > a and min(y, b) - max(x, a) >= (b - a) / 2]
+    around = [(not x <= a <= b <= y, y - x, x, y) for x, y in articles if x < b and y > a and min(y, b) - max(x, a) >= (b - a) / 2]
     if a < b and around:
-        _, a, b = min(around)
+        _, _, x, y = min(around)
+        a, b = min(a, x), max(b, y)
     return "\n".join(blocks(found[a:b]))
 
 

@@ -151,6 +151,13 @@ def test_asides_with_articles_of_their_own_stay_out():
     assert asides == ["Nice one", "Your mail"]
 
 
+def test_region_is_widened_never_cut():
+    lead = f"<main><h1>Title</h1><p>{MORE}</p><article><p>{LEAD}</p></article></main>"
+    assert html_region.main_text(lead, html_region.Weights()) == f"Title\n{MORE.strip()}\n{LEAD.strip()}"
+    two = f"<article><p>{LEAD}</p></article><article><p>{MORE}</p></article>"
+    assert html_region.main_text(two, html_region.Weights()) == f"{LEAD.strip()}\n{MORE.strip()}"
+
+
 def test_region_is_the_maximum_run():
     rng = random.Random(2)
     for _ in range(200):
