@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
+    alignment,
     decontamination,
     html_extraction,
+    importance,
     jaccard_join,
     language_id,
     line_dedup,
     packing,
+    pii,
     quality,
     token_counts,
     token_files,
@@ -91,6 +94,31 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(pages, html_extraction.learn(pages, table(spark, sf_dir, "documents")))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents of 20 words or more, drawn towards the benchmark's word features."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under two tokenizers, aligned and linked."""
+    rows = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(),
+                           tokenizer_path("piece_bpe_32k.model"), digest=True)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: the certain spans and those the classifier adds."""
+    rows = pii.spans(table(spark, sf_dir, "documents"))
+    sure = F.filter("spans", lambda s: s["certain"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.expr(f"filter(spans, s -> s.certain and s.kind = '{k}')")).cast("long").alias(f"n_{k}")
+              for k in pii.KINDS]
+    return rows.select("doc_id", *counts, F.sha2(listed(sure), 256).alias("base_sha256"),
+                       listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -102,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
+    "op11_importance": op11_importance,
+    "op12_alignment": op12_alignment,
+    "op13_pii": op13_pii,
 }
 
 ORACLES: dict[str, str] = {
@@ -162,4 +193,37 @@ m AS (SELECT k.*, f.first IS NOT NULL AND f.first <> coalesce(doc_id, 9223372036
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r""",
+    # the CRC goes bit by bit, the lowest bit of each byte first
+    "op11_importance": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+       FROM documents),
+i AS (SELECT regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+       FROM benchmark),
+df AS (SELECT r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1]))) AS f
+       FROM d),
+tf AS (SELECT unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1]))) AS f
+       FROM i),
+dn AS (SELECT r, f, count(*) AS n FROM df GROUP BY ALL),
+tn AS (SELECT f, count(*) AS n FROM tf GROUP BY ALL),
+bits AS (SELECT f, CAST(CAST(encode(f) AS BIT) AS VARCHAR) AS b FROM (SELECT f FROM dn UNION SELECT f FROM tn)),
+crc AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT,
+          list_transform(range(0, length(b)), lambda k: CAST(b[k - k % 8 + 8 - k % 8] AS BIGINT))),
+          lambda c, x: xor(c >> 1, 3988292384 * xor(c & 1, x))), 4294967295) % 10000 AS b FROM bits),
+s AS (SELECT b, sum(n) AS n FROM dn JOIN crc USING (f) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM tn JOIN crc USING (f) GROUP BY b),
+g AS (SELECT v.b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE
+          * (SELECT coalesce(sum(n), 0) + 10000 FROM s)::DOUBLE
+          / ((coalesce(s.n, 0) + 1)::DOUBLE * (SELECT coalesce(sum(n), 0) + 10000 FROM t)::DOUBLE))) AS BIGINT) AS gain
+      FROM (SELECT unnest(range(10000)) AS b) v LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+w AS (SELECT r, sum(n) AS n, sum(n * gain) AS total FROM dn JOIN crc USING (f) JOIN g USING (b) GROUP BY r),
+x AS (SELECT r, doc_id, len(ws) >= 20 AS eligible, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+        CAST(coalesce((total - ((total % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+        CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN w USING (r)),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+z AS (SELECT *, row_number() OVER (ORDER BY eligible DESC, score DESC, doc_id NULLS LAST, weight, n_features) AS place,
+        count(*) FILTER (eligible) OVER () * 25 // 100 AS drawn FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM z""",
 }
