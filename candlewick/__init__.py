@@ -11,6 +11,7 @@ from candlewick.operators.staging import consolidated_klines, stage_klines
 from candlewick.plans.load import load_incremental
 from candlewick.plans.pipeline import run_pipeline
 from candlewick.session import build_session, ensure_utc
+from candlewick.sinks.models import read_model
 from candlewick.sources.pages import keep_full_pages, parse_kline_pages
 from candlewick.sources.raw import read_raw
 from candlewick.streaming.incremental import stream_to_raw
@@ -18,6 +19,6 @@ from candlewick.streaming.incremental import stream_to_raw
 __all__ = [
     "assert_checks", "build_session", "consolidated_klines", "ensure_utc", "keep_full_pages",
     "load_incremental", "market_liquidity", "market_returns", "market_summary", "market_trend",
-    "market_volatility", "parse_kline_pages", "read_raw", "run_checks", "run_pipeline",
+    "market_volatility", "parse_kline_pages", "read_model", "read_raw", "run_checks", "run_pipeline",
     "stage_klines", "stream_to_raw",
 ]

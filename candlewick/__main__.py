@@ -3,7 +3,7 @@
     python -m candlewick run    --landing DIR --warehouse DIR [--symbols A,B] [--strategy sliced]
                                 [--incremental]
     python -m candlewick load   --landing DIR --warehouse DIR
-    python -m candlewick stream --landing DIR --warehouse DIR
+    python -m candlewick stream --landing DIR --warehouse DIR [--archive DIR]
     python -m candlewick check  --warehouse DIR
 
 On a cluster the session comes from spark-submit (master, resources,
@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--strategy", default="sliced", choices=["sliced", "window"])
     parser.add_argument("--incremental", action="store_true",
                         help="run: rewrite the tables only for days that changed (the returns and trend tables from the first one on)")
+    parser.add_argument("--archive", help="stream: move loaded one-file pages to this folder")
     parser.add_argument("--master", help="e.g. local[*]; omit under spark-submit")
     args = parser.parse_args(argv)
     if args.command != "check" and not args.landing:
@@ -50,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, args.landing, wh, symbols, args.strategy,
                               incremental=args.incremental)
         out = {"load_id": result.load.load_id, "files": result.load.files,
-               "tables": result.tables, "checks": result.checks}
+               "failed": result.load.failed, "snapshot": result.snapshot, "tables": result.tables,
+               "checks": result.checks}
     elif args.command == "load":
         from candlewick.plans.load import load_incremental
 
@@ -59,13 +61,17 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "stream":
         from candlewick.streaming.incremental import run_stream_once
 
-        run_stream_once(spark, args.landing, f"{wh}/raw", f"{wh}/ledger", f"{wh}/raw_stream_checkpoint")
-        out = {"table": f"{wh}/raw"}
+        run_stream_once(spark, args.landing, f"{wh}/raw", f"{wh}/ledger", f"{wh}/raw_stream_checkpoint",
+                        rejects=f"{wh}/rejected", archive=args.archive)
+        out = {"table": f"{wh}/raw", "rejected": f"{wh}/rejected"}
     else:
         from candlewick.operators.quality import assert_checks, run_checks
         from candlewick.plans.pipeline import MODELS
+        from candlewick.sinks.models import Warehouse
 
-        models = {name: spark.read.parquet(f"{wh}/{name}") for name in ["stg_klines", *MODELS]}
+        house = Warehouse(spark, wh)
+        snapshot = house.current()
+        models = {name: house.read(name, snapshot) for name in ["stg_klines", *MODELS]}
         models["stg_klines"] = models["stg_klines"].drop("date")
         out = {"checks": assert_checks(run_checks(models))}
     print(json.dumps(out))

@@ -1,17 +1,19 @@
 """Data quality: Q1 ``not_null`` column tests and Q2 the model expectations.
 
-Each model is checked in one aggregate pass (``count_if(col IS NULL)`` for all
-its tested columns at once, then ``unpivot`` to rows), not one query per
-column. The per-symbol staging tests run as a single ``groupBy(symbol)`` pass
-over the consolidated candles, which equals testing each per-symbol stage.
-``assert_checks`` counts failures on the cluster and brings back only a few.
+The daily job counts nulls while it writes a model (``DataFrame.observe``), so
+checking costs no scan: :class:`ObservedChecks`. Tables that are already there
+are checked in one aggregate pass each (``count_if(col IS NULL)`` for all tested
+columns at once, then ``unpivot`` to rows), not one query per column:
+:func:`run_checks`. The per-symbol staging tests run as a single
+``groupBy(symbol)`` pass over the consolidated candles, which equals testing
+each per-symbol stage.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The tested (model, column) pairs.
@@ -61,10 +63,72 @@ def run_checks(models: dict[str, DataFrame], expectations: dict | None = None) -
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Declared grain of the daily models: one row per day and pair.
+GRAIN = {m: ["date", "symbol"] for m in ("market_summary", "market_volatility", "market_liquidity")}
+
+
+def duplicates(df: DataFrame, columns: list[str], model: str) -> DataFrame:
+    """(model, keys, failures): how many values of the grain ``columns`` occur more than once. Counts
+    are combined before the shuffle, so a hot value is no hot task."""
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return rows.agg(F.count_if(F.col("_n") > 1).alias("failures")).select(
+        F.lit(model).alias("model"), F.lit(",".join(columns)).alias("keys"), "failures")
+
+
+def run_grain_checks(models: dict[str, DataFrame], grain: dict | None = None) -> DataFrame:
+    """Uniqueness of every model that has a declared grain."""
+    grain = GRAIN if grain is None else grain
+    return reduce(DataFrame.unionByName, [duplicates(df, grain[m], m) for m, df in models.items() if m in grain])
+
+
+class ObservedChecks:
+    """The tests of one model, counted while the model is written.
+
+    Pass ``observed`` and ``metrics`` to the write; after it, ``failures()``
+    gives (model, column, failures). For the staged candles the symbols are
+    gathered too (one value per pair), and if a stage test can fail -- its
+    column has a null anywhere -- ``by_symbol`` says where. A task that runs
+    twice may be counted twice: zero stays zero, and any other count fails.
+    """
+
+    def __init__(self, model: str):
+        self.model, self.observed = model, Observation()
+        self.columns = EXPECTATIONS.get(model, [])
+        self.metrics = tuple(F.count_if(F.col(c).isNull()).alias(c) for c in self.columns)
+        if model == "stg_klines":
+            self.metrics += (F.collect_set(F.coalesce("symbol", F.lit("null"))).alias("_symbols"),)
+
+    def failures(self, written: DataFrame) -> list[tuple[str, str, int]]:
+        """``written`` is read only if a stage test fails."""
+        if not self.metrics:
+            return []
+        got = self.observed.get
+        out = [(self.model, c, got.get(c) or 0) for c in self.columns]
+        if self.model == "stg_klines":
+            if any(n for _, c, n in out if c in STAGE_COLUMNS):
+                out += [tuple(r) for r in not_null(written, STAGE_COLUMNS, STAGE_PREFIX, by="symbol").collect()]
+            else:
+                out += [(STAGE_PREFIX + s, c, 0) for s in sorted(got.get("_symbols") or []) for c in STAGE_COLUMNS]
+        return out
+
+
 class QualityError(AssertionError):
     pass
 
 
+def _error(bad: list, n_bad: int) -> QualityError:
+    more = f" (and {n_bad - len(bad)} more)" if n_bad > len(bad) else ""
+    return QualityError("; ".join(f"{m}.{c}: {n} null" for m, c, n in bad) + more)
+
+
+def assert_observed(failures: list[tuple[str, str, int]], shown: int = 20) -> int:
+    """Fail the job when any observed test has failures; returns the number of tests."""
+    bad = sorted(f for f in failures if f[2])
+    if bad:
+        raise _error(bad[:shown], len(bad))
+    return len(failures)
+
+
 def assert_checks(results: DataFrame, shown: int = 20) -> int:
     """Fail the job when any test has failures; returns the number of tests run.
 
@@ -73,8 +137,5 @@ def assert_checks(results: DataFrame, shown: int = 20) -> int:
     bad = results.where(F.col("failures") > 0).orderBy("model", "column_name")
     n_bad = bad.count()
     if n_bad:
-        rows = bad.limit(shown).collect()
-        more = f" (and {n_bad - len(rows)} more)" if n_bad > len(rows) else ""
-        raise QualityError("; ".join(f"{r['model']}.{r['column_name']}: {r['failures']} null"
-                                     for r in rows) + more)
+        raise _error([tuple(r) for r in bad.limit(shown).collect()], n_bad)
     return results.count()

@@ -1,38 +1,31 @@
 """The plan of the per-symbol series models (M4, M5).
 
 The reference's windows are partitioned by ``symbol`` only, so one symbol's
-entire history would be one Spark task. Here the candles are cut into slices:
-contiguous runs of one total order (symbol, open time, close price, row), made
-by a range shuffle. A range shuffle samples its keys, so the runs are of about
-equal size whatever the data looks like: a hot symbol, a hot day, thousands of
-candles at one instant or without a time, and exact copies are all split (the
-row number of the scan breaks the last ties). A slice is the part of a run that
-lies in one symbol-day. Everything that crosses a slice boundary is carried by
-a per-slice table that is tiny next to the candles (one row per symbol-day and
-range boundary):
-
-* global row number = rows before the slice (running sum of slice counts) +
-  row number inside the slice;
-* LAG across a boundary = previous slice's last close (``lag`` on the table);
-* the symbol's first close = first slice's first close;
-* the 29-row look-back of the 30-row average: each slice receives, as a halo,
-  the last rows of the preceding slices that its first rows need. A slice may
-  hold fewer than 29 candles, so a halo can come from up to 29 earlier slices;
-  the source slices are found on the slice table, and only each slice's last
-  29 rows are ever candidates, so the halo is bounded by 29 rows per slice;
-* EMA (RANGE frame by date): per-slice weighted sums, summed per day, a
-  running sum over days, spread back over the day's slices.
-
-The candles cross the network twice (by range, then by slice); halo rows and
-the slice table are small and joined co-partitioned on the slice key. Slice
-numbers come from the range shuffle's partitions, so every consumer must read
-the same range shuffle. Three things see to that: a slice number depends on all
-columns, so every consumer has the same range shuffle in its plan and Spark reuses
-it, also under AQE (``tests/test_strategies.py`` counts them), both shuffles have a fixed number of partitions (AQE does not coalesce them),
-and the slice key is non-null (no ``IS NOT NULL`` filter is inferred into one
-consumer and not another; candles with a null symbol or time are kept, as the
-reference's windows keep them). Nothing runs when a plan is built, nothing is
-collected, and nothing is broadcast by hint.
+entire history would be one Spark task. Here the candles are put into one total
+order (symbol, open time, close price, row of the scan) by a range shuffle and
+written once, each row with its part and its position there (:func:`place`).
+The parts are of about equal size whatever the data looks like: a hot symbol, a
+hot day, thousands of candles at one instant or without a time, and exact
+copies are all cut. A *run* is what one part holds of one symbol; there are at
+most as many runs as parts and symbols together, and everything that crosses a
+run's boundary is carried by that small table:
+
+* global row number = rows of the symbol before the run (running sum of run
+  sizes) + position in the run;
+* LAG across a boundary = previous run's last close (``lag`` on the run table);
+* the symbol's first close = first run's first close;
+* the 29-row look-back of the 30-row average: each run receives, as a halo, the
+  last rows of the preceding runs that its first rows need. A run may hold fewer
+  than 29 candles, so a halo can come from up to 29 earlier runs; only each
+  run's last 29 rows are ever candidates, so the halo is bounded;
+* EMA (RANGE frame by date): weighted sums per day, a running sum over days,
+  joined back by day.
+
+Parts and positions are stored, not recomputed, so every consumer sees the same
+ones whatever Spark reuses, coalesces or recomputes; M4, M5 and the state read
+one :class:`Placed`. Each needs one more shuffle of the candles (the windows, by
+run). Candles with a null symbol or time are kept, as the reference's windows
+keep them. Nothing is collected, and nothing is broadcast by hint.
 
 Rows that tie in time are ordered by close price. Rows equal in both are
 interchangeable: no output depends on their order.
@@ -40,14 +33,21 @@ interchangeable: no output depends on their order.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.numbering import placed
 from candlewick.functions.time import trade_date
 from candlewick.operators.series import EMA_RATES, SMA_ROWS, ema_weight, returns_columns
+from candlewick.session import remove_folder, scratch_dir, write_once
 
 NULL_DAY = -(2 ** 31)  # day_key of a null date: sorts first, as NULLS FIRST does
 DAY_KEY = ["sym_key", "day_key"]
+KEY = ["sym_key", "part"]
+ORDER = ["open_time_ts", "close_price"]  # nulls first in both
+LOOK_BACK = max(SMA_ROWS.values()) - 1
 
 
 def _sym_key(symbol) -> F.Column:
@@ -74,75 +74,52 @@ def _base(klines: DataFrame, carry: tuple = ()) -> DataFrame:
                          "open_time_ts", "close_price", *extra)
 
 
-KEY = [*DAY_KEY, "slice"]
-ORDER = ["open_time_ts", "close_price"]  # nulls first in both
-
-
 def slice_partitions(df: DataFrame) -> int:
-    """Partitions of both shuffles: the session's ``spark.sql.shuffle.partitions``."""
+    """Parts of the total order: the session's ``spark.sql.shuffle.partitions``."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slice_keys(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> DataFrame:
-    """Candles with their slice: the number of their range of the total order
-    (symbol, time, close price, row), about rows / ``slices`` rows each."""
-    n = slices or slice_partitions(klines)
-    base = _base(klines, carry)
-    # zero, but made of every column: whoever reads slice numbers reads the one range shuffle of all
-    # columns, not a narrower one of its own, whose sampled bounds could differ
-    every = F.xxhash64(*base.columns).bitwiseAND(F.lit(0)).cast("int")
-    return (base.withColumn("_row", F.monotonically_increasing_id())
-            .repartitionByRange(n, "sym_key", *ORDER, "_row").drop("_row")
-            .withColumn("slice", F.spark_partition_id() + every))
-
-
-def slice_offsets(ranked: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """Per slice: ``cnt`` and ``start`` (rows of the symbol before the slice).
-    ``base`` (``sym_key``, ``base_rows``) adds rows that precede the input (an
-    incremental refresh). ``cnt`` is the highest rank, so this reads the same
-    ranked rows as every other consumer."""
-    counts = ranked.groupBy(*KEY).agg(F.max("r").cast("long").alias("cnt"))
-    w = Window.partitionBy("sym_key").orderBy(*KEY[1:])
-    before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))
-    if base is not None:
-        counts = counts.join(base.select("sym_key", "base_rows"), "sym_key", "left")
-        before = before + F.coalesce(F.col("base_rows"), F.lit(0))
-    return counts.select(*KEY, "cnt", before.alias("start"))
+@dataclass
+class Placed:
+    """Candles in their total order, and their runs; two tables below ``folder``."""
 
+    rows: DataFrame   # sym_key, day_key, open_time_ts, close_price, carried columns, part, pos
+    runs: DataFrame   # sym_key, part, cnt, first_pos, first_close, last_close
+    folder: str
 
-def slice_closes(ranked: DataFrame) -> DataFrame:
-    """Per slice: previous slice's last close and the symbol's first close, taken
-    by rank ``r`` from the ranked rows, so ties in time resolve exactly as the
-    ranking did (the aggregate reuses the ranked rows' partitioning)."""
-    closes = ranked.groupBy(*KEY).agg(
-        F.min_by("close_price", "r").alias("slice_first_close"),
-        F.max_by("close_price", "r").alias("slice_last_close"),
-    )
-    w = Window.partitionBy("sym_key").orderBy(*KEY[1:])
-    return closes.select(
-        *KEY,
-        F.lag("slice_last_close").over(w).alias("prev_last_close"),
-        F.first("slice_first_close").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("first_close_price"),
-    )
+    def remove(self) -> None:
+        remove_folder(self.rows.sparkSession, self.folder)
 
 
-def rank_in_slices(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> DataFrame:
-    """Candles with ``r`` = row in the slice, partitioned by slice."""
-    return (slice_keys(klines, carry, slices).repartition(slice_partitions(klines), *KEY)
-            .withColumn("r", F.row_number().over(Window.partitionBy(*KEY).orderBy(*ORDER))))
+def place(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> Placed:
+    """Put candles into their total order, in ``slices`` parts, and store it with its runs (two jobs)."""
+    folder = scratch_dir(klines.sparkSession, "series")
+    rows = placed(_base(klines, carry), ["sym_key", *ORDER], f"{folder}/rows", slices or slice_partitions(klines))
+    runs = rows.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"),
+        F.min_by("close_price", "pos").alias("first_close"), F.max_by("close_price", "pos").alias("last_close"))
+    return Placed(rows, write_once(runs, f"{folder}/runs"), folder)
 
 
-def keep_partitioning(ranked: DataFrame, table: DataFrame) -> DataFrame:
-    """Join a slice-table-sized frame onto the ranked candles, keeping the
-    candles' slice partitioning: a sort-merge join whose candle side is already
-    partitioned and sorted on the key, so only ``table`` moves. (Left to
-    itself, AQE may broadcast whichever side finishes first under the
-    threshold -- the candles, on small inputs -- and the result would lose the
-    partitioning that the later windows and the halo union rely on.)"""
-    return ranked.hint("shuffle_merge").join(table, KEY)
+def run_offsets(series: Placed, base: DataFrame | None = None) -> DataFrame:
+    """Per run: ``cnt``, ``first_pos`` and ``start`` (rows of the symbol before the run). ``base``
+    (``sym_key``, ``base_rows``) adds rows that precede the input (an incremental refresh)."""
+    w = Window.partitionBy("sym_key").orderBy("part")
+    before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = series.runs
+    if base is not None:
+        runs = runs.join(base.select("sym_key", "base_rows"), "sym_key", "left")
+        before = before + F.coalesce(F.col("base_rows"), F.lit(0))
+    return runs.select(*KEY, "cnt", "first_pos", before.alias("start"))
+
+
+def run_closes(series: Placed) -> DataFrame:
+    """Per run: its first position, the previous run's last close and the symbol's first close."""
+    w = Window.partitionBy("sym_key").orderBy("part")
+    return series.runs.select(
+        *KEY, "first_pos", F.lag("last_close").over(w).alias("prev_last_close"),
+        F.first("first_close").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .alias("first_close_price"))
 
 
 def _restore(df: DataFrame) -> DataFrame:
@@ -150,17 +127,16 @@ def _restore(df: DataFrame) -> DataFrame:
                            "date": _date_of(F.col("day_key"))})
 
 
-def number_rows(klines: DataFrame, carry: tuple = (), slices: int | None = None,
-                base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(candles with ``row_num``, slice offsets). ``row_num`` = ROW_NUMBER() OVER
-    (PARTITION BY symbol ORDER BY open_time_ts, close_price), computed per
-    slice; the frame also keeps ``symbol``, ``date``, ``r`` (row in the slice),
-    ``cnt``, ``start`` and the ``carry`` columns. Later windows order by
-    ``r``/``row_num``, never by time again."""
-    ranked = rank_in_slices(klines, carry, slices)
-    offsets = slice_offsets(ranked, base)
-    numbered = keep_partitioning(ranked, offsets).withColumn("row_num", F.col("start") + F.col("r"))
-    return _restore(numbered), offsets
+def numbered_rows(series: Placed, base: DataFrame | None = None) -> DataFrame:
+    """Candles with ``row_num`` = ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY open_time_ts,
+    close_price), and their run's ``cnt`` and ``first_pos``: a join with the small run table."""
+    return series.rows.join(run_offsets(series, base), KEY).withColumn(
+        "row_num", F.col("start") + F.col("pos") - F.col("first_pos") + 1)
+
+
+def number_rows(klines: DataFrame, carry: tuple = (), slices: int | None = None) -> DataFrame:
+    """Candles with ``row_num``, ``symbol``, ``date`` and the ``carry`` columns."""
+    return _restore(numbered_rows(place(klines, carry, slices)))
 
 
 def _since(from_date: str | None):
@@ -168,97 +144,84 @@ def _since(from_date: str | None):
     return F.lit(True) if from_date is None else F.col("day_key") >= F.unix_date(F.lit(from_date).cast("date"))
 
 
-def market_returns_sliced(klines: DataFrame, slices: int | None = None,
-                          base: DataFrame | None = None,
-                          from_date: str | None = None) -> DataFrame:
-    """M4: LAG inside the slice, previous slice's last close for a slice's first
-    candle; no halo and no row offsets needed.
+def returns_of(series: Placed, base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
+    """M4: LAG inside the run, previous run's last close for a run's first candle.
 
-    Incremental refresh: ``klines`` holds the rows from ``from_date`` on plus at
+    Incremental refresh: ``series`` holds the rows from ``from_date`` on plus at
     least the last row before it (context, not emitted); ``base`` gives each
     symbol's ``first_close_price`` from its stored state, null included."""
-    ranked = rank_in_slices(klines, slices=slices)
-    by_rank = Window.partitionBy(*KEY).orderBy("r")
-    prev = F.when(F.col("r") == 1, F.col("prev_last_close")) \
-        .otherwise(F.lag("close_price").over(by_rank))
-    closes = slice_closes(ranked)
+    closes = run_closes(series)
     if base is not None:
-        stored = base.select("sym_key", F.col("first_close_price").alias("_stored_first"),
-                             F.lit(True).alias("_has_prior"))
-        closes = closes.join(stored, "sym_key", "left").withColumn(
+        prior = base.select("sym_key", F.col("first_close_price").alias("_stored_first"),
+                            F.lit(True).alias("_has_prior"))
+        closes = closes.join(prior, "sym_key", "left").withColumn(
             "first_close_price", F.when(F.col("_has_prior"), F.col("_stored_first"))
             .otherwise(F.col("first_close_price"))).drop("_stored_first", "_has_prior")
-    rows = _restore(keep_partitioning(ranked, closes))
-    return rows.where(_since(from_date)).select(
-        "date", "symbol", "close_price", "first_close_price", prev.alias("previous_close_price")) \
-        .select("date", "symbol",
-                *returns_columns("close_price", "previous_close_price", "first_close_price"))
-
-
-def halo_sources(slices: DataFrame, look_back: int) -> DataFrame:
-    """(source slice key) -> (``tgt_*`` target slice key, tgt_start): earlier slices
-    whose rows fall in the ``look_back`` rows before the target slice's first row."""
-    order = KEY[1:]
-    w = Window.partitionBy("sym_key").orderBy(*order).rowsBetween(-look_back, -1)
-    earlier = F.collect_list(F.struct(*order, "start", "cnt")).over(w)
+    by_pos = Window.partitionBy(*KEY).orderBy("pos")
+    rows = series.rows.withColumn("_lag", F.lag("close_price").over(by_pos)).where(_since(from_date))
+    rows = _restore(rows.join(closes, KEY)).withColumn(
+        "previous_close_price", F.when(F.col("pos") == F.col("first_pos"), F.col("prev_last_close"))
+        .otherwise(F.col("_lag")))
+    return rows.select("date", "symbol", *returns_columns("close_price", "previous_close_price", "first_close_price"))
+
+
+def market_returns_sliced(klines: DataFrame, slices: int | None = None) -> DataFrame:
+    """M4 of candles that are not placed yet."""
+    return returns_of(place(klines, slices=slices))
+
+
+def halo_sources(runs: DataFrame, look_back: int) -> DataFrame:
+    """(source run) -> (``tgt_part``, ``tgt_start``): earlier runs whose rows fall in the
+    ``look_back`` rows before the target run's first row."""
+    w = Window.partitionBy("sym_key").orderBy("part").rowsBetween(-look_back, -1)
+    earlier = F.collect_list(F.struct("part", "start", "cnt")).over(w)
     first_needed = F.col("start") - (look_back - 1)  # 1-based position of the oldest row needed
     return (
-        slices.select("sym_key", *[F.col(c).alias(f"tgt_{c}") for c in order],
-                      F.col("start").alias("tgt_start"),
-                      F.filter(earlier, lambda s: s["start"] + s["cnt"] >= first_needed)
-                      .alias("src"))
-        .select("sym_key", *[f"tgt_{c}" for c in order], "tgt_start",
-                F.explode("src").alias("s"))
-        .select("sym_key", *[F.col(f"s.{c}").alias(c) for c in order],
-                *[f"tgt_{c}" for c in order], "tgt_start")
+        runs.select("sym_key", F.col("part").alias("tgt_part"), F.col("start").alias("tgt_start"),
+                    F.filter(earlier, lambda s: s["start"] + s["cnt"] >= first_needed).alias("src"))
+        .select("sym_key", "tgt_part", "tgt_start", F.explode("src").alias("s"))
+        .select("sym_key", F.col("s.part").alias("part"), "tgt_part", "tgt_start")
     )
 
 
+EMA_PARTS = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
+
+
 def ema_day_sums(numbered: DataFrame) -> DataFrame:
     """Per (sym_key, day_key): the EMA numerator/denominator sums of the day's
     candles, with weights from their global row numbers."""
-    sums = numbered.groupBy(*KEY).agg(*[
+    return numbered.groupBy(*DAY_KEY).agg(*[
         agg for name, rate in EMA_RATES.items() for agg in (
             F.sum(F.col("close_price") * ema_weight(rate)).alias(f"{name}_num"),
             F.sum(ema_weight(rate)).alias(f"{name}_den"),
         )
     ])
-    return sums.groupBy(*DAY_KEY).agg(*[F.sum(c).alias(c) for c in EMA_PARTS])
-
-
-EMA_PARTS = [c for name in EMA_RATES for c in (f"{name}_num", f"{name}_den")]
 
 
-def market_trend_sliced(klines: DataFrame, slices: int | None = None,
-                        base: DataFrame | None = None,
-                        from_date: str | None = None) -> DataFrame:
-    """M5 on the sliced plan (same rows as the symbol-wide windows).
+def trend_of(series: Placed, base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
+    """M5 (same rows as the symbol-wide windows).
 
-    Incremental refresh: ``klines`` holds the rows from ``from_date`` on plus
+    Incremental refresh: ``series`` holds the rows from ``from_date`` on plus
     the last 29 rows before it (context: they fill the first windows but are
     neither emitted nor summed); ``base`` (``sym_key``, ``base_rows`` = rows
     before the context, and the EMA sums of all days before ``from_date``)
     carries the rest of each symbol's history."""
-    look_back = max(SMA_ROWS.values()) - 1
-    numbered, offsets = number_rows(klines, slices=slices, base=base)
-    order = KEY[1:]
-
-    keep = [*KEY, "close_price", "row_num"]
+    numbered = numbered_rows(series, base)
+    keep = [*KEY, "day_key", "close_price", "row_num"]
     own = numbered.select(*keep, F.lit(False).alias("halo"))
-    tail = numbered.where(F.col("r") > F.col("cnt") - look_back).select(*keep)
+    tail = numbered.where(F.col("pos") >= F.col("first_pos") + F.col("cnt") - LOOK_BACK).select(*keep)
     halo = (
-        tail.join(halo_sources(offsets, look_back), KEY)
-        .where(F.col("row_num") >= F.col("tgt_start") - (look_back - 1))
-        .select("sym_key", *[F.col(f"tgt_{c}").alias(c) for c in order],
-                "close_price", "row_num", F.lit(True).alias("halo"))
-        .repartition(slice_partitions(klines), *KEY)
+        tail.join(halo_sources(run_offsets(series, base), LOOK_BACK), KEY)
+        .where(F.col("row_num") >= F.col("tgt_start") - (LOOK_BACK - 1))
+        .select("sym_key", F.col("tgt_part").alias("part"), "day_key", "close_price", "row_num",
+                F.lit(True).alias("halo"))
     )
     rows = Window.partitionBy(*KEY).orderBy("row_num")
     sma = own.unionByName(halo).select(
-        *KEY, "row_num", "halo",
+        *DAY_KEY, "halo",
         *[F.avg("close_price").over(rows.rowsBetween(-(n - 1), 0)).alias(name)
           for name, n in SMA_ROWS.items()],
-    ).where(~F.col("halo"))
+    ).where(~F.col("halo") & _since(from_date))
 
     per_day = ema_day_sums(numbered.where(_since(from_date)))
     upto = Window.partitionBy("sym_key").orderBy("day_key") \
@@ -274,21 +237,21 @@ def market_trend_sliced(klines: DataFrame, slices: int | None = None,
     ema_day = per_day.select(*DAY_KEY, *[
         (running[f"{name}_num"] / running[f"{name}_den"]).alias(name) for name in EMA_RATES
     ])
-    # Spread the day's EMA over its slices so the final join is slice-keyed
-    # (co-partitioned with the candles); both sides here are slice-table sized.
-    ema = offsets.select(*KEY).join(ema_day, DAY_KEY)
-    return sma.join(ema, KEY).select(_date_of(F.col("day_key")).alias("date"),
-                                     _symbol_of(F.col("sym_key")).alias("symbol"),
-                                     *SMA_ROWS, *EMA_RATES)
+    return sma.join(ema_day, DAY_KEY).select(_date_of(F.col("day_key")).alias("date"),
+                                             _symbol_of(F.col("sym_key")).alias("symbol"),
+                                             *SMA_ROWS, *EMA_RATES)
+
+
+def market_trend_sliced(klines: DataFrame, slices: int | None = None) -> DataFrame:
+    """M5 of candles that are not placed yet."""
+    return trend_of(place(klines, slices=slices))
 
 
-def series_state(klines: DataFrame, slices: int | None = None,
-                 base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
+def state_of(series: Placed, base: DataFrame | None = None, from_date: str | None = None) -> DataFrame:
     """Per (symbol, date): candle count, the day's first close (in row order) and
     the EMA sums with global row numbers -- what an incremental refresh needs of
-    the days before it. Same inputs as :func:`market_trend_sliced`."""
-    numbered, _ = number_rows(klines, slices=slices, base=base)
-    numbered = numbered.where(_since(from_date))
+    the days before it. Same inputs as :func:`trend_of`."""
+    numbered = numbered_rows(series, base).where(_since(from_date))
     counts = numbered.groupBy(*DAY_KEY).agg(
         F.count(F.lit(1)).alias("cnt"),
         F.min_by("close_price", "row_num").alias("day_first_close"))
@@ -299,7 +262,7 @@ def series_state(klines: DataFrame, slices: int | None = None,
 
 
 def refresh_inputs(state: DataFrame, staged: DataFrame, from_date: str,
-                   look_back: int = max(SMA_ROWS.values()) - 1) -> tuple[DataFrame, DataFrame]:
+                   look_back: int = LOOK_BACK) -> tuple[DataFrame, DataFrame]:
     """(candles to recompute, base) for a refresh of M4/M5 from ``from_date``.
 
     The candles are the staged rows from ``from_date`` on plus, per symbol, the

@@ -1,15 +1,15 @@
 """Incremental load of landed pages into the raw table, with the ledger as
 the commit point (SURVEY §4b).
 
-1. list landed pages, drop those the ledger marks loaded (anti join), and
-   snapshot the list of new files to a scratch table;
-2. per batch of at most ``max_files_per_load`` pages: read only those pages'
-   files (loaded files are never opened), derive timestamps, symbol and day,
-   append under a fresh ``load_id``;
-3. append the ledger rows for exactly the pages read -- this is the commit.
+1. find landed pages (the landing log), drop those the ledger marks loaded (anti
+   join), and store the list of new pages with its row numbers;
+2. per batch of at most ``max_files_per_load`` pages: read only those pages,
+   derive timestamps, symbol and day, append under a fresh ``load_id``;
+3. commit to the ledger exactly the pages read, with the days of their candles.
 
 A crash before 3 leaves rows no reader sees; the retry loads the pages again
-under a new id. One writer at a time is assumed.
+under a new id. Pages that the landing withdrew (S5) get tombstones. One
+writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -17,13 +17,15 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candlewick.functions.numbering import with_row_index
 from candlewick.functions.paths import symbol_from_path
-from candlewick.operators.ledger import ensure_ledger, mark_loaded, new_files_only, read_ledger
-from candlewick.sources.landing import read_landed, scan_landing
-from candlewick.session import remove_folder, scratch_dir
-from candlewick.sources.raw import append_raw, ensure_raw_table, to_raw
+from candlewick.operators.ledger import mark_loaded, new_files_only, read_ledger, unmark
+from candlewick.session import remove_folder, scratch_dir, write_once
+from candlewick.sources.landing import read_landed, scan_landing, unreadable_files, withdrawn_pages
+from candlewick.sources.raw import append_raw, days_of_files, ensure_raw_table, remove_load, to_raw
 
 
 @dataclass
@@ -39,9 +41,35 @@ class CrashForTest(RuntimeError):
 
 
 MAX_FILES_PER_LOAD = 200_000
-# Spark's error conditions for a file that cannot be read or is not Parquet.
-UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE", "not a Parquet file", "Could not read footer",
-              "PARQUET_COLUMN_DATA_TYPE_MISMATCH", "PARQUET_TYPE")
+
+
+def append_pages(spark: SparkSession, files: DataFrame, raw_path: str, load_id: str,
+                 append=append_raw) -> tuple[DataFrame, list]:
+    """Append the candles of landed pages (rows of ``scan_landing``) to the raw table.
+
+    Returns (the pages appended, [(path, reason)] of files that cannot be read).
+    If the append fails, executors open every file of the batch once; the pages
+    of those that cannot be read are left out and the rest is appended again,
+    after the failed attempt's rows are deleted. If all files are sound, the
+    error was something else and is raised.
+    """
+    def write(pages: DataFrame) -> None:
+        landed = read_landed(spark, pages).withColumn("symbol", symbol_from_path("source_file"))
+        append(to_raw(landed, load_id), raw_path)
+
+    try:
+        write(files)
+        return files, []
+    except Exception:  # noqa: BLE001 - the files decide, not the kind of error
+        bad = [tuple(r) for r in unreadable_files(files).collect()]  # broken files only
+        if not bad:
+            raise
+    remove_load(spark, raw_path, load_id)
+    broken = spark.createDataFrame(bad, "path string, reason string").select("path")
+    lost = files.join(broken, "path", "left_semi").select("source_file").distinct()
+    sound = files.join(lost, "source_file", "left_anti")
+    write(sound)
+    return sound, bad
 
 
 def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledger_path: str,
@@ -49,59 +77,40 @@ def load_incremental(spark: SparkSession, landing_root: str, raw_path: str, ledg
                      max_files_per_load: int = MAX_FILES_PER_LOAD) -> LoadResult:
     """Load every landed page not yet in the ledger. The new pages are committed
     in batches of at most ``max_files_per_load`` pages, each its own load id and
-    ledger append, so a backfill is a series of bounded jobs: a failure redoes
+    ledger commit, so a backfill is a series of bounded jobs: a failure redoes
     one batch, and the batches already committed stay.
 
-    The listing of new files is written once to a scratch table (a stable
-    snapshot that survives lost executors) and streamed back to the driver in
-    page order, one batch at a time: the driver never holds more than one
-    batch of file names, and never any rows.
-
-    A page whose file cannot be read does not stop the others: its batch is cut
-    in halves until the page is alone, the rest is committed, and the page is
-    reported in ``failed``. It is not marked, so a later run loads it once it
-    is repaired."""
+    The list of new pages is a numbered table; a batch is a range of its
+    numbers, so no list of names passes through the driver. A page whose file
+    cannot be read does not stop the others: it is reported in ``failed`` and
+    not marked, so a later run loads it once it is repaired."""
     ensure_raw_table(spark, raw_path)
-    ensure_ledger(spark, ledger_path)
-    new = new_files_only(scan_landing(spark, landing_root), read_ledger(spark, ledger_path))
-    listing = f"{scratch_dir(spark, 'load-listing')}/files"
-    new.select("source_file", "path").write.parquet(listing)
-    snapshot = spark.read.parquet(listing).orderBy("source_file", "path")
-
-    ids, failed = [], []
-
-    def commit(files: dict[str, list[str]]) -> int:
-        """Load the files of these pages; returns the number of pages committed."""
+    landed, ledger = scan_landing(spark, landing_root), read_ledger(spark, ledger_path)
+    folder = scratch_dir(spark, "load-listing")
+    pages = write_once(new_files_only(landed, ledger), f"{folder}/new")
+    names = write_once(with_row_index(pages.select("source_file").distinct(), ["source_file"], f"{folder}/order"),
+                       f"{folder}/names")
+    total = names.count()
+    ids, failed, done = [], [], 0
+    for start in range(0, total, max_files_per_load):
+        batch = names.where((F.col("index") >= start) & (F.col("index") < start + max_files_per_load))
+        files = pages.join(batch.select("source_file"), "source_file", "left_semi")
         load_id = uuid.uuid4().hex
-        try:
-            landed = read_landed(spark, [p for paths in files.values() for p in paths])
-            landed = landed.withColumn("symbol", symbol_from_path("source_file"))
-            append_raw(to_raw(landed, load_id), raw_path)
-        except Exception as e:  # the condition decides: Spark raises it through the writer's own error
-            if not any(u in str(e) for u in UNREADABLE):
-                raise
-            if len(files) == 1:
-                failed.extend(files)
-                return 0
-            names = list(files)
-            half = len(names) // 2
-            return sum(commit({n: files[n] for n in part}) for part in (names[:half], names[half:]))
+        loaded, bad = append_pages(spark, files, raw_path, load_id)
+        lost = [r[0] for r in batch.join(loaded.select("source_file"), "source_file", "left_anti")
+                .select("source_file").collect()] if bad else []
+        failed += lost
         if fail_before_commit:
             raise CrashForTest("stopped between the raw append and the ledger commit")
-        # The ledger rows name exactly the pages read: a page landed while the
-        # load runs is neither read nor marked.
-        mark_loaded(spark.createDataFrame([(x,) for x in files], "source_file string"),
-                    ledger_path, load_id)
-        ids.append(load_id)
-        return len(files)
-
-    pages, files = 0, {}
-    for row in snapshot.toLocalIterator():
-        if row["source_file"] not in files and len(files) == max_files_per_load:
-            pages += commit(files)
-            files = {}
-        files.setdefault(row["source_file"], []).append(row["path"])
-    if files:
-        pages += commit(files)
-    remove_folder(spark, listing)
-    return LoadResult(ids[-1] if ids else None, pages, ids, failed)
+        # The commit names exactly the pages read: a page landed while the load runs is neither read nor marked.
+        mark_loaded(loaded.select("source_file").distinct()
+                    .join(days_of_files(spark, raw_path, load_id), "source_file", "left"), ledger_path, load_id)
+        count = min(max_files_per_load, total - start) - len(lost)
+        if count:
+            ids.append(load_id)
+        done += count
+    withdrawn = withdrawn_pages(spark, landing_root)
+    if not withdrawn.isEmpty():
+        unmark(spark, withdrawn, ledger_path)
+    remove_folder(spark, folder)
+    return LoadResult(ids[-1] if ids else None, done, ids, failed)

@@ -14,6 +14,7 @@ exact power of ten (10^0..10^22), one multiply or divide, round, undo.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,7 +97,9 @@ def q_candles(spark, sf_dir):
     return candles_from_events(read_events(spark, sf_dir))
 
 
-SUMMARY_SQL = f"""{K}
+def summary_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles}
 SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        first(open_price ORDER BY open_time_ts) AS open_price,
        max(high_price) AS high_price, min(low_price) AS low_price,
@@ -106,42 +109,51 @@ FROM k GROUP BY 1, 2"""
 SUMMARY_DOUBLES = ["open_price", "high_price", "low_price", "close_price", "volume"]
 
 
-@register("market_summary", SUMMARY_SQL, SUMMARY_DOUBLES)
+@register("market_summary", summary_sql(), SUMMARY_DOUBLES)
 def q_summary(spark, sf_dir):
     return daily.market_summary(klines(spark, sf_dir))
 
 
-@register("market_summary_window", SUMMARY_SQL, SUMMARY_DOUBLES)
+@register("market_summary_window", summary_sql(), SUMMARY_DOUBLES)
 def q_summary_window(spark, sf_dir):
     return daily.market_summary(klines(spark, sf_dir), strategy="window")
 
 
-VOLATILITY_SQL = f"""{K}
+def volatility_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles}
 SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        (max(high_price) - min(low_price)) / first(open_price ORDER BY open_time_ts) * 100
          AS volatility
 FROM k GROUP BY 1, 2"""
 
 
-@register("market_volatility", VOLATILITY_SQL, ["volatility"])
+@register("market_volatility", volatility_sql(), ["volatility"])
 def q_volatility(spark, sf_dir):
     return daily.market_volatility(klines(spark, sf_dir))
 
 
-@register("market_volatility_window", VOLATILITY_SQL, ["volatility"])
+@register("market_volatility_window", volatility_sql(), ["volatility"])
 def q_volatility_window(spark, sf_dir):
     return daily.market_volatility(klines(spark, sf_dir), strategy="window")
 
 
-@register("market_liquidity", f"""{K}
+def liquidity_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles}
 SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        sum(quote_asset_volume) / NULLIF(sum(number_of_trades), 0) AS liquidity_ratio
-FROM k GROUP BY 1, 2""", ["liquidity_ratio"])
+FROM k GROUP BY 1, 2"""
+
+
+@register("market_liquidity", liquidity_sql(), ["liquidity_ratio"])
 def q_liquidity(spark, sf_dir):
     return daily.market_liquidity(klines(spark, sf_dir))
 
 
-RETURNS_SQL = f"""{K}
+def returns_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles}
 SELECT CAST(open_time_ts AS DATE) AS date, symbol,
        (close_price - lag(close_price) OVER w) / NULLIF(lag(close_price) OVER w, 0) * 100
          AS daily_return,
@@ -152,22 +164,30 @@ WINDOW w AS (PARTITION BY symbol ORDER BY open_time_ts NULLS FIRST, close_price
 RETURNS_DOUBLES = ["daily_return", "cumulative_return"]
 
 
-@register("market_returns", RETURNS_SQL, RETURNS_DOUBLES)
+@register("market_returns", returns_sql(), RETURNS_DOUBLES)
 def q_returns(spark, sf_dir):
     return series.market_returns(klines(spark, sf_dir))
 
 
-@register("market_returns_sliced", RETURNS_SQL, RETURNS_DOUBLES)
+SHORT_RUNS = 150
+
+
+@register("market_returns_sliced", returns_sql(), RETURNS_DOUBLES)
 def q_returns_sliced(spark, sf_dir):
-    return series.market_returns(klines(spark, sf_dir), strategy="sliced")
+    """In many more parts than the session's, so that runs are short and most boundaries are crossed."""
+    from candlewick.operators.sliced import market_returns_sliced
 
+    return market_returns_sliced(klines(spark, sf_dir), slices=SHORT_RUNS)
 
-@register("market_returns_window", RETURNS_SQL, RETURNS_DOUBLES)
+
+@register("market_returns_window", returns_sql(), RETURNS_DOUBLES)
 def q_returns_window(spark, sf_dir):
     return series.market_returns(klines(spark, sf_dir), strategy="window")
 
 
-TREND_SQL = f"""{K},
+def trend_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles},
 n AS (SELECT CAST(open_time_ts AS DATE) AS date, symbol, open_time_ts, close_price,
              row_number() OVER (PARTITION BY symbol
                ORDER BY open_time_ts NULLS FIRST, close_price NULLS FIRST) AS rn
@@ -185,37 +205,42 @@ WINDOW d AS (PARTITION BY symbol ORDER BY date)"""
 TREND_DOUBLES = ["sma_7", "sma_30", "ema_7", "ema_30"]
 
 
-@register("market_trend", TREND_SQL, TREND_DOUBLES)
+@register("market_trend", trend_sql(), TREND_DOUBLES)
 def q_trend(spark, sf_dir):
     return series.market_trend(klines(spark, sf_dir))
 
 
-@register("market_trend_sliced", TREND_SQL, TREND_DOUBLES)
+@register("market_trend_sliced", trend_sql(), TREND_DOUBLES)
 def q_trend_sliced(spark, sf_dir):
-    return series.market_trend(klines(spark, sf_dir), strategy="sliced")
+    """As market_returns_sliced; halos come from several earlier runs."""
+    from candlewick.operators.sliced import market_trend_sliced
+
+    return market_trend_sliced(klines(spark, sf_dir), slices=SHORT_RUNS)
 
 
-@register("market_trend_window", TREND_SQL, TREND_DOUBLES)
+@register("market_trend_window", trend_sql(), TREND_DOUBLES)
 def q_trend_window(spark, sf_dir):
     return series.market_trend(klines(spark, sf_dir), strategy="window")
 
 # ---------------------------------------------------------------- staging, S23, Q1/Q2
 
-STAGE_SQL = f"""{K}
+def stage_sql(candles: str = K) -> str:
+    """SQL over ``k``, which ``candles`` defines."""
+    return f"""{candles}
 SELECT open_time_ts, close_time_ts, open_price, high_price, low_price, close_price, volume,
        quote_asset_volume, number_of_trades, taker_buy_base_asset_volume,
        taker_buy_quote_asset_volume, symbol
 FROM k"""
 
 
-@register("stage_klines", STAGE_SQL, CANDLE_DOUBLES)
+@register("stage_klines", stage_sql(), CANDLE_DOUBLES)
 def q_stage(spark, sf_dir):
     from candlewick.operators.staging import stage_klines
 
     return stage_klines(klines(spark, sf_dir))
 
 
-@register("consolidated_klines", STAGE_SQL, CANDLE_DOUBLES)
+@register("consolidated_klines", stage_sql(), CANDLE_DOUBLES)
 def q_consolidated(spark, sf_dir):
     from candlewick.operators.staging import consolidated_klines, stage_klines
 
@@ -250,36 +275,38 @@ def q_fill(spark, sf_dir):
 
 # Every tenth minute has no close price, every fifteenth no close time and no quote volume, so tests fail.
 PLANTED = {"close_price": 10, "close_time_ts": 15, "quote_asset_volume": 15}
-K_PLANTED = K[:-1] + "), planted AS (SELECT * REPLACE ({}) FROM k)".format(", ".join(
+K_PLANTED = K.replace("WITH k AS", "WITH unplanted AS", 1) + ", k AS (SELECT * REPLACE ({}) FROM unplanted)".format(", ".join(
     f"CASE WHEN minute(open_time_ts) % {n} = 0 THEN NULL ELSE {c} END AS {c}" for c, n in PLANTED.items()))
 
 
 def _models(spark, sf_dir):
+    """The planted candles and all models of them; the daily aggregate and the placing are shared."""
+    from candlewick.operators import sliced
     from candlewick.operators.staging import stage_klines
+    from candlewick.session import scratch_dir, write_once
 
     k = stage_klines(klines(spark, sf_dir))
     k = k.withColumns({c: F.when(F.minute("open_time_ts") % n != 0, F.col(c)) for c, n in PLANTED.items()})
+    folder = scratch_dir(spark, "checks")
+    k = write_once(k, f"{folder}/candles")
+    day = write_once(daily.daily_aggregates(k), f"{folder}/days")
+    series_of_k = sliced.place(k)
     return {
         "stg_klines": k,
-        "market_summary": daily.market_summary(k),
-        "market_volatility": daily.market_volatility(k),
-        "market_trend": series.market_trend(k),
-        "market_liquidity": daily.market_liquidity(k),
-        "market_returns": series.market_returns(k),
+        "market_summary": daily.summary_from_daily(day),
+        "market_volatility": daily.volatility_from_daily(day),
+        "market_trend": sliced.trend_of(series_of_k),
+        "market_liquidity": daily.liquidity_from_daily(day),
+        "market_returns": sliced.returns_of(series_of_k),
     }
 
 
 def _not_null_sql() -> str:
     from candlewick.operators.quality import EXPECTATIONS, STAGE_COLUMNS, STAGE_PREFIX
 
-    sources = {"stg_klines": STAGE_SQL, "market_summary": SUMMARY_SQL,
-               "market_volatility": VOLATILITY_SQL, "market_trend": TREND_SQL,
-               "market_liquidity": f"""{K}
-SELECT CAST(open_time_ts AS DATE) AS date, symbol,
-       sum(quote_asset_volume) / NULLIF(sum(number_of_trades), 0) AS liquidity_ratio
-FROM k GROUP BY 1, 2""", "market_returns": RETURNS_SQL}
-    sources = {n: q.replace(K, K_PLANTED).replace("FROM k", "FROM planted").replace("FROM planted)", "FROM k)")
-               for n, q in sources.items()}
+    sources = {"stg_klines": stage_sql, "market_summary": summary_sql, "market_volatility": volatility_sql,
+               "market_trend": trend_sql, "market_liquidity": liquidity_sql, "market_returns": returns_sql}
+    sources = {model: sql(K_PLANTED) for model, sql in sources.items()}
     parts = []
     for model, cols in EXPECTATIONS.items():
         for c in cols:
@@ -299,6 +326,30 @@ def q_checks(spark, sf_dir):
 
     return run_checks(_models(spark, sf_dir))
 
+
+
+def _grain_sql() -> str:
+    from candlewick.operators.quality import GRAIN
+
+    # every seventh day is there twice, in all but the last model
+    parts = []
+    for model in GRAIN:
+        twice = "SELECT 0 AS n" if model == "market_liquidity" else "SELECT 0 AS n UNION ALL SELECT 1"
+        parts.append(f"SELECT '{model}' AS model, 'date,symbol' AS keys, count(*) FILTER (n > 1) AS failures FROM ("
+                     f"SELECT date, symbol, count(*) AS n FROM ({summary_sql()}) AS m, ({twice}) AS t "
+                     "WHERE t.n = 0 OR day(date) % 7 = 0 GROUP BY 1, 2) AS g")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("grain_checks", _grain_sql())
+def q_grain(spark, sf_dir):
+    from candlewick.operators.quality import run_grain_checks
+
+    day = daily.daily_aggregates(klines(spark, sf_dir))
+    models = {"market_summary": daily.summary_from_daily(day), "market_volatility": daily.volatility_from_daily(day)}
+    twice = {m: df.unionByName(df.where(F.day("date") % 7 == 0)) for m, df in models.items()}
+    return run_grain_checks({**twice, "market_liquidity": daily.liquidity_from_daily(day)})
+
 # ---------------------------------------------------------------- pages and landing
 
 PAGE_LIMIT = 100  # request size for the test data (the reference default, 1000, leaves one full page per symbol at sf0.01)
@@ -415,6 +466,61 @@ def q_next_cursor(spark, sf_dir):
 
     return next_cursor(parse_kline_pages(_pages(spark, sf_dir)), NOW_MS)
 
+
+
+@register("empty_pages", f"""
+SELECT symbol, page, count(open_time) AS n_rows
+FROM (SELECT symbol, page, open_time FROM ({PAGED_SQL}) AS p
+      UNION ALL SELECT DISTINCT symbol, -1 AS page, CAST(NULL AS BIGINT) FROM ({PAGED_SQL}) AS p) AS u
+GROUP BY symbol, page""")
+def q_empty_pages(spark, sf_dir):
+    """Candles that each page parses to; every symbol also has an empty page, which parses to none."""
+    from candlewick.sources.pages import parse_kline_pages
+
+    pages = _pages(spark, sf_dir)
+    empty = pages.select("symbol").distinct().select("symbol", F.lit(-1).alias("page"), F.lit("[]").alias("body"))
+    pages = pages.unionByName(empty)
+    parsed = parse_kline_pages(pages).groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n"))
+    return pages.select("symbol", "page").join(parsed, ["symbol", "page"], "left") \
+        .select("symbol", "page", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+# Bad numbers: of every eleventh candle of a page the close price, of every thirteenth the trade count.
+BAD = {11: ("close_price", "n/a"), 13: ("number_of_trades", "7.5 trades")}
+
+
+def _pages_with_bad_numbers(spark, sf_dir):
+    from candlewick.schema import PAGE_FIELDS
+    from candlewick.sources.pages import page_rows
+
+    def planted(row, at):
+        fields = [row[i] for i in range(len(PAGE_FIELDS))]
+        for every, (column, value) in BAD.items():
+            i = PAGE_FIELDS.index(column)
+            fields[i] = F.when(at % every == 0, F.lit(value)).otherwise(fields[i])
+        return F.array(*fields)
+
+    return _pages(spark, sf_dir).withColumn("body", F.to_json(F.transform(page_rows("body"), planted)))
+
+
+@register("rejected_values", "\nUNION ALL\n".join(
+    f"SELECT symbol, page, pos, '{column}' AS \"column\", '{value}' AS value FROM ({PAGED_SQL}) AS p WHERE pos % {every} = 0"
+    for every, (column, value) in BAD.items()))
+def q_rejected_values(spark, sf_dir):
+    from candlewick.sources.pages import parse_with_rejects, rejected_values
+
+    return rejected_values(parse_with_rejects(_pages_with_bad_numbers(spark, sf_dir)))
+
+
+@register("good_candles", f"""
+SELECT symbol, page, pos, open_time, close_price, number_of_trades FROM ({PAGED_SQL}) AS p
+WHERE {" AND ".join(f"pos % {every} <> 0" for every in BAD)}""", ["close_price"])
+def q_good_candles(spark, sf_dir):
+    from candlewick.sources.pages import good_candles, parse_with_rejects
+
+    return good_candles(parse_with_rejects(_pages_with_bad_numbers(spark, sf_dir))).select(
+        "symbol", "page", "pos", "open_time", "close_price", "number_of_trades")
+
 # ---------------------------------------------------------------- ledgered load
 
 # Incremental scenario: the first daily run lands and loads the pages that start
@@ -538,22 +644,92 @@ def q_unmark(spark, sf_dir):
     unmark(spark, late, run.ledger)
     return run.visible(spark).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
 
+
+
+@register("ledger_events", f"""
+SELECT source_file, 'loaded' AS event, TRUE AS stamped, min(date) AS first_day, max(date) AS last_day,
+       count(DISTINCT date) AS n_days
+FROM ({RAW_FROM_PAGES_SQL}) AS r GROUP BY source_file
+UNION ALL
+SELECT source_file, 'removed', TRUE, min(date), max(date), count(DISTINCT date)
+FROM ({RAW_FROM_PAGES_SQL}) AS r WHERE page_start >= {CUT_MS} GROUP BY source_file""")
+def q_ledger_events(spark, sf_dir):
+    """What the ledger says after a load in small batches and an un-marking of the later pages: events,
+    time stamps within the run, and the days of each file's candles."""
+    import datetime as dt
+
+    from candlewick.operators.ledger import read_ledger, unmark
+    from candlewick.sources.landing import scan_landing
+
+    run = _Landing(spark, "events")
+    before = dt.datetime.now(dt.timezone.utc) - dt.timedelta(minutes=1)
+    run.land(spark, sf_dir)
+    run.load(spark, max_files_per_load=40)
+    unmark(spark, scan_landing(spark, run.landing).where(F.col("page_start") >= CUT_MS), run.ledger)
+    days = F.col("days.date")
+    return read_ledger(spark, run.ledger).select(
+        "source_file", "event", F.col("loaded_at").between(F.lit(before), F.current_timestamp()).alias("stamped"),
+        F.array_min(days).alias("first_day"), F.array_max(days).alias("last_day"),
+        F.size(days).cast("bigint").alias("n_days"))
+
+
+@register("ledger_snapshot", f"""
+SELECT source_file, page_start < {CUT_MS} AS is_loaded FROM ({FULL_PAGES_SQL}) AS f""")
+def q_ledger_snapshot(spark, sf_dir):
+    """The flags read from a snapshot: pages loaded in batches, the later ones withdrawn, the ledger
+    compacted, one page of each symbol withdrawn and loaded again after that."""
+    from candlewick.operators.ledger import compact, is_loaded, ledger_log, loaded_flags, read_ledger, unmark
+    from candlewick.sources.landing import scan_landing
+
+    run = _Landing(spark, "snapshot")
+    run.land(spark, sf_dir, before_ms=CUT_MS)
+    run.load(spark, max_files_per_load=20)
+    early = scan_landing(spark, run.landing)
+    run.land_resumed(spark, sf_dir)
+    run.load(spark, max_files_per_load=20)
+    pages = scan_landing(spark, run.landing)
+    unmark(spark, pages.where(F.col("page_start") >= CUT_MS), run.ledger)
+    compact(spark, run.ledger)
+    first = early.groupBy("symbol").agg(F.min_by("source_file", "page_start").alias("source_file"))
+    unmark(spark, first, run.ledger)
+    one = first.orderBy("symbol").first()["source_file"]
+    if is_loaded(read_ledger(spark, run.ledger), one) or not ledger_log(spark, run.ledger).snapshot:
+        raise AssertionError("the withdrawn page counts as loaded, or there is no snapshot")
+    again = _Landing(spark, "again")
+    again.land(spark, sf_dir, before_ms=CUT_MS)
+    again.raw, again.ledger = run.raw, run.ledger
+    again.load(spark)
+    return loaded_flags(pages.select("source_file").distinct(), read_ledger(spark, run.ledger))
+
 # ---------------------------------------------------------------- streaming load (R1), pipeline
 
 
 @register("stream_load", f"SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r",
           CANDLE_DOUBLES)
 def q_stream_load(spark, sf_dir):
-    """Early pages, then a run that lands each symbol's last page again and the pages after it, then
-    a run with nothing new, beside a folder of other files: every landed candle is visible once."""
+    """Early pages, some landed one file each and each symbol's first one as a broken file; then a run
+    that lands each symbol's last page again, the pages after it and the broken ones whole; then a run
+    with nothing new, beside a folder of other files: every landed candle is visible once, and the
+    broken files are in the reject table."""
+    from candlewick.sources.landing import write_landing, write_reference_layout
+    from candlewick.sources.pages import parse_kline_pages
     from candlewick.streaming.incremental import run_stream_once
 
     run = _Landing(spark, "stream")
-    args = (spark, run.landing, run.raw, run.ledger, f"{run.base}/checkpoint")
-    run.land(spark, sf_dir, before_ms=CUT_MS)
+    args = (spark, run.landing, run.raw, run.ledger, f"{run.base}/checkpoint", f"{run.base}/rejected")
+    pages = _full_pages(spark, sf_dir)
+    early = pages.where(F.col("page_start") < CUT_MS)
+    write_landing(parse_kline_pages(early.where("page > 0 AND page % 3 <> 0")), run.landing)
+    write_reference_layout(parse_kline_pages(early.where("page > 0 AND page % 3 = 0")), run.landing,
+                           ["symbol", "page"]).count()
+    broken = _land_broken(spark, pages.where("page = 0"), run.landing)
     run_stream_once(*args)
+    rejected = [r[0] for r in spark.read.parquet(f"{run.base}/rejected").select("source_file").collect()]
+    if sorted(rejected) != sorted(broken):
+        raise AssertionError(f"unexpected rejects: {rejected}")
     klines(spark, sf_dir).select("symbol").distinct().write.parquet(f"{run.landing}/other-files")
     run.land_resumed(spark, sf_dir)
+    write_landing(parse_kline_pages(pages.where("page = 0")), run.landing)
     run_stream_once(*args)
     run_stream_once(*args)
     return run.visible(spark)
@@ -575,33 +751,30 @@ def q_reference_layout(spark, sf_dir):
 def q_bad_file(spark, sf_dir):
     """Each symbol's first page is landed as a broken file: the load takes the other pages and reports
     these; landed again whole, they are loaded by the next run."""
-    from candlewick.sources.landing import page_key, write_landing
+    from candlewick.sources.landing import write_landing
     from candlewick.sources.pages import parse_kline_pages
 
     run = _Landing(spark, "badfile")
-    run.land(spark, sf_dir)
     pages = _full_pages(spark, sf_dir)
-    broken = pages.where("page = 0").select("symbol", page_key("page_start").alias("page"))
-    for r in broken.collect():  # one a symbol
-        spark.range(1).selectExpr("'not a candle page' AS value").write.mode("overwrite").text(
-            f"{run.landing}/symbol={r['symbol']}/page={r['page']}")
-        _rename_parts(spark, f"{run.landing}/symbol={r['symbol']}/page={r['page']}")
+    write_landing(parse_kline_pages(pages.where("page > 0")), run.landing)
+    broken = _land_broken(spark, pages.where("page = 0"), run.landing)
     failed = run.load(spark).failed
-    if len(failed) != broken.count():
+    if sorted(failed) != sorted(broken):
         raise AssertionError(f"unexpected unreadable pages: {failed}")
     write_landing(parse_kline_pages(pages.where("page = 0")), run.landing)
     run.load(spark)
     return run.visible(spark)
 
 
-def _rename_parts(spark, folder: str) -> None:
-    """Give a folder's text files the names of landed files."""
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    system = path_of(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in system.listStatus(path_of(folder)):
-        name = status.getPath().getName()
-        if name.endswith(".txt"):
-            system.rename(status.getPath(), path_of(f"{folder}/{name[:-4]}.parquet"))
+def _land_broken(spark, pages, root: str) -> list[str]:
+    """Files that are no Parquet at the pages' own paths (S7); returns their names."""
+    from candlewick.storage import create_text, make_folder
+
+    names = [r[0] for r in pages.select("source_file").collect()]  # one page a symbol
+    for name in names:
+        make_folder(spark, f"{root}/{name}".rsplit("/", 1)[0])
+        create_text(spark, f"{root}/{name}", "not a candle page")
+    return names
 
 
 K_PIPE = f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r)"
@@ -615,17 +788,23 @@ def _pipeline(spark, sf_dir):
     return run_pipeline(spark, run.landing, f"{run.base}/warehouse")
 
 
-@register("pipeline_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+def _table(spark, result, name):
+    from candlewick.sinks.models import read_model
+
+    return read_model(spark, result.warehouse, name)
+
+
+@register("pipeline_market_trend", trend_sql(K_PIPE), TREND_DOUBLES)
 def q_pipeline_trend(spark, sf_dir):
     result = _pipeline(spark, sf_dir)
-    return spark.read.parquet(result.tables["market_trend"]).select(
+    return _table(spark, result, "market_trend").select(
         "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
 
 
-@register("pipeline_market_summary", SUMMARY_SQL.replace(K, K_PIPE), SUMMARY_DOUBLES)
+@register("pipeline_market_summary", summary_sql(K_PIPE), SUMMARY_DOUBLES)
 def q_pipeline_summary(spark, sf_dir):
     result = _pipeline(spark, sf_dir)
-    return spark.read.parquet(result.tables["market_summary"]).select(
+    return _table(spark, result, "market_summary").select(
         "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
         "number_of_trades")
 
@@ -645,22 +824,22 @@ def _pipeline_incremental(spark, sf_dir):
     return run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
 
 
-@register("pipeline_incremental_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+@register("pipeline_incremental_market_trend", trend_sql(K_PIPE), TREND_DOUBLES)
 def q_pipeline_incremental_trend(spark, sf_dir):
     result = _pipeline_incremental(spark, sf_dir)
-    return spark.read.parquet(result.tables["market_trend"]).select(
+    return _table(spark, result, "market_trend").select(
         "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
 
 
-@register("pipeline_incremental_market_returns", RETURNS_SQL.replace(K, K_PIPE),
+@register("pipeline_incremental_market_returns", returns_sql(K_PIPE),
           RETURNS_DOUBLES)
 def q_pipeline_incremental_returns(spark, sf_dir):
     result = _pipeline_incremental(spark, sf_dir)
-    return spark.read.parquet(result.tables["market_returns"]).select(
+    return _table(spark, result, "market_returns").select(
         "date", "symbol", "daily_return", "cumulative_return")
 
 
-@register("pipeline_resumed_market_trend", TREND_SQL.replace(K, K_PIPE), TREND_DOUBLES)
+@register("pipeline_resumed_market_trend", trend_sql(K_PIPE), TREND_DOUBLES)
 def q_pipeline_resumed(spark, sf_dir):
     """A run that stopped after the load commit: the pages are loaded, but no model has seen them.
     The next incremental run finds nothing to load and still brings the tables up to date."""
@@ -674,12 +853,11 @@ def q_pipeline_resumed(spark, sf_dir):
     run.land_resumed(spark, sf_dir)
     load_incremental(spark, run.landing, f"{wh}/raw", f"{wh}/ledger")
     result = run_pipeline(spark, run.landing, wh, incremental=True)
-    return spark.read.parquet(result.tables["market_trend"]).select(
+    return _table(spark, result, "market_trend").select(
         "date", "symbol", "sma_7", "sma_30", "ema_7", "ema_30")
 
 
-@register("pipeline_symbols_incremental", SUMMARY_SQL.replace(
-    K, f"""WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r
+@register("pipeline_symbols_incremental", summary_sql(f"""WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r
   WHERE page_start < {CUT_MS} OR symbol <= 'ERROR')"""), SUMMARY_DOUBLES)
 def q_pipeline_symbols(spark, sf_dir):
     """After a run over the early pages, an incremental run for some symbols only: theirs are
@@ -692,13 +870,12 @@ def q_pipeline_symbols(spark, sf_dir):
     run.land_resumed(spark, sf_dir)
     chosen = [r[0] for r in klines(spark, sf_dir).where("symbol <= 'ERROR'").select("symbol").distinct().collect()]
     result = run_pipeline(spark, run.landing, f"{run.base}/warehouse", symbols=chosen, incremental=True)
-    return spark.read.parquet(result.tables["market_summary"]).select(
+    return _table(spark, result, "market_summary").select(
         "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
         "number_of_trades")
 
 
-@register("pipeline_unmark_market_summary", SUMMARY_SQL.replace(
-    K, f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r WHERE page_start < {CUT_MS})"), SUMMARY_DOUBLES)
+@register("pipeline_unmark_market_summary", summary_sql(f"WITH k AS (SELECT * FROM ({RAW_FROM_PAGES_SQL}) AS r WHERE page_start < {CUT_MS})"), SUMMARY_DOUBLES)
 def q_pipeline_unmark(spark, sf_dir):
     """All pages are loaded and modelled, then the later ones are withdrawn (and no longer landed):
     the next incremental run takes their rows, and whole days, out of the models."""
@@ -713,6 +890,50 @@ def q_pipeline_unmark(spark, sf_dir):
     run_pipeline(spark, run.landing, wh, incremental=True)
     unmark(spark, scan_landing(spark, run.landing).where(F.col("page_start") >= CUT_MS), f"{wh}/ledger")
     result = run_pipeline(spark, early.landing, wh, incremental=True)
-    return spark.read.parquet(result.tables["market_summary"]).select(
+    return _table(spark, result, "market_summary").select(
         "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume",
         "number_of_trades")
+
+
+@register("pipeline_interrupted_symbols", summary_sql(K_PIPE), SUMMARY_DOUBLES)
+def q_pipeline_interrupted(spark, sf_dir):
+    """Early pages are modelled; a refresh of some symbols stops after it wrote its staging rows, and
+    another one before its commit; then all symbols are refreshed: no symbol has lost a row."""
+    from candlewick.plans.pipeline import StoppedForTest, run_pipeline
+
+    run = _Landing(spark, "interrupted")
+    wh = f"{run.base}/warehouse"
+    run.land(spark, sf_dir, before_ms=CUT_MS)
+    run_pipeline(spark, run.landing, wh, incremental=True)
+    run.land_resumed(spark, sf_dir)
+    chosen = [r[0] for r in klines(spark, sf_dir).where("symbol <= 'ERROR'").select("symbol").distinct().collect()]
+    for step in ("market_trend", "commit"):
+        with suppress(StoppedForTest):  # it does not stop where these symbols have no later page
+            run_pipeline(spark, run.landing, wh, symbols=chosen, incremental=True, stop_before=step)
+    run_pipeline(spark, run.landing, wh, symbols=chosen, incremental=True)
+    result = run_pipeline(spark, run.landing, wh, incremental=True)
+    return _table(spark, result, "market_summary").select(
+        "date", "symbol", "open_price", "high_price", "low_price", "close_price", "volume", "number_of_trades")
+
+
+@register("pipeline_shrunk_page", returns_sql(f"""WITH k AS (SELECT r.* FROM ({RAW_FROM_PAGES_SQL}) AS r
+  JOIN (SELECT symbol, max(page_start) AS newest FROM ({FULL_PAGES_SQL}) AS f GROUP BY symbol) AS n
+  ON r.symbol = n.symbol AND r.page_start < n.newest)"""), RETURNS_DOUBLES)
+def q_pipeline_shrunk(spark, sf_dir):
+    """After all pages are modelled, each symbol's newest page comes back with a candle less. It is
+    not kept: the landing withdraws it, the next run its raw rows, and the models follow."""
+    from candlewick.plans.pipeline import run_pipeline
+    from candlewick.sources.landing import remove_short_pages
+    from candlewick.sources.pages import page_rows
+
+    run = _Landing(spark, "shrunk")
+    run.land(spark, sf_dir)
+    run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
+    pages = _full_pages(spark, sf_dir)
+    newest = pages.groupBy("symbol").agg(F.max("page").alias("page"))
+    shrunk = pages.join(newest, ["symbol", "page"]).withColumn(
+        "body", F.to_json(F.slice(page_rows("body"), 1, PAGE_LIMIT - 1)))
+    if remove_short_pages(spark, shrunk, run.landing, PAGE_LIMIT) != newest.count():
+        raise AssertionError("not every shrunk page was withdrawn")
+    result = run_pipeline(spark, run.landing, f"{run.base}/warehouse", incremental=True)
+    return _table(spark, result, "market_returns").select("date", "symbol", "daily_return", "cumulative_return")

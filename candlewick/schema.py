@@ -69,6 +69,9 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("loaded_at", T.TimestampType()),
     T.StructField("load_id", T.StringType()),
     T.StructField("event", T.StringType()),
+    # calendar days of the file's candles, the null day included; null: not known
+    T.StructField("days", T.ArrayType(T.StructType([T.StructField("date", T.DateType())]))),
+    T.StructField("seq", T.LongType()),  # number of the commit
 ])
 LOADED, REMOVED = "loaded", "removed"
 

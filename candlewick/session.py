@@ -6,10 +6,12 @@ day, so the session time zone must be UTC before any read or date derivation.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from candlewick import storage
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -72,18 +74,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, empty folder under the checkpoint folder for one job's tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """URI of a new folder under the checkpoint folder for one job's tables; the first write makes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_once(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder and read back: what reads it more than once reads the
+    same rows, and a lost executor recomputes from this table, not from what came before."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder once nothing reads it."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    storage.delete(spark, path)

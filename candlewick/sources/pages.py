@@ -52,6 +52,11 @@ def with_landing_path(pages: DataFrame, symbol: str = "symbol", body: str = "bod
         .withColumn("source_file", landing_path(F.col(symbol), F.col("page_start")))
 
 
+def _field_type(name: str) -> str:
+    assert name in INTEGER_FIELDS or name in NUMERIC_FIELDS
+    return "bigint" if name in INTEGER_FIELDS else "double"
+
+
 def parse_kline_pages(pages: DataFrame, body: str = "body", lenient: bool = False,
                       limit: int | None = None) -> DataFrame:
     """One row per candle with the 11 named, typed landed columns.
@@ -66,16 +71,40 @@ def parse_kline_pages(pages: DataFrame, body: str = "body", lenient: bool = Fals
     keep = [c for c in pages.columns if c != body]
     exploded = pages.select(*keep, F.posexplode(page_rows(body)).alias("pos", "_row"))
     cast = (lambda c, t: c.try_cast(t)) if lenient else (lambda c, t: c.cast(t))
-    fields = []
+    fields = [cast(F.col("_row")[i], _field_type(name)).alias(name)
+              for i, name in enumerate(PAGE_FIELDS) if name != "_unused"]
+    out = exploded.select(*keep, "pos", *fields)
+    return out.select(*keep, "pos", *[F.col(f.name).cast(f.dataType) for f in LANDED_SCHEMA])
+
+
+def parse_with_rejects(pages: DataFrame, body: str = "body") -> DataFrame:
+    """S3 for pages that may hold malformed numbers: one row per candle like
+    :func:`parse_kline_pages`, bad values as null, and ``rejects``, the (column, value) pairs that are
+    no number. A missing value (JSON null) is not a reject."""
+    keep = [c for c in pages.columns if c != body]
+    exploded = pages.select(*keep, F.posexplode(page_rows(body)).alias("pos", "_row"))
+    numbers, bad = [], []
     for i, name in enumerate(PAGE_FIELDS):
         if name == "_unused":
             continue
         raw = F.col("_row")[i]
-        target = "bigint" if name in INTEGER_FIELDS else "double"
-        assert name in INTEGER_FIELDS or name in NUMERIC_FIELDS
-        fields.append(cast(raw, target).alias(name))
-    out = exploded.select(*keep, "pos", *fields)
-    return out.select(*keep, "pos", *[F.col(f.name).cast(f.dataType) for f in LANDED_SCHEMA])
+        number = raw.try_cast(_field_type(name))
+        numbers.append(number.alias(name))
+        bad.append(F.when(raw.isNotNull() & number.isNull(),
+                          F.struct(F.lit(name).alias("column"), raw.alias("value"))))
+    return exploded.select(*keep, "pos", *numbers, F.array_compact(F.array(*bad)).alias("rejects"))
+
+
+def good_candles(parsed: DataFrame) -> DataFrame:
+    """Candles without a bad value, of :func:`parse_with_rejects`."""
+    return parsed.where(F.size("rejects") == 0).drop("rejects")
+
+
+def rejected_values(parsed: DataFrame) -> DataFrame:
+    """One row per bad value of :func:`parse_with_rejects`: the page's columns, ``pos``, ``column``, ``value``."""
+    names = [f.name for f in LANDED_SCHEMA]
+    keep = [c for c in parsed.columns if c not in names and c != "rejects"]
+    return parsed.select(*keep, F.explode("rejects").alias("_r")).select(*keep, "_r.column", "_r.value")
 
 
 def next_cursor(parsed: DataFrame, now_ms: int, keys=("symbol", "page")) -> DataFrame:
@@ -116,7 +145,7 @@ def pages_from_candles(candles: DataFrame, limit: int) -> DataFrame:
     from candlewick.operators.sliced import number_rows
 
     cols = [f.name for f in LANDED_SCHEMA]
-    numbered, _ = number_rows(fill_timestamps(candles), carry=tuple(cols))
+    numbered = number_rows(fill_timestamps(candles), carry=tuple(cols))
     items = numbered.select(
         "symbol",
         F.floor((F.col("row_num") - 1) / limit).cast("int").alias("page"),

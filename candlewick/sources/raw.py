@@ -4,7 +4,7 @@ One Parquet table for all symbols, partitioned ``load_id / symbol / date``.
 Rows keep their page's ``source_file``; a reader sees a row only when its
 (load_id, source_file) is active in the ledger, so a load that crashed before
 its ledger commit leaves an invisible orphan instead of duplicates (T6).
-A load commits all its files in one ledger append, which :func:`read_raw`
+A load commits all its files in one ledger commit, which :func:`read_raw`
 uses to turn visibility into partition pruning on ``load_id``.
 """
 
@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.time import fill_timestamps, trade_date
-from candlewick.operators.ledger import path_exists, read_ledger
-from candlewick.schema import LOADED, RAW_PARTITIONS, RAW_SCHEMA, REMOVED
+from candlewick.operators.ledger import ledger_log, path_exists, tombstones
+from candlewick.schema import RAW_PARTITIONS, RAW_SCHEMA, REMOVED
+from candlewick.storage import delete
 
 
 def ensure_raw_table(spark: SparkSession, path: str) -> None:
@@ -46,48 +47,37 @@ def append_raw(rows: DataFrame, path: str) -> None:
         .partitionBy(*RAW_PARTITIONS).parquet(path)
 
 
-# Tombstones are broadcast when there are at most this many (about 100 bytes each).
-BROADCAST_TOMBSTONES = 1_000_000
+def days_of_files(spark: SparkSession, path: str, load_id: str) -> DataFrame:
+    """(source_file, days) of one load: the calendar days of each file's rows, the null day included.
+    Reads two columns of that load's folders."""
+    rows = spark.read.schema(RAW_SCHEMA).parquet(path).where(F.col("load_id") == load_id)
+    return rows.groupBy("source_file").agg(F.collect_set(F.struct("date")).alias("days"))
 
 
-# Committed load ids become a literal partition filter up to this many.
-MAX_LOAD_IDS = 100_000
-
-
-def committed_loads(ledger: DataFrame) -> DataFrame:
-    """Load ids with a ledger commit (one per load batch)."""
-    return ledger.where(F.col("event") == LOADED).select("load_id").distinct()
+def remove_load(spark: SparkSession, path: str, load_id: str) -> None:
+    """Delete the rows of a load that was not committed."""
+    delete(spark, f"{path.rstrip('/')}/load_id={load_id}")
 
 
 def read_raw(spark: SparkSession, path: str, ledger_path: str | None = None,
              symbols: list[str] | None = None) -> DataFrame:
-    """The visible raw rows. ``symbols`` prunes ``symbol=`` directories; a
-    filter on ``date`` by the caller prunes days. Without a ledger (a table fed
-    by the streaming load, R1) every committed row is visible.
-
-    A load's ledger rows are appended in one commit, so a row is visible when
-    its ``load_id`` is committed and its (load_id, source_file) has no
-    tombstone. Committed ids (up to ``MAX_LOAD_IDS``, checked before they are
-    collected) become a partition filter: crashed loads' folders are never
-    listed, let alone read. Tombstones are anti-joined, broadcast only when
-    their counted number is under ``BROADCAST_TOMBSTONES``.
+    """The visible raw rows; building the plan starts no job. ``symbols``
+    prunes ``symbol=`` directories; a filter on ``date`` by the caller prunes
+    days. Without a ledger every row is visible.
+
+    A row is visible when its ``load_id`` is committed and its (load_id,
+    source_file) has no tombstone. The committed ids are named in the ledger's
+    log, so they become a partition filter: crashed loads' folders are never
+    read. Tombstones lie in folders of their own, so the planner knows their
+    size when it chooses how to anti-join them.
     """
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
     if symbols is not None:
         raw = raw.where(F.col("symbol").isin(symbols))
     if ledger_path is None:
         return raw
-    ledger = read_ledger(spark, ledger_path)
-    loads = committed_loads(ledger)
-    ids = [r[0] for r in loads.limit(MAX_LOAD_IDS + 1).collect()]
-    if len(ids) <= MAX_LOAD_IDS:
-        raw = raw.where(F.col("load_id").isin(sorted(ids)))  # partition pruning
-    else:  # a very long ledger: let the planner join (and prune dynamically)
-        raw = raw.join(loads, "load_id", "left_semi")
-    removed = ledger.where(F.col("event") == REMOVED).select("load_id", "source_file") \
-        .distinct()
-    n_removed = removed.count()
-    if n_removed == 0:
+    log = ledger_log(spark, ledger_path)
+    raw = raw.where(F.col("load_id").isin(log.load_ids()))  # partition pruning
+    if not log.folders(REMOVED):
         return raw
-    side = F.broadcast(removed) if n_removed <= BROADCAST_TOMBSTONES else removed
-    return raw.join(side, ["load_id", "source_file"], "left_anti")
+    return raw.join(tombstones(spark, log), ["load_id", "source_file"], "left_anti")

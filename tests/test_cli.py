@@ -3,9 +3,11 @@
 import json
 
 import pytest
+from helpers import rounded
 
 from candlewick.__main__ import main
 from candlewick.plans import registry as R
+from candlewick.sinks.models import read_model
 from candlewick.sources.landing import write_landing
 from candlewick.sources.pages import parse_kline_pages
 
@@ -20,7 +22,7 @@ def test_run_check_load(spark, tmp, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["checks"] == 36
     assert main(["load", "--landing", landing, "--warehouse", wh]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["files"] == 0
-    summary = spark.read.parquet(f"{wh}/market_summary")
+    summary = read_model(spark, wh, "market_summary")
     assert summary.count() == summary.select("date", "symbol").distinct().count() > 0
 
 
@@ -43,7 +45,6 @@ def test_incremental_pipeline_equals_full_rebuild(spark, tmp, sf):
     ends mid-day, so that day is split across the two loads. At sf0.001 a
     symbol-day holds ~7 candles, so the second run's 29-candle context spans
     several earlier days."""
-    from helpers import rounded
     from pyspark.sql import functions as F
 
     from candlewick.plans.pipeline import MODELS, run_pipeline
@@ -59,14 +60,13 @@ def test_incremental_pipeline_equals_full_rebuild(spark, tmp, sf):
     write_landing(parse_kline_pages(pages), full_landing)
     run_pipeline(spark, full_landing, f"{tmp}/full")
     for name in ["stg_klines", *MODELS, "series_state"]:
-        a = spark.read.parquet(f"{tmp}/inc/{name}")
-        b = spark.read.parquet(f"{tmp}/full/{name}").select(*a.columns)
+        a = read_model(spark, f"{tmp}/inc", name)
+        b = read_model(spark, f"{tmp}/full", name).select(*a.columns)
         assert rounded(a.collect(), 9) == rounded(b.collect(), 9), name
 
 
 def test_incremental_with_a_new_symbol(spark, tmp):
     """A symbol first seen in a later run has no state and no context rows."""
-    from helpers import rounded
     from pyspark.sql import functions as F
 
     from candlewick.plans.pipeline import MODELS, run_pipeline
@@ -81,6 +81,99 @@ def test_incremental_with_a_new_symbol(spark, tmp):
     write_landing(parse_kline_pages(pages), f"{tmp}/all")
     run_pipeline(spark, f"{tmp}/all", f"{tmp}/full")
     for name in MODELS:
-        a = spark.read.parquet(f"{tmp}/inc/{name}")
-        b = spark.read.parquet(f"{tmp}/full/{name}").select(*a.columns)
+        a = read_model(spark, f"{tmp}/inc", name)
+        b = read_model(spark, f"{tmp}/full", name).select(*a.columns)
         assert rounded(a.collect(), 9) == rounded(b.collect(), 9), name
+
+
+def _tables(spark, wh):
+    from candlewick.plans.pipeline import TABLES
+
+    return {t: rounded(read_model(spark, wh, t).collect(), 9) for t in TABLES}
+
+
+def test_a_run_stopped_at_any_step_leaves_the_old_tables(spark, tmp):
+    """Stopped before each table and before the commit: all tables are those of the run before, and the
+    next run brings them to where a full run does, whichever symbols the stopped one was for."""
+    from pyspark.sql import functions as F
+
+    from candlewick.plans.pipeline import TABLES, StoppedForTest, run_pipeline
+
+    pages = R._full_pages(spark, "/root/testdata/sf0.001")
+    some = [pages.select("symbol").distinct().orderBy("symbol").first()[0]]
+    write_landing(parse_kline_pages(pages.where(F.col("page") < 1)), f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    old = _tables(spark, f"{tmp}/wh")
+    write_landing(parse_kline_pages(pages.where(F.col("page") >= 1)), f"{tmp}/l")
+    for i, step in enumerate([*TABLES, "commit"]):
+        with pytest.raises(StoppedForTest):
+            run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True, stop_before=step,
+                         symbols=None if i % 2 else [r[0] for r in pages.select("symbol").distinct().collect()])
+        assert _tables(spark, f"{tmp}/wh") == old, step
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", symbols=some, incremental=True)
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/full")
+    new, full = _tables(spark, f"{tmp}/wh"), _tables(spark, f"{tmp}/full")
+    assert {t for t in TABLES if new[t] != full[t]} == set()
+
+
+def test_a_failed_check_keeps_the_old_tables(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.quality import QualityError
+    from candlewick.plans.pipeline import run_pipeline
+
+    pages = R._full_pages(spark, "/root/testdata/sf0.001")
+    good = parse_kline_pages(pages.where("page = 0"))
+    write_landing(good, f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    old = _tables(spark, f"{tmp}/wh")
+    bad = parse_kline_pages(pages.where("page = 1")).withColumn("close_time", F.lit(None).cast("long"))
+    write_landing(bad, f"{tmp}/l")
+    with pytest.raises(QualityError, match="stg_klines.*close_time_ts"):
+        run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    assert _tables(spark, f"{tmp}/wh") == old
+
+
+def test_refresh_reads_only_touched_days(spark, tmp):
+    """The staged rows of a refresh prune the stored date; which days, the ledger says without raw rows."""
+    from candlewick.operators.ledger import events_after
+    from candlewick.plans import pipeline as P
+    from candlewick.sinks.models import Warehouse
+
+    pages = R._full_pages(spark, "/root/testdata/sf0.001")
+    write_landing(parse_kline_pages(pages.where("page = 0")), f"{tmp}/l")
+    P.run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    write_landing(parse_kline_pages(pages.where("page > 0")), f"{tmp}/l")
+    old = Warehouse(spark, f"{tmp}/wh").current()
+    loaded = P.load_incremental(spark, f"{tmp}/l", f"{tmp}/wh/raw", f"{tmp}/wh/ledger")
+    events, last = P.pending_events(spark, f"{tmp}/wh/ledger", old.consumed)
+    assert events.count() == loaded.files and last == old.consumed[""] + 1
+    days = P.touched_days(spark, "/no/raw/table", events)
+    raw = spark.read.parquet(f"{tmp}/wh/raw").where(f"load_id = '{loaded.load_id}'")
+    assert days == sorted(r[0] for r in raw.select("date").distinct().collect())
+    build = P._Build(spark, Warehouse(spark, f"{tmp}/wh"), old, f"{tmp}/wh/raw", f"{tmp}/wh/ledger", days, None,
+                     "sliced", 1, lambda name: None, {})
+    plan = build.staged()._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "date#" in filters and "load_id#" in filters
+    assert events_after(spark, f"{tmp}/wh/ledger", last)[0].count() == 0
+
+
+def test_old_versions_are_deleted(spark, tmp):
+    import os
+
+    from candlewick.sinks.models import KEEP, Warehouse
+
+    house = Warehouse(spark, f"{tmp}/wh")
+    df = lambda n: spark.createDataFrame([(n, None), (n, "2024-01-01")], "n int, d string").selectExpr("n", "CAST(d AS DATE) AS date")
+    snapshot = house.current()
+    for n in range(5):
+        days = house.write("t", df(n))
+        house.write("t", df(99))  # of a run that never committed
+        snapshot = house.commit(snapshot, {"t": days}, {"t": df(n).schema.json()}, {})
+    assert sorted(r["n"] for r in house.read("t").collect()) == [4, 4]
+    assert len([n for n in os.listdir(f"{tmp}/wh/t") if n.startswith("v=")]) == KEEP
+    assert len(house.log.numbers()) == KEEP
+    with pytest.raises(FileExistsError):
+        house.commit(type(snapshot)(snapshot.number - 1), {}, {}, {})  # a slower writer

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.operators.ledger import is_loaded, loaded_files, read_ledger, unmark
 from candlewick.plans import registry as R
 from candlewick.plans.load import CrashForTest, load_incremental
-from candlewick.sources.landing import scan_landing, write_landing
+from candlewick.sources.landing import read_landed, scan_landing, write_landing
 from candlewick.sources.pages import parse_kline_pages
 from candlewick.sources.raw import read_raw
 from candlewick.streaming.incremental import run_stream_once
@@ -90,8 +90,40 @@ def test_relanding_a_page_replaces_only_that_page(spark, pages, tmp):
     _land(pages, landing)
     before = scan_landing(spark, landing).count()
     _land(pages.orderBy("symbol", "page").limit(1), landing)
-    assert scan_landing(spark, landing).count() == before
-    assert spark.read.parquet(landing).count() == pages.count() * R.PAGE_LIMIT
+    files = scan_landing(spark, landing)
+    assert files.count() == before
+    assert read_landed(spark, files).count() == pages.count() * R.PAGE_LIMIT
+
+
+def test_a_landing_run_is_one_log_file(spark, pages, tmp):
+    """Many pages lie in few files, and a run whose log file is missing is not there."""
+    landing = f"{tmp}/landing"
+    _land(pages.repartition(2), landing)
+    logs = [n for n in os.listdir(f"{landing}/_landed/log") if n.endswith(".parquet") and n[0] != "."]
+    data = [n for _, _, names in os.walk(f"{landing}/_landed/data") for n in names if n.endswith(".parquet")]
+    assert len(logs) == 1 and len(data) <= 2 < pages.count() and os.listdir(landing) == ["_landed"]
+    _land(pages.limit(1), landing)
+    newest = sorted(n for n in os.listdir(f"{landing}/_landed/log") if n[0] != ".")[-1]
+    os.remove(f"{landing}/_landed/log/{newest}")
+    assert scan_landing(spark, landing).count() == pages.count()
+    for f in scan_landing(spark, landing).inputFiles():
+        assert "/_landed/log/" in f  # no data folder is listed
+
+
+def test_older_layouts_are_read(spark, pages, tmp):
+    """Pages landed one file each, in either layout, beside the log; a page in both is the log's."""
+    from candlewick.sources.landing import page_key, write_reference_layout
+
+    landing, raw, ledger = _paths(tmp)
+    parsed = parse_kline_pages(pages)
+    hive = parsed.where("page = 0").withColumn("page", page_key("page_start"))
+    hive.drop("pos", "page_start", "source_file").write.partitionBy("symbol", "page").parquet(landing)
+    write_reference_layout(parsed.where("page > 0"), landing, ["symbol", "page"]).count()
+    _land(pages.orderBy("symbol", "page").limit(1), landing)
+    assert scan_landing(spark, landing).count() == pages.count()
+    assert load_incremental(spark, landing, raw, ledger).files == pages.count()
+    rows = read_raw(spark, raw, ledger)
+    assert rows.count() == rows.select("symbol", "open_time").distinct().count() == pages.count() * R.PAGE_LIMIT
 
 
 def test_junk_files_are_not_listed(spark, pages, tmp):
@@ -106,6 +138,84 @@ def test_junk_files_are_not_listed(spark, pages, tmp):
     assert files.where(F.col("symbol") == "lower").count() == 0
 
 
+def _break(path):
+    with open(path, "wb") as f:
+        f.write(b"PAR1 no candle page PAR1")
+
+
+def test_broken_data_file_costs_its_pages_only(spark, pages, tmp):
+    """A broken data file of several pages: found in one pass, the other pages are loaded."""
+    landing, raw, ledger = _paths(tmp)
+    _land(pages.repartition(4, "symbol", "page"), landing)
+    files = [r["path"] for r in scan_landing(spark, landing).select("path").distinct().collect()]
+    victim = "/" + files[0].removeprefix("file:").lstrip("/")
+    lost = scan_landing(spark, landing).where(F.col("path") == files[0]).count()
+    crc = f"{os.path.dirname(victim)}/.{os.path.basename(victim)}.crc"
+    os.remove(crc)
+    _break(victim)
+    result = load_incremental(spark, landing, raw, ledger)
+    assert len(result.failed) == lost and result.files == pages.count() - lost
+    assert read_raw(spark, raw, ledger).count() == result.files * R.PAGE_LIMIT
+    assert spark.read.parquet(raw).count() == result.files * R.PAGE_LIMIT  # the failed attempt left nothing
+    _land(pages, landing)
+    assert load_incremental(spark, landing, raw, ledger).files == lost
+
+
+def test_an_error_that_no_file_explains_is_raised(spark, pages, tmp):
+    from candlewick.plans.load import append_pages
+
+    landing, raw, _ = _paths(tmp)
+    _land(pages.limit(1), landing)
+
+    def fail(rows, path):
+        raise RuntimeError("disk full")
+
+    with pytest.raises(RuntimeError, match="disk full"):
+        append_pages(spark, scan_landing(spark, landing), raw, "x", append=fail)
+
+
+def test_ledger_snapshot_equals_its_events(spark, pages, tmp, monkeypatch):
+    """Any number of commits between snapshots gives the same state, and later commits are read on top."""
+    from candlewick.operators import ledger as L
+
+    names = [f"binance_klines/S{i}/x" for i in range(12)]
+    files = lambda part: spark.createDataFrame([(n,) for n in part], "source_file string")
+    states = []
+    for every in (1, 3, 1000):
+        monkeypatch.setattr(L, "COMPACT_EVERY", every)
+        path = f"{tmp}/ledger{every}"
+        L.mark_loaded(files(names[:6]), path, "a")
+        L.mark_loaded(files(names[6:]), path, "b")
+        L.unmark(spark, files(names[4:8]), path)
+        L.mark_loaded(files(names[4:5]), path, "c")
+        L.replace_loaded(spark, files(names[:2]), path, "d")
+        assert L.replace_loaded(spark, files(names[:2]), path, "d") == 5  # nothing to do: no commit
+        log = L.ledger_log(spark, path)
+        assert log.last == 5 and log.load_ids() == ["a", "b", "c", "d"]
+        assert len(log.parts()) == {1: 1, 3: 3, 1000: 5}[every]
+        events = read_ledger(spark, path)
+        gone = sorted(map(tuple, L.tombstones(spark, log).collect()))
+        states.append((sorted(map(tuple, L.active_files(events).collect())), gone))
+        if every == 1:  # what a tombstone cancelled is gone from the state
+            assert events.where("event = 'loaded'").count() == len(states[0][0])
+    assert states[0] == states[1] == states[2] and len(states[0][0]) == 9
+
+
+def test_reading_raw_starts_no_job_and_prunes_days(spark, pages, tmp):
+    landing, raw, ledger = _paths(tmp)
+    _land(pages, landing)
+    load_incremental(spark, landing, raw, ledger)
+    unmark(spark, scan_landing(spark, landing).limit(1), ledger)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    one_day = read_raw(spark, raw, ledger).where("date = DATE'2024-01-03'")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    scan = [line for line in plan.split("\n") if "FileScan" in line and "load_id" in line][0]
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date#" in filters and "load_id#" in filters
+
+
 def test_streaming_three_runs(spark, pages, tmp):
     landing, raw, ledger = _paths(tmp)
     args = (spark, landing, raw, ledger, f"{tmp}/ckpt")
@@ -161,3 +271,47 @@ def test_short_page_is_taken_back(spark, pages, tmp):
     assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT) == 0
     assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT + 1) == 1
     assert scan_landing(spark, landing).count() == 0
+    assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT + 1) == 0  # it is gone already
+
+
+def test_short_page_leaves_raw_with_the_next_load(spark, pages, tmp):
+    from candlewick.sources.landing import remove_short_pages, write_reference_layout
+
+    landing, raw, ledger = _paths(tmp)
+    write_reference_layout(parse_kline_pages(pages.where("page = 0")), landing, ["symbol", "page"]).count()
+    _land(pages, landing, "page > 0")
+    total = load_incremental(spark, landing, raw, ledger).files
+    logged = pages.where("page > 0").orderBy("symbol", "page").limit(1)
+    single = pages.where("page = 0").orderBy("symbol").limit(1)
+    assert remove_short_pages(spark, logged.unionByName(single), landing, R.PAGE_LIMIT + 1) == 2
+    assert scan_landing(spark, landing).count() == total - 2
+    assert load_incremental(spark, landing, raw, ledger).files == 0
+    assert read_raw(spark, raw, ledger).count() == (total - 2) * R.PAGE_LIMIT
+    _land(logged, landing)  # whole again
+    assert load_incremental(spark, landing, raw, ledger).files == 1
+    assert read_raw(spark, raw, ledger).count() == (total - 1) * R.PAGE_LIMIT
+
+
+def test_stream_archives_one_file_pages_and_withdraws_short_ones(spark, pages, tmp):
+    import time
+
+    from candlewick.sources.landing import remove_short_pages, write_reference_layout
+
+    landing, raw, ledger = _paths(tmp)
+    write_reference_layout(parse_kline_pages(pages.where("page = 0")), landing, ["symbol", "page"]).count()
+    _land(pages, landing, "page > 0")
+    args = (spark, landing, raw, ledger, f"{tmp}/ckpt", None, f"{tmp}/archive")
+    total = pages.count() * R.PAGE_LIMIT
+    run_stream_once(*args)
+    assert read_raw(spark, raw, ledger).count() == total
+    one = pages.where("page > 0").orderBy("symbol", "page").limit(1)
+    assert remove_short_pages(spark, one, landing, R.PAGE_LIMIT + 1) == 1
+    for _ in range(2):  # the second run finds nothing new
+        run_stream_once(*args)
+        assert read_raw(spark, raw, ledger).count() == total - R.PAGE_LIMIT
+    moved = lambda: [n for _, _, names in os.walk(f"{tmp}/archive") for n in names if n.endswith(".parquet")]
+    for _ in range(50):  # the source moves files in the background
+        if moved():
+            break
+        time.sleep(0.1)
+    assert moved()

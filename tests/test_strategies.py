@@ -71,8 +71,8 @@ def test_hot_days_are_cut(spark, slices):
 
 
 def test_hot_times_null_times_and_copies_are_split(spark):
-    """A third of the rows each: one timestamp, no timestamp, exact copies. No slice keeps them together,
-    building the plan starts no job, and the rows equal the windows (ties in time go by close)."""
+    """A third of the rows each: one timestamp, no timestamp, exact copies. No run keeps them together,
+    and the rows equal the windows (ties in time go by close)."""
     from pyspark.sql import functions as F
 
     from candlewick.operators import sliced
@@ -85,14 +85,12 @@ def test_hot_times_null_times_and_copies_are_split(spark):
     k = klines_df(spark, rows)
     lost = klines_df(spark, [_candle("AAA", "2024-01-03 00:00", round(rng.uniform(1, 9), 2)) for _ in range(200)])
     k = k.unionByName(lost.withColumn("open_time_ts", F.lit(None).cast("timestamp"))).repartition(3)
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    plans = [sliced.market_trend_sliced(k, 16), sliced.market_returns_sliced(k, 16), sliced.slice_keys(k, slices=16)]
-    assert len(tracker.getJobIdsForGroup(None)) == before
-    sizes = [r["count"] for r in plans[2].groupBy(*sliced.KEY).count().collect()]
+    series_of_k = sliced.place(k, slices=16)
+    sizes = [r["count"] for r in series_of_k.rows.groupBy(*sliced.KEY).count().collect()]
     assert max(sizes) < 3 * len(rows) / 16 + 30 and sum(sizes) == k.count()
-    _same(plans[0], series.market_trend(k, "window"))
-    _same(plans[1], series.market_returns(k, "window"))
+    _same(sliced.trend_of(series_of_k), series.market_trend(k, "window"))
+    _same(sliced.returns_of(series_of_k), series.market_returns(k, "window"))
+    series_of_k.remove()
 
 
 def test_null_time_and_symbol_rows_are_kept(spark):
@@ -116,21 +114,40 @@ def test_test_data(spark):
     _same(series.market_returns(k, "sliced"), series.market_returns(k, "window"))
 
 
-def test_slices_come_from_one_range_shuffle(spark):
-    """Slice numbers of a plan's branches agree: the range shuffle runs once, the others reuse it."""
+@pytest.mark.parametrize("reuse,adaptive", [("false", "true"), ("false", "false"), ("true", "false")])
+def test_rows_do_not_depend_on_the_optimizer(spark, reuse, adaptive):
+    """The order is stored once: without exchange reuse or adaptive execution the rows are the same."""
     from candlewick.operators import sliced
-    from candlewick.sources.pages import pages_from_candles
-    from candlewick.sources.events import candles_from_events, read_events
 
     k = klines(spark, "/root/testdata/sf0.01")
-    candles = candles_from_events(read_events(spark, "/root/testdata/sf0.01"))
-    for df in (sliced.market_trend_sliced(k), sliced.market_returns_sliced(k), sliced.series_state(k),
-               pages_from_candles(candles, 100)):
+    want = [rounded(f(k, "window").collect(), 9) for f in (series.market_trend, series.market_returns)]
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for slices in (None, 40):
+            got = [rounded(f(k, slices).collect(), 9) for f in (sliced.market_trend_sliced, sliced.market_returns_sliced)]
+            assert got == want
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_placing_serves_all(spark):
+    """M4, M5 and the state of one placing: one range shuffle, which is the placing's own job."""
+    from candlewick.operators import sliced
+
+    placed = sliced.place(klines(spark, "/root/testdata/sf0.01"))
+    for df in (sliced.trend_of(placed), sliced.returns_of(placed), sliced.state_of(placed)):
         df.write.format("noop").mode("overwrite").save()
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        lines = [line for line in plan.split("\n") if "Exchange rangepartitioning" in line]
-        assert len([line for line in lines if "ReusedExchange" not in line]) <= 1, plan
+        assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    count = sliced.state_of(placed).agg({"cnt": "sum"}).first()[0]
+    assert count == placed.rows.count()
+    folder = placed.folder
+    placed.remove()
+    from candlewick.storage import exists
+
+    assert not exists(spark, folder)
 
 
 def test_unknown_strategy(spark):
