@@ -1,13 +1,14 @@
 """A two-state linear-chain conditional random field over words (0 clean, 1 toxic).
 
-Features of a word are the word and its prefixes. Because there are two states, the
+Features of a word are the word and its prefixes. Which of them go with the label
+is found by a test on the labelled documents, and words of toxic documents that
+have such a feature are the labelled toxic words. Because there are two states, the
 forward and backward messages are ratios, so whole batches of sequences advance with
 a few vector operations per position.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -15,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 CACHE_WORDS = 300_000
 
 
@@ -51,6 +52,7 @@ class Model:
     weights: dict[str, float]
     bias: float
     step: np.ndarray
+    scale: tuple[float, float, float] = (-20.0, 2.0, 0.0)    # of a document: constant, toxic words, length
     known: dict[str, float] = field(default_factory=dict, repr=False)
     _ratios: tuple[list, list] = field(default_factory=lambda: ([], []), repr=False)
 
@@ -82,6 +84,12 @@ class Model:
                 out[i] = p[:lengths[j], j]
         return out
 
+    def document(self, p: np.ndarray) -> float:
+        """Score of a document from the marginals of its words."""
+        a, b, c = self.scale
+        x = a + b * np.log1p(p.sum()) + c * np.log1p(len(p))
+        return float(1.0 / (1.0 + np.exp(-np.clip(x, -50, 50))))
+
     def _plain(self, n: int) -> np.ndarray:
         """Marginals of ``n`` words without any feature. The forward ratio depends on the place from
         the start alone and the backward ratio on the place from the end, so both are kept and grown."""
@@ -96,7 +104,7 @@ class Model:
         return x / (1.0 + x)
 
     def __getstate__(self):
-        return {"weights": self.weights, "bias": self.bias, "step": self.step}
+        return {"weights": self.weights, "bias": self.bias, "step": self.step, "scale": self.scale}
 
     def __setstate__(self, state):
         self.__dict__.update(state, known={}, _ratios=([], []))
@@ -125,66 +133,54 @@ class Vocabulary:
         return np.unique(np.concatenate([self.of[w] for w in np.unique(doc)] or [np.zeros(0, np.int32)]))
 
 
-def choose_features(vocabulary: Vocabulary, docs: list[np.ndarray], toxic: list[int], by_chance: float = 1e-3,
-                    cover: int = 8, most: int = 2000) -> list[int]:
-    """Features that explain the toxic documents: the one in most not yet explained documents comes
-    first, and a document is explained once it holds ``cover`` chosen ones. A feature must be in so
-    many unexplained toxic documents that ``by_chance`` clean features at most are expected to get
-    there, each time between other words, and be all but absent from clean documents; of features
-    with the same documents, one stays."""
-    bad = [d for d, y in zip(docs, toxic) if y]
-    if not bad or len(bad) == len(docs):
-        return []
+def choose_features(vocabulary: Vocabulary, docs: list[np.ndarray], toxic: list[int], least_z: float = 6.0,
+                    least_odds: float = 3.0) -> list[int]:
+    """Features that go with the label: among the documents' distinct words, the feature's share in
+    toxic ones is more than ``least_odds`` times that in clean ones, by a likelihood-ratio test of
+    ``least_z`` standard deviations (with a million features, none gets there by chance). A feature must
+    be in 5 toxic documents, so that no single text brings its words in; of features in the same
+    documents, the longest stays."""
     n = len(vocabulary.features)
-    share = len(bad) / len(docs)
-    count, clean = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    words, holders, total = np.zeros((2, n)), np.zeros(n, dtype=np.int64), np.zeros(2)
     for d, y in zip(docs, toxic):
-        (count if y else clean)[vocabulary.features_in(d)] += 1
-    least = math.ceil(math.log(by_chance / max(1, int((count > 1).sum()))) / math.log(share))
-    pure = set(np.flatnonzero((count >= least) & (clean * share <= 0.002 * count * (1 - share))).tolist())
-    # copies of a document repeat its words in the same places: only different neighbours count
-    places: dict[int, set] = {f: set() for f in pure}
-    pure_of = [[f for f in fs.tolist() if f in pure] for fs in vocabulary.of]
-    for d in bad:
-        w = [-1, *d.tolist(), -1]
-        for i in range(1, len(w) - 1):
-            for f in pure_of[w[i]]:
-                places[f].add((w[i - 1], w[i + 1]))
-    pure = {f for f in pure if len(places[f]) >= least}
-    holders: dict[int, list[int]] = {f: [] for f in pure}
-    for i, d in enumerate(bad):
+        if len(d):
+            fs, count = np.unique(np.concatenate([vocabulary.of[w] for w in np.unique(d)]), return_counts=True)
+            words[y, fs] += count
+            holders[fs] += y
+            total[y] += len(np.unique(d))
+    if not total.all():
+        return []
+    both = words.sum(axis=0)
+    expected = both * (total / total.sum())[:, None]
+    ratio = np.where(words > 0, words * np.log(np.maximum(words, 1) / expected), 0.0).sum(axis=0)
+    z = np.sqrt(2 * np.maximum(ratio, 0.0))
+    rare = words[0] * total[1] * least_odds <= words[1] * total[0]
+    good = set(np.flatnonzero((z >= least_z) & rare & (holders >= 5)).tolist())
+    where: dict[int, list[int]] = {f: [] for f in good}
+    for i, (d, y) in enumerate(zip(docs, toxic)):
         for f in vocabulary.features_in(d).tolist():
-            if f in pure:
-                holders[f].append(i)
-    names = {i: f for f, i in vocabulary.features.items() if i in pure}
-    rank = lambda f: (len(names[f].rstrip("*")), names[f])
-    alike: dict[tuple, int] = {}
-    for f in sorted(pure, key=rank):
-        alike[tuple(holders[f])] = f  # the longest one
-    gain = {f: len(holders[f]) for f in alike.values()}
-    of: list[list[int]] = [[] for _ in bad]
-    for f in gain:
-        for i in holders[f]:
-            of[i].append(f)
-    covered, chosen = [0] * len(bad), []
-    while gain and len(chosen) < most:
-        f = max(gain, key=lambda f: (gain[f], *rank(f)))
-        if gain.pop(f) < least:
-            break
-        chosen.append(f)
-        for i in holders[f]:
-            covered[i] += 1
-            if covered[i] == cover:
-                for g in of[i]:
-                    if g in gain:
-                        gain[g] -= 1
-    return chosen
+            if f in good:
+                where[f].append(i)
+    names = {i: f for f, i in vocabulary.features.items() if i in good}
+    alike = {tuple(where[f]): f for f in sorted(good, key=lambda f: (len(names[f].rstrip("*")), names[f]))}
+    return sorted(alike.values(), key=lambda f: names[f])
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int = 30) -> np.ndarray:
+    """Weights of a logistic regression (Newton's method)."""
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
+        w -= np.linalg.solve(curve, x.T @ (p - y) + penalty * w)
+    return w
 
 
 def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0, decay: float = 1e-5,
         segment: int = 48) -> Model:
     """Fit on labelled documents. Words of toxic documents with a chosen feature are the labelled
-    toxic words; all other words are clean. Words are fitted in segments of ``segment`` words."""
+    toxic words; all other words are clean. Words are fitted in segments of ``segment`` words; segments
+    without any feature are alike if they are equally long, so each length is fitted once, with its number."""
     vocabulary = Vocabulary()
     docs = [vocabulary.numbers(t) for t in texts]
     numbers = choose_features(vocabulary, docs, toxic)
@@ -192,19 +188,24 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0
     chosen = [names[f] for f in numbers]
     index = {f: i for i, f in enumerate(numbers)}
     ids = [tuple(index[f] for f in fs.tolist() if f in index) for fs in vocabulary.of]
-    rows, labels = [], []
+    rows, labels, times, plain = [], [], [], Counter()
     for doc, y in zip(docs, toxic):
         found = [ids[w] for w in doc.tolist()]
-        if y and not any(found):
-            continue  # nothing in it can be labelled
         for a in range(0, len(doc), segment):
             part = found[a:a + segment]
-            if any(part) or (a // segment) % 8 == 0:  # plain segments teach the bias; a share is enough
+            if any(part):
                 rows.append(part)
                 labels.append([int(bool(y and f)) for f in part])
+                times.append(1.0)
+            else:
+                plain[len(part)] += 1
+    for n, count in sorted(plain.items()):
+        rows.append([()] * n)
+        labels.append([0] * n)
+        times.append(float(count))
     if not chosen or not rows:
         return Model({}, -30.0, np.ones((2, 2)))
-    m = len(rows)
+    m, times = len(rows), np.array(times)
     lengths = np.array([len(r) for r in rows])
     gold = np.zeros((segment, m))
     where = []
@@ -219,13 +220,13 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0
     both = inside[1:] & inside[:-1]
     for a in (0, 1):
         for b in (0, 1):
-            pairs[a, b] = ((gold[:-1] == a) & (gold[1:] == b) & both).sum()
+            pairs[a, b] = (((gold[:-1] == a) & (gold[1:] == b) & both) * times).sum()
     for _ in range(rounds):
         score = np.full((segment, m), bias)
         np.add.at(score, (at, col), w[feat])
         odds, step = np.exp(np.clip(score, -30, 30)), np.exp(link)
         p = marginals(np.where(inside, odds, 1.0), lengths, step)
-        miss = np.where(inside, gold - p, 0.0)
+        miss = np.where(inside, gold - p, 0.0) * times
         # pair marginals, from neighbouring marginals and the forward ratio
         r = np.empty((segment, m))
         r[0] = odds[0]
@@ -233,9 +234,10 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0
             r[t] = odds[t] * ((step[0, 1] + r[t - 1] * step[1, 1]) / (step[0, 0] + r[t - 1] * step[1, 0]))
         come = r[:-1] * step[1, 1] / (step[0, 1] + r[:-1] * step[1, 1])      # P(before = 1 | now = 1)
         come0 = r[:-1] * step[1, 0] / (step[0, 0] + r[:-1] * step[1, 0])     # P(before = 1 | now = 0)
+        weigh = both * times
         e11, e10 = p[1:] * come, (1 - p[1:]) * come0
-        expect = np.array([[((1 - p[1:]) * (1 - come0))[both].sum(), (p[1:] * (1 - come))[both].sum()],
-                           [e10[both].sum(), e11[both].sum()]])
+        expect = np.array([[(weigh * (1 - p[1:]) * (1 - come0)).sum(), (weigh * p[1:] * (1 - come)).sum()],
+                           [(weigh * e10).sum(), (weigh * e11).sum()]])
         grads = [np.bincount(feat, weights=miss[at, col], minlength=len(chosen)) - decay * m * w,
                  miss.sum(), pairs - expect - decay * m * link]
         for i, g in enumerate(grads):
@@ -243,4 +245,8 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150, rate: float = 1.0
         w = w + rate * grads[0] / np.sqrt(sums[0])
         bias = bias + rate * grads[1] / np.sqrt(sums[1])
         link = link + rate * grads[2] / np.sqrt(sums[2])
-    return Model({f: float(x) for f, x in zip(chosen, w)}, float(bias), np.exp(link))
+    model = Model({f: float(x) for f, x in zip(chosen, w)}, float(bias), np.exp(link))
+    p = model.tag([words(t) for t in texts])
+    x = np.array([[1.0, np.log1p(q.sum()), np.log1p(len(q))] for q in p])
+    model.scale = tuple(_logistic(x, np.array(toxic, dtype=float)).tolist())
+    return model

@@ -18,19 +18,22 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import html_region
 from candlewick.llm.bpe import slices
+from candlewick.llm.samples import chosen_keys, texts_of
 
 NUMBER_AT_END = r"/(\d{1,18})(?:\.html?|/)?(?:[?#].*)?$"
 
 
 def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = 400) -> list[tuple[str, str]]:
-    """(html, text) of about ``sample`` pages whose url ends in a document's id."""
+    """(html, text) of about ``sample`` distinct pages whose url ends in a document's id."""
     numbered = (pages.select(F.expr(f"try_cast(regexp_extract(url, r'{NUMBER_AT_END}', 1) as long)").alias("doc_id"),
                              "html").where("doc_id is not null and html is not null"))
-    n = numbered.count()
-    share = min(1.0, sample / max(1, n))
-    chosen = numbered.where(F.pmod(F.xxhash64("doc_id", "html"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    numbered = numbered.withColumn("key", F.xxhash64("doc_id", "html"))
+    keys = chosen_keys(numbered.withColumn("all", F.lit(0)), ["all"], most=sample)
+    chosen = texts_of(numbered.withColumn("all", F.lit(0)).withColumn("page", F.struct("doc_id", "html")), keys,
+                      ["all"], "page").select("text.*")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("html", "text").collect()  # about ``sample`` rows
+    rows = (texts.join(F.broadcast(chosen), "doc_id")  # about ``sample`` pages
+            .groupBy("doc_id", "html").agg(F.min("text").alias("text")).collect())
     return sorted((r["html"], r["text"]) for r in rows)
 
 

@@ -6,8 +6,8 @@ counted over its whole text, are compared to each profile by the out-of-place
 distance: the difference of ranks, or the profile's length for an n-gram that the
 profile lacks. The nearest profile names the language.
 
-Profiles are learned on the driver from at most ``sample`` documents of each
-language (chosen by a hash of doc_id over all learnable rows), so learning does
+Profiles are learned on the driver from about ``sample`` distinct texts of each
+language (chosen by a hash of the text over all learnable rows), so learning does
 not grow with the corpus; every document is compared in its own task.
 
 Defined results: null text or text without letters is ``und`` with score 0, and
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.bpe import slices
 from candlewick.llm.common import text_or_empty
-from candlewick.llm.toxicity import fold, sample_of
+from candlewick.llm.samples import chosen_keys, text_key, texts_of
+from candlewick.llm.toxicity import fold
 
 UNKNOWN = "und"
 PROFILE = 400      # n-grams of a profile
@@ -109,10 +110,11 @@ class Profiles:
 
 def learn(docs: DataFrame, sample: int = 1000, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Profiles:
-    """Profiles of the languages of ``docs``, from at most about ``sample`` documents of each."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
-                       F.col(text_col).alias("text")).where("doc_id is not null and lang is not null and text is not null")
-    chosen = sample_of(rows, "lang", "doc_id", sample).select("lang", "text").collect()
+    """Profiles of the languages of ``docs``, from about ``sample`` distinct texts of each."""
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), text_key(text_col).alias("key")) \
+        .where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    keys = chosen_keys(rows, ["lang"], most=sample)
+    chosen = texts_of(rows, keys, ["lang"]).select("lang", "text").collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(chosen):
         texts.setdefault(r["lang"], []).append(r["text"])

@@ -1,15 +1,17 @@
 """Toxicity: a linear-chain conditional random field tags toxic words; its marginals score documents.
 
-The model is fitted on the driver from at most ``sample`` labelled documents of
-each label (chosen by a hash of doc_id, over all labelled rows), so the fit does
-not grow with the corpus. Every document is tagged whole, in its own task, by the
-broadcast model (at most 2000 feature weights).
-
-A document's score is 1 minus the product, over its toxic spans (runs of words
-with marginal 0.5 or more), of 1 minus the span's highest marginal; without a
-span it is the highest marginal.
-
-Defined results: null or empty text, or text without letters, scores 0; labels of
+The model is fitted on the driver from about ``sample`` distinct labelled texts,
+taken evenly over labels and spellings, so the fit does not grow with the corpus.
+Every document is tagged whole, in its own task, by the broadcast model (weights
+of the features that the sample shows to go with the label).
+
+A document's score is a logistic function of the sum of its words' marginals (the
+expected number of toxic words) and of its length, fitted on the same documents:
+one word that may be toxic says little in a long text. Spans are runs of words
+with marginal 0.5 or more.
+
+Defined results: null or empty text, or text without letters, scores 0; a text's
+label is toxic if any copy's is; labels of
 null or of unknown documents are not used; repeated labels of a document count as
 toxic if any is; without labels every score is 0; a null ``doc_id`` is never
 learned from.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from candlewick.llm import crf
 from candlewick.llm.bpe import slices
 from candlewick.llm.common import text_or_empty
+from candlewick.llm.samples import chosen_keys, text_key, texts_of
 
 SPAN_LEAST = 0.5
 SPANS = "array<struct<start:int,end:int,score:double>>"
@@ -36,39 +39,44 @@ def fold(id_col: str, folds: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def sample_of(rows: DataFrame, by: str, id_col: str, most: int) -> DataFrame:
-    """About ``most`` rows of each value of ``by`` (all, if there are fewer), chosen by a hash of the id."""
-    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
-    keep = F.lit(False)
-    for value, n in counts.items():
-        share = min(1.0, most / n)
-        keep = keep | ((F.col(by) == F.lit(value))
-                       & (F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 30)) < int(share * (1 << 30))))
-    return rows.where(keep)
+def trait(text_col: str = "text"):
+    """A property of the text alone that tells alphabets and spellings apart, as one of 64 numbers: its
+    first letter outside ASCII (0 without one)."""
+    first = F.lower(F.regexp_extract(F.col(text_col), r"[^\x00-\x7F]", 0))
+    return F.when(first == "", 0).otherwise(F.pmod(F.xxhash64(first), F.lit(63)) + 1).cast("int")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic") -> crf.Model:
-    """Model from the labelled rows among ``docs``; ``labels`` has id_col and label_col (0 or 1)."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int, id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "toxic") -> list[tuple[str, int]]:
+    """About ``sample`` distinct labelled texts, sorted. They are taken evenly from the groups of one
+    label and one :func:`trait`, small groups whole, so a rare language or spelling is learned too."""
     marked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
               .where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label")))
-    chosen = sample_of(marked, "label", "doc_id", sample)  # about 2 * sample rows
-    rows = (text_or_empty(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-            .select("text", "label").distinct().collect())
-    rows = sorted((r["text"], r["label"]) for r in rows)
+    texts = text_or_empty(docs, id_col, text_col).withColumn("key", text_key())
+    pool = (texts.select("doc_id", "key", trait().alias("trait")).join(marked, "doc_id")
+            .groupBy("key").agg(F.max("label").alias("label"), F.first("trait").alias("trait")))
+    keys = chosen_keys(pool, ["label", "trait"], total=sample)
+    rows = texts_of(texts, keys, ["label", "trait"]).select("text", "label").collect()
+    return sorted((r["text"], r["label"]) for r in rows)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic") -> crf.Model:
+    """Model from about ``sample`` labelled texts; ``labels`` has id_col and label_col (0 or 1)."""
+    rows = labelled_texts(docs, labels, sample, id_col, text_col, label_col)
     return crf.fit([t for t, _ in rows], [y for _, y in rows])
 
 
-def document_score(p: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
-    """(score, spans as first word, last word, highest marginal)."""
+def document_score(p: np.ndarray, model: crf.Model) -> tuple[float, list[tuple[int, int, float]]]:
+    """(score, toxic spans as first word, last word, highest marginal) of a document's marginals."""
     if not len(p):
         return 0.0, []
+    score = model.document(p)
     hot = p >= SPAN_LEAST
     if not hot.any():
-        return float(p.max()), []
+        return score, []
     edges = np.flatnonzero(np.diff(np.concatenate(([0], hot.astype(np.int8), [0]))))
-    spans = [(int(a), int(b) - 1, float(p[a:b].max())) for a, b in zip(edges[::2], edges[1::2])]
-    return float(1.0 - np.prod([1.0 - s for _, _, s in spans])), spans
+    return score, [(int(a), int(b) - 1, float(p[a:b].max())) for a, b in zip(edges[::2], edges[1::2])]
 
 
 def _tag(model):
@@ -83,7 +91,7 @@ def _tag(model):
             for a, b in slices(texts, 6_000_000):
                 scores, found = [], []
                 for text, p in zip(texts[a:b], tagger.tag([crf.words(t) for t in texts[a:b]])):
-                    score, spans = document_score(p)
+                    score, spans = document_score(p, tagger)
                     if spans:  # character offsets in the lower-cased text
                         at = [m.span() for m in crf.WORD.finditer(text.lower())]
                         spans = [{"start": at[x][0], "end": at[y][1], "score": s} for x, y, s in spans]
@@ -98,5 +106,5 @@ def _tag(model):
 
 def toxicity(docs: DataFrame, model: crf.Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and spans (start, end, score: offsets of offending characters) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 2000 weights
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's words
     return text_or_empty(docs, id_col, text_col).mapInArrow(_tag(sent), f"doc_id long, score double, spans {SPANS}")
