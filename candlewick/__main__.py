@@ -1,5 +1,6 @@
 """Command line: the daily job and its parts, for a scheduler or spark-submit.
 
+    python -m candlewick land   --pages FILES --landing DIR [--limit 1000] [--rejects DIR]
     python -m candlewick run    --landing DIR --warehouse DIR [--symbols A,B] [--strategy sliced]
                                 [--incremental]
     python -m candlewick load   --landing DIR --warehouse DIR
@@ -18,6 +19,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from candlewick.schema import DEFAULT_LIMIT
+
 
 def _session(master: str | None) -> SparkSession:
     from candlewick.session import build_session, ensure_utc
@@ -29,9 +32,12 @@ def _session(master: str | None) -> SparkSession:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="candlewick")
-    parser.add_argument("command", choices=["run", "load", "stream", "check"])
+    parser.add_argument("command", choices=["land", "run", "load", "stream", "check"])
     parser.add_argument("--landing", help="landed pages folder")
-    parser.add_argument("--warehouse", required=True, help="raw, ledger and model tables")
+    parser.add_argument("--warehouse", help="raw, ledger and model tables")
+    parser.add_argument("--pages", help="land: JSON lines or Parquet of fetched pages (symbol, body)")
+    parser.add_argument("--limit", type=int, default=DEFAULT_LIMIT, help="land: candles of a full page")
+    parser.add_argument("--rejects", help="land: table for malformed numbers (without it they stop the job)")
     parser.add_argument("--symbols", help="comma-separated pairs (default: all landed)")
     parser.add_argument("--strategy", default="sliced", choices=["sliced", "window"])
     parser.add_argument("--incremental", action="store_true",
@@ -39,13 +45,20 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--archive", help="stream: move loaded one-file pages to this folder")
     parser.add_argument("--master", help="e.g. local[*]; omit under spark-submit")
     args = parser.parse_args(argv)
-    if args.command != "check" and not args.landing:
-        parser.error("--landing is required")
+    for name in {"land": ("pages", "landing"), "check": ("warehouse",)}.get(args.command, ("landing", "warehouse")):
+        if not getattr(args, name):
+            parser.error(f"--{name} is required")
     spark = _session(args.master)
-    wh = args.warehouse.rstrip("/")
+    wh = (args.warehouse or "").rstrip("/")
     symbols = args.symbols.split(",") if args.symbols else None
 
-    if args.command == "run":
+    if args.command == "land":
+        from candlewick.plans.land import land_pages
+
+        pages = spark.read.parquet(args.pages) if args.pages.endswith(".parquet") \
+            else spark.read.schema("symbol string, body string").json(args.pages)
+        out = vars(land_pages(pages, args.landing, args.limit, args.rejects))
+    elif args.command == "run":
         from candlewick.plans.pipeline import run_pipeline
 
         result = run_pipeline(spark, args.landing, wh, symbols, args.strategy,
@@ -65,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
                         rejects=f"{wh}/rejected", archive=args.archive)
         out = {"table": f"{wh}/raw", "rejected": f"{wh}/rejected"}
     else:
-        from candlewick.operators.quality import assert_checks, run_checks
+        from candlewick.operators.quality import assert_checks, assert_grain, run_checks, run_grain_checks
         from candlewick.plans.pipeline import MODELS
         from candlewick.sinks.models import Warehouse
 
@@ -73,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         snapshot = house.current()
         models = {name: house.read(name, snapshot) for name in ["stg_klines", *MODELS]}
         models["stg_klines"] = models["stg_klines"].drop("date")
-        out = {"checks": assert_checks(run_checks(models))}
+        out = {"checks": assert_checks(run_checks(models)), "grain": assert_grain(run_grain_checks(models))}
     print(json.dumps(out))
     return 0
 

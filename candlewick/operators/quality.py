@@ -139,3 +139,12 @@ def assert_checks(results: DataFrame, shown: int = 20) -> int:
     if n_bad:
         raise _error([tuple(r) for r in bad.limit(shown).collect()], n_bad)
     return results.count()
+
+
+def assert_grain(results: DataFrame) -> int:
+    """Fail the job when a model has several rows of one grain; returns the number of tests run."""
+    rows = results.collect()  # one per model
+    bad = [f"{r['model']}: {r['failures']} values of ({r['keys']}) occur more than once" for r in rows if r["failures"]]
+    if bad:
+        raise QualityError("; ".join(bad))
+    return len(rows)

@@ -30,6 +30,13 @@ def page_rows(body: Column | str) -> Column:
     return F.from_json(b, PAGE_JSON_TYPE, {"mode": "FAILFAST"})
 
 
+def open_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """``pages`` with ``rows``, the parsed body, instead of ``body``. The parse sits in a generator, so
+    whatever reads ``rows`` -- filters on the size, the start, the explode -- reads one parse per page."""
+    keep = [c for c in pages.columns if c != body]
+    return pages.select(*keep, F.inline(F.array(F.struct(page_rows(body).alias("rows")))))
+
+
 def page_size(body: Column | str = "body") -> Column:
     """Candles in the page, as a bigint count (like ``count(*)``)."""
     return F.size(page_rows(body)).cast("bigint")
@@ -66,10 +73,15 @@ def parse_kline_pages(pages: DataFrame, body: str = "body", lenient: bool = Fals
     malformed value raises (S3); ``lenient=True`` gives null instead. An empty
     page yields no row (S4). With ``limit``, short pages are dropped first (S5).
     """
+    return candles_of(open_pages(pages, body), lenient, limit)
+
+
+def candles_of(opened: DataFrame, lenient: bool = False, limit: int | None = None) -> DataFrame:
+    """:func:`parse_kline_pages` of pages that :func:`open_pages` has parsed."""
     if limit is not None:
-        pages = keep_full_pages(pages, limit, body)
-    keep = [c for c in pages.columns if c != body]
-    exploded = pages.select(*keep, F.posexplode(page_rows(body)).alias("pos", "_row"))
+        opened = opened.where(F.size("rows") >= limit)
+    keep = [c for c in opened.columns if c != "rows"]
+    exploded = opened.select(*keep, F.posexplode("rows").alias("pos", "_row"))
     cast = (lambda c, t: c.try_cast(t)) if lenient else (lambda c, t: c.cast(t))
     fields = [cast(F.col("_row")[i], _field_type(name)).alias(name)
               for i, name in enumerate(PAGE_FIELDS) if name != "_unused"]
@@ -81,8 +93,13 @@ def parse_with_rejects(pages: DataFrame, body: str = "body") -> DataFrame:
     """S3 for pages that may hold malformed numbers: one row per candle like
     :func:`parse_kline_pages`, bad values as null, and ``rejects``, the (column, value) pairs that are
     no number. A missing value (JSON null) is not a reject."""
-    keep = [c for c in pages.columns if c != body]
-    exploded = pages.select(*keep, F.posexplode(page_rows(body)).alias("pos", "_row"))
+    return rejects_of(open_pages(pages, body))
+
+
+def rejects_of(opened: DataFrame) -> DataFrame:
+    """:func:`parse_with_rejects` of pages that :func:`open_pages` has parsed."""
+    keep = [c for c in opened.columns if c != "rows"]
+    exploded = opened.select(*keep, F.posexplode("rows").alias("pos", "_row"))
     numbers, bad = [], []
     for i, name in enumerate(PAGE_FIELDS):
         if name == "_unused":

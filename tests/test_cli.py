@@ -19,7 +19,7 @@ def test_run_check_load(spark, tmp, capsys):
     run = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert run["files"] > 0 and run["checks"] == 36
     assert main(["check", "--warehouse", wh]) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["checks"] == 36
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"checks": 36, "grain": 3}
     assert main(["load", "--landing", landing, "--warehouse", wh]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["files"] == 0
     summary = read_model(spark, wh, "market_summary")
@@ -177,3 +177,43 @@ def test_old_versions_are_deleted(spark, tmp):
     assert len(house.log.numbers()) == KEEP
     with pytest.raises(FileExistsError):
         house.commit(type(snapshot)(snapshot.number - 1), {}, {}, {})  # a slower writer
+
+
+def test_land_job(spark, tmp, capsys):
+    """Full pages are landed, short ones not; a landed page that comes back short is withdrawn; malformed
+    numbers stop the job, or go to a table."""
+    from candlewick.sources.landing import read_landed, scan_landing
+
+    limit, landing = R.PAGE_LIMIT, f"{tmp}/landing"
+    pages = R._pages(spark, "/root/testdata/sf0.001").select("symbol", "body")
+    full = R._full_pages(spark, "/root/testdata/sf0.001")
+    pages.write.json(f"{tmp}/pages")
+    assert main(["land", "--pages", f"{tmp}/pages", "--landing", landing, "--limit", str(limit)]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"candles": full.count() * limit, "rejected": 0, "withdrawn": 0}
+    assert scan_landing(spark, landing).count() == full.count() < pages.count()
+    first = json.loads(full.orderBy("symbol", "page").first()["body"])
+    symbol = full.orderBy("symbol", "page").first()["symbol"]
+    one = lambda rows: spark.createDataFrame([(symbol, json.dumps(rows))], "symbol string, body string")
+    one(first[:-1]).write.parquet(f"{tmp}/short.parquet")
+    assert main(["land", "--pages", f"{tmp}/short.parquet", "--landing", landing, "--limit", str(limit)]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"candles": 0, "rejected": 0, "withdrawn": 1}
+    assert scan_landing(spark, landing).count() == full.count() - 1
+    first[3][4] = "n/a"
+    one(first).write.parquet(f"{tmp}/bad.parquet")
+    args = ["land", "--pages", f"{tmp}/bad.parquet", "--landing", landing, "--limit", str(limit)]
+    with pytest.raises(ValueError, match="close_price='n/a'"):
+        main(args)
+    assert scan_landing(spark, landing).count() == full.count() - 1
+    assert main([*args, "--rejects", f"{tmp}/rejects"]) == 0
+    bad = spark.read.parquet(f"{tmp}/rejects").collect()
+    assert [(r["symbol"], r["pos"], r["column"], r["value"]) for r in bad] == [(symbol, 3, "close_price", "n/a")]
+    assert read_landed(spark, scan_landing(spark, landing)).count() == full.count() * limit - 1
+
+
+def test_a_page_is_parsed_once(spark):
+    from candlewick.sources.pages import parse_kline_pages as parse
+
+    plan = parse(R._pages(spark, "/root/testdata/sf0.001"), limit=R.PAGE_LIMIT)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
