@@ -3,7 +3,7 @@
 The byte-level pre-tokenizer always starts a new piece at a space that is
 followed by a non-space character, and merges never cross pieces. A text can
 therefore be cut in front of every such space and each cut encoded on its own:
-the joined ids equal the ids of the whole text (``tests/llm/test_bpe.py`` holds
+the joined ids equal the ids of the whole text (``tests/llm/test_tokens.py`` holds
 this against the library on generated texts, special strings included). Cuts
 repeat a lot, so the ids of cuts and words seen so far are kept in dictionaries
 of bounded size, and only what is not in them goes to the library.
@@ -21,7 +21,8 @@ from __future__ import annotations
 import functools
 import json
 import re
-import struct
+import sys
+from array import array
 
 #: Entries of each dictionary per Python worker (about 100 MB); a full one takes no more.
 CACHE_ENTRIES = 500_000
@@ -51,7 +52,17 @@ def _byte_letters() -> dict[int, str]:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+def spell(word: str, letters: dict[int, str]) -> str:
+    """A space and ``word`` as the BPE model spells them; ASCII stands for itself."""
+    if word.isascii():
+        return letters[32] + word
+    return letters[32] + word.encode().decode("latin-1").translate(letters)
 
 
 class Encoder:
@@ -73,22 +84,18 @@ class Encoder:
         odd = [t for t in spec.get("added_tokens", [])
                if t["lstrip"] or t["rstrip"] or t["single_word"]
                or not _OUTSIDE_WORDS.fullmatch(t["content"])]
-        self.by_cut = (not spec.get("normalizer") and not odd and pre.get("type") == "ByteLevel"
+        # an added token splits the text before the pre-tokenizer does, so white space right before one
+        # is a piece of its own: that must not merge a last space with the character before it
+        blank = "".join(self.letters[b] for b in b" \t\n\r\x0b\x0c")
+        loose = [t for t in spec["model"].get("vocab", {}) if len(t) > 1 and t[-1] == self.letters[32]
+                 and t[-2] in blank] if spec.get("added_tokens") else []
+        self.by_cut = (not loose and not spec.get("normalizer") and not odd and pre.get("type") == "ByteLevel"
                        and bool(pre.get("use_regex")) and not pre.get("add_prefix_space")
                        and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            spelled = (" " + word).encode().decode("latin-1").translate(self.letters)
-            ids = _packed([t.id for t in self.model.tokenize(spelled)])
-            if len(self.words) < self.max_entries and len(word) <= CACHE_CHARS:
-                self.words[word] = ids
-        return ids
-
     def _tail(self, tail: str) -> bytes:
         ids = self.tails.get(tail)
         if ids is None:
@@ -98,12 +105,24 @@ class Encoder:
         return ids
 
     def _missing(self, cuts: set[str]) -> dict[str, bytes]:
-        found, rest = {}, []
+        found, rest, words, tails = {}, [], self.words, self.tails
+        tokenize, match, room = self.model.tokenize, _WORD.fullmatch, self.max_entries - len(self.words)
         for c in cuts:
-            if m := _WORD.fullmatch(c):
-                found[c] = self._word(m[1]) + self._tail(m[2])
-            else:
+            m = match(c)
+            if m is None:
                 rest.append(c)
+                continue
+            word, tail = m.groups()
+            ids = words.get(word)
+            if ids is None:
+                ids = _packed([t.id for t in tokenize(spell(word, self.letters))])
+                if room > 0 and len(word) <= CACHE_CHARS:
+                    words[word] = ids
+                    room -= 1
+            if tail:
+                end = tails.get(tail)
+                ids += self._tail(tail) if end is None else end
+            found[c] = ids
         for at in range(0, len(rest), 10_000):
             part = rest[at:at + 10_000]
             found.update(zip(part, self._encode([" " + c for c in part])))
