@@ -28,8 +28,9 @@ rows count each; an empty table gives no rows; other input columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -45,32 +46,31 @@ REMEMBERED = 300_000
 SEGMENT_CHARS = 60
 
 
-def common_slices(sizes_a: list[int], sizes_b: list[int]) -> list[tuple[int, int, int, int]]:
+def common_slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
     """Index ranges (a from, a to, b from, b to) between the byte offsets where both lists end a token."""
-    index_a = {end: i + 1 for i, end in enumerate(accumulate(sizes_a))}
-    index_b = {end: i + 1 for i, end in enumerate(accumulate(sizes_b))}
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
     out, a, b = [], 0, 0
     for end in sorted(index_a.keys() & index_b.keys()):
-        out.append((a, index_a[end], b, index_b[end]))
-        a, b = index_a[end], index_b[end]
+        i, j = index_a[end], index_b[end]
+        out.append((a, i, b, j))
+        a, b = i, j
     return out
 
 
-def slice_links(sizes_a: list[int], sizes_b: list[int], part: tuple[int, int, int, int]) -> list[tuple[int, int]]:
+def slice_links(ends_a: list[int], ends_b: list[int], part: tuple[int, int, int, int]) -> list[tuple[int, int]]:
     """Index pairs of the tokens of one slice whose byte ranges overlap."""
     a, a_end, b, b_end = part
-    end_a, end_b, out = sizes_a[a], sizes_b[b], []
-    while True:
+    if b_end - b == 1:
+        return [(i, b) for i in range(a, a_end)]
+    if a_end - a == 1:
+        return [(a, j) for j in range(b, b_end)]
+    out = []
+    while a < a_end and b < b_end:
         out.append((a, b))
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a:
-            a += 1
-        if step_b:
-            b += 1
-        if a == a_end or b == b_end:
-            return out
-        end_a += sizes_a[a] if step_a else 0
-        end_b += sizes_b[b] if step_b else 0
+        step_a, step_b = ends_a[a] <= ends_b[b], ends_b[b] <= ends_a[a]
+        a, b = a + step_a, b + step_b
+    return out
 
 
 class Aligner:
@@ -81,21 +81,47 @@ class Aligner:
         self.by_segment = self.a.starts_at_space and self.b.starts_at_space
         self.known: dict[str, tuple | None] = {}
 
-    def _align(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        """(groups, number of A ids, of B ids, of groups, id pairs of the links as ``a << 32 | b``)."""
-        bytes_a, bytes_b = [self.a.bytes_of[i] for i in ids_a], [self.b.bytes_of[i] for i in ids_b]
-        want = b" " + text.encode()
-        if b"".join(bytes_a) != want or b"".join(bytes_b) != want:
-            return None
-        sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-        parts = common_slices(sizes_a, sizes_b)
-        groups = ";".join([",".join(map(str, ids_a[p[0]:p[1]])) + "|" + ",".join(map(str, ids_b[p[2]:p[3]]))
-                           for p in parts])
-        links = [ids_a[i] << 32 | ids_b[j] for p in parts for i, j in slice_links(sizes_a, sizes_b, p)]
-        return groups, len(ids_a), len(ids_b), len(parts), np.array(links, dtype=np.int64)
+    def _sound(self, texts: list[str], ids_a: list, ids_b: list) -> list[bool]:
+        """Whether both tokenizers' bytes of each text add up to a space and the text."""
+        want = [b" " + t.encode() for t in texts]
+        return [b"".join([self.a.bytes_of[i] for i in a]) == w == b"".join([self.b.bytes_of[i] for i in b])
+                for w, a, b in zip(want, ids_a, ids_b)]
 
     def _new(self, texts: list[str]) -> dict[str, tuple | None]:
-        return {t: self._align(t, *ids) for t, *ids in zip(texts, self.a.encode(texts), self.b.encode(texts))}
+        """Alignment of each text: (groups, number of A ids, of B ids, of groups, id pairs of the links
+        as ``a << 32 | b`` in native 64-bit integers); None if its bytes do not add up.
+
+        The texts are laid end to end: a text's end is the end of a token on both sides, so the slices
+        of all texts are found with one pair of dictionaries and dealt out to the texts again."""
+        ids_a, ids_b = self.a.encode(texts), self.b.encode(texts)
+        sound = self._sound(texts, ids_a, ids_b)
+        if not all(sound):
+            out = dict.fromkeys((t for t, ok in zip(texts, sound) if not ok))
+            rest = [t for t, ok in zip(texts, sound) if ok]
+            return out | (self._new(rest) if rest else {})
+        flat_a, flat_b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
+        ends_a = list(accumulate([len(self.a.bytes_of[i]) for i in flat_a]))
+        ends_b = list(accumulate([len(self.b.bytes_of[i]) for i in flat_b]))
+        name_a, name_b = list(map(str, flat_a)), list(map(str, flat_b))
+        groups, links, upto_a, upto_links = [], [], [], []
+        for part in common_slices(ends_a, ends_b):
+            a, i, b, j = part
+            if i - a == 1 == j - b:
+                groups.append(f"{name_a[a]}|{name_b[b]}")
+                links.append(flat_a[a] << 32 | flat_b[b])
+            else:
+                groups.append(",".join(name_a[a:i]) + "|" + ",".join(name_b[b:j]))
+                links += [flat_a[x] << 32 | flat_b[y] for x, y in slice_links(ends_a, ends_b, part)]
+            upto_a.append(i)
+            upto_links.append(len(links))
+        packed = array("q", links).tobytes()
+        last = np.searchsorted(np.array(upto_a), np.cumsum([len(x) for x in ids_a])).tolist()
+        out, g, k = {}, 0, 0
+        for t, a, b, end in zip(texts, ids_a, ids_b, last):
+            to = upto_links[end]
+            out[t] = (";".join(groups[g:end + 1]), len(a), len(b), end + 1 - g, packed[8 * k:8 * to])
+            g, k = end + 1, to
+        return out
 
     def align(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple]]:
         """Segments of each text (none if it has no tokens), and the alignment of each segment."""
@@ -124,31 +150,36 @@ class Chunk:
     def __init__(self):
         self.number: dict[str, int] = {}
         self.segments: list[tuple] = []
+        self.groups: list[str] = []     # of each segment
         self.docs: list[tuple] = []     # (doc_id, groups, segment numbers)
         self.size = 0
 
     def add(self, doc_id, cuts: list[str], found: dict[str, tuple], digest: bool) -> None:
-        for s in cuts:
-            if s not in self.number:
-                self.number[s] = len(self.segments)
-                self.segments.append(found[s])
-        groups = ";".join([found[s][0] for s in cuts])
+        numbers = list(map(self.number.get, cuts))
+        if None in numbers:
+            for i, s in enumerate(cuts):
+                if numbers[i] is None:
+                    numbers[i] = self.number.setdefault(s, len(self.segments))
+                    if numbers[i] == len(self.segments):
+                        self.segments.append(found[s])
+                        self.groups.append(found[s][0])
+        groups = ";".join([self.groups[n] for n in numbers])
         if digest and cuts:
             groups = hashlib.sha256(groups.encode()).hexdigest()
-        self.docs.append((doc_id, groups, np.fromiter(map(self.number.__getitem__, cuts), np.uint32, len(cuts))))
+        self.docs.append((doc_id, groups, np.array(numbers, dtype=np.uint32)))
         self.size += len(cuts)
 
     def rows(self, chunk: int) -> Iterator[dict]:
         """One row per document and one with the chunk's distinct pairs and its segments' places in them."""
         n_a, n_b, n_groups, n_links = (np.array([f(s) for s in self.segments], dtype=np.int64) for f in (
-            lambda s: s[1], lambda s: s[2], lambda s: s[3], lambda s: len(s[4])))
+            lambda s: s[1], lambda s: s[2], lambda s: s[3], lambda s: len(s[4]) // 8))
         used = np.zeros(len(self.segments), dtype=np.int64)
         for doc_id, groups, numbers in self.docs:
             np.add.at(used, numbers, 1)
             yield {"chunk": chunk, "doc_id": doc_id, "groups": groups, "numbers": numbers.tobytes(),
                    **{k: int(x[numbers].sum()) for k, x in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups),
                                                             ("n_links", n_links))}}
-        links = np.concatenate([s[4] for s in self.segments]) if self.segments else np.empty(0, np.int64)
+        links = np.frombuffer(b"".join([s[4] for s in self.segments]), np.int64)
         pairs, place = np.unique(links, return_inverse=True)
         count = np.zeros(len(pairs), dtype=np.int64)
         np.add.at(count, place, np.repeat(used, n_links))

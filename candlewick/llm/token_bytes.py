@@ -6,10 +6,11 @@ import functools
 import json
 import re
 
-from candlewick.llm.bpe import _byte_letters
+from candlewick.llm.bpe import _byte_letters, spell
 
 #: A space between characters that are no spaces; neither side may be white space after it.
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _OTHER_SPACE = re.compile(r" (?!\S)")
 
 
@@ -28,7 +29,9 @@ class ByteLevel:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        byte_of = {letter: b for b, letter in _byte_letters().items()}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.tails: dict[str, list[int]] = {"": []}     # ids of short punctuation behind a word
+        byte_of = {letter: b for b, letter in self.letters.items()}
         self.bytes_of = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
                          for t, i in self.tokenizer.get_vocab().items()}
         with open(path, encoding="utf-8") as f:
@@ -40,10 +43,30 @@ class ByteLevel:
                                 and bool(pre.get("use_regex")) and not pre.get("add_prefix_space")
                                 and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
 
+    def _tail(self, tail: str) -> list[int]:
+        if tail not in self.tails:
+            ids = self.tokenizer.encode(tail, add_special_tokens=False).ids
+            if len(tail) > 3:
+                return ids
+            self.tails[tail] = ids
+        return self.tails[tail]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of a space and each text."""
-        spaced = [" " + t for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
+        """Ids of a space and each text. A word of Latin letters is one piece of the byte-level pattern,
+        ASCII punctuation behind it the next, so the word goes straight to the BPE model."""
+        out, rest = [None] * len(texts), []
+        for i, t in enumerate(texts):
+            m = _LATIN.fullmatch(t) if self.starts_at_space else None
+            if m:
+                out[i] = [x.id for x in self.model.tokenize(spell(m[1], self.letters))] + self._tail(m[2])
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 10_000):
+            part = rest[at:at + 10_000]
+            encoded = self.tokenizer.encode_batch_fast([" " + texts[i] for i in part], add_special_tokens=False)
+            for i, e in zip(part, encoded):
+                out[i] = e.ids
+        return out
 
 
 class Pieces:
