@@ -190,9 +190,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     """
     spark = docs.sparkSession
     folder = folder or scratch(spark, "token-files")
-    order = ["doc_id", "tie"]  # equal ids with different texts get a fixed order
-    ranged = (text_or_empty(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
-              .repartitionByRange(*order).sortWithinPartitions(*order).drop("tie"))
+    # equal ids with different texts get a fixed order; rows equal in both are split by their place in the scan
+    order = ["doc_id", "tie", "row"]
+    ranged = (text_or_empty(docs, id_col, text_col)
+              .withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+              .repartitionByRange(*order).sortWithinPartitions(*order).drop("tie", "row"))
     files = stored(ranged.mapInArrow(_write_partition(folder, tokenizer, end_id),
                                      "part long, file string, docs long, tokens long, bytes long"),
                    "token-manifest")
