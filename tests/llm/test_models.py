@@ -231,3 +231,87 @@ def test_pages_with_nulls(spark):
     got = html_extraction.extract(pages, html_extraction.learn(pages, docs)).collect()
     assert {(r["page_id"], r["text"]) for r in got} == {(1, ""), (None, "text"), (2, "two")}
     assert html_extraction.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("odd", ['<svg viewBox="0 0 1 1"/>', "<svg><path d='x'/><text>label</text></svg>", "<select><option>a",
+                                 "<p title=don't>", "<img alt='a>b'>", "<br/>", "<div title=\"it's\"></div>", "<!-->", "<!--->",
+                                 "<?xml version='1.0'?>", "</nothing x='>'>", "<textarea><p>no</p></textarea>",
+                                 "<script>if (a<b) document.write('</p></scripty>')</script>", "<noscript>enable scripts</noscript>",
+                                 "<style>p::after{content:'</div>'}</style>", "<a href=/x/>", "<p class=>"])
+def test_odd_markup_keeps_the_text(odd):
+    page = f"<body><nav><a>Home</a></nav><article><h1>Head</h1>{odd}<p>{LEAD}</p><p>{MORE}</p></article></body>"
+    got = html_region.main_text(page, html_region.Weights()).split("\n")
+    assert got[0] == "Head" and got[-2:] == [LEAD.strip(), MORE.strip()]
+    assert set(got[1:-2]) <= {"a"}  # the open select's option
+
+
+def test_names_of_paragraphs_and_headings_are_their_own():
+    page = (f'<article><h2 id="comment">On comments</h2><p class="share">{LEAD}</p><div class="share">Tell all</div>'
+            f'<p>{MORE}</p></article>')
+    assert html_region.main_text(page, html_region.Weights()) == f"On comments\n{LEAD.strip()}\n{MORE.strip()}"
+
+
+@pytest.mark.parametrize("names", ['class="responses"', 'id="reader-replies"', 'class="comments-list"', 'class="user comments"',
+                                   'id="discussion"', 'role="complementary"'])
+def test_reader_comments_stay_out(names):
+    page = f"<article><h1>Head</h1><p>{LEAD}</p><div {names}><p>{MORE}</p></div></article><section {names}><p>{MORE}</p></section>"
+    assert html_region.main_text(page, html_region.Weights()) == f"Head\n{LEAD.strip()}"
+
+
+def test_names_are_learned():
+    """Labelled pages teach that a name is an aside, or that a listed one is not."""
+    pages = [(f'<body><div class="zq">{MORE} {i}</div><div><h1>T {i}</h1><div class="social"><p>{LEAD} {i}</p></div>'
+              f'<p>{MORE} last</p></div></body>', f"T {i}\n{LEAD} {i}\n{MORE} last") for i in range(30)]
+    w = html_region.learn(pages)
+    assert w.is_aside("#zq") and not w.is_aside("#social") and w.is_aside("#comments")
+    page = f'<div><p>{LEAD}</p><div class="zq">{MORE}</div><div class="social"><p>{LEAD}x</p></div></div>'
+    assert html_region.main_text(page, w) == f"{LEAD.strip()}\n{LEAD}x"
+
+
+def test_long_and_repeated_pages(spark):
+    long = "<article>" + "".join(f"<p>{LEAD}{i}</p>" for i in range(3000)) + "</article>"
+    nested = "<div>" * 30000 + f"<p>{LEAD}</p>" + "</div>" * 30000 + "</b>" * 30000 + "<nav>" * 9000 + "</nav>" * 9000
+    rows = [(1, "u", long, "t"), (1, "u", long, "t"), (2, "u", nested, "t"), (3, "u", "<" * 5000, "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted((r["page_id"], r["text"]) for r in html_extraction.extract(pages).collect())
+    want = "\n".join(f"{LEAD}{i}" for i in range(3000))
+    assert got == [(1, want), (1, want), (2, LEAD.strip()), (3, "<" * 5000)]
+
+
+def plain_language(text, texts_by_lang):
+    """Out-of-place distance, with counters and lists."""
+    from collections import Counter
+
+    def grams(t):
+        out = []
+        for word in "".join(c if c.isalpha() else " " for c in t.lower()).split():
+            padded = f" {word} "
+            out += list(word) + [padded[i:i + 2] for i in range(len(padded) - 1)]
+            out += [padded[i:i + 3] for i in range(len(padded) - 2)]
+        return Counter(out)
+
+    order = lambda g: sum(ord(c) << (21 * i) for i, c in enumerate(g))  # noqa: E731  ties: the packed code
+    top = lambda n, most: sorted(n, key=lambda g: (-n[g], order(g)))[:most]
+    own = top(grams(text), language_id.DOCUMENT)
+    if not own:
+        return "und", 0.0
+    best = None
+    for lang in sorted(texts_by_lang):
+        place = {g: i for i, g in enumerate(top(sum(map(grams, texts_by_lang[lang]), Counter()), language_id.PROFILE))}
+        far = language_id.PROFILE
+        distance = sum(min(abs(place[g] - i), far) if g in place else far for i, g in enumerate(own))
+        if best is None or distance < best[1]:
+            best = lang, distance
+    return best[0], 1 - best[1] / (language_id.PROFILE * len(own))
+
+
+def test_languages_equal_the_plain_version(spark):
+    rows = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang").collect()
+    texts = {}
+    for r in rows:
+        if zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            texts.setdefault(r["lang"], set()).add(r["text"])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in registry.op4_language_id(spark, "/root/testdata/sf0.001").collect()}
+    for r in rows:
+        lang, score = plain_language(r["text"], texts)
+        assert got[r["doc_id"]][0] == lang and np.isclose(got[r["doc_id"]][1], score)
