@@ -17,9 +17,10 @@ A key is a line stripped of white space and lower-cased (A-Z). Keys of at least
 ``min_chars`` code points in two documents or more lose all lines but those of
 the smallest doc_id that holds them.
 
-Defined results: null or empty text is one empty line; a null ``doc_id`` counts
-as the largest id; rows with the same doc_id are one document; an empty table
-gives no rows; ``deduplicated`` returns the input's columns, whatever their names.
+Defined results: null or empty text is one empty line; rows with the same doc_id
+are one document; rows without one are told apart by their texts (equal ones are
+one document) and come after all ids, ordered by 60 bits of the text's SHA-256;
+an empty table gives no rows; ``deduplicated`` returns the input's columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ from candlewick.llm.common import file_system, scratch, stored
 from candlewick.llm.line_index import LineIndex
 
 STRIP = b" \t\n\x0b\x0c\r"
-LAST_ID = (1 << 63) - 1  # stands for a null doc_id
 SLICE_BYTES = 4_000_000
 
 
@@ -60,15 +60,17 @@ def _each_line(min_chars: int):
         import pyarrow as pa
 
         for batch in batches:
-            digests, ids = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            digests, ids, missing = [], [], []
+            for doc_id, no_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 keys = line_keys(text, min_chars)
                 digests += keys
                 ids += [doc_id] * len(keys)
+                missing += [no_id] * len(keys)
             if digests:
                 high, low = _halves(digests)
-                yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), pa.array(ids, pa.int64())],
-                                                 names=["high", "low", "doc_id"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(high), pa.array(low), pa.array(ids, pa.int64()), pa.array(missing, pa.bool_())],
+                    names=["high", "low", "doc_id", "missing"])
 
     return run
 
@@ -80,7 +82,8 @@ def _build(folder: str):
         import pandas as pd
 
         shard = int(pdf["shard"].iloc[0])
-        index = LineIndex.build(*(pdf[c].to_numpy(np.int64, copy=True) for c in ("high", "low", "count", "first")))
+        index = LineIndex.build(*(pdf[c].to_numpy(np.int64, copy=True) for c in ("high", "low", "count", "first")),
+                                named=pdf["named"].to_numpy(bool))
         system, base = file_system(folder)
         system.create_dir(base, recursive=True)
         draft = f"{base}/_draft-{shard}-{uuid.uuid4().hex}"
@@ -102,25 +105,28 @@ def _probes(min_chars: int, shards: int):
         holders = list(held.values())
         return pa.RecordBatch.from_arrays(
             [pa.array((high.view(np.uint64) % np.uint64(shards)).astype(np.int64)), pa.array(high), pa.array(low),
-             pa.array([[h[0] for h in hs] for hs in holders], schema.field("ids").type),
-             pa.array([[h[1] for h in hs] for hs in holders], schema.field("keys").type),
-             pa.array([[h[2] for h in hs] for hs in holders], schema.field("at").type)], schema=schema)
+             *(pa.array([[h[i] for h in hs] for hs in holders], schema.field(name).type)
+               for i, name in enumerate(("ids", "missing", "keys", "at")))], schema=schema)
 
     def run(batches: Iterator):
         import pyarrow as pa
 
         schema = pa.schema([("shard", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
-                            ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
+                            ("ids", pa.list_(pa.int64())), ("missing", pa.list_(pa.bool_())),
+                            ("keys", pa.list_(pa.int64())),
                             ("at", pa.list_(pa.list_(pa.int32())))])
-        held, size = {}, 0
+        held, seen, size = {}, set(), 0
         for batch in batches:
-            for doc_id, text, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc_id, missing, text, key in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (doc_id, missing, key) in seen:
+                    continue  # a copy in this slice loses the same lines
+                seen.add((doc_id, missing, key))
                 for digest, lines in line_keys(text, min_chars).items():
-                    held.setdefault(digest, []).append((doc_id, key, lines))
+                    held.setdefault(digest, []).append((doc_id, missing, key, lines))
                 size += len(text)
                 if size >= SLICE_BYTES and held:
                     yield rows(held, schema)
-                    held, size = {}, 0
+                    held, seen, size = {}, set(), 0
         if held:
             yield rows(held, schema)
 
@@ -138,8 +144,8 @@ def _dropped(folder: str):
         for batch in batches:
             shard = batch.column(0).to_numpy()
             high, low = (batch.column(i).to_numpy().copy() for i in (1, 2))
-            ids, keys, at = (batch.column(i).to_pylist() for i in (3, 4, 5))
-            out = ([], [], [])
+            holders = [batch.column(i).to_pylist() for i in (3, 4, 5, 6)]
+            out = ([], [], [], [])
             for s in np.unique(shard).tolist():
                 if s != open_shard:
                     with system.open_input_file(f"{base}/shard-{s}.npz") as source:
@@ -147,26 +153,35 @@ def _dropped(folder: str):
                 mine = np.flatnonzero(shard == s)
                 cell = index.find(high[mine], low[mine])
                 repeated = (cell >= 0) & (index.parts["count"][np.maximum(cell, 0)] > 1)
-                for i, first in zip(mine[repeated].tolist(), index.parts["first"][cell[repeated]].tolist()):
-                    for doc_id, key, lines in zip(ids[i], keys[i], at[i]):
-                        if doc_id != first:
-                            for column, value in zip(out, (doc_id, key, lines)):
+                where = cell[repeated]
+                for i, first, named in zip(mine[repeated].tolist(), index.parts["first"][where].tolist(),
+                                           index.parts["named"][where].tolist()):
+                    for holder in zip(*(x[i] for x in holders)):
+                        if holder[0] != first or holder[1] == named:  # not the first document
+                            for column, value in zip(out, holder):
                                 column.append(value)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                     pa.array(out[2], pa.list_(pa.int32()))], names=["id", "key", "lines"])
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int64()),
+                     pa.array(out[3], pa.list_(pa.int32()))], names=["id", "missing", "key", "lines"])
 
     return run
 
 
 def line_index(keyed: DataFrame, min_chars: int = 10, keys_per_shard: int = 250_000) -> tuple[str, int]:
-    """(folder, number of shards) of the index over the lines of ``keyed`` (doc_id, text as binary)."""
+    """(folder, number of shards) of the index over the lines of ``keyed`` (doc_id, missing, text as binary)."""
+    given, other = (F.when(F.col("missing") == x, F.col("doc_id")) for x in (False, True))
+    two = (F.col("first_id") != F.col("last_id")) | (F.col("first_other") != F.col("last_other")) \
+        | (F.col("first_id").isNotNull() & F.col("first_other").isNotNull())
     lines = stored(
-        keyed.select("doc_id", "text").mapInArrow(_each_line(min_chars), "high long, low long, doc_id long")
-        .groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+        keyed.select("doc_id", "missing", "text")
+        .mapInArrow(_each_line(min_chars), "high long, low long, doc_id long, missing boolean")
+        .groupBy("high", "low").agg(F.min(given).alias("first_id"), F.max(given).alias("last_id"),
+                                    F.min(other).alias("first_other"), F.max(other).alias("last_other"),
                                     F.count("*").alias("n"))
-        .select("high", "low", "first", F.when(F.col("first") == F.col("last"), 1).otherwise(F.col("n")).alias("count")),
+        .select("high", "low", F.coalesce("first_id", "first_other").alias("first"),
+                F.col("first_id").isNotNull().alias("named"),
+                F.when(F.coalesce(two, F.lit(False)), F.col("n")).otherwise(1).alias("count")),
         "distinct-lines")
     shards = max(1, -(-lines.count() // keys_per_shard))
     folder = scratch(keyed.sparkSession, "line-index")
@@ -179,29 +194,38 @@ def line_index(keyed: DataFrame, min_chars: int = 10, keys_per_shard: int = 250_
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text",
                   keys_per_shard: int = 250_000) -> DataFrame:
-    """(id, key, dropped): numbers of the lines that each document loses. ``key`` is xxhash64 of
-    the text; ``id`` is doc_id, or the largest long for null."""
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc_id"),
-                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
-                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"))
+    """(id, missing, key, dropped): numbers of the lines that each document loses; see ``_keyed``."""
+    keyed = _keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary")) \
+        .select("doc_id", "missing", "text", "key")
     folder, shards = line_index(keyed, min_chars, keys_per_shard)
     probes = keyed.mapInArrow(_probes(min_chars, shards),
-                              "shard long, high long, low long, ids array<long>, keys array<long>, "
-                              "at array<array<int>>")
+                              "shard long, high long, low long, ids array<long>, missing array<boolean>, "
+                              "keys array<long>, at array<array<int>>")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lost = (probes.repartition(max(n, shards), "shard", F.pmod("low", F.lit(8))).sortWithinPartitions("shard")
-            .mapInArrow(_dropped(folder), "id long, key long, lines array<int>"))
-    return lost.groupBy("id", "key").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("dropped"))
+    # shards are dealt to tasks; a task has one open at a time
+    lost = (probes.repartition(n, "shard", F.pmod("low", F.lit(8))).sortWithinPartitions("shard")
+            .mapInArrow(_dropped(folder), "id long, missing boolean, key long, lines array<int>"))
+    # copies in several slices lose the same lines: they meet before a document's lines are collected
+    return (lost.groupBy("id", "missing", "key", "lines").agg(F.lit(1))
+            .groupBy("id", "missing", "key").agg(F.flatten(F.collect_list("lines")).alias("dropped")))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows as a struct ``row`` with text, ``key`` (its xxhash64), ``doc_id`` and ``missing``: without an
+    id, ``doc_id`` is the text's place among such rows."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    place = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    doc_id = F.col(id_col).cast("long")
+    return docs.select(F.struct("*").alias("row"), text.alias("text"), F.xxhash64(text).alias("key"),
+                       F.when(doc_id.isNull(), place).otherwise(doc_id).alias("doc_id"), doc_id.isNull().alias("missing"))
 
 
 def deduplicated(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text",
                  keys_per_shard: int = 250_000) -> DataFrame:
     """Every row as a struct ``row`` with id_col as doc_id, ``n_lines``, ``n_dropped`` and ``kept`` (the text left)."""
     lost = dropped_lines(docs, min_chars, id_col, text_col, keys_per_shard)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("key"))
-    return (rows.join(lost, ["id", "key"], "left")
+    rows = _keyed(docs, id_col, text_col).withColumnRenamed("doc_id", "id")
+    return (rows.join(lost, ["id", "missing", "key"], "left")
             .withColumn("lines", F.split("text", "\n"))
             .select("row", F.col("row")[id_col].cast("long").alias("doc_id"),
                     F.size("lines").cast("long").alias("n_lines"),

@@ -38,8 +38,10 @@ class LineIndex:
         self.rank = np.concatenate(([0], np.cumsum(counts)))
 
     @classmethod
-    def build(cls, high: np.ndarray, low: np.ndarray, count: np.ndarray, first: np.ndarray) -> LineIndex:
-        """Index of distinct keys (int64 halves) with their count and first document."""
+    def build(cls, high: np.ndarray, low: np.ndarray, count: np.ndarray, first: np.ndarray,
+              named: np.ndarray | None = None) -> LineIndex:
+        """Index of distinct keys (int64 halves) with their count, first document and whether that has an id."""
+        named = np.ones(len(high), dtype=bool) if named is None else named
         keys, left = _key(high, low), np.arange(len(high))
         levels, sizes, placed = [], [], []
         for level in range(LEVELS):
@@ -61,7 +63,7 @@ class LineIndex:
             "words": np.concatenate(levels) if levels else np.zeros(0, "<u8"),
             "sizes": np.array(sizes, dtype=np.int64),
             "fingerprint": (low[order].view(np.uint64) >> np.uint64(32)).astype(np.uint32),
-            "count": count[order].astype(np.uint32), "first": first[order].astype(np.int64),
+            "count": count[order].astype(np.int64), "first": first[order].astype(np.int64), "named": named[order],
             "rest_high": high[rest], "rest_low": low[rest]})
 
     def find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:

@@ -164,7 +164,7 @@ WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(transla
        FROM documents),
 iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
-       FROM benchmark WHERE item_id IS NOT NULL),
+       FROM benchmark),
 iwin AS (SELECT item_id, least(len(ws), 13) AS l, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS i, ws
          FROM iw WHERE len(ws) > 0),
 win AS (SELECT DISTINCT item_id, l, array_to_string(ws[i:i + l - 1], ' ') AS g FROM iwin),
@@ -175,21 +175,21 @@ hit AS (SELECT r, i, l, item_id FROM (SELECT r, l, i, array_to_string(ws[i:i + l
 cover AS (SELECT r, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT r, i, l FROM hit)),
 pos AS (SELECT r, count(DISTINCT p) AS n FROM cover GROUP BY r),
 its AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
-        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
        sha256(coalesce(its.s, '')) AS items_sha256,
        coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(ws) AS contaminated
 FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)""",
     "op6_line_dedup": r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM d),
-k AS (SELECT r, doc_id, i, ls[i] AS line, translate(regexp_replace(ls[i],
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls,
+        (doc_id IS NULL, coalesce(doc_id, CAST('0x' || substr(sha256(coalesce(text, '')), 1, 15) AS BIGINT))) AS place
+      FROM documents),
+l AS (SELECT r, doc_id, place, unnest(range(1, len(ls) + 1)) AS i, ls FROM d),
+k AS (SELECT r, doc_id, place, i, ls[i] AS line, translate(regexp_replace(ls[i],
         '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-f AS (SELECT key, min(coalesce(doc_id, 9223372036854775807)) AS first FROM k WHERE length(key) >= 10
-      GROUP BY key HAVING count(DISTINCT coalesce(doc_id, 9223372036854775807)) > 1),
-m AS (SELECT k.*, f.first IS NOT NULL AND f.first <> coalesce(doc_id, 9223372036854775807) AS gone
-      FROM k LEFT JOIN f USING (key))
+f AS (SELECT key, min(place) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT place) > 1),
+m AS (SELECT k.*, f.first IS NOT NULL AND f.first <> place AS gone FROM k LEFT JOIN f USING (key))
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r""",

@@ -67,14 +67,14 @@ def contaminated(text, items):
     w, hit, names = spelled(text), set(), set()
     for item, t in items:
         iw = spelled(t)
-        if item is None or not iw:
+        if not iw:
             continue
         n = min(13, len(iw))
         windows = {tuple(iw[i:i + n]) for i in range(len(iw) - n + 1)}
         for i in range(len(w) - n + 1):
             if tuple(w[i:i + n]) in windows:
                 hit.update(range(i, i + n))
-                names.add(str(item))
+                names.update([] if item is None else [str(item)])
     return len(w), len(hit), sorted(names)
 
 
@@ -86,7 +86,7 @@ def test_decontamination(spark, make_docs, odd_rows):
         return [rng.choice(vocabulary) for _ in range(n)]
 
     items = [(i, " ".join(words(n))) for i, n in enumerate([13, 14, 20, 40, 40, 60, 1, 3, 12, 3])]
-    items += [(3, items[4][1]), (None, "w1 w2"), (90, None), (91, "..."), (92, items[2][1])]
+    items += [(3, items[4][1]), (None, "w1 w2"), (None, " ".join(words(25))), (90, None), (91, "..."), (92, items[2][1])]
     rows = list(odd_rows)
     for i in range(60):
         parts = words(rng.randrange(0, 60))
@@ -125,17 +125,19 @@ def test_benchmark_beyond_the_broadcast_bound(spark, make_docs, monkeypatch):
 
 
 def deduplicated(rows):
+    import hashlib
+
     holders = defaultdict(set)
-    place = lambda i: line_dedup.LAST_ID if i is None else i
+    place = lambda i, t: (i is None, int(hashlib.sha256((t or "").encode()).hexdigest()[:15], 16) if i is None else i)
     key = lambda line: ascii_lower(line.strip(WS))
     for i, t in rows:
         for line in (t or "").split("\n"):
             if len(key(line)) >= 10:
-                holders[key(line)].add(place(i))
+                holders[key(line)].add(place(i, t))
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        kept = [x for x in lines if len(holders[key(x)]) < 2 or min(holders[key(x)]) == place(i)]
+        kept = [x for x in lines if len(holders[key(x)]) < 2 or min(holders[key(x)]) == place(i, t)]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 
@@ -147,6 +149,7 @@ def test_line_dedup(make_docs, odd_rows, per_shard):
             "tenchars..", "ééééééééé", "éééééééééé", ""] + [f"line number {i} of the pool" for i in range(40)]
     rows = odd_rows + [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for i in range(80)]
     rows += [rows[-1], (100, rows[-2][1])]  # a repeated row, and a second text of one id
+    rows += [(None, f"only without an id, one\nown text {i % 7}\n{pool[i]}") for i in range(20)]
     docs = make_docs(rows)
     got = line_dedup.deduplicated(docs, keys_per_shard=per_shard).collect()
     name = lambda r: (str(r[0]), *r[1:])
