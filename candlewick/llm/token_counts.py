@@ -97,9 +97,9 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     keyed = text_or_empty(docs, id_col, text_col).select(
         "doc_id", "text", F.unhex(F.sha2("text", 256)).alias("digest"),
         F.octet_length("text").cast("long").alias("n_bytes"))
-    misses = (keyed.select("digest", "text")
-              .join(read_cache(spark, cache, version), "digest", "left_anti")
-              .groupBy("digest").agg(F.first("text").alias("text")))
+    # copies meet in each map task first, so a hot text crosses the network once per task
+    misses = (keyed.groupBy("digest").agg(F.first("text").alias("text"))
+              .join(read_cache(spark, cache, version), "digest", "left_anti"))
     (misses.mapInArrow(_count(tokenizer), "digest binary, n_tokens long")
      .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").partitionBy("tokenizer").parquet(cache))
