@@ -3,20 +3,39 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.session import checkpoint_dir
+from candlewick.session import checkpoint_dir, remove_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """URI of a new folder under the shared checkpoint folder (not created yet)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the scratch folders that were made in it. Results built in it must be written by then."""
+    start = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[start:]:
+            remove_folder(spark, path)
+        del _made[start:]
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
