@@ -1,7 +1,15 @@
 """The corpus pipeline: documents to packed training sequences.
 
 Each stage works on all documents its predecessor kept and returns the columns
-of ``documents``; the last one returns the pieces of the packed sequences.
+of ``documents``, extra ones included; the last one returns the pieces of the
+packed sequences.
+
+Defined results: a null or empty text fails the quality rules (too few words);
+rows without a doc_id are told apart by their texts and stay unless a stage
+rejects them; of repeated rows, and of rows tied for the smallest doc_id of a
+group, one stays after the similarity join; an empty table gives no pieces.
+What a stage stores under the checkpoint folder is deleted once its result is
+written; the last stage's result is lazy, and so are its stored tables.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import decontamination, jaccard_join, line_dedup, packing, quality
-from candlewick.llm.common import scratch, table, tokenizer_path
+from candlewick.llm.common import scratch, scratch_scope, table, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch(spark, f"pipeline-{name.lower().replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
