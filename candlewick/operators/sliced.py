@@ -266,9 +266,10 @@ def refresh_inputs(state: DataFrame, staged: DataFrame, from_date: str,
     """(candles to recompute, base) for a refresh of M4/M5 from ``from_date``.
 
     The candles are the staged rows from ``from_date`` on plus, per symbol, the
-    last ``look_back`` rows before it (found by their days on the state table;
-    of each hour of those days at most ``look_back`` rows go to the final
-    ranking). ``base`` carries per symbol the rows before the context, the EMA
+    last ``look_back`` rows before it. Their days are found on the state table
+    and come to the driver (a calendar day is one value), so only these days of
+    ``staged`` are read; of each hour at most ``look_back`` rows go to the final
+    ranking. ``base`` carries per symbol the rows before the context, the EMA
     sums of the days before ``from_date`` and the first close."""
     d0 = F.lit(from_date).cast("date")
     early = F.col("date").isNull() | (F.col("date") < d0)  # rows without a time come first
@@ -284,8 +285,12 @@ def refresh_inputs(state: DataFrame, staged: DataFrame, from_date: str,
         return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*latest))) \
             .where(F.col("_k") <= look_back).drop("_k")
 
+    days = [r[0] for r in needed.select("_d").distinct().collect()]
+    context_days = F.col("date").isin([d for d in days if d is not None])
+    if None in days:
+        context_days = context_days | F.col("date").isNull()
     same = F.col("symbol").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
-    context = last(last(staged.where(early).join(needed, same, "left_semi"),
+    context = last(last(staged.where(context_days).join(needed, same, "left_semi"),
                         "symbol", "date", F.hour("open_time_ts")), "symbol")
     n_context = context.groupBy(_sym_key(F.col("symbol")).alias("sym_key")).agg(F.count(F.lit(1)).alias("n_context"))
     base = (prior.groupBy(_sym_key(F.col("symbol")).alias("sym_key")).agg(

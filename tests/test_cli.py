@@ -160,6 +160,29 @@ def test_refresh_reads_only_touched_days(spark, tmp):
     assert events_after(spark, f"{tmp}/wh/ledger", last)[0].count() == 0
 
 
+def test_refresh_reads_few_days_before_the_first(spark, tmp):
+    """The look-back of M4/M5 opens the days that hold it, not the history."""
+    from candlewick.operators import sliced
+    from candlewick.plans.pipeline import run_pipeline
+    from candlewick.sinks.models import Warehouse
+
+    pages = R._full_pages(spark, "/root/testdata/sf0.01")
+    write_landing(parse_kline_pages(pages), f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh")
+    house = Warehouse(spark, f"{tmp}/wh")
+    days = sorted(house.current().days["stg_klines"])
+    start = days[-2]
+    candles, base = sliced.refresh_inputs(house.read("series_state"), house.read("stg_klines"), start)
+    plan = candles._jdf.queryExecution().executedPlan().toString()
+    scans = [line.split("PartitionFilters: [")[1].split("], PushedFilters")[0] for line in plan.split("\n")
+             if "FileScan" in line and "close_price" in line]
+    named = {d for f in scans for d in days if d in f}  # dates that the filters list
+    assert len(scans) == 2 and all("date#" in f for f in scans) and named <= set(days[-5:])
+    symbols = base.count()
+    before = candles.where(f"open_time_ts < TIMESTAMP'{start} 00:00:00'").count()
+    assert before == 29 * symbols
+
+
 def test_old_versions_are_deleted(spark, tmp):
     import os
 
