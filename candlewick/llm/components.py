@@ -34,6 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     A round needs a few shuffles of the edges, and the number of rounds grows with the logarithm of
     a component's width; every round is a written table, so a lost executor costs one round at most.
+    The least neighbour of a node is combined before the shuffle; the join that hands it back to the
+    node's edges is a shuffle join, which Spark splits where one node has very many.
     """
     edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .distinct(), "edges")

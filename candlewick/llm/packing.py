@@ -108,7 +108,7 @@ def _pack_partition(tokenizer: str, end_id: int, size: int, most: int, min_cut:
 
 
 def _merge(size: int):
-    """Pieces of a group's open windows laid end to end, fullest windows first, and cut at ``size``."""
+    """Pieces of a group's open windows laid end to end, by partition and window, and cut at ``size``."""
 
     def run(pdf):
         import pandas as pd

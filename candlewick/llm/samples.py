@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import stored
 
 _SCALE = 1 << 30
+_SALTS = 64
 
 
 def text_key(text_col: str = "text"):
@@ -37,7 +38,11 @@ def chosen_keys(keys: DataFrame, by: list[str], most: int | None = None, total:
     if most is None:
         most = level([r["count"] for r in counts.collect()], total)
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col("key")), F.lit(_SCALE))
-    return distinct.join(counts, by).where(place / F.lit(_SCALE) < F.lit(most) / F.col("count")).select(*by, "key")
+    # a group may hold most keys: they meet its count in _SALTS places
+    counts = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salted = distinct.withColumn("salt", F.pmod(F.col("key"), F.lit(_SALTS)).cast("int"))
+    return (salted.join(counts, [*by, "salt"]).where(place / F.lit(_SCALE) < F.lit(most) / F.col("count"))
+            .select(*by, "key"))
 
 
 def texts_of(rows: DataFrame, chosen: DataFrame, by: list[str], text_col: str = "text") -> DataFrame:
