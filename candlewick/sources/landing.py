@@ -146,38 +146,38 @@ def read_landed(spark: SparkSession, files: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _readable(path: str) -> str | None:
-    """Why a landed file cannot be read, or null: its footer, column types and all pages are checked."""
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    types = {"bigint": pa.int64(), "double": pa.float64()}
-    try:
-        system, name = fs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not
-                                              path.startswith("file://") else path)
-        with system.open_input_file(name) as source, pq.ParquetFile(source) as file:
-            have = file.schema_arrow
-            for f in LANDED_SCHEMA:
-                at = have.get_field_index(f.name)
-                want = types[f.dataType.simpleString()]
-                if at >= 0 and have.field(at).type not in (want, pa.int32() if want == pa.int64() else pa.float32()):
-                    return f"column {f.name} is {have.field(at).type}"
-            for i in range(file.num_row_groups):
-                file.read_row_group(i)
-    except (OSError, pa.ArrowException) as e:
-        return f"{type(e).__name__}: {e}"[:500]
-    return None
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """(path, reason) of data files that cannot be read: executors open each file once, and check its
+    footer, its column types and all its pages. The workers need no module of this package."""
+    wanted = {f.name: f.dataType.simpleString() for f in LANDED_SCHEMA}
 
+    def fault(path):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
 
-def unreadable_files(files: DataFrame) -> DataFrame:
-    """(path, reason) of data files that cannot be read: executors open each file once."""
+        types = {"bigint": (pa.int64(), pa.int32()), "double": (pa.float64(), pa.float32())}
+        if path.startswith("file:/"):
+            path = "file:///" + path[5:].lstrip("/")
+        try:
+            system, name = fs.FileSystem.from_uri(path)
+            with system.open_input_file(name) as source, pq.ParquetFile(source) as file:
+                have = file.schema_arrow
+                for column, kind in wanted.items():
+                    at = have.get_field_index(column)
+                    if at >= 0 and have.field(at).type not in types[kind]:
+                        return f"column {column} is {have.field(at).type}"
+                for i in range(file.num_row_groups):
+                    file.read_row_group(i)
+        except (OSError, pa.ArrowException) as e:
+            return f"{type(e).__name__}: {e}"[:500]
+        return None
 
     def probe(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [(p, _readable(p)) for p in batch.column(0).to_pylist()]
+            found = [(p, fault(p)) for p in batch.column(0).to_pylist()]
             bad = [x for x in found if x[1] is not None]
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in bad], pa.string()),
                                               pa.array([r for _, r in bad], pa.string())], names=["path", "reason"])
