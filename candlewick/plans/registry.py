@@ -533,7 +533,7 @@ SELECT p.open_time, make_timestamp(p.open_time * 1000) AS open_time_ts,
        p.open_price, p.high_price, p.low_price, p.close_price, p.volume,
        p.quote_asset_volume, p.number_of_trades, p.taker_buy_base_asset_volume,
        p.taker_buy_quote_asset_volume, f.source_file, p.symbol,
-       CAST(make_timestamp(p.open_time * 1000) AS DATE) AS date, f.page_start
+       CAST(make_timestamp(p.open_time * 1000) AS DATE) AS date, f.page_start, p.pos
 FROM ({PAGED_SQL}) AS p JOIN ({FULL_PAGES_SQL}) AS f ON p.symbol = f.symbol AND p.page = f.page"""
 RAW_COLUMNS = ("open_time, open_time_ts, close_time, close_time_ts, open_price, high_price, "
                "low_price, close_price, volume, quote_asset_volume, number_of_trades, "
@@ -599,6 +599,22 @@ def q_load_incremental(spark, sf_dir):
     return run.visible(spark)
 
 
+@register("landing_job", f"""SELECT {RAW_COLUMNS} FROM ({RAW_FROM_PAGES_SQL}) AS r
+WHERE {" AND ".join(f"pos % {every} <> 0" for every in BAD)}""", CANDLE_DOUBLES)
+def q_landing_job(spark, sf_dir):
+    """Fetched pages with bad numbers through the landing job and the load: full pages are landed without
+    the candles that hold a bad value, which the reject table lists."""
+    from candlewick.plans.land import land_pages
+
+    run = _Landing(spark, "landjob")
+    pages = _pages_with_bad_numbers(spark, sf_dir)
+    landed = land_pages(pages, run.landing, PAGE_LIMIT, f"{run.base}/rejects")
+    if spark.read.parquet(f"{run.base}/rejects").count() != landed.rejected:
+        raise AssertionError("the reject table does not hold every bad value")
+    run.load(spark)
+    return run.visible(spark)
+
+
 @register("new_files_only", f"""
 SELECT symbol, page_start, source_file FROM ({FULL_PAGES_SQL}) AS f
 WHERE page_start >= {CUT_MS}""")
