@@ -50,6 +50,15 @@ HOT_LEAST = 16            # documents from which a shingle counts as frequent
 HOT_PER_BUCKET = 1024     # the most frequent ones that are listed: 1 Mi in all
 FOLD = 5                  # hashes per bit of the table of repeated hashes: 2**5 (16 MB in all)
 SLICE_SHINGLES = 2_000_000
+PART_ROWS = 500           # rows whose texts are Python objects at once
+KNOWN_BYTES = 20_000      # texts whose shingle sets are remembered
+
+
+def _parts(batches: Iterator) -> Iterator:
+    """Short runs of rows of the batches."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -89,8 +98,8 @@ def _count_slices(k: int):
 
     def run(batches: Iterator):
         held, size = [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for part in _parts(batches):
+            for text in part.column(0).to_pylist():
                 s = shingles(text, k)
                 held.append((s >> np.uint64(32)).astype(np.uint32))
                 size += len(s)
@@ -178,7 +187,7 @@ def prefix(s: np.ndarray, repeated: np.ndarray, frequency: np.ndarray, percent:
     if left <= 0:
         return s[:0], np.zeros(0, dtype=np.int32)
     s, frequency = s[repeated], frequency[repeated]
-    first = s[np.lexsort((s, frequency))][:left]
+    first = s[np.lexsort((s, frequency))][:left].copy()  # not a view that keeps the whole set
     return first, np.arange(alone, alone + len(first), dtype=np.int32)
 
 
@@ -192,9 +201,9 @@ def _features(order, k: int, percent: int):
         table = order.value
         schema = pa.schema([("id", pa.int64()), ("text_key", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
                             ("group", pa.binary()), ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
-        for batch in batches:
+        for part in _parts(batches):
             out = {name: [] for name in schema.names}
-            for doc_id, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc_id, key, text in zip(*(part.column(i).to_pylist() for i in range(3))):
                 s = shingles(text, k)
                 high = (s >> np.uint64(32)).astype(np.uint32)
                 tokens, places = prefix(s, table.repeated(high), table.frequency(high), percent)
@@ -216,9 +225,10 @@ def _verify(k: int, percent: int):
 
         import pyarrow as pa
 
-        known = functools.lru_cache(maxsize=256)(lambda text: shingle_set(text, k))
-        for batch in batches:
-            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
+        short = functools.lru_cache(maxsize=256)(lambda text: shingle_set(text, k))
+        known = lambda text: short(text) if len(text) < KNOWN_BYTES else shingle_set(text, k)
+        for part in _parts(batches):
+            a, b, ta, tb = (part.column(i).to_pylist() for i in range(4))
             out = []
             for u, v, x, y in zip(a, b, ta, tb):
                 x, y = known(x), known(y)
