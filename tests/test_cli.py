@@ -117,6 +117,40 @@ def test_a_run_stopped_at_any_step_leaves_the_old_tables(spark, tmp):
     assert {t for t in TABLES if new[t] != full[t]} == set()
 
 
+@pytest.mark.parametrize("kept_days", [2, 0])
+def test_withdrawing_whole_days_takes_them_out(spark, tmp, kept_days):
+    """Pages that end with the day are withdrawn: no candle of the touched days is left, so the refresh
+    writes no row of any table, and the tables keep the other days (or none)."""
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.ledger import unmark
+    from candlewick.plans.pipeline import TABLES, run_pipeline
+    from candlewick.sources.landing import scan_landing
+    from candlewick.sources.pages import pages_from_candles, with_landing_path
+
+    day, first = 86_400_000, 1_704_067_200_000  # 2024-01-01
+    rows = [(first + d * day + m * 60_000, 1.0 + d, 2.0 + d, 0.5, 1.5 + m, 3.0, first + d * day + m * 60_000 + 59_999,
+             4.0, 2, 1.5, 2.0, s) for s in ("AAA", "BBB") for d in range(4) for m in range(6)]
+    candles = spark.createDataFrame(rows, (
+        "open_time long, open_price double, high_price double, low_price double, close_price double, volume double, "
+        "close_time long, quote_asset_volume double, number_of_trades long, taker_buy_base_asset_volume double, "
+        "taker_buy_quote_asset_volume double, symbol string"))
+    pages = with_landing_path(pages_from_candles(candles, 3))
+    late = F.col("page_start") >= first + kept_days * day
+    write_landing(parse_kline_pages(pages), f"{tmp}/l")
+    run_pipeline(spark, f"{tmp}/l", f"{tmp}/wh", incremental=True)
+    unmark(spark, scan_landing(spark, f"{tmp}/l").where(late), f"{tmp}/wh/ledger")
+    write_landing(parse_kline_pages(pages.where(~late)), f"{tmp}/early")
+    result = run_pipeline(spark, f"{tmp}/early", f"{tmp}/wh", incremental=True)
+    assert result.load.files == 0 and set(result.tables) == set(TABLES)
+    left = _tables(spark, f"{tmp}/wh")
+    assert {t: len(x) for t, x in left.items()} == {t: kept_days * 2 * (6 if t in (
+        "stg_klines", "market_returns", "market_trend") else 1) for t in TABLES}
+    if kept_days:
+        run_pipeline(spark, f"{tmp}/early", f"{tmp}/full")
+        assert left == _tables(spark, f"{tmp}/full")
+
+
 def test_a_failed_check_keeps_the_old_tables(spark, tmp):
     from pyspark.sql import functions as F
 
