@@ -66,8 +66,9 @@ def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _overwrite_raw(rows: DataFrame, path: str) -> None:
-    rows.hint("rebalance", *RAW_PARTITIONS).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTITIONS).parquet(path)
+    parts = [c for c in RAW_PARTITIONS if c in rows.columns]
+    rows.hint("rebalance", *parts).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def load_news(spark: SparkSession, news: DataFrame, landing_root: str, raw_path: str, ledger_path: str,

@@ -315,3 +315,53 @@ def test_stream_archives_one_file_pages_and_withdraws_short_ones(spark, pages, t
             break
         time.sleep(0.1)
     assert moved()
+
+
+def test_a_batch_costs_the_same_however_many_came_before(spark, pages, tmp, monkeypatch):
+    """The days of a load are read from its own folder, a commit reads no earlier entry, and a batch
+    reads the data files of its own pages."""
+    from candlewick.operators import ledger as L
+    from candlewick.plans import load as P
+    from candlewick.sources.raw import days_of_files, load_folder
+
+    landing, raw, ledger = _paths(tmp)
+    for page in range(2):
+        _land(pages.repartition(1), landing, f"page = {page}")
+    seen = []
+    inner = P.append_pages
+    monkeypatch.setattr(P, "append_pages", lambda s, files, *a, **k: (
+        seen.append({r[0] for r in files.select("path").distinct().collect()}), inner(s, files, *a, **k))[1])
+    per_run = pages.where("page = 0").count()
+    result = load_incremental(spark, landing, raw, ledger, max_files_per_load=per_run)
+    assert len(seen) == len(result.load_ids) == 2
+    assert sum(map(len, seen)) <= 3  # two files, and one cut between two batches
+    for load_id in result.load_ids:
+        days = days_of_files(spark, raw, load_id)
+        assert days.inputFiles() and all(load_folder("/raw", load_id) in f for f in days.inputFiles())
+        assert 0 < days.count() <= per_run
+    assert days_of_files(spark, raw, "nothing").count() == 0
+    monkeypatch.setattr(L.CommitLog, "read", lambda *a: pytest.fail("a commit read an earlier entry"))
+    one = spark.createDataFrame([("binance_klines/S/x",)], "source_file string")
+    assert L.mark_loaded(one, ledger, "x") == 3
+
+
+def test_batches_are_handed_over_in_order_and_the_first_failure_is_raised():
+    import time
+
+    from candlewick.plans.load import BATCHES_AT_ONCE, _ahead
+
+    started, done = [], []
+
+    def work(i):
+        started.append(i)
+        time.sleep(0.05 if i % 2 else 0.01)
+        if i == 5:
+            raise RuntimeError("batch 5")
+        return i * i
+
+    with pytest.raises(RuntimeError, match="batch 5"):
+        for i, square in _ahead(work, range(30)):
+            assert square == i * i
+            done.append(i)
+    assert done == list(range(5)) and max(started) < 5 + BATCHES_AT_ONCE
+    assert list(_ahead(work, [])) == []
