@@ -27,6 +27,8 @@ rows count each; an empty table gives no rows; other input columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import gc
 import hashlib
 from array import array
 from collections.abc import Iterator
@@ -73,6 +75,22 @@ def slice_links(ends_a: list[int], ends_b: list[int], part: tuple[int, int, int,
     return out
 
 
+def uncollected(work):
+    """``work`` with the collector of reference cycles off. The alignments are tuples and lists without
+    cycles, made by the hundred thousand, and looking through them again and again costs a tenth of
+    the time; what is dropped is freed at once all the same."""
+    @functools.wraps(work)
+    def run(*args, **kw):
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return work(*args, **kw)
+        finally:
+            if on:
+                gc.enable()
+    return run
+
+
 class Aligner:
     """Alignments of segments, the common ones remembered."""
 
@@ -123,6 +141,7 @@ class Aligner:
             g, k = end + 1, to
         return out
 
+    @uncollected
     def align(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple]]:
         """Segments of each text (none if it has no tokens), and the alignment of each segment."""
         cuts = [segments(t) if self.by_segment and t else [t] if t else [] for t in texts]

@@ -97,3 +97,28 @@ def test_query_equals_the_plain_version(spark):
     want = [(*r[:-1], hashlib.sha256(r[-1].encode()).hexdigest() if r[-1] else "") for r in expected(rows)]
     assert sorted(map(tuple, got)) == sorted(want)
     assert registry.op12_alignment(spark, sf).count() == table(spark, sf, "documents").count()
+
+
+def test_aligning_keeps_the_cycle_collector_out():
+    """It is off while texts are aligned, and as it was before afterwards, after an error too."""
+    import gc
+
+    import public_tokenizers
+
+    from candlewick.llm.alignment import Aligner
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligner, during = Aligner(*paths), []
+    inner = aligner._new
+    aligner._new = lambda texts: (during.append(gc.isenabled()), inner(texts))[1]
+    for on in (True, False):
+        (gc.enable if on else gc.disable)()
+        try:
+            cuts, _ = aligner.align([f"some words {on}"])
+            assert cuts[0] == ["some", "words", str(on)] and gc.isenabled() is on
+            with pytest.raises(AttributeError):
+                aligner.align([1])
+            assert gc.isenabled() is on
+        finally:
+            gc.enable()
+    assert during == [False, False]
